@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality_rules, secret_scan, url_filter
+from . import packing, quality_rules, secret_scan, url_filter
 
 QUERIES = {
     "op3_quality_rules": quality_rules.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
+    "op10_best_fit_packing": packing.query,
 }
 
 ORACLES = {
