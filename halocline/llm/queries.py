@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import packing, quality_rules, secret_scan, url_filter
+from . import jaccard_join, packing, quality_rules, secret_scan, url_filter
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.query,
     "op3_quality_rules": quality_rules.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_jaccard_join": jaccard_join.ORACLE,
     "op3_quality_rules": quality_rules.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
