@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality_rules, secret_scan, url_filter
+from . import jaccard_join, packing, quality_rules, secret_scan, substring_dedup, url_filter
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
+    "op2_substring_dedup": substring_dedup.query,
     "op3_quality_rules": quality_rules.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_jaccard_join": jaccard_join.ORACLE,
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_quality_rules": quality_rules.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
