@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality_rules, secret_scan, substring_dedup, url_filter
+from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, url_filter
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
     "op2_substring_dedup": substring_dedup.query,
     "op3_quality_rules": quality_rules.query,
+    "op4_decontaminate": decontaminate.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
     "op10_best_fit_packing": packing.query,

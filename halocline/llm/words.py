@@ -32,6 +32,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start up to its end."""
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    length = ends - starts
+    h = mix((eight[starts] & _FIRST[np.minimum(length, 8)]) + mix(length.astype(np.uint64)))
+    at, rest = np.flatnonzero(length > 8), 8
+    while len(at):
+        left = length[at] - rest
+        h[at] = mix(h[at] * _M2 + (eight[starts[at] + rest] & _FIRST[np.minimum(left, 8)]))
+        at, rest = at[left > 8], rest + 8
+    return h
+
+
 class Block:
     """Consecutive documents: their bytes, and where each word and document begins."""
 
@@ -57,16 +71,7 @@ class Block:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        data = np.concatenate([self.data, np.zeros(8, np.uint8)])
-        eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
-        length = self.ends - self.starts
-        h = mix((eight[self.starts] & _FIRST[np.minimum(length, 8)]) + mix(length.astype(np.uint64)))
-        at, rest = np.flatnonzero(length > 8), 8
-        while len(at):
-            left = length[at] - rest
-            h[at] = mix(h[at] * _M2 + (eight[self.starts[at] + rest] & _FIRST[np.minimum(left, 8)]))
-            at, rest = at[left > 8], rest + 8
-        return h
+        return hash_spans(self.data, self.starts, self.ends)
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), np.diff(self.doc))
