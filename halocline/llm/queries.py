@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, url_filter
+from . import decontaminate, importance, jaccard_join, packing, quality_rules, secret_scan, shards, substring_dedup, url_filter
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
     "op2_substring_dedup": substring_dedup.query,
     "op3_quality_rules": quality_rules.query,
     "op4_decontaminate": decontaminate.query,
+    "op6_sharding": shards.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
+    "op9_importance": importance.query,
     "op10_best_fit_packing": packing.query,
 }
 
@@ -18,5 +20,6 @@ ORACLES = {
     "op1_jaccard_join": jaccard_join.ORACLE,
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_quality_rules": quality_rules.ORACLE,
+    "op6_sharding": shards.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
