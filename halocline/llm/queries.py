@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, importance, jaccard_join, packing, quality_rules, secret_scan, shards, substring_dedup, url_filter
+from . import decontaminate, importance, jaccard_join, packing, pitman_yor, quality_rules, secret_scan, shards, substring_dedup, url_filter
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
     "op2_substring_dedup": substring_dedup.query,
     "op3_quality_rules": quality_rules.query,
     "op4_decontaminate": decontaminate.query,
+    "op5_pitman_yor": pitman_yor.query,
     "op6_sharding": shards.query,
     "op7_secret_scan": secret_scan.query,
     "op8_url_filter": url_filter.query,
