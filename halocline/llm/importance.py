@@ -96,7 +96,7 @@ def select(docs: DataFrame, target_ids: DataFrame, share: float, doc_id: str = "
     text, or no rows, keeps what the noise says. Further columns of docs are ignored.
     """
     ids = target_ids.toDF(doc_id).where(F.col(doc_id).isNotNull()).distinct()
-    target = members(docs.select(doc_id, text), doc_id, ids).join(ids, doc_id, "left_semi")
+    target = members(docs.select(doc_id, text), doc_id, ids).join(ids, doc_id)  # a semi join would be pushed below the filter
     ratio = log_ratio(bucket_counts(target.select(text)), bucket_counts(docs.select(text)))
     scored = stored(weigh(docs, ratio, doc_id, text, seed), "weights")
     rows = scored.count()
