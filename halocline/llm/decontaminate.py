@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .graph import without
 from .shared import stored, table
 from .words import Block, blocks, hash_spans, mix, windows
 
@@ -154,8 +155,8 @@ def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without those that hold a benchmark item; rows with a null id stay."""
-    gone = leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
+    gone = leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(doc_id)).distinct()
+    return without(docs, doc_id, stored(gone, "gone"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

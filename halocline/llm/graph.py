@@ -28,11 +28,29 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
+def _blocks_for(ids: DataFrame, most_blocks: int) -> int:
+    return min(most_blocks, 1 << max(0, (ids.count() * 16 // 512).bit_length()))
+
+
 def members(docs: DataFrame, doc_id: str, ids: DataFrame, most_blocks: int = 1 << 16) -> DataFrame:
     """Rows of docs whose id is in ids (one column of that name), and few others.
 
     A blocked Bloom filter of at most most_blocks blocks (64 bytes each) is broadcast, so rows that are not members
     mostly stay out of the shuffle of a later join. With more ids than it is made for it lets more rows pass.
     """
-    n_blocks = min(most_blocks, 1 << max(0, (ids.count() * 16 // 512).bit_length()))
+    n_blocks = _blocks_for(ids, most_blocks)
     return maybe_listed(docs, doc_id, bloom(ids, doc_id, n_blocks), n_blocks, most_blocks)
+
+
+def without(docs: DataFrame, doc_id: str, ids: DataFrame, most_blocks: int = 1 << 16) -> DataFrame:
+    """Rows of docs whose id is not in ids (one column of that name, distinct, stored); rows with a null id stay.
+
+    What the filter of members() can't hold stays without a shuffle; only the few rows that it may hold are joined.
+    """
+    n_blocks = _blocks_for(ids, most_blocks)
+    rows = bloom(ids, doc_id, n_blocks)
+    sure = maybe_listed(docs, doc_id, rows, n_blocks, most_blocks, inverse=True)
+    known = ids.select(F.col(doc_id).alias("_known"))
+    # Not an anti-join, which would be pushed below the filter.
+    unsure = maybe_listed(docs, doc_id, rows, n_blocks, most_blocks).join(known, F.col(doc_id) == F.col("_known"), "left")
+    return sure.unionAll(unsure.where("_known is null").select(docs.columns))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, members
+from .graph import components, members, without
 from .shared import stored, table
 from .words import blocks, mix, windows
 
@@ -237,8 +237,8 @@ def _repeats(own: DataFrame) -> bool:
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows whose class has a smaller doc_id: one document of each near-duplicate group stays."""
-    gone = join(docs, doc_id, text).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
+    gone = join(docs, doc_id, text).where("doc_id <> class_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    return without(docs, doc_id, stored(gone, "gone"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

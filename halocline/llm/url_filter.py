@@ -53,14 +53,16 @@ def bloom(keys: DataFrame, key: str, n_blocks: int) -> DataFrame:
     return rows.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK_WORDS)))
 
 
-def maybe_listed(df: DataFrame, key: str, filter_rows: DataFrame, n_blocks: int, broadcast_blocks: int) -> DataFrame:
-    """Rows of df whose key the filter may hold; never loses a listed one."""
+def maybe_listed(df: DataFrame, key: str, filter_rows: DataFrame, n_blocks: int, broadcast_blocks: int, inverse: bool = False) -> DataFrame:
+    """Rows of df whose key the filter may hold, never losing a listed one; with inverse, all the other rows."""
     block, bits = _place(F.col(key), n_blocks)
-    small = filter_rows if n_blocks > broadcast_blocks else F.broadcast(filter_rows)
-    probe = df.withColumn("_block", block).join(small, F.col("_block") == F.col("block"))
+    small = filter_rows.select(F.col("block").alias("_of"), *(F.col(f"w{i}").alias(f"_w{i}") for i in range(BLOCK_WORDS)))
+    small = small if n_blocks > broadcast_blocks else F.broadcast(small)
+    probe = df.withColumn("_block", block).join(small, F.col("_block") == F.col("_of"), "left" if inverse else "inner")
+    hit = F.lit(True)
     for i, b in enumerate(bits):
-        probe = probe.where(F.col(f"w{i}").bitwiseAND(b) != 0)
-    return probe.select(*df.columns)
+        hit = hit & (F.col(f"_w{i}").bitwiseAND(b) != 0)
+    return probe.where(~F.coalesce(hit, F.lit(False)) if inverse else hit).select(*df.columns)
 
 
 def judge(urls: DataFrame, url: str, rules: DataFrame, default: str = "allow", bits_per_rule: int = 24, broadcast_blocks: int = 1 << 16) -> DataFrame:
