@@ -103,6 +103,11 @@ O2_B = [-7.01577e-3, -7.70028e-3, -1.13864e-2, -9.51519e-3]
 O2_C = -2.75915e-7
 
 
+def _not_negative(x: Column) -> Column:
+    """x, 0 for a negative one; greatest() would make a missing value 0."""
+    return F.when(x > 0, x).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
+
+
 def horner(coefs, x):
     out = coefs[-1]
     for c in coefs[-2::-1]:
@@ -186,7 +191,7 @@ def z_from_p(p: Column, lat: Column) -> Column:
 
 def sa_from_sp(sp: Column, delta: Column | float = 0.0) -> Column:
     """Absolute from Practical Salinity. delta: the anomaly ratio of the place, 0 for reference composition. Negative salinities are 0."""
-    return UPS * F.greatest(sp, F.lit(0.0)) * (1.0 + delta)
+    return UPS * _not_negative(sp) * (1.0 + delta)
 
 
 def sp_from_sa(sa: Column, delta: Column | float = 0.0) -> Column:
@@ -194,16 +199,16 @@ def sp_from_sa(sa: Column, delta: Column | float = 0.0) -> Column:
 
 
 def ct_from_pt(sa: Column, pt: Column) -> Column:
-    return polynomial(POTENTIAL_ENTHALPY, F.sqrt(SFAC * F.greatest(sa, F.lit(0.0))), pt * 0.025, F.lit(0.0)) / CP0
+    return polynomial(POTENTIAL_ENTHALPY, F.sqrt(SFAC * _not_negative(sa)), pt * 0.025, F.lit(0.0)) / CP0
 
 
 def entropy_part(sa: Column, t: Column, p: Column | float) -> Column:
     z = p * 1e-4 if isinstance(p, Column) else F.lit(p * 1e-4)
-    return -0.025 * polynomial(ENTROPY, F.sqrt(SFAC * F.greatest(sa, F.lit(0.0))), t * 0.025, z)
+    return -0.025 * polynomial(ENTROPY, F.sqrt(SFAC * _not_negative(sa)), t * 0.025, z)
 
 
 def _entropy_slope(sa: Column, t: Column) -> Column:
-    return -0.025 * 0.025 * polynomial(derivative(ENTROPY, 1), F.sqrt(SFAC * F.greatest(sa, F.lit(0.0))), t * 0.025, F.lit(0.0))
+    return -0.025 * 0.025 * polynomial(derivative(ENTROPY, 1), F.sqrt(SFAC * _not_negative(sa)), t * 0.025, F.lit(0.0))
 
 
 def with_sp_from_c(df: DataFrame, out: str, c: str, t: str, p: str) -> DataFrame:
@@ -226,7 +231,7 @@ def with_sp_from_c(df: DataFrame, out: str, c: str, t: str, p: str) -> DataFrame
 
 def with_pt0_from_t(df: DataFrame, out: str, sa: str, t: str, p: str) -> DataFrame:
     """Adds potential temperature at the surface: a polynomial start, then two modified Newton steps on entropy."""
-    s, tt, pp = F.greatest(F.col(sa), F.lit(0.0)), F.col(t), F.col(p)
+    s, tt, pp = _not_negative(F.col(sa)), F.col(t), F.col(p)
     s1 = s / UPS
     start = tt + pp * (8.65483913395442e-6 - s1 * 1.41636299744881e-6 - pp * 7.38286467135737e-9 + tt * (-8.38241357039698e-6 + s1 * 2.83933368585534e-8 + tt * 1.77803965218656e-8 + pp * 1.71155619208233e-10))
     df = df.withColumns({"_pt": start, "_true": entropy_part(s, tt, pp)})
@@ -246,7 +251,7 @@ def with_ct_from_t(df: DataFrame, out: str, sa: str, t: str, p: str) -> DataFram
 
 def with_pt_from_ct(df: DataFrame, out: str, sa: str, ct: str) -> DataFrame:
     """Adds potential temperature from Conservative Temperature by four Newton steps."""
-    s = F.greatest(F.col(sa), F.lit(0.0))
+    s = _not_negative(F.col(sa))
     slope = lambda pt: 0.025 * polynomial(derivative(POTENTIAL_ENTHALPY, 1), F.sqrt(SFAC * s), pt * 0.025, F.lit(0.0)) / CP0
     df = df.withColumn("_pt", F.col(ct))
     for _ in range(4):
