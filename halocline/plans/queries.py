@@ -456,12 +456,22 @@ def _(spark, d):
     return concat.first_by_time(concat.union([o.where(f"{P} % 2 = 0"), o.where(f"{P} % 2 = 1")]), "t").select(P, "t")
 
 
+FLAGSHIP = f"""with {LOG}, h as (select *, case when value = lag(value) over w then null else value end as v from log {W}),
+r as (select *, v - median(v) over c as r from h {C}),
+b0 as (select deployment_id, profile_idx % 10 as profile_idx, case when abs(r) > 40 then null else v end as z, held from r),
+e as (select deployment_id, min(z) as first, greatest(ceil((max(z) - min(z)) / 4.0), 1)::int as n from b0 group by 1),
+k as (select deployment_id, i, first + 4.0 * i as lo, first + 4.0 * (i + 1) as hi, (first + 4.0 * i + (first + 4.0 * (i + 1))) / 2 as c from e, unnest(range(0, n)) as u(i)),
+f as (select b0.deployment_id, profile_idx, i, avg(held) as held from b0 join k on b0.deployment_id = k.deployment_id and z <= hi and (z > lo or (i = 0 and z = lo)) group by 1, 2, 3),
+p as (select distinct deployment_id, profile_idx from b0)
+select p.deployment_id, p.profile_idx, k.i::int as bin, round(c, 6) as bin_center, round(held, 6) as held
+from p join k on p.deployment_id = k.deployment_id left join f on f.deployment_id = p.deployment_id and f.profile_idx = p.profile_idx and f.i = k.i"""
+
+
+@query("flagship", FLAGSHIP)
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Holds removed, spikes removed, the mean of the channel in every bin of every profile."""
     df = corrections.correct(log(spark, d), {"value": corrections.Correction()})
     df, _ = despike(df, "value", ABS, True)
     df = df.select(D, (F.col(P) % 10).alias(P), S, F.col("value").alias("z"), "held")
-    return binning.bin_deployment(df, {"held": ("mean", {})}, "z", 4.0)
-
-
-QUERIES["flagship"] = flagship
+    out = binning.bin_deployment(df, {"held": ("mean", {})}, "z", 4.0)
+    return out.select(D, P, "bin", *(F.round(c, 6).alias(c) for c in ("bin_center", "held")))
