@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .graph import components, members, without
 from .shared import stored, table
-from .words import blocks, mix, windows
+from .words import Block, blocks, mix, windows
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -32,45 +32,47 @@ LIMIT = 200  #: largest bucket that is compared by brute force
 DEPTH = 4
 RECALL = 0.9999
 SKETCH = 0.5  #: least share of equal minhash values of a pair that is compared exactly
-BLOCK_DOCS, BLOCK_BYTES = 1500, 4 << 20
+BLOCK_DOCS, BLOCK_SHINGLES = 600, 400_000
 
 _SEEDS = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_sets(column: pa.Array, k: int = SHINGLE) -> Iterator[np.ndarray]:
+def block_sets(block: Block, k: int = SHINGLE) -> list[np.ndarray]:
     """For each text the sorted hashes of its distinct k-word shingles; a text of fewer words has one, of all its words."""
-    for block in blocks(column):
-        h = block.hashes()
-        s = windows(h, k)
-        for a, b in zip(block.doc[:-1], block.doc[1:], strict=True):
-            if b - a >= k:
-                yield np.unique(s[a : b - k + 1])
-            elif b > a:
-                yield windows(h[a:b], b - a)[:1] + np.uint64(b - a)
-            else:
-                yield h[:0]
+    h = block.hashes()
+    s, out = windows(h, k), []
+    for a, b in zip(block.doc[:-1], block.doc[1:], strict=True):
+        if b - a >= k:
+            out.append(np.unique(s[a : b - k + 1]))
+        else:
+            out.append(windows(h[a:b], b - a)[:1] + np.uint64(b - a) if b > a else h[:0])
+    return out
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, n, k1, k2, sig): number of shingles, a 128-bit key of the set, its minhash values (null for no words)."""
 
+    def of_block(ids: pa.Array, block: Block) -> pa.RecordBatch:
+        sets = block_sets(block)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        k1, k2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+        sig = np.zeros((len(sets), POSITIONS), np.uint32)
+        full = np.flatnonzero(sizes)
+        if len(full):
+            h = np.concatenate(sets)
+            at = (np.cumsum(sizes) - sizes)[full]
+            k1[full] = np.add.reduceat(mix(h), at)
+            k2[full] = np.bitwise_xor.reduceat(mix(h ^ _SEEDS[0]), at)
+            mixed = h ^ (h >> np.uint64(29))
+            for j, seed in enumerate(_SEEDS):
+                sig[full, j] = np.minimum.reduceat((mixed * seed) >> np.uint64(32), at)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * POSITIONS), pa.array(sig.view(np.int32).ravel()))
+        return pa.RecordBatch.from_arrays([ids.slice(block.first, block.n_docs), pa.array(sizes), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists], ["doc_id", "n", "k1", "k2", "sig"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1)))
-            sizes = np.array([len(s) for s in sets], np.int64)
-            k1, k2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
-            sig = np.zeros((len(sets), POSITIONS), np.uint32)
-            full = np.flatnonzero(sizes)
-            for part in np.array_split(full, max(1, int(sizes.sum()) >> 19)):
-                if len(part):
-                    h = np.concatenate([sets[i] for i in part])
-                    at = np.concatenate([[0], np.cumsum(sizes[part])[:-1]])
-                    k1[part] = np.add.reduceat(mix(h), at)
-                    k2[part] = np.bitwise_xor.reduceat(mix(h ^ _SEEDS[0]), at)
-                    for j, seed in enumerate(_SEEDS):
-                        sig[part, j] = np.minimum.reduceat(((h ^ (h >> np.uint64(29))) * seed) >> np.uint64(32), at)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * POSITIONS), pa.array(sig.view(np.int32).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists], ["doc_id", "n", "k1", "k2", "sig"])
+            for block in blocks(batch.column(1)):
+                yield of_block(batch.column(0), block)
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(work, "doc_id long, n long, k1 long, k2 long, sig array<int>")
 
@@ -122,10 +124,10 @@ def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def _roots(linked: np.ndarray) -> np.ndarray:
     """The least member of each member's component in a boolean matrix of links."""
-    root = np.arange(len(linked))
+    root = np.arange(len(linked), dtype=np.int32)
     reach = linked | np.eye(len(linked), dtype=bool)
     while True:
-        new = np.where(reach, root[None, :], len(root)).min(1)
+        new = np.where(reach, root[None, :], np.int32(len(root))).min(1)
         new = new[new]
         if (new == root).all():
             return root
@@ -163,18 +165,20 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_links(texts: DataFrame, groups: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """(rep, root, links, split) for each member and block pair: its exact links there, and the least member linked.
 
-    texts: (rep, text); groups: (rep, label). A group is dealt over blocks of about BLOCK_DOCS texts or BLOCK_BYTES; each
-    pair of blocks is one task's work, so no task holds more than two blocks, however large the group.
+    texts: (rep, text); groups: (rep, label, n). A group is dealt over blocks of about BLOCK_DOCS texts or BLOCK_SHINGLES; each
+    pair of blocks is one group's work, so no task holds more than two blocks, however large the group.
     """
-    rows = stored(texts.join(groups, "rep"), "group-texts")
-    sizes = rows.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_DOCS)), F.ceil(F.sum(F.octet_length("text")) / F.lit(BLOCK_BYTES))).cast("int").alias("n_blocks"))
-    dealt = rows.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest("n_blocks", F.lit(1))).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.greatest("n_blocks", F.lit(1)) - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
-    tasks = dealt.select("label", "rep", "text", "block", "n_blocks", F.explode(pairs).alias("t")).select("label", "rep", "text", "block", "n_blocks", "t.i", "t.j")
+    sizes = groups.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_DOCS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)), F.lit(1)).cast("int").alias("n_blocks"))
+    dealt = groups.join(stored(sizes, "sizes"), "label").withColumn("block", F.pmod(F.xxhash64("rep"), "n_blocks").cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
+    placed = stored(dealt.select("label", "rep", "block", "n_blocks", F.explode(pairs).alias("t")).select("label", "rep", "block", "n_blocks", "t.i", "t.j"), "placed")
+    # By all three: a partitioning by the label alone would do for Spark, and put all blocks of a group into one task.
+    n_tasks = max(64, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = texts.join(placed, "rep").repartition(n_tasks, "label", "i", "j")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep", kind="stable").reset_index(drop=True)
-        sets = list(shingle_sets(pa.array(pdf["text"], pa.large_string()), k))
+        sets = [s for block in blocks(pa.array(pdf["text"], pa.large_string())) for s in block_sets(block, k)]
         n = np.array([len(s) for s in sets], np.int64)
         owner, flat = np.repeat(np.arange(len(sets)), n), np.concatenate(sets)
         _, column, df = np.unique(flat, return_inverse=True, return_counts=True)
@@ -214,7 +218,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     classes = stored(classes, "classes")
     reps = classes.select("rep", "sig")
     groups = components(candidate_links(reps, threshold, recall))
-    wanted = groups.select(F.col("node").alias("rep"), "label")
+    wanted = stored(groups.select(F.col("node").alias("rep"), "label").join(classes.select("rep", "n"), "rep"), "groups")
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
     texts = members(texts, "rep", wanted.select("rep")).dropDuplicates(["rep"]) if _repeats(own) else members(texts, "rep", wanted.select("rep"))
     exact = stored(exact_links(texts, wanted, threshold), "exact")
