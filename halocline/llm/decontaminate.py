@@ -58,7 +58,7 @@ def templates(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     while len(at := at[(starts[at] < ends[at]) & _PUNCTUATION[data[ends[at] - 1]]]):
         ends[at] -= 1
     # A name begins with a capital letter (A-Z, or one of Latin-1 in UTF-8) and not a sentence, line or document.
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    lines = np.concatenate([[0], np.cumsum(data == 10, dtype=np.int32)])
     begins = np.ones(len(starts), bool)
     if len(starts) > 1:
         begins[1:] = _ENDS_SENTENCE[data[block.ends[:-1] - 1]] | (lines[block.starts[1:]] > lines[block.ends[:-1]])

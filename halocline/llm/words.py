@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -100,6 +100,7 @@ def blocks(column: pa.Array, lower: bool = False, max_bytes: int = BLOCK_BYTES)
         end = min(max(end, row + 1), len(column))
         yield Block(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row], row, lower)
         row = end
+    pa.default_memory_pool().release_unused()  # a worker lives on between tasks
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:
