@@ -62,7 +62,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str
             for block in blocks(batch.column(1)):
                 doc, bucket = _grams(block)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, block.n_docs), pa.array(np.bincount(doc, minlength=block.n_docs)), pa.array(np.bincount(doc, ratio[bucket], block.n_docs))], ["doc_id", "n_grams", "log_weight"]
+                    [batch.column(0).slice(block.first, block.n_docs), pa.array(np.bincount(doc, minlength=block.n_docs)), pa.array(np.bincount(doc, ratio[bucket], block.n_docs).astype(float))], ["doc_id", "n_grams", "log_weight"]
                 )
 
     scored = docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(work, "doc_id long, n_grams long, log_weight double")
