@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import math
 import shutil
 import tempfile
 import uuid
@@ -44,10 +43,5 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def spread(df: DataFrame, rows_per_task: int, n_rows: int, *cols) -> DataFrame:
-    """df dealt over as many tasks as n_rows need."""
-    return df.repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / rows_per_task)), *cols)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

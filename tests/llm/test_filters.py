@@ -181,3 +181,86 @@ def test_kth_largest(spark):
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
     for k in (1, 17, 1500, 3000):
         assert importance.kth_largest(df, "x", k, exact_rows=20, bins=16) == sorted(x, reverse=True)[k - 1]
+
+
+PUNCTUATION = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
+
+
+def brute_template(t):
+    """(template, value) of each token, written out word by word."""
+    out, before, at = [], None, 0
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", t or ""):
+        raw = m[0]
+        begins = before is None or before[-1] in ".!?:;\"')" or "\n" in t[at : m.start()]
+        before, at = raw, m.end()
+        token = raw.strip(PUNCTUATION)
+        if not token:
+            continue
+        value = "".join(c.lower() if "A" <= c <= "Z" else c for c in token)
+        capital = "A" <= token[0] <= "Z" or "À" <= token[0] <= "Þ"
+        kind = "#" if token[0] in "0123456789" else "unit" if value in decontaminate.UNITS else "name" if capital and not begins else None
+        out.append((kind or "=" + value, value, kind is not None))
+    return out
+
+
+def brute_leaks(rows, items, width=13):
+    grams = lambda x: {i: x[i : i + width] for i in range(len(x) - width + 1) if sum(not s for _, _, s in x[i : i + width]) >= 7}
+    found = {}
+    for item, text in items:
+        own = grams(brute_template(text))
+        for doc, t in rows:
+            aligned = {}
+            for p, g in grams(brute_template(t)).items():
+                for q, k in own.items():
+                    if [x[0] for x in g] == [x[0] for x in k]:
+                        places, pairs = aligned.setdefault(p - q, (set(), set()))
+                        places.add(p)
+                        pairs |= {(a[1], b[1]) for a, b in zip(g, k, strict=True) if a[2]}
+            ok = [p for p, pairs in aligned.values() if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})]
+            if ok:
+                found[doc, item] = len(set().union(*ok))
+    return found
+
+
+def test_leaks_match_brute_force(documents, benchmark, text, odd):
+    r = random.Random(3)
+    vocabulary = ["the", "Bob", "Anna", "12", "7", "kg", "miles", "ran", "over", "a", "bridge,", "and", "Éva", "saw.", "Then", "(3)", "...", "went", "home", "with", "x1"]
+    sentence = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(i, sentence(40)) for i in range(8)]
+    swap = lambda t: t.replace("Bob", "Carl").replace("12", "99")
+    rows = [(i, f"{sentence(20)}\n{swap(items[i % 8][1]) if i % 2 else items[i % 8][1]} {sentence(10)}") for i in range(16)]
+    rows += [(20 + i, sentence(200)) for i in range(5)] + [(30, items[0][1] + " " + items[1][1].replace("Anna", "Bob"))] + [(40 + i, t) for i, t in enumerate(odd)]
+    got = {(x["doc_id"], x["item_id"]): x["n_windows"] for x in decontaminate.leaks(documents(rows), benchmark(items)).collect()}
+    want = brute_leaks(rows, items)
+    assert got == want and len(want) >= 16
+
+
+def test_importance_weights_match_brute_force(spark, documents, text, odd):
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from halocline.llm.words import blocks, mix, windows
+
+    def buckets(t):
+        h = next(blocks(pa.array([t], pa.string()))).hashes() if t else np.zeros(0, np.uint64)
+        one = [int(v) % importance.BUCKETS for v in mix(h)]
+        two = [int(mix(windows(h[i : i + 2], 2)[:1] ^ np.uint64(2))[0]) % importance.BUCKETS for i in range(len(h) - 1)]
+        return one + two
+
+    rows = [(i, text(30, i, 40)) for i in range(20)] + [(50 + i, t) for i, t in enumerate(odd)]
+    target = list(range(0, 20, 3))
+    raw, own = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    for i, t in rows:
+        for b in buckets(t):
+            raw[b] += 1
+            own[b] += i in target
+    log = lambda c, b: math.log((c[b] + 1) / (c.sum() + len(c)))
+    out = importance.select(documents(rows), spark.createDataFrame([(i,) for i in target], "x long"), 0.5).collect()
+    texts = dict(rows)
+    for r in out:
+        b = buckets(texts[r["doc_id"]])
+        assert r["n_grams"] == len(b) and r["log_weight"] == pytest.approx(sum(log(own, x) - log(raw, x) for x in b), abs=1e-6)
+    top = sorted((r["key"] for r in out), reverse=True)[: round(len(rows) / 2)]
+    assert sorted((r["key"] for r in out if r["kept"]), reverse=True) == top
