@@ -67,7 +67,8 @@ def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
     for path in io.found_files(settings.paths.raw_directory, (".parquet",), targets):
         try:
             raw, line = io.read_log(spark, str(path))
-            own = settings.process_for(stem=path.stem)
+            instrument = io.instrument_of(path)
+            own = settings.process_for(instrument.get("instrument_serial_number"), path.stem)
             g = own.geolocation.external_dataset_path
             track = spark.read.parquet(str(g)) if g else None
             done = pipeline.process(raw, own, track, line)
@@ -77,6 +78,7 @@ def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
             compression = own.parquet_compression
             io.write_profiles(done.samples, f"{out}/samples", line, types, compression.enabled, compression.level)
             done.profiles.write.mode("overwrite").parquet(f"{out}/profiles")
+            io.deployments(raw, str(path), settings.project.name, instrument).write.mode("overwrite").parquet(f"{out}/deployment")
         except Exception as e:  # one deployment's failure must not stop the others
             logging.getLogger("halocline").error("%s: %s", path.stem, e)
             failures.append(f"{path.stem}: {e}")
@@ -84,12 +86,14 @@ def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
 
 
 def _bin(spark, settings: config.Settings, targets: list[str]) -> list[str]:
+    from .operators import binning
     from .plans import pipeline
     from .sources import io
 
     failures = []
     for folder in io.found_deployments(settings.paths.profiles_directory, targets):
         try:
+            binning.check_one_identity(spark.read.parquet(f"{folder}/deployment"))
             samples, _ = io.read_profiles(spark, f"{folder}/samples")
             profiles, rows = pipeline.bin_profiles(samples, spark.read.parquet(f"{folder}/profiles"), settings.bin)
             io.write_binned(profiles, rows, f"{settings.paths.binned_directory}/{folder.name}")

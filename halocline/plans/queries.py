@@ -14,6 +14,7 @@ from ..functions import seawater as sw
 from ..operators import binning, concat, corrections, ctlag, derived, geo, profiles
 from ..operators.despike import Despiking, despike, residuals, rolling_median, spike_counts, thresholds
 from ..operators.model import KEYS
+from ..sources import io, naming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,9 @@ D, P, S = KEYS.deployment, KEYS.profile, KEYS.order
 LOG = "log as (select event_type as deployment_id, user_id as profile_idx, event_id as sample_idx, epoch_us(ts) as t, case when event_id % 97 = 0 then null else value end as value, floor(value / 10) as held from events)"
 
 
+W0 = "window w as (partition by deployment_id order by sample_idx)"
+
+
 def query(name: str, sql: str | None = None):
     def register(f: Query) -> Query:
         QUERIES[name] = f
@@ -76,6 +80,18 @@ def _(spark, d):
     return corrections.monotonic(log(spark, d), "held")
 
 
+@query("deployments_table", f"with {LOG}, s as (select *, t - lag(t) over w as step from log {W0}) select deployment_id, min(t) as a, max(t) as b, count(*)::bigint as n_samples, round(median(step) / 1e6, 6) as sampling_period_seconds, 'events' as source_file from s group by 1")
+def _(spark, d):
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    found = io.deployments(log(spark, d), "events")
+    return found.select(D, micros("deployment_start_time").alias("a"), micros("deployment_end_time").alias("b"), "n_samples", F.round("sampling_period_seconds", 6).alias("sampling_period_seconds"), "source_file")
+
+
+@query("channel_slugs", r"select distinct p_name, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as slug from part")
+def _(spark, d):
+    return spark.read.parquet(f"{d}/part.parquet").select("p_name", naming.slug_column(F.col("p_name")).alias("slug")).distinct()
+
+
 # Raw channels.
 W = "window w as (partition by deployment_id order by sample_idx)"
 

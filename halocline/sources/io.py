@@ -67,6 +67,33 @@ def read_log(spark: SparkSession, path: str, deployment_id: str | None = None, k
     return nan_to_null(df, floating(df)), line
 
 
+#: What an instrument tells of itself.
+INSTRUMENT = ("instrument_model", "instrument_serial_number", "instrument_firmware_version", "deployment_comment")
+
+
+def instrument_of(path: Path) -> dict[str, str]:
+    """The instrument's fields from <stem>.json beside a log; unknown fields are refused, without the file all are missing."""
+    side = path.with_suffix(".json")
+    found = json.loads(side.read_text()) if side.is_file() else {}
+    wrong = sorted(set(found) - set(INSTRUMENT))
+    if wrong:
+        raise ValueError(f"{side}: unknown fields {', '.join(wrong)}.")
+    return {k: None if v is None else str(v) for k, v in found.items()}
+
+
+def deployments(df: DataFrame, source_file: str | None = None, project: str | None = None, instrument: Mapping[str, str] | None = None, time: str = "time", keys: Keys = KEYS) -> DataFrame:
+    """The dimension table, a row a deployment: source, instrument, project, first and last time, samples, sampling period.
+
+    The period is the median step in seconds, missing for a single sample.
+    """
+    step = F.unix_micros(F.col(time).cast("timestamp")) - F.lag(F.unix_micros(F.col(time).cast("timestamp"))).over(keys.log())
+    found = df.withColumn("_step", step).groupBy(keys.deployment).agg(
+        F.min(time).alias("deployment_start_time"), F.max(time).alias("deployment_end_time"), F.count("*").alias("n_samples"), (F.median("_step") / 1e6).alias("sampling_period_seconds")
+    )
+    fixed = {"source_file": source_file, "project_name": project, **{k: (instrument or {}).get(k) for k in INSTRUMENT}}
+    return found.withColumns({k: F.lit(v).cast("string") for k, v in fixed.items()})
+
+
 def cast_channels(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in floating(df)})
 

@@ -117,7 +117,10 @@ def test_process_bin_concatenate(spark, tmp_path, capsys):
         "[process]\natmospheric_pressure=10.1325\n[process.geolocation]\nreference_latitude=45.0\nreference_longitude=-125.0\n"
         "[process.ct_lag]\nenabled=true\nmin_lag=-2\nmax_lag=2\n[process.channels.practical_salinity]\ndespike=true\n[bin]\nstep=-25.0\n"
     )
+    (tmp_path / "raw/one.json").write_text('{"instrument_serial_number": 42, "instrument_model": "m"}')
     assert cli.main(["process", "--config", str(toml)]) == 0, capsys.readouterr()
+    known = spark.read.parquet(str(tmp_path / "profiles/one/deployment")).first()
+    assert known["instrument_serial_number"] == "42" and known["sampling_period_seconds"] == 1.0 and known["source_file"].endswith("one.parquet")
     samples, line = io.read_profiles(spark, str(tmp_path / "profiles/one/samples"))
     assert samples.select("profile_idx").distinct().count() == 2
     assert dict(samples.dtypes)["density_anomaly"] == "float" and line.metadata["density_anomaly"]["units"] == "kg m-3"
