@@ -170,13 +170,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text
     firsts = stored(long.groupBy("k1", "k2", "n_words").agg(F.min("doc_id").alias("first"), F.min_by("anchors", "doc_id").alias("anchors")), "firsts")
 
     anchors = firsts.select(F.col("first").alias("doc_id"), F.explode("anchors").alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    # Stored, here and below: Spark splits a hot key of a join only if both sides are plain tables.
+    shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"), "shared")
     marked = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "anchors")  # a document's own, at most
     some = members(docs.where("doc_id is not null"), "doc_id", marked.select("doc_id")).join(marked, "doc_id")
     found = stored(some.select("doc_id", "text", "anchors").mapInArrow(_candidates, "doc_id long, text string, k1 long, k2 long, starts array<int>, hashes array<long>"), "candidates")
 
     places = found.select("doc_id", "k1", "k2", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("doc_id", "k1", "k2", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
-    owners = places.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("b")).where("owner < b").select("hash", "owner")
+    owners = stored(places.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("b")).where("owner < b").select("hash", "owner"), "owners")
     routed = places.join(owners, "hash").groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("start", "owner")).alias("found"))
     runs = stored(found.select("doc_id", "k1", "k2", "text").join(routed, ["doc_id", "k1", "k2"]).select("doc_id", "text", "found").mapInArrow(_runs, "owner long, doc_id long, start int, n_words int, words binary"), "runs")
 
