@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 BLOCK_WORDS = 8  #: 64-bit words of a block
 PROBES = 8  #: bits set in a block for each key, one a word
 
@@ -95,6 +97,8 @@ def judge(urls: DataFrame, url: str, rules: DataFrame, default: str = "allow", b
     exact = hits.join(clean, hits["_key"] == clean["_rkey"])
     rank = F.struct(F.length("_rh"), F.length("_rp"))
     best = exact.groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(F.max_by(F.struct(F.concat("_rh", "_rp").alias("rule"), "_action"), rank).alias("_best"))
+    # Stored: as a plain table it is broadcast if it is small, and else a hot site's rows can be split among tasks.
+    best = stored(best, "judged")
     return (
         own.withColumn("_head", head)
         .join(best, (F.col("host") == F.col("_host")) & (F.col("_head") == F.col("_path")), "left")
