@@ -19,7 +19,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("label")), "labels")
     for _ in range(most_rounds):
         near = both.join(labels, both["v"] == labels["node"]).groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        best = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        # Stored, as the edges are: Spark splits a hot key of a join only if both sides are plain tables.
+        best = stored(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), "labels")
         jump = best.select(F.col("node").alias("via"), F.col("label").alias("far"))
         new = stored(best.join(jump, best["label"] == jump["via"]).select("node", F.least("label", "far").alias("label"), (F.least("label", "far") < F.col("old")).alias("changed")), "labels")
         labels = new.select("node", "label")
