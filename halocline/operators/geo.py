@@ -17,11 +17,11 @@ def reference_position(profiles: DataFrame, latitude: float, longitude: float) -
     return profiles.withColumns({"latitude": F.lit(float(latitude)), "longitude": F.lit(float(longitude)), "position_source": F.lit("reference position")})
 
 
-def interpolated_position(profiles: DataFrame, track: DataFrame, source: str = "track", strict: bool = True, time: str = "profile_start_time", hours: int = 24) -> DataFrame:
+def interpolated_position(profiles: DataFrame, track: DataFrame, source: str = "track", strict: bool = True, time: str = "profile_start_time", hours: int = 24, keys: Keys = KEYS) -> DataFrame:
     """profiles with latitude and longitude, each linear in time between the track points around the start.
 
     Track pieces and profiles meet on periods of `hours`, so the join has an equality to hash on; a long piece is in each
-    of its periods. strict: a profile outside the track's times is an error, else its position is missing.
+    of its periods. (deployment, profile) is unique in profiles. strict: a profile outside the track's times is an error, else its position is missing.
     """
     seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     width = hours * 3_600_000_000
@@ -34,12 +34,13 @@ def interpolated_position(profiles: DataFrame, track: DataFrame, source: str = "
     pieces = own.join(follow, "_part").withColumn("_next", F.coalesce(F.lead(F.struct("_t", "latitude", "longitude")).over(w), F.col("_head")))
     pieces = pieces.select(F.col("_t").alias("t0"), F.col("latitude").alias("a0"), F.col("longitude").alias("o0"), F.coalesce("_next._t", "_t").alias("t1"), F.coalesce("_next.latitude", "latitude").alias("a1"), F.coalesce("_next.longitude", "longitude").alias("o1"))
     spread = pieces.withColumn("_period", F.explode(F.sequence(F.floor(F.col("t0") / width), F.floor(F.col("t1") / width))))
-    asked = profiles.withColumns({"_id": F.monotonically_increasing_id(), "_p": seconds(time)}).withColumn("_period", F.floor(F.col("_p") / width))
-    hit = asked.select("_id", "_p", "_period").join(spread, "_period").where((F.col("t0") <= F.col("_p")) & (F.col("_p") <= F.col("t1")))
-    one = hit.groupBy("_id").agg(F.max_by(F.struct("_p", "t0", "t1", "a0", "a1", "o0", "o1"), "t0").alias("h"))
+    of = [keys.deployment, keys.profile]
+    asked = profiles.select(*of, seconds(time).alias("_p")).withColumn("_period", F.floor(F.col("_p") / width))
+    hit = asked.join(spread, "_period").where((F.col("t0") <= F.col("_p")) & (F.col("_p") <= F.col("t1")))
+    one = hit.groupBy(*of).agg(F.max_by(F.struct("_p", "t0", "t1", "a0", "a1", "o0", "o1"), "t0").alias("h"))
     f = F.when(F.col("h.t1") > F.col("h.t0"), (F.col("h._p") - F.col("h.t0")) / (F.col("h.t1") - F.col("h.t0"))).otherwise(0.0)
-    position = one.select("_id", (F.col("h.a0") + f * (F.col("h.a1") - F.col("h.a0"))).alias("latitude"), (F.col("h.o0") + f * (F.col("h.o1") - F.col("h.o0"))).alias("longitude"))
-    out = asked.drop("_p", "_period").join(position, "_id", "left").drop("_id").withColumn("position_source", F.lit(f"interpolated from {source}"))
+    position = one.select(*of, (F.col("h.a0") + f * (F.col("h.a1") - F.col("h.a0"))).alias("latitude"), (F.col("h.o0") + f * (F.col("h.o1") - F.col("h.o0"))).alias("longitude"))
+    out = profiles.join(position, of, "left").withColumn("position_source", F.lit(f"interpolated from {source}"))
     if strict and out.where("latitude is null").limit(1).count():
         raise ValueError("a profile starts outside the times of the position track.")
     return out
