@@ -195,9 +195,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text
     cut = stored(cut if with_text else cut.drop("kept"), "cut").dropDuplicates(["doc_id", "k1", "k2"])
     base = own.select("doc_id", "n_words", "k1", "k2", "sha").join(firsts.select("k1", "k2", "n_words", "first"), ["k1", "k2", "n_words"], "left")
     copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
-    base = base.withColumns({"copy": copy, "id": F.when(copy, None).otherwise(F.col("doc_id"))})
+    base = base.withColumn("copy", copy)  # copies have no row in cut, and keys of their own
     cut = cut.select(F.col("doc_id").alias("id"), F.col("k1").alias("c1"), F.col("k2").alias("c2"), "n_removed", F.col("sha").alias("cut_sha"), *(["kept"] if with_text else []))
-    done = base.join(cut, (base["id"] == cut["id"]) & (base["k1"] == cut["c1"]) & (base["k2"] == cut["c2"]), "left")
+    done = base.join(cut, (base["doc_id"] == cut["id"]) & (base["k1"] == cut["c1"]) & (base["k2"] == cut["c2"]), "left")
     return done.select(
         "doc_id", "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copy"), F.lit(EMPTY)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"), *([F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept")).alias("kept_text")] if with_text else []),
