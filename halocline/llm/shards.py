@@ -42,8 +42,10 @@ def tier(size: int, fanout: int = FANOUT, base: int = BASE_BYTES) -> int:
 def merges(runs: list[Run], target: int = TARGET_BYTES, fanout: int = FANOUT) -> list[list[Run]]:
     """Groups of runs to merge: tiers with fanout runs or more join, and what they make may join again.
 
-    Runs made of whole target-sized files take no part. Ties go by name, so the plan depends on the sizes alone.
+    Runs made of whole target-sized files take no part; one that is left alone in its tier is rewritten if it has over
+    twice the files it needs. Ties go by name, so the plan depends on the sizes alone.
     """
+    ragged = lambda r: r.files > 2 * math.ceil(r.bytes / target)
     groups = [[r] for r in sorted(runs, key=lambda r: (r.bytes, r.name)) if r.bytes < target * r.files or r.bytes < target]
     size = lambda g: sum(r.bytes for r in g)
     while True:
@@ -52,7 +54,7 @@ def merges(runs: list[Run], target: int = TARGET_BYTES, fanout: int = FANOUT) ->
             tiers.setdefault(tier(size(g), fanout), []).append(g)
         full = [t for t in sorted(tiers) if len(tiers[t]) >= fanout]
         if not full:
-            return [g for g in groups if len(g) > 1]
+            return [g for g in groups if len(g) > 1 or ragged(g[0])]
         joined = [r for g in tiers[full[0]] for r in g]
         groups = [g for t in tiers if t != full[0] for g in tiers[t]] + [joined]
 

@@ -186,6 +186,7 @@ def test_merge_plan():
     assert shards.merges([run("a", mb), run("b", mb)], 100 * mb) == []
     groups = shards.merges([run(str(i), mb) for i in range(16)] + [run("big", 300 * mb)], 100 * mb)
     assert len(groups) == 1 and len(groups[0]) == 16
+    assert shards.merges([shards.Run("x", 1, 10 * mb, 40), shards.Run("y", 1, 300 * mb, 3)], 100 * mb) == [[shards.Run("x", 1, 10 * mb, 40)]]
 
 
 def test_pipeline_stages(spark, documents, folder, text):
