@@ -1,20 +1,21 @@
 """Scoring with a hierarchical Pitman-Yor language model.
 
-Tokens are words, A-Z in lower case, and one end per text. A token's context is the kind of the
-last frequent word before it (kinds are groups of frequent words that occur in the same texts).
-Each kind has a restaurant over tokens; they share one parent restaurant, whose base spells a
-token byte by byte: restaurants for the last three, two, one and no bytes, each the parent of
-the longer ones, over a uniform base. So every token has a probability, seen or not.
-
-Gibbs sweeps alternate two steps. The tables of each token are sampled on the cluster given the
-parents' probabilities: customers are seated one after another, beyond 50 of a dish in blocks of
-a fiftieth of those seated, within which the chance of a new table stays as it is. The tables of
-the top restaurant are the customers of the spelling restaurants, whose arrays have a fixed
-capacity and are sampled on the driver. The predictive probabilities of the sweeps after the
-first are averaged.
-
-Scoring reads the most frequent tokens' probabilities from a broadcast table of fixed size; the
-other tokens of each text are joined to the model by their hash.
+Tokens are words, A-Z in lower case, and one end per text. A token's context is the word before
+it, or the begin of the text. Every context seen has a restaurant over tokens; they share one
+parent restaurant, whose base spells a token byte by byte: restaurants for the last three, two,
+one and no bytes, each the parent of the longer ones, over a uniform base. So every token has a
+probability after every context, seen or not.
+
+Gibbs sweeps alternate two steps. The tables of each pair of context and token, and those of
+each token in the parent, are sampled on the cluster given the parents' probabilities: customers
+are seated one after another, beyond 50 of a dish in blocks of a fiftieth of those seated, within
+which the chance of a new table stays as it is. A pair seen once has one table, so it is only
+counted. The tables of the parent restaurant are the customers of the spelling restaurants,
+whose arrays have a fixed capacity and are sampled on the driver. The predictive probabilities
+of the sweeps after the first are averaged.
+
+Scoring reads the most frequent pairs' probabilities from a broadcast table of fixed size; the
+other pairs of each text are joined to the model by their hashes.
 """
 
 from __future__ import annotations
@@ -23,22 +24,23 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import members
 from .importance import kth_largest
 from .shared import stored, table
 from .words import Block, blocks, hash_spans, mix
 
-HEAD = 1 << 18  #: tokens in the broadcast table
-FREQUENT, KINDS = 64, 5
-CONTEXTS = 1 << 13  #: three-byte contexts with a restaurant of their own; others use that of two bytes
+HEAD = 1 << 19  #: pairs in the broadcast table
+FLUSH = 1 << 20  #: different pairs that a task holds before it passes on their counts
+CONTEXTS = 1 << 14  #: three-byte contexts with a restaurant of their own; others use that of two bytes
 SWEEPS, BURN_IN = 3, 1
 THETA = 1.0
 START, STOP, SYMBOLS = 256, 257, 258
 _END = np.uint64(0x5851F42D4C957F2D)  #: hash of the end token
+_BEGIN = np.uint64(0x14057B7EF767814F)  #: hash of the context of a text's first token
 
 
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -72,7 +74,6 @@ class Spelling:
             self.keys[depth] = np.unique(self.keys[depth + 1] & ((1 << (9 * depth)) - 1))
         self.parent = [None, *(np.searchsorted(self.keys[d - 1], self.keys[d] & ((1 << (9 * (d - 1))) - 1)) for d in (1, 2, 3))]
         self.p = [np.full((len(k), SYMBOLS), 1 / SYMBOLS, np.float32) for k in self.keys]
-        self.mean: list[np.ndarray] | None = None
 
     def sweep(self, counts: np.ndarray, rest: np.ndarray, rng: np.random.Generator) -> None:
         """counts: customers of depth 3 [contexts, symbols]; rest: customers that come to depth 2 directly [contexts of depth 2, symbols]."""
@@ -98,15 +99,9 @@ class Spelling:
             p[cells] += (counts[cells] - d * t) / (THETA + total[cells[0], 0])
             self.p[depth] = p.astype(np.float32, copy=False)
 
-    def keep(self) -> None:
-        """Adds the present probabilities to the average."""
-        now = [self.p[2], self.p[3]]
-        self.mean = [x.copy() for x in now] if self.mean is None else [a + b for a, b in zip(self.mean, now, strict=True)]
-
-    def frozen(self, mean: bool = False) -> tuple:
-        two, three = (self.mean if mean else [self.p[2], self.p[3]])
+    def frozen(self) -> tuple:
         log = lambda x: np.log10(x / x.sum(1, keepdims=True)).astype(np.float32)
-        return self.keys[2], self.keys[3], log(two), log(three)
+        return self.keys[2], self.keys[3], log(self.p[2]), log(self.p[3])
 
 
 def symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,113 +132,77 @@ def spell(frozen: tuple, data: np.ndarray, starts: np.ndarray, ends: np.ndarray)
     return out
 
 
-@dataclass(frozen=True)
-class Kinds:
-    """Frequent words (sorted hashes) and the kind of each, from 1; 0 is the kind before any."""
-
-    words: np.ndarray
-    kind: np.ndarray
-    n: int
-
-    def of(self, block: Block, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The kind of each word's context, and of each document's end."""
-        own = np.zeros(len(h), np.int64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-            own = np.where(self.words[at] == h, self.kind[at], 0)
-        place = np.arange(len(h))
-        last = np.maximum.accumulate(np.where(own > 0, place, -1)) if len(h) else place
-        begin = np.repeat(block.doc[:-1], block.n_words())
-        before = np.concatenate([[-1], last[:-1]]) if len(h) else last
-        ctx = np.where(before >= begin, own[np.maximum(before, 0)], 0)
-        tail = last[np.maximum(block.doc[1:] - 1, 0)] if len(h) else np.zeros(block.n_docs, int) - 1
-        end = np.where((block.n_words() > 0) & (tail >= block.doc[:-1]), own[np.maximum(tail, 0)] if len(h) else 0, 0)
-        return ctx, end
-
-
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, n): in how many texts frequent words occur together; those frequent in a task's first block."""
-    words = both = None
+def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(mix(u) + w)
+
+
+def _tokens_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, token, document) of each token; the documents' end tokens come last."""
+    h, some = block.hashes(), block.n_words() > 0
+    u, last = np.full(len(h), _BEGIN), np.full(block.n_docs, _BEGIN)
+    u[1:] = h[:-1]
+    u[block.doc[:-1][some]] = _BEGIN
+    last[some] = h[block.doc[1:][some] - 1]
+    return np.append(u, last), np.append(h, np.full(block.n_docs, _END)), np.append(block.doc_of_word(), np.arange(block.n_docs))
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, word, n) of each task's texts."""
+    keys, counts, texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
+    pending: list[tuple] = []
+
+    def merged() -> None:
+        nonlocal keys, counts, texts, pending
+        if pending:
+            k, n, t = (np.concatenate([a, *b]) for a, b in zip((keys, counts, texts), zip(*pending, strict=True), strict=True))
+            keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
+            counts, texts, pending = np.bincount(inverse, n).astype(np.int64), t[first], []
+
+    ends = 0
     for batch in batches:
         for block in blocks(batch.column(0), lower=True):
-            h = block.hashes()
-            if words is None and len(h):
-                found, n = np.unique(h, return_counts=True)
-                words = np.sort(found[np.argsort(-n, kind="stable")[:256]])
-                both = np.zeros((len(words), len(words)))
-            if words is not None:
-                at = np.minimum(np.searchsorted(words, h), len(words) - 1)
-                hit = words[at] == h
-                has = np.zeros((block.n_docs, len(words)), np.float32)
-                has[block.doc_of_word()[hit], at[hit]] = 1
-                both += has.T @ has
-    if words is not None:
-        i, j = np.nonzero(both)
-        yield pa.RecordBatch.from_arrays([pa.array(words[i].view(np.int64)), pa.array(words[j].view(np.int64)), pa.array(both[i, j].astype(np.int64))], ["a", "b", "n"])
-
-
-def kinds(texts: DataFrame, frequent: int = FREQUENT, most: int = KINDS) -> Kinds:
-    """The most frequent words, grouped by the texts they share."""
-    pairs = stored(texts.mapInArrow(_together, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "together")
-    top = [r["a"] for r in pairs.where("a = b").orderBy(F.desc("n"), "a").limit(frequent).collect()]
-    rows = pairs.where(F.col("a").isin(top) & F.col("b").isin(top)).toPandas() if top else pd.DataFrame({"a": [], "b": [], "n": []})
-    words = np.sort(np.array(top, np.int64).view(np.uint64))
-    m = np.zeros((len(words), len(words)))
-    at = lambda c: np.searchsorted(words, rows[c].to_numpy(np.int64).view(np.uint64))
-    m[at("a"), at("b")] = rows["n"].to_numpy(float)
-    if not len(words):
-        return Kinds(words, np.zeros(0, np.int64), 1)
-    df = np.diag(m).copy()
-    x = m / np.sqrt(np.outer(df, df))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    centres = [int(np.argmax(df))]
-    while len(centres) < min(most, len(words)):
-        centres.append(int(np.argmin((x @ x[centres].T).max(1))))
-    c = x[centres]
-    for _ in range(20):
-        label = np.argmax(x @ c.T, 1)
-        c = np.stack([x[label == k].mean(0) if (label == k).any() else c[k] for k in range(len(c))])
-    return Kinds(words, label + 1, len(c) + 1)
-
-
-def _tokens(known: Kinds):
-    """(word, kind, n) of each task's training texts."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
-        kind = np.zeros(0, np.int8)
-        pending: list[tuple] = []
-
-        def merged() -> None:
-            nonlocal keys, counts, texts, kind, pending
-            if pending:
-                k, n, t, g = (np.concatenate([a, *b]) for a, b in zip((keys, counts, texts, kind), zip(*pending, strict=True), strict=True))
-                keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
-                counts, texts, kind, pending = np.bincount(inverse, n).astype(np.int64), t[first], g[first], []
-
-        ends = np.zeros(known.n, np.int64)
-        for batch in batches:
-            for block in blocks(batch.column(0), lower=True):
-                h = block.hashes()
-                ctx, end = known.of(block, h)
-                ends += np.bincount(end, minlength=known.n)
-                k, first, n = np.unique(mix(h) + mix(ctx.astype(np.uint64)), return_index=True, return_counts=True)
-                new = np.ones(len(k), bool)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                    new = keys[at] != k
-                    np.add.at(counts, at[~new], n[~new])
-                text = np.array([block.word(i) for i in first[new]], object)
-                pending.append((k[new], n[new], text, ctx[first[new]].astype(np.int8)))
-                if sum(len(p[0]) for p in pending) > max(200_000, len(keys)):
-                    merged()
-        merged()
-        for part in np.array_split(np.arange(len(keys)), max(1, len(keys) // 100_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(list(texts[part]), pa.binary()), pa.array(kind[part]), pa.array(counts[part])], ["word", "kind", "n"])
-        at = np.flatnonzero(ends)
-        yield pa.RecordBatch.from_arrays([pa.array([b""] * len(at), pa.binary()), pa.array(at.astype(np.int8)), pa.array(ends[at])], ["word", "kind", "n"])
+            ends += block.n_docs
+            k, first, n = np.unique(block.hashes(), return_index=True, return_counts=True)
+            new = np.ones(len(k), bool)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                new = keys[at] != k
+                np.add.at(counts, at[~new], n[~new])
+            pending.append((k[new], n[new], np.array([block.word(i) for i in first[new]], object)))
+            if sum(len(p[0]) for p in pending) > max(200_000, len(keys)):
+                merged()
+    merged()
+    for part in np.array_split(np.arange(len(keys)), max(1, len(keys) // 100_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(list(texts[part]), pa.binary()), pa.array(counts[part])], ["h", "word", "n"])
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.array(np.array([_END]).view(np.int64)), pa.array([b""], pa.binary()), pa.array([ends])], ["h", "word", "n"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, w, n): tokens w after u in each task's texts; a pair comes again after FLUSH others."""
+    held: list[tuple] = []
+
+    def merged() -> tuple:
+        u, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        _, first, inverse = np.unique(_pair(u, w), return_index=True, return_inverse=True)
+        return u[first], w[first], np.bincount(inverse, n).astype(np.int64)
+
+    def out(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(u), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in (u.view(np.int64), w.view(np.int64), n)], ["u", "w", "n"])
 
-    return work
+    for batch in batches:
+        for block in blocks(batch.column(0), lower=True):
+            u, w, _ = _tokens_of(block)
+            _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+            held.append((u[first], w[first], n))
+            if sum(len(x[0]) for x in held) > FLUSH:
+                held = [merged()]
+                if len(held[0][0]) > FLUSH // 2:
+                    yield from out(*held[0])
+                    held = []
+    if held:
+        yield from out(*merged())
 
 
 def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,62 +216,47 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return np.where(starts == ends, _END, hash_spans(data, starts, ends))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-
-
-def _rows(m: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
-
+def _seats(of: str, strength: str, schema: str, sweep: int):
+    """A mapInArrow function: seats the customers in column `of` once more, into column t."""
 
-@dataclass(frozen=True)
-class Totals:
-    """Customers and tables: of each kind's restaurant, and of the parent."""
-
-    n: np.ndarray
-    t: np.ndarray
-    d: float
-    n0: float
-    t0: float
-    d0: float
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c, a, d = (batch.column(x).to_numpy(zero_copy_only=False) for x in (of, strength, "d"))
+            key = batch.column(0).to_numpy()
+            rng = np.random.default_rng([sweep, int(np.bitwise_xor.reduce(key).view(np.uint64)), len(key)])  # the same for the same rows
+            t = pa.array(seat(c, a, float(d[0]), rng))
+            names = [x.split()[0] for x in schema.split(", ")]
+            yield pa.RecordBatch.from_arrays([t if x == "t" else batch.column(x) for x in names], names)
 
-    def backoff(self) -> np.ndarray:
-        return (THETA + self.d * self.t) / (THETA + self.n)
+    return work
 
-    def backoff0(self) -> float:
-        return (THETA + self.d0 * self.t0) / (THETA + self.n0)
 
+def spelled(rows: DataFrame, frozen: tuple) -> DataFrame:
+    """rows (h, word) with log_h: log10 probability of the word's spelling."""
 
-def _predict(c: np.ndarray, t: np.ndarray, t0: np.ndarray, log_h: np.ndarray, of: Totals) -> tuple[np.ndarray, np.ndarray]:
-    """P(token | kind) [tokens, kinds], and the parent's P(token)."""
-    p0 = np.maximum(t.sum(1) - of.d0 * t0, 0) / (THETA + of.n0) + of.backoff0() * 10.0**log_h
-    return np.maximum(c - of.d * t, 0) / (THETA + of.n) + of.backoff() * p0[:, None], p0
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spell(frozen, *_spans(batch.column(1))))], ["h", "word", "log_h"])
 
+    return rows.select("h", "word").mapInArrow(work, "h long, word binary, log_h double")
 
-_STATE = "word binary, c array<long>, t array<long>, t0 long, p array<double>"
 
+@dataclass(frozen=True)
+class Parent:
+    """Customers, tables and discount of the parent restaurant."""
 
-def _sweep(n_kinds: int, frozen: tuple, of: Totals, sweep: int):
-    """Seats all tokens once more. p sums the predictive probabilities of the seatings past the burn-in, each with its own totals."""
+    n: float
+    t: float
+    d: float
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, starts, ends = _spans(batch.column(0))
-            c, t = _matrix(batch.column(1), n_kinds), _matrix(batch.column(2), n_kinds)
-            t0, p = batch.column(3).to_numpy(), batch.column(4)
-            h = _word_hashes(data, starts, ends)
-            rng = np.random.default_rng([sweep, int(np.bitwise_xor.reduce(h)), len(h)])  # the same for the same rows
-            log_h = spell(frozen, data, starts, ends)
-            before, p0 = _predict(c, t, t0, log_h, of)
-            if sweep > BURN_IN:
-                p = _rows(before if sweep == BURN_IN + 1 else _matrix(p, n_kinds) + before)
-            t = np.stack([seat(c[:, g], (THETA + of.d * of.t[g]) * p0, of.d, rng) for g in range(n_kinds)], 1)
-            t0 = seat(t.sum(1), (THETA + of.d0 * of.t0) * 10.0**log_h, of.d0, rng)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _rows(t), pa.array(t0), p], ["word", "c", "t", "t0", "p"])
+    def backoff(self) -> float:
+        return (THETA + self.d * self.t) / (THETA + self.n)
 
-    return work
+    def p(self) -> Column:
+        """P(token), from its customers, tables and spelling."""
+        return F.greatest(F.col("customers") - self.d * F.col("t"), F.lit(0.0)) / (THETA + self.n) + self.backoff() * F.pow(F.lit(10.0), F.col("log_h"))
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,37 +273,45 @@ def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """A fitted model: rows (h, c, logp by kind) for every training token, and what the driver holds of fixed size."""
+    """A fitted model. By sample of the seating: the spelling restaurants, and the parent's backoff.
+
+    tokens (h, c, logp): every training token and its log10 probability in the parent, by sample; contexts (u, backoff):
+    by sample; pairs (u, w, n, c, logp): every context and token seen, how often, the token's count, log10 P(w | u).
+    """
+
+    def __init__(self, tokens: DataFrame, contexts: DataFrame, pairs: DataFrame, spellings: list[tuple], unseen: list[float], n: int, v: int, n_pairs: int):
+        self.tokens, self.contexts, self.pairs, self.spellings, self.unseen, self.n, self.v, self.n_pairs = tokens, contexts, pairs, spellings, unseen, n, v, n_pairs
 
-    def __init__(self, known: Kinds, tokens: DataFrame, spelling: tuple, unseen: np.ndarray, n: int, v: int):
-        self.kinds, self.tokens, self.spelling, self.unseen, self.n, self.v = known, tokens, spelling, unseen, n, v
+    @property
+    def spelling(self) -> tuple:
+        return self.spellings[-1]
 
 
 def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
     """Learns from a one-column table of texts; nulls count as empty. Without rows there is only the uniform spelling."""
     rng = np.random.default_rng(seed)
-    known = kinds(texts)
-    k = known.n
-    raw = texts.mapInArrow(_tokens(known), "word binary, kind byte, n long").repartition("word")
-    per_kind = [F.sum(F.when(F.col("kind") == g, F.col("n")).otherwise(0)) for g in range(k)]
-    counted = raw.groupBy("word").agg(*(x.alias(f"c{g}") for g, x in enumerate(per_kind)))
-    arrays = F.array(*(F.col(f"c{g}") for g in range(k)))
-    start = F.transform(arrays, lambda x: F.least(x, F.lit(1).cast("long")))
-    state = stored(counted.select("word", arrays.alias("c"), start.alias("t"), F.lit(1).cast("long").alias("t0"), F.expr("cast(array() as array<double>)").alias("p")), "tokens")
-
-    def totals(now: DataFrame) -> Totals:
-        each = lambda c: [F.sum(F.get(c, F.lit(g))).alias(f"{c}{g}") for g in range(k)]
-        of_size = lambda s: F.sum(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + F.when(x == s, 1).otherwise(0))).alias(f"s{s}")
-        up = lambda s: F.sum(F.when(F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x) == s, 1).otherwise(0)).alias(f"u{s}")
-        r = now.agg(*each("c"), *each("t"), F.sum("t0").alias("top"), of_size(1), of_size(2), up(1), up(2), F.count("*").alias("v")).first().asDict()
-        r = {a: b or 0 for a, b in r.items()}
-        n, t = (np.array([float(r[f"{c}{g}"]) for g in range(k)]) for c in ("c", "t"))
-        return Totals(n, t, discount_of(r["s1"], r["s2"]), float(t.sum()), float(r["top"]), discount_of(r["u1"], r["u2"])), r["v"]
-
-    of, v = totals(state)
-    spelling, unseen = None, np.zeros(k)
+    words = stored(texts.mapInArrow(_words, "h long, word binary, n long").groupBy("h", "word").agg(F.sum("n").alias("c")), "words")
+    cells = stored(texts.mapInArrow(_pairs, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "cells")
+    once = F.count(F.when(F.col("n") == 1, 1))
+    r = cells.agg(once.alias("s1"), F.count(F.when(F.col("n") == 2, 1)).alias("s2"), F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    n, n_pairs, d = r["n"], r["v"], discount_of(r["s1"], r["s2"])
+    # At first each pair has one table, and each token one in the parent.
+    empty = F.expr("cast(array() as array<double>)")
+    rooms = stored(cells.groupBy("u").agg(F.sum("n").alias("n"), once.alias("once"), F.count("*").alias("t")).withColumn("backoff", empty), "contexts")
+    served = cells.groupBy("w").agg(once.alias("once"), F.count("*").alias("customers"))
+    state = words.join(served, words["h"] == served["w"]).select("h", "word", "c", "once", "customers", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("log_h"), empty.alias("p"))
+    state = stored(state, "tokens")
+    seating = cells.where("n > 1").select("u", "w", "n", F.lit(0).cast("long").alias("sum"))
+
+    def parent(now: DataFrame) -> Parent:
+        is_ = lambda k: F.count(F.when(F.col("customers") == k, 1))
+        r = now.agg(F.sum("customers").alias("n"), F.sum("t").alias("t"), is_(1).alias("u1"), is_(2).alias("u2")).first()
+        return Parent(float(r["n"] or 0), float(r["t"] or 0), discount_of(r["u1"], r["u2"]))
+
+    of, v = parent(state), words.count()
+    spelling, spellings, unseen = None, [], []
     for sweep in range(SWEEPS):
-        sums = stored(state.select("word", "t0").mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
+        sums = stored(state.select("word", "t").mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
         if spelling is None:
             top = sums.groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(contexts).toPandas()
             spelling = Spelling(np.sort(top["context"].to_numpy(np.int64)) if len(top) else np.array([(START << 18) | (START << 9) | START], np.int64))
@@ -374,24 +326,42 @@ def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
         rest[at[ok], two["symbol"].to_numpy(int)[ok]] = two["n"].to_numpy(float)[ok]
         np.add.at(rest, spelling.parent[3], -counts)
         spelling.sweep(counts, np.maximum(rest, 0), rng)
-        if sweep >= BURN_IN:
-            spelling.keep()
-        state = stored(state.mapInArrow(_sweep(k, spelling.frozen(), of, sweep), _STATE), "tokens")
-        of, v = totals(state)
-        if sweep >= BURN_IN:
-            unseen += of.backoff() * of.backoff0() / (SWEEPS - BURN_IN)
-
-    spelt, last = spelling.frozen(), of
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, starts, ends = _spans(batch.column(0))
-            c, t, t0 = _matrix(batch.column(1), k), _matrix(batch.column(2), k), batch.column(3).to_numpy()
-            p = (_matrix(batch.column(4), k) + _predict(c, t, t0, spell(spelt, data, starts, ends), last)[0]) / (SWEEPS - BURN_IN)
-            yield pa.RecordBatch.from_arrays([pa.array(_word_hashes(data, starts, ends).view(np.int64)), pa.array(c.sum(1)), _rows(np.log10(np.maximum(p, 1e-300)).astype(np.float32))], ["h", "c", "logp"])
-
-    tokens = stored(state.mapInArrow(finish, "h long, c long, logp array<float>"), "model")
-    return Model(known, tokens, spelling.frozen(mean=True), unseen, int(of.n.sum()), int(v))
+        frozen, kept = spelling.frozen(), sweep >= BURN_IN
+
+        spelt = spelled(state, frozen).select("h", "log_h")
+        now = stored(state.drop("log_h").join(spelt, "h").withColumn("p0", of.p()), "spelt")
+        asked = seating.join(now.select(F.col("h").alias("w"), "p0"), "w").join(rooms.select("u", (THETA + d * F.col("t")).alias("room")), "u")
+        asked = asked.select("u", "w", "n", "sum", (F.col("room") * F.col("p0")).alias("a"), F.lit(d).alias("d"))
+        seated = asked.mapInArrow(_seats("n", "a", "u long, w long, n long, sum long, t long", sweep), "u long, w long, n long, sum long, t long")
+        seating = stored(seated.withColumn("sum", F.col("sum") + F.col("t") * int(kept)), "seating")
+        up = lambda c: seating.groupBy(c).agg(F.sum("t").alias("more"))
+        tables = F.col("once") + F.coalesce("more", F.lit(0))
+        rooms = rooms.join(up("u"), "u", "left").select("u", "n", "once", tables.alias("t"), "backoff")
+        if kept:
+            rooms = rooms.withColumn("backoff", F.concat("backoff", F.array((THETA + d * F.col("t")) / (THETA + F.col("n")))))
+        rooms = stored(rooms, "contexts")
+        more = up("w")
+        now = now.join(more, now["h"] == more["w"], "left").select("h", "word", "c", "once", tables.alias("customers"), "log_h", "p", ((THETA + of.d * of.t) * F.pow(F.lit(10.0), F.col("log_h"))).alias("a"), F.lit(of.d).alias("d"))
+        schema = "h long, word binary, c long, once long, customers long, t long, log_h double, p array<double>"
+        state = stored(now.mapInArrow(_seats("customers", "a", schema, sweep), schema), "tokens")
+        of = parent(state)
+        if kept:
+            state = state.withColumn("p", F.concat("p", F.array(of.p())))
+            spellings.append(frozen)
+            unseen.append(of.backoff())
+
+    samples = SWEEPS - BURN_IN
+    tokens = stored(state.select("h", "c", F.transform("p", lambda x: F.log10(F.greatest(x, F.lit(1e-300)))).alias("logp"), "p"), "model")
+    all_cells = seating.select("u", "w", "n", "sum").unionByName(cells.where("n = 1").select("u", "w", "n", F.lit(samples).cast("long").alias("sum")))
+    joined = all_cells.join(tokens.select(F.col("h").alias("w"), "c", "p"), "w").join(rooms.select("u", F.col("n").alias("all"), "backoff"), "u")
+    own = (samples * F.col("n") - d * F.col("sum")) / (THETA + F.col("all"))
+    pairs = stored(joined.select("u", "w", "n", "c", F.log10((own + _both("backoff", "p")) / samples).cast("float").alias("logp")), "pairs")
+    return Model(tokens, rooms.select("u", "backoff"), pairs, spellings, unseen, int(n), int(v), int(n_pairs))
+
+
+def _both(backoff: str, p: str) -> Column:
+    """The sum of backoff * p over the samples."""
+    return F.aggregate(F.zip_with(backoff, p, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
@@ -400,49 +370,59 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     base_score: sum of log10((c + 1) / (n + v + 1)) over the tokens; score: the model's log10 probability of the text.
     A null or empty text is one end token. Repeated rows and null ids are scored like any other.
     """
-    known, n_kinds = model.kinds, model.kinds.n
-    flat = model.tokens.select("h", "c", *(F.get("logp", F.lit(g)).alias(f"p{g}") for g in range(n_kinds)))
-    least = kth_largest(model.tokens, "c", head) if model.v > head else 0
-    top = flat.where(F.col("c") > least).toPandas()  # `head` rows of numbers at most; the most frequent
-    order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))
-    hh = top["h"].to_numpy(np.int64).view(np.uint64)[order]
-    hc = np.log10(top["c"].to_numpy(float)[order] + 1)
-    hp = np.stack([top[f"p{g}"].to_numpy(np.float32)[order] for g in range(n_kinds)], 1)
+    least = kth_largest(model.pairs, "n", head) if model.n_pairs > head else 0
+    top = model.pairs.where(F.col("n") > least).select("u", "w", "c", "logp").toPandas()  # `head` rows of numbers at most; the most frequent
+    hk = _pair(top["u"].to_numpy(np.int64).view(np.uint64), top["w"].to_numpy(np.int64).view(np.uint64))
+    order = np.argsort(hk)
+    hk, hc, hp = hk[order], np.log10(top["c"].to_numpy(float)[order] + 1), top["logp"].to_numpy(np.float32)[order]
     del top
-    spelling, floor = model.spelling, np.log10(np.maximum(model.unseen, 1e-300))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1), lower=True):
-                h, doc = block.hashes(), block.doc_of_word()
-                ctx, end = known.of(block, h)
-                h, doc, ctx = np.append(h, np.full(block.n_docs, _END)), np.append(doc, np.arange(block.n_docs)), np.append(ctx, end)
-                starts, ends = np.append(block.starts, np.zeros(block.n_docs, int)), np.append(block.ends, np.zeros(block.n_docs, int))
-                at = np.minimum(np.searchsorted(hh, h), max(len(hh) - 1, 0))
-                hit = hh[at] == h if len(hh) else np.zeros(len(h), bool)
-                sums = [np.bincount(doc[hit], w, block.n_docs).astype(float) for w in (np.ones(hit.sum()), hc[at[hit]], hp[at[hit], ctx[hit]])]
+                u, w, doc = _tokens_of(block)
+                k = _pair(u, w)
+                at = np.minimum(np.searchsorted(hk, k), max(len(hk) - 1, 0))
+                hit = hk[at] == k if len(hk) else np.zeros(len(k), bool)
+                sums = [np.bincount(doc[hit], x, block.n_docs).astype(float) for x in (np.ones(hit.sum()), hc[at[hit]], hp[at[hit]])]
+                # Each document's other pairs, with how often it has them.
                 rest = np.flatnonzero(~hit)
-                rest = rest[np.argsort(doc[rest], kind="stable")]
-                word, first, inverse = np.unique(h[rest], return_index=True, return_inverse=True)
-                spelt = spell(spelling, block.data, starts[rest][first], ends[rest][first])[inverse]
+                _, first, times = np.unique(mix(k[rest]) + mix(doc[rest].astype(np.uint64)), return_index=True, return_counts=True)
+                order = np.argsort(doc[rest[first]], kind="stable")
+                rest, times = rest[first][order], times[order]
                 cuts = np.searchsorted(doc[rest], np.arange(block.n_docs + 1)).astype(np.int32)
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(cuts), pa.array(x))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(block.first, block.n_docs), pa.array(block.n_words() + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-                     lists(h[rest].view(np.int64)), lists(ctx[rest].astype(np.int8)), lists((spelt + floor[ctx[rest]]).astype(np.float32))],
-                    ["row", "n_tokens", "known", "base", "logp", "h", "kind", "unseen"],
+                     lists(u[rest].view(np.int64)), lists(w[rest].view(np.int64)), lists(times.astype(np.int32))],
+                    ["row", "n_tokens", "known", "base", "logp", "u", "w", "times"],
                 )
 
     names = [c for c in docs.columns if c != text]
     numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("_n"), *names).alias("row"), F.col(text))
     inner = numbered.schema["row"].dataType.simpleString()
-    first = stored(numbered.mapInArrow(work, f"row {inner}, n_tokens long, known long, base double, logp double, h array<long>, kind array<byte>, unseen array<float>"), "scored")
-    tail = first.select(F.col("row._n").alias("_n"), F.explode(F.arrays_zip("h", "kind", "unseen")).alias("x")).select("_n", "x.h", "x.kind", "x.unseen")
-    found = tail.join(model.tokens.withColumnRenamed("h", "mh"), F.col("h") == F.col("mh"), "left")
-    sums = found.groupBy("_n").agg(
-        F.count("c").alias("known2"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("base2"),
-        F.sum(F.coalesce(F.get("logp", F.col("kind").cast("int")), F.col("unseen")).cast("double")).alias("logp2"),
-    )
+    first = stored(numbered.mapInArrow(work, f"row {inner}, n_tokens long, known long, base double, logp double, u array<long>, w array<long>, times array<int>"), "scored")
+    tail = first.select(F.col("row._n").alias("_n"), F.explode(F.arrays_zip("u", "w", "times")).alias("x")).select("_n", "x.u", "x.w", "x.times")
+    # By pair: those of the model have all that is needed; for others the context's backoff and the parent's P(token).
+    found = tail.join(model.pairs.select("u", "w", "c", "logp"), ["u", "w"], "left")
+    found = stored(found.groupBy("_n", F.when(F.col("logp").isNull(), F.col("u")).alias("u"), F.when(F.col("logp").isNull(), F.col("w")).alias("w")).agg(
+        F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), F.sum(F.col("times") * F.col("logp").cast("double")).alias("logp"),
+    ), "found")
+    new = found.where("w is not null").select("_n", "u", "w", "times")
+    strange = stored(new.select(F.col("w").alias("h")).distinct().join(model.tokens.select("h"), "h", "left_anti"), "strange")
+    seen = docs.select(text).mapInArrow(_words, "h long, word binary, n long").select("h", "word")
+    spelt = stored(members(seen, "h", strange).join(strange, "h").groupBy("h").agg(F.first("word").alias("word")), "strange")
+    unseen = spelt.select("h", F.lit(0).cast("long").alias("c"), F.expr("cast(array() as array<double>)").alias("p"))
+    for frozen, floor in zip(model.spellings, model.unseen, strict=True):
+        unseen = unseen.join(spelled(spelt, frozen).select("h", "log_h"), "h").select("h", "c", F.concat("p", F.array(floor * F.pow(F.lit(10.0), F.col("log_h")))).alias("p"))
+    parents = model.tokens.select(F.col("h").alias("w"), "c", "p").unionByName(unseen.withColumnRenamed("h", "w"))
+    samples = len(model.unseen)
+    joined = new.join(parents, "w").join(model.contexts, "u", "left")
+    each = F.log10(F.greatest(_both("backoff", "p"), F.lit(1e-300)) / samples)
+    joined = joined.withColumn("backoff", F.coalesce("backoff", F.array_repeat(F.lit(1.0), samples)))
+    extra = joined.select("_n", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), (F.col("times") * each).alias("logp"))
+    both = extra.unionByName(found.where("w is null").select("_n", F.col("times").alias("known"), "base", "logp"))
+    sums = both.groupBy("_n").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("logp").alias("logp2"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     joined = first.join(sums, F.col("row._n") == F.col("_n"), "left")
     per_token = F.log10(F.lit(float(model.n + model.v + 1)))

@@ -66,6 +66,16 @@ def test_model_of_nothing(spark, documents):
     assert pitman_yor.score(documents([]), model).count() == 0
 
 
+def test_word_order_counts(spark, documents):
+    """Two words of like use after other words: only their order tells texts apart."""
+    rows = [(i, " ".join(f"a{j} b{j}" for k in range(40) for j in [(i * 7 + k * k) % 30])) for i in range(40)]
+    model = pitman_yor.fit(documents(rows).select("text"))
+    assert model.contexts.count() == 61
+    right, wrong = " ".join(f"a{j} b{j}" for j in range(30)), " ".join(f"a{j} b{(j + 11) % 30}" for j in range(30))
+    a, b = pitman_yor.score(documents([(1, right), (2, wrong)]), model).orderBy("doc_id").collect()
+    assert a["base_score"] == pytest.approx(b["base_score"]) and a["score"] > b["score"] + 30
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 10, 10_000, 10_000_000])
