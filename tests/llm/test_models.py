@@ -76,6 +76,18 @@ def test_word_order_counts(spark, documents):
     assert a["base_score"] == pytest.approx(b["base_score"]) and a["score"] > b["score"] + 30
 
 
+def test_words_late_in_a_partition_count(spark, documents):
+    """A context is counted wherever it stands: past the first block of a task, and in any order of the texts."""
+    late = [(i, "rare one rare two") for i in range(2, 6)]
+    rows = [(1, "x y " * 300_000), *late]
+    seen = []
+    for r in (rows, rows[::-1]):
+        model = pitman_yor.fit(documents(r).select("text").coalesce(1))
+        assert model.contexts.count() == 6
+        seen.append(sorted(map(tuple, model.pairs.select("u", "w", "n", "c").collect())))
+    assert seen[0] == seen[1] and sorted(r[2] for r in seen[0]) == [1, 1, 4, 4, 4, 4, 4, 299_999, 300_000]
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 10, 10_000, 10_000_000])
