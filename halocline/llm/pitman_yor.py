@@ -10,9 +10,10 @@ Gibbs sweeps alternate two steps. The tables of each pair of context and token,
 each token in the parent, are sampled on the cluster given the parents' probabilities: customers
 are seated one after another, beyond 50 of a dish in blocks of a fiftieth of those seated, within
 which the chance of a new table stays as it is. A pair seen once has one table, so it is only
-counted. The tables of the parent restaurant are the customers of the spelling restaurants,
-whose arrays have a fixed capacity and are sampled on the driver. The predictive probabilities
-of the sweeps after the first are averaged.
+counted. The tables of the parent restaurant are the customers of the spelling restaurants: those
+of three bytes are sampled on the cluster, those of two, one and no bytes, of which there are
+258 * 258 at most, on the driver. The predictive probabilities of the sweeps after the first are
+averaged.
 
 Scoring reads the most frequent pairs' probabilities from a broadcast table of fixed size; the
 other pairs of each text are joined to the model by their hashes.
@@ -35,7 +36,7 @@ from .words import Block, blocks, hash_spans, mix
 
 HEAD = 1 << 19  #: pairs in the broadcast table
 FLUSH = 1 << 20  #: different pairs that a task holds before it passes on their counts
-CONTEXTS = 1 << 14  #: three-byte contexts with a restaurant of their own; others use that of two bytes
+CONTEXTS = 1 << 14  #: three-byte contexts whose spelling is broadcast; bytes after others are joined to theirs
 SWEEPS, BURN_IN = 3, 1
 THETA = 1.0
 START, STOP, SYMBOLS = 256, 257, 258
@@ -65,20 +66,18 @@ def discount_of(n1: float, n2: float) -> float:
 
 
 class Spelling:
-    """Restaurants over bytes. Rows of depth 3 are the contexts given; shorter contexts are their suffixes."""
+    """Restaurants over bytes after the last two, one and no bytes."""
 
     def __init__(self, contexts: np.ndarray):
-        """contexts: sorted keys of three 9-bit symbols."""
-        self.keys = [np.zeros(1, np.int64), None, None, contexts]
-        for depth in (2, 1):
-            self.keys[depth] = np.unique(self.keys[depth + 1] & ((1 << (9 * depth)) - 1))
-        self.parent = [None, *(np.searchsorted(self.keys[d - 1], self.keys[d] & ((1 << (9 * (d - 1))) - 1)) for d in (1, 2, 3))]
+        """contexts: sorted keys of two 9-bit symbols, all that occur."""
+        self.keys = [np.zeros(1, np.int64), np.unique(contexts & 511), contexts]
+        self.parent = [None, *(np.searchsorted(self.keys[d - 1], self.keys[d] & ((1 << (9 * (d - 1))) - 1)) for d in (1, 2))]
         self.p = [np.full((len(k), SYMBOLS), 1 / SYMBOLS, np.float32) for k in self.keys]
 
-    def sweep(self, counts: np.ndarray, rest: np.ndarray, rng: np.random.Generator) -> None:
-        """counts: customers of depth 3 [contexts, symbols]; rest: customers that come to depth 2 directly [contexts of depth 2, symbols]."""
+    def sweep(self, counts: np.ndarray, rng: np.random.Generator) -> None:
+        """counts: customers of depth 2 [contexts, symbols]."""
         seated = []
-        for depth in (3, 2, 1, 0):
+        for depth in (2, 1, 0):
             base = self.p[depth - 1][self.parent[depth]] if depth else np.full((1, SYMBOLS), 1 / SYMBOLS, np.float32)
             cells = np.nonzero(counts)
             c = counts[cells].astype(np.int64)
@@ -89,19 +88,76 @@ class Spelling:
             del base
             seated.append((depth, counts, cells, t, d))
             if depth:
-                up = np.zeros((len(self.keys[depth - 1]), SYMBOLS), np.float32)
+                up = np.zeros((len(self.keys[depth - 1]), SYMBOLS), np.float64)
                 np.add.at(up, (self.parent[depth][cells[0]], cells[1]), t)
-                counts = up + rest if depth == 3 else up
+                counts = up
         for depth, counts, cells, t, d in reversed(seated):
             base = self.p[depth - 1][self.parent[depth]] if depth else np.full((1, SYMBOLS), 1 / SYMBOLS, np.float32)
             total, tables = counts.sum(1, keepdims=True), np.bincount(cells[0], t, len(counts))[:, None]
             p = ((THETA + d * tables) / (THETA + total)).astype(np.float32) * base
             p[cells] += (counts[cells] - d * t) / (THETA + total[cells[0], 0])
-            self.p[depth] = p.astype(np.float32, copy=False)
+            self.p[depth] = (p / p.sum(1, keepdims=True)).astype(np.float32, copy=False)
 
-    def frozen(self) -> tuple:
-        log = lambda x: np.log10(x / x.sum(1, keepdims=True)).astype(np.float32)
-        return self.keys[2], self.keys[3], log(self.p[2]), log(self.p[3])
+
+@dataclass(frozen=True)
+class Spelt:
+    """A sample of the spelling restaurants: sorted keys and log10 probabilities; three bytes' only for the most used
+    contexts, in full on the cluster: (context, backoff, symbol, own). whole: all three-byte contexts are here."""
+
+    keys: list[np.ndarray]
+    log: list[np.ndarray]
+    three: np.ndarray
+    log3: np.ndarray
+    whole: bool
+    restaurants: DataFrame
+
+
+def _seat_three(two: np.ndarray, p2: np.ndarray, d: float, sweep: int):
+    """A mapInArrow function: (context, symbol, n) of arrays, with the tables t of each symbol."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            context = batch.column(0).to_numpy()
+            size = batch.column(1).value_lengths().to_numpy()
+            symbol, n = (batch.column(i).flatten().to_numpy() for i in (1, 2))
+            row, at = np.repeat(np.arange(len(size)), size), np.searchsorted(two, context & ((1 << 18) - 1))
+            rng = np.random.default_rng([sweep, 3, int(np.bitwise_xor.reduce(context)), len(context)])
+            t = seat(n, (THETA + d * size[row]) * p2[at[row], symbol].astype(float), d, rng)
+            cuts = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (symbol, n, t))], ["context", "symbol", "n", "t"])
+
+    return work
+
+
+def spelling_sample(sums: DataFrame, spelling: Spelling | None, most: int, sweep: int, rng: np.random.Generator) -> tuple[Spelling, Spelt]:
+    """Seats the customers (context, symbol, n) of the three-byte restaurants, and the tables up the chain."""
+    low = F.col("context").bitwiseAND(F.lit((1 << 18) - 1))
+    if spelling is None:
+        two = np.sort(np.array([r[0] for r in sums.select(low).distinct().collect()], np.int64))  # 258 * 258 at most
+        spelling = Spelling(two if len(two) else np.array([(START << 9) | START], np.int64))
+    r = sums.agg(F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()
+    d = discount_of(*r)
+    # A context has SYMBOLS symbols at most.
+    each = sums.groupBy("context").agg(F.sort_array(F.collect_list(F.struct("symbol", "n"))).alias("x")).select("context", "x.symbol", "x.n")
+    seated = stored(each.mapInArrow(_seat_three(spelling.keys[2], spelling.p[2], d, sweep), "context long, symbol array<int>, n array<long>, t array<long>"), "three")
+    up = seated.select(low.alias("context"), F.explode(F.arrays_zip("symbol", "t")).alias("x")).groupBy("context", "x.symbol").agg(F.sum("x.t").alias("t")).toPandas()  # 258 cells for each of those
+    counts = np.zeros((len(spelling.keys[2]), SYMBOLS), np.float64)
+    counts[np.searchsorted(spelling.keys[2], up["context"].to_numpy(np.int64)), up["symbol"].to_numpy(int)] = up["t"].to_numpy(float)
+    spelling.sweep(counts, rng)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    own = F.transform(F.zip_with("n", "t", lambda a, b: a - d * b), lambda x: x / (THETA + F.col("total")))
+    three = seated.withColumn("total", total("n")).select("context", "total", ((THETA + d * total("t")) / (THETA + F.col("total"))).alias("backoff"), "symbol", own.alias("own"))
+    three = stored(three, "restaurants")
+    top = three.orderBy(F.desc("total"), "context").limit(most).toPandas().sort_values("context", ignore_index=True)  # `most` rows
+    keys = top["context"].to_numpy(np.int64)
+    p = top["backoff"].to_numpy(np.float32)[:, None] * spelling.p[2][np.searchsorted(spelling.keys[2], keys & ((1 << 18) - 1))]
+    if len(top):
+        p[np.repeat(np.arange(len(top)), top["symbol"].map(len)), np.concatenate(top["symbol"].to_list())] += np.concatenate(top["own"].to_list()).astype(np.float32)
+    log3 = np.log10(p / p.sum(1, keepdims=True))
+    whole = len(top) < most or three.count() == len(top)
+    return spelling, Spelt(list(spelling.keys), [np.log10(x) for x in spelling.p], keys, log3, whole, three.select("context", "backoff", "symbol", "own"))
 
 
 def symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,20 +172,39 @@ def symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return word, (before(3) << 18) | (before(2) << 9) | before(1), s
 
 
-def spell(frozen: tuple, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """log10 probability of each word's spelling; an empty word is the end token."""
-    two, three, log2, log3 = frozen
-    out = np.zeros(len(starts))
+def spell(of: tuple, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """log10 probability of each word's spelling by the restaurants here; an empty word is the end token.
+
+    Then of each byte whose three-byte context is not here: word, context, symbol, and its log10 probability after
+    the longest shorter context that occurs. Where that context has no restaurant at all, that is its probability.
+    """
+    keys, logs, three, log3, whole = of
+    out, far = np.zeros(len(starts)), [(np.zeros(0, np.int64),) * 3 + (np.zeros(0),)]
+
+    def among(known: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return np.zeros(len(key), int), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return at, known[at] == key
+
     for part in np.array_split(np.arange(len(starts)), max(1, int((ends - starts).sum() >> 20))):
         if not len(part):
             continue
         word, key, s = symbols(data, starts[part], ends[part])
-        at3 = np.minimum(np.searchsorted(three, key), len(three) - 1)
-        low = key & ((1 << 18) - 1)
-        at2 = np.minimum(np.searchsorted(two, low), len(two) - 1)
-        known = np.where(three[at3] == key, log3[at3, s], np.where(two[at2] == low, log2[at2, s], np.float32(-np.log10(SYMBOLS))))
-        out[part] = np.bincount(word, known, len(part))
-    return out
+        at, here = among(three, key)
+        p = np.zeros(len(key))
+        p[here] = log3[at[here], s[here]]
+        rest = np.flatnonzero(~here)
+        low = logs[0][0][s[rest]].astype(float)
+        for depth in (1, 2):
+            at, has = among(keys[depth], key[rest] & ((1 << (9 * depth)) - 1))
+            low[has] = logs[depth][at[has], s[rest[has]]]
+        if whole:
+            p[rest] = low
+        else:
+            far.append((part[word[rest]], key[rest], s[rest], low))
+        out[part] = np.bincount(word, p, len(part))
+    return out, *(np.concatenate(x) for x in zip(*far, strict=True))
 
 
 def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -233,14 +308,30 @@ def _seats(of: str, strength: str, schema: str, sweep: int):
     return work
 
 
-def spelled(rows: DataFrame, frozen: tuple) -> DataFrame:
-    """rows (h, word) with log_h: log10 probability of the word's spelling."""
+def spelled(rows: DataFrame, of: Spelt) -> DataFrame:
+    """(h, log_h) of rows (h, word): log10 probability of the word's spelling."""
+    here = (of.keys, of.log, of.three, of.log3, of.whole)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spell(frozen, *_spans(batch.column(1))))], ["h", "word", "log_h"])
-
-    return rows.select("h", "word").mapInArrow(work, "h long, word binary, log_h double")
+            if not batch.num_rows:
+                continue
+            p, word, context, symbol, low = spell(here, *_spans(batch.column(1)))
+            cuts = pa.array(np.searchsorted(word, np.arange(batch.num_rows + 1)).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (context, symbol, low))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *lists], ["h", "log_h", "context", "symbol", "low"])
+
+    near = rows.select("h", "word").mapInArrow(work, "h long, log_h double, context array<long>, symbol array<long>, low array<double>")
+    if of.whole:
+        return near.select("h", "log_h")
+    near = stored(near, "near")
+    far = near.where(F.size("context") > 0).select("h", F.explode(F.arrays_zip("context", "symbol", "low")).alias("x"))
+    far = far.select("h", "x.context", F.col("x.symbol").alias("s"), F.pow(F.lit(10.0), F.col("x.low")).alias("low")).join(of.restaurants, "context", "left")
+    # Symbols are sorted and differ, so one place at most is that of s.
+    own = F.get("own", (F.array_position("symbol", F.col("s").cast("int")) - 1).cast("int"))
+    p = F.when(F.array_contains("symbol", F.col("s").cast("int")), own).otherwise(0.0) + F.coalesce("backoff", F.lit(1.0)) * F.col("low")
+    more = far.select("h", F.log10(p).alias("p")).groupBy("h").agg(F.sum("p").alias("more"))
+    return near.select("h", "log_h").join(more, "h", "left").select("h", (F.col("log_h") + F.coalesce("more", F.lit(0.0))).alias("log_h"))
 
 
 @dataclass(frozen=True)
@@ -279,12 +370,14 @@ class Model:
     by sample; pairs (u, w, n, c, logp): every context and token seen, how often, the token's count, log10 P(w | u).
     """
 
-    def __init__(self, tokens: DataFrame, contexts: DataFrame, pairs: DataFrame, spellings: list[tuple], unseen: list[float], n: int, v: int, n_pairs: int):
+    def __init__(self, tokens: DataFrame, contexts: DataFrame, pairs: DataFrame, spellings: list[Spelt], unseen: list[float], n: int, v: int, n_pairs: int):
         self.tokens, self.contexts, self.pairs, self.spellings, self.unseen, self.n, self.v, self.n_pairs = tokens, contexts, pairs, spellings, unseen, n, v, n_pairs
 
     @property
     def spelling(self) -> tuple:
-        return self.spellings[-1]
+        """Of the last sample: keys of two and of the most used three bytes, and their log10 probabilities."""
+        of = self.spellings[-1]
+        return of.keys[2], of.three, of.log[2], of.log3
 
 
 def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
@@ -312,21 +405,8 @@ def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
     spelling, spellings, unseen = None, [], []
     for sweep in range(SWEEPS):
         sums = stored(state.select("word", "t").mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
-        if spelling is None:
-            top = sums.groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(contexts).toPandas()
-            spelling = Spelling(np.sort(top["context"].to_numpy(np.int64)) if len(top) else np.array([(START << 18) | (START << 9) | START], np.int64))
-        own = sums.join(F.broadcast(sums.sparkSession.createDataFrame([(int(x),) for x in spelling.keys[3]], "context long")), "context").toPandas()
-        counts = np.zeros((len(spelling.keys[3]), SYMBOLS), np.float32)
-        counts[np.searchsorted(spelling.keys[3], own["context"].to_numpy(np.int64)), own["symbol"].to_numpy(int)] = own["n"].to_numpy(float)
-        # All other contexts' customers go to their last two bytes, as far as those have a restaurant: a sum of bounded size.
-        two = sums.groupBy((F.col("context").bitwiseAND(F.lit((1 << 18) - 1))).alias("context"), "symbol").agg(F.sum("n").alias("n")).toPandas()
-        rest = np.zeros((len(spelling.keys[2]), SYMBOLS), np.float32)
-        at = np.minimum(np.searchsorted(spelling.keys[2], two["context"].to_numpy(np.int64)), len(spelling.keys[2]) - 1)
-        ok = spelling.keys[2][at] == two["context"].to_numpy(np.int64)
-        rest[at[ok], two["symbol"].to_numpy(int)[ok]] = two["n"].to_numpy(float)[ok]
-        np.add.at(rest, spelling.parent[3], -counts)
-        spelling.sweep(counts, np.maximum(rest, 0), rng)
-        frozen, kept = spelling.frozen(), sweep >= BURN_IN
+        spelling, frozen = spelling_sample(sums, spelling, contexts, sweep, rng)
+        kept = sweep >= BURN_IN
 
         spelt = spelled(state, frozen).select("h", "log_h")
         now = stored(state.drop("log_h").join(spelt, "h").withColumn("p0", of.p()), "spelt")

@@ -88,6 +88,22 @@ def test_words_late_in_a_partition_count(spark, documents):
     assert seen[0] == seen[1] and sorted(r[2] for r in seen[0]) == [1, 1, 4, 4, 4, 4, 4, 299_999, 300_000]
 
 
+def test_spelling_needs_no_room_for_its_contexts(spark, documents, text):
+    """What is broadcast of the spelling changes nothing: other three-byte contexts have restaurants too, and shorter ones back them."""
+    docs = documents([(i, f"{text(60, i, 400)} żółw{i} {chr(0x4E00 + 40 * i)}{chr(0x3042 + i)}") for i in range(40)])
+    whole, part = (pitman_yor.fit(docs.select("text"), contexts=k) for k in (1 << 14, 3))
+    assert whole.spellings[-1].whole and not part.spellings[-1].whole and len(part.spelling[1]) == 3
+    words = spark.createDataFrame([(i, w.encode()) for i, w in enumerate(["w12x3", "żółw99", "qzzx1", "", "\u4e00\u4e01", "w1w1w1w1"])], "h long, word binary")
+    one = whole.spellings[-1]
+    few = pitman_yor.Spelt(one.keys, one.log, one.three[:2], one.log3[:2], False, one.restaurants)
+    a, b = ({r["h"]: r["log_h"] for r in pitman_yor.spelled(words, x).collect()} for x in (one, few))
+    assert len(a) == 6 and a == pytest.approx(b, abs=1e-4)
+    assert part.spelling[0].tolist() == whole.spelling[0].tolist()
+    # Bytes never seen after these two still follow what was seen after the last, or any.
+    where = lambda key: pitman_yor.spell((one.keys, one.log, one.three[:0], one.log3[:0], True), np.frombuffer(key, np.uint8), np.array([0]), np.array([len(key)]))[0][0]
+    assert where(b"~~x") > where(b"~~~") + 0.5
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 10, 10_000, 10_000_000])
