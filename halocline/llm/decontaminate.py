@@ -4,7 +4,8 @@ A text becomes a sequence of tokens: words without the punctuation around them,
 case, where numbers, names and units are replaced by a placeholder of their type. Windows of 13
 tokens are hashed and joined to the windows of the benchmark items, so an item whose numbers or
 names were exchanged still matches. The values behind the placeholders are then compared over
-all windows of one alignment: they must map one to one, or the match doesn't count.
+all windows of one alignment: they must map one to one, and windows with a value that does not
+don't count, unless all values of the window are equal.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import without
-from .shared import stored, table
+from .shared import let, stored, table
 from .words import Block, blocks, hash_spans, mix, windows
 
 WINDOW = 13
@@ -122,8 +123,8 @@ def _filter(hashes: DataFrame) -> bytes:
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
     """One row for each document and benchmark item that it holds: doc_id, item_id, n_windows, n_item_windows, verbatim.
 
-    n_windows: windows of the document that match the item with placeholder values that map one to one over their
-    alignment; verbatim: all these values are equal. Items without a window of 13
+    n_windows: windows of the document that match the item with placeholder values that are all equal, or that each map
+    one to one over their alignment; verbatim: the values of all these windows are equal. Items without a window of 13
     tokens are sought by windows of 8; with fewer they can't be found, nor can null or empty texts, or rows with a null id. Rows that share an id count as one text in turn;
     repeated items are reported alike. Documents without a match have no row. Further columns are ignored.
     """
@@ -140,16 +141,16 @@ def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     found = texts.mapInArrow(_listed(_filter(items), width), _SCHEMA)
     of_item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"))
     both = stored(found.select(F.col("id").alias("doc_id"), "place", "hash", "slots").join(of_item, "hash"), "matches")
-    pairs = both.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "place", F.explode_outer(F.arrays_zip("slots", "item_slots")).alias("v"))
-    aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("place").alias("places"), F.collect_set("v").alias("v"), F.collect_set("v.slots").alias("own"), F.collect_set("v.item_slots").alias("other"),
-        F.coalesce(F.bool_and(F.col("v.slots") == F.col("v.item_slots")), F.lit(True)).alias("verbatim"),
-    )
-    # A window without placeholders explodes to a struct of nulls, which is no value.
-    values = F.size(F.filter("v", lambda x: x["slots"].isNotNull()))
-    consistent = aligned.where((values == F.size("own")) & (values == F.size("other")))
+    # An alignment has no more windows than its item, and each has `width` values at most.
+    aligned = both.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).agg(F.collect_set(F.struct("place", F.arrays_zip("slots", "item_slots").alias("v"))).alias("windows"))
+    values = F.array_distinct(F.flatten(F.transform("windows", lambda x: x["v"])))
+    clash = lambda x, y: (x["slots"] == y["slots"]) != (x["item_slots"] == y["item_slots"])
+    judged = aligned.withColumn("clashing", let(values, lambda v: F.filter(v, lambda x: F.exists(v, lambda y: clash(x, y)))))
+    equal = lambda w: F.forall(w["v"], lambda x: x["slots"] == x["item_slots"])
+    kept = judged.select("doc_id", "item_id", F.filter("windows", lambda w: equal(w) | ~F.exists(w["v"], lambda x: F.array_contains("clashing", x))).alias("windows")).where(F.size("windows") > 0)
+    kept = kept.select("doc_id", "item_id", F.transform("windows", lambda w: w["place"]).alias("places"), F.forall("windows", equal).alias("verbatim"))
     total = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("place").alias("n_item_windows"))
-    counted = consistent.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"), F.bool_and("verbatim").alias("verbatim"))
+    counted = kept.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"), F.bool_and("verbatim").alias("verbatim"))
     return counted.join(total, "item_id").select("doc_id", "item_id", "n_windows", "n_item_windows", "verbatim")
 
 

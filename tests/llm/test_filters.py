@@ -76,6 +76,18 @@ def test_slots_must_map_one_to_one(documents, benchmark):
     assert got == [1]
 
 
+def test_one_clash_leaves_the_other_windows(documents, benchmark, text):
+    plain = text(20, 77)
+    item = f"there are 3 {plain} and 3 of them"
+    late = item.replace("and 3", "and 4")
+    two = f"there are 3 {plain} and 5 of them"
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(documents([(1, late), (2, two.replace("are 3", "are 4").replace("and 5", "and 4")), (3, item)]), benchmark([(1, item), (2, two)])).collect()}
+    whole = got[3, 1]["n_item_windows"]
+    assert got[1, 1]["verbatim"] and got[1, 1]["n_windows"] > 8 and got[1, 1]["n_windows"] < whole == got[3, 1]["n_windows"]
+    assert got[2, 2]["n_windows"] >= 8
+    assert {r["doc_id"] for r in decontaminate.decontaminated(documents([(1, late), (4, text(60, 4))]), benchmark([(1, item)])).collect()} == {4}
+
+
 def test_short_items_and_empty_tables(documents, benchmark, text):
     short = "nine plain words make up this rather short item"
     df = documents([(1, f"{text(20, 1)} {short} {text(20, 2)}"), (2, text(40, 3)), (None, short)])
