@@ -5,7 +5,8 @@ case, where numbers, names and units are replaced by a placeholder of their type
 tokens are hashed and joined to the windows of the benchmark items, so an item whose numbers or
 names were exchanged still matches. The values behind the placeholders are then compared over
 all windows of one alignment: they must map one to one, and windows with a value that does not
-don't count, unless all values of the window are equal.
+don't count, unless all values of the window are equal. A window of mostly placeholders says
+little as a template: it is hashed with its values instead, and matches verbatim only.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from .words import Block, blocks, hash_spans, mix, windows
 
 WINDOW = 13
 SHORT = 8  #: window for benchmark items that have no window of WINDOW tokens
-LITERALS = 7  #: of WINDOW tokens no placeholder, at least, and in proportion of fewer
+LITERALS = 7  #: of WINDOW tokens no placeholder, at least, and in proportion of fewer; with less a window counts verbatim
 BITS = 24  #: the filter of benchmark windows has 2 ** BITS bits: 2 MB, whatever the benchmark's size
 
 #: Fixed values.
@@ -79,39 +80,49 @@ def templates(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return token, value, number | unit | name, doc
 
 
-def _windows(block: Block, width: int) -> tuple[np.ndarray, ...]:
-    """(document, place, hash, values, placeholders) of all windows, and whether a window is whole and has enough literals."""
-    token, value, slot, doc = templates(block)
-    n = np.diff(doc)
-    last = np.repeat(doc[1:], n)
-    place = np.arange(len(token))
-    free = np.concatenate([[0], np.cumsum(~slot)])
-    ok = (place + width <= last) & (free[np.minimum(place + width, len(token))] - free[place] >= width * LITERALS // WINDOW)
-    return np.repeat(np.arange(block.n_docs), n), place - np.repeat(doc[:-1], n), windows(token, width), value, slot, ok
-
-
-_SCHEMA = "id long, place int, hash long, slots array<long>"
+def _listed(bits: bytes | None, widths: tuple[int, ...], whole: bool = False):
+    """A mapInArrow function: windows of a text whose hash the filter may have, with the values of their placeholders.
 
+    Windows that match only verbatim (raw) have their values in the hash, and no slots. whole: only that of a whole text.
+    """
 
-def _listed(bits: bytes | None, width: int):
-    """A mapInArrow function: windows of a text whose hash the filter may have, with the values of their placeholders."""
+    def of_width(block: Block, parts: tuple, width: int) -> tuple[np.ndarray, ...]:
+        token, value, slot, doc = parts
+        n = np.diff(doc)
+        place, first = np.arange(len(token)), np.repeat(doc[:-1], n)
+        ok = place + width <= np.repeat(doc[1:], n)
+        if whole:
+            ok &= np.repeat(n == width, n)
+        free = np.concatenate([[0], np.cumsum(~slot)])
+        raw = free[np.minimum(place + width, len(token))] - free[place] < width * LITERALS // WINDOW
+        if width < SHORT:
+            raw[:] = True
+        h = mix(np.where(raw, ~windows(value, width), windows(token, width)) + np.uint64(width))
+        return np.repeat(np.arange(block.n_docs), n), place - first, h, raw, ok
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                doc, place, h, value, slot, ok = _windows(block, width)
-                if have is not None:
-                    ok &= have[(h >> np.uint64(64 - BITS)).astype(np.int64)]
-                at = np.flatnonzero(ok)
-                slots = [value[i : i + width][slot[i : i + width]].view(np.int64) for i in at]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, block.n_docs).take(pa.array(doc[at])), pa.array(place[at].astype(np.int32)), pa.array(h[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))], ["id", "place", "hash", "slots"]
-                )
+                parts = templates(block)
+                value, slot = parts[1:3]
+                for width in widths:
+                    doc, place, h, raw, ok = of_width(block, parts, width)
+                    if have is not None:
+                        ok &= have[(h >> np.uint64(64 - BITS)).astype(np.int64)]
+                    at = np.flatnonzero(ok)
+                    slots = [value[i : i + width][slot[i : i + width] & ~raw[i]].view(np.int64) for i in at]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(block.first, block.n_docs).take(pa.array(doc[at])), pa.array(np.full(len(at), width, np.int32)), pa.array(raw[at]), pa.array(place[at].astype(np.int32)), pa.array(h[at].view(np.int64)), pa.array(slots, pa.list_(pa.int64()))], _NAMES
+                    )
 
     return work
 
 
+_SCHEMA = "id long, width int, raw boolean, place int, hash long, slots array<long>"
+_NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
+
+
 def _filter(hashes: DataFrame) -> bytes:
     """A bitmap of the windows' hashes, from the distinct values of their first BITS bits."""
     rows = hashes.select(F.shiftrightunsigned("hash", 64 - BITS).alias("b")).distinct().toPandas()  # 2 ** BITS at most
@@ -121,37 +132,46 @@ def _filter(hashes: DataFrame) -> bytes:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
-    """One row for each document and benchmark item that it holds: doc_id, item_id, n_windows, n_item_windows, verbatim.
+    """One row for each document and benchmark item that it holds: doc_id, item_id, n_windows, n_item_windows, verbatim, n_raw_windows.
 
     n_windows: windows of the document that match the item with placeholder values that are all equal, or that each map
-    one to one over their alignment; verbatim: the values of all these windows are equal. Items without a window of 13
-    tokens are sought by windows of 8; with fewer they can't be found, nor can null or empty texts, or rows with a null id. Rows that share an id count as one text in turn;
-    repeated items are reported alike. Documents without a match have no row. Further columns are ignored.
+    one to one over their alignment; verbatim: the values of all these windows are equal; n_raw_windows: windows of
+    mostly placeholders, which match by equal values only, so a row may have n_windows = 0. Items without a template
+    window of 13 tokens are also sought by windows of 8, and items of fewer than 8 tokens as a whole, verbatim. Null or
+    empty texts are never found, nor are texts of punctuation alone or rows with a null id. Rows that share an id count
+    as one text in turn; repeated items are reported alike. Documents without a match have no row. Further columns are
+    ignored.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("doc_id").isNotNull())
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where(F.col("item_id").isNotNull()).distinct()
-    long = stored(items.mapInArrow(_listed(None, width), _SCHEMA), "items")
-    out = _matches(texts, long, width)
-    rest = items.join(long.select(F.col("id").alias("item_id")).distinct(), "item_id", "left_anti")
-    short = stored(rest.mapInArrow(_listed(None, SHORT), _SCHEMA), "items")
-    return out.unionByName(_matches(texts, short, SHORT)) if short.limit(1).count() else out
-
-
-def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    found = texts.mapInArrow(_listed(_filter(items), width), _SCHEMA)
-    of_item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"))
-    both = stored(found.select(F.col("id").alias("doc_id"), "place", "hash", "slots").join(of_item, "hash"), "matches")
+    long = stored(items.mapInArrow(_listed(None, (width,)), _SCHEMA), "items")
+    rest = items.join(long.where("not raw").select(F.col("id").alias("item_id")).distinct(), "item_id", "left_anti")
+    short = rest.mapInArrow(_listed(None, (SHORT,)), _SCHEMA)
+    whole = rest.mapInArrow(_listed(None, tuple(range(1, SHORT)), whole=True), _SCHEMA)
+    sought = stored(long.unionByName(short).unionByName(whole), "items")
+    widths = tuple(sorted(r[0] for r in sought.select("width").distinct().collect()))
+    return _matches(texts, sought, widths)
+
+
+def _matches(texts: DataFrame, items: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    found = texts.mapInArrow(_listed(_filter(items), widths), _SCHEMA).select(F.col("id").alias("doc_id"), "place", "hash", "slots")
+    of_item = items.select(F.col("id").alias("item_id"), "width", "raw", F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"))
+    both = stored(found.join(of_item, "hash"), "matches")
     # An alignment has no more windows than its item, and each has `width` values at most.
-    aligned = both.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).agg(F.collect_set(F.struct("place", F.arrays_zip("slots", "item_slots").alias("v"))).alias("windows"))
+    window = F.struct("place", "raw", F.arrays_zip("slots", "item_slots").alias("v"))
+    aligned = both.groupBy("doc_id", "item_id", "width", (F.col("place") - F.col("item_place")).alias("shift")).agg(F.collect_set(window).alias("windows"))
     values = F.array_distinct(F.flatten(F.transform("windows", lambda x: x["v"])))
     clash = lambda x, y: (x["slots"] == y["slots"]) != (x["item_slots"] == y["item_slots"])
     judged = aligned.withColumn("clashing", let(values, lambda v: F.filter(v, lambda x: F.exists(v, lambda y: clash(x, y)))))
     equal = lambda w: F.forall(w["v"], lambda x: x["slots"] == x["item_slots"])
-    kept = judged.select("doc_id", "item_id", F.filter("windows", lambda w: equal(w) | ~F.exists(w["v"], lambda x: F.array_contains("clashing", x))).alias("windows")).where(F.size("windows") > 0)
-    kept = kept.select("doc_id", "item_id", F.transform("windows", lambda w: w["place"]).alias("places"), F.forall("windows", equal).alias("verbatim"))
-    total = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("place").alias("n_item_windows"))
-    counted = kept.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"), F.bool_and("verbatim").alias("verbatim"))
-    return counted.join(total, "item_id").select("doc_id", "item_id", "n_windows", "n_item_windows", "verbatim")
+    kept = judged.select("doc_id", "item_id", "width", F.filter("windows", lambda w: equal(w) | ~F.exists(w["v"], lambda x: F.array_contains("clashing", x))).alias("windows")).where(F.size("windows") > 0)
+    places = lambda raw: F.transform(F.filter("windows", lambda w: w["raw"] == F.lit(raw)), lambda w: w["place"])
+    kept = kept.select("doc_id", "item_id", "width", places(False).alias("places"), places(True).alias("raws"), F.forall("windows", equal).alias("verbatim"))
+    n = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
+    counted = kept.groupBy("doc_id", "item_id", "width").agg(n("places").alias("n"), n("raws").alias("r"), F.bool_and("verbatim").alias("verbatim"))
+    counted = counted.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.sum("r").alias("n_raw_windows"), F.bool_and("verbatim").alias("verbatim"))
+    total = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct(F.when(~F.col("raw"), F.struct("width", "place"))).alias("n_item_windows"))
+    return counted.join(total, "item_id").select("doc_id", "item_id", "n_windows", "n_item_windows", "verbatim", "n_raw_windows")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

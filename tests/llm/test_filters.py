@@ -88,6 +88,16 @@ def test_one_clash_leaves_the_other_windows(documents, benchmark, text):
     assert {r["doc_id"] for r in decontaminate.decontaminated(documents([(1, late), (4, text(60, 4))]), benchmark([(1, item)])).collect()} == {4}
 
 
+def test_items_of_placeholders_and_tiny_ones(documents, benchmark, text):
+    numbers, names = " ".join(str(i * i) for i in range(3, 20)), "then came " + " ".join(f"Anna{i}" for i in range(9))
+    mixed = f"{text(14, 60)} {' '.join(str(i) for i in range(100, 120))}"
+    items = [(1, numbers), (2, names), (3, "the answer is 42"), (4, mixed), (5, "...")]
+    rows = [(i, f"{text(20, i)} {x} {text(20, i + 9)}") for i, x in items] + [(6, " ".join(str(i * i + 1) for i in range(3, 20))), (7, "the answer is 43"), (8, mixed[-60:])]
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(documents(rows), benchmark(items)).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (8, 4)}
+    assert got[1, 1]["n_windows"] == 0 and got[1, 1]["n_raw_windows"] >= 5 and got[8, 4]["n_windows"] == 0 and all(r["verbatim"] for r in got.values())
+
+
 def test_short_items_and_empty_tables(documents, benchmark, text):
     short = "nine plain words make up this rather short item"
     df = documents([(1, f"{text(20, 1)} {short} {text(20, 2)}"), (2, text(40, 3)), (None, short)])
