@@ -77,17 +77,32 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(work, "doc_id long, n long, k1 long, k2 long, sig array<int>")
 
 
-def survival(threshold: float, depth: int) -> float:
-    """Chance that a pair at the threshold shares a node at this depth of one run."""
-    p, second = 1.0, 1 / threshold - 1
+def survival(threshold: float, depth: int, share: float | None = None) -> float:
+    """Chance that a pair with this share of equal minhash values (the threshold) shares a node at this depth of one run."""
+    p, second, share = 1.0, 1 / threshold - 1, threshold if share is None else share
     for _ in range(depth):
-        miss = 1 - threshold * p
+        miss = 1 - share * p
         p = 1 - ((1 - second) * miss + second * miss * miss)
     return p
 
 
+def recall_of(threshold: float, depth: int, runs: float) -> float:
+    """Recall of pairs at the threshold: all runs use the same sketch, so this averages over the sketches a pair can have."""
+    least, out = math.ceil(SKETCH * POSITIONS), 0.0
+    for k in range(least, POSITIONS + 1):
+        found = 1 - (1 - survival(threshold, depth, k / POSITIONS)) ** runs
+        out += math.comb(POSITIONS, k) * threshold**k * (1 - threshold) ** (POSITIONS - k) * found
+    return out
+
+
 def runs_for(threshold: float, recall: float, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, depth)))
+    """The least number of runs with this recall; where sketches alone miss more, with as little missed besides."""
+    most = recall_of(threshold, depth, math.inf)
+    want = recall if recall < most else most - (1 - recall)
+    runs = 1
+    while recall_of(threshold, depth, runs) < want:
+        runs += 1
+    return runs
 
 
 def _children(rows: DataFrame, threshold: float) -> DataFrame:

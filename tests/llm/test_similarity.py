@@ -158,3 +158,15 @@ def test_windows_and_sliding():
         same.setdefault(tuple(x[i : i + 5]), set()).add(int(h[i]))
     assert all(len(v) == 1 for v in same.values()) and len({v for s in same.values() for v in s}) == len(same)
     assert [int(v) for v in sliding(x, 7, np.minimum)[:194]] == [int(x[i : i + 7].min()) for i in range(194)]
+
+
+def test_runs_reach_the_recall_over_all_sketches():
+    """Against drawn sketches: all runs share one, and a branch needs one of a node's positions to agree."""
+    import numpy as np
+
+    runs = jaccard_join.runs_for(0.8, 0.9999)
+    assert jaccard_join.recall_of(0.8, jaccard_join.DEPTH, runs) >= 0.9999 > jaccard_join.recall_of(0.8, jaccard_join.DEPTH, runs - 1)
+    same = np.random.default_rng(0).binomial(jaccard_join.POSITIONS, 0.8, 200_000)
+    missed = [(1 - jaccard_join.survival(0.8, jaccard_join.DEPTH, k / jaccard_join.POSITIONS)) ** runs if k >= 16 else 1 for k in range(33)]
+    assert np.mean(np.array(missed)[same]) < 2e-4
+    assert jaccard_join.runs_for(0.5, 0.9999) < 1000
