@@ -7,8 +7,8 @@
    documents have are routed to the least of these documents, their owner.
 3. A shard holds the owners' runs of such windows, each stretch of text once, as a compressed
    FM-index. All other documents' runs are streamed against their shard: backward search over
-   the wavelet matrix gives the matching statistics, cut at the window's length, and decides,
-   word by word, which windows an earlier document has.
+   the wavelet matrix gives the matching statistics, cut at the window's length, and confirms,
+   word by word, the windows that the join of step 2 found an earlier document to have.
 
 The streams of a shard are dealt over as many tasks as they need, each with its own copy of the
 index, whose size is bounded; so a passage that a third of all documents share is one entry of
