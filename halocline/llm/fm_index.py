@@ -6,6 +6,8 @@ kept in a wavelet matrix of packed bits with a count for each 64 of them.
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 
 DEPTH = 64
@@ -33,19 +35,27 @@ class Wavelet:
     """rank(c, i): how often c occurs before place i, for arrays of c and i."""
 
     def __init__(self, seq: np.ndarray, sigma: int):
-        self.levels = max(1, int(sigma - 1).bit_length())
-        self.words, self.before, self.zeros = [], [], []
-        for level in range(self.levels - 1, -1, -1):
+        levels, words = max(1, int(sigma - 1).bit_length()), []
+        for level in range(levels - 1, -1, -1):
             bit = (seq >> level) & 1
             packed = np.zeros(len(seq) // 64 + 1, np.uint64)
             raw = np.packbits(bit.astype(np.uint8), bitorder="little")
             packed.view(np.uint8)[: len(raw)] = raw
-            count = np.zeros(len(packed) + 1, np.int64)
-            np.cumsum(np.bitwise_count(packed), out=count[1:])
-            self.words.append(packed)
-            self.before.append(count[:-1])
-            self.zeros.append(int(len(seq) - bit.sum()))
+            words.append(packed)
             seq = np.concatenate([seq[bit == 0], seq[bit == 1]])
+        self._ready(np.stack(words), len(seq), sigma)
+
+    @classmethod
+    def of(cls, words: np.ndarray, n: int, sigma: int) -> Wavelet:
+        """From the packed bits of another."""
+        made = cls.__new__(cls)
+        made._ready(words, n, sigma)
+        return made
+
+    def _ready(self, words: np.ndarray, n: int, sigma: int) -> None:
+        count = np.zeros((len(words), words.shape[1] + 1), np.int64)
+        np.cumsum(np.bitwise_count(words), axis=1, out=count[:, 1:])
+        self.words, self.levels, self.before, self.zeros = words, len(words), count[:, :-1], n - count[:, -1]
         self.start = self._walk(np.arange(sigma), np.zeros(sigma, np.int64))
 
     def _walk(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -82,11 +92,31 @@ class FMIndex:
         later = np.full(self.n, -1, np.int64)
         later[: max(0, self.n - gap)] = half[gap:]
         differs = np.concatenate([[True], (np.diff(half[order]) != 0) | (np.diff(later[order]) != 0)])
+        by = np.concatenate([np.repeat(owner, lengths), [np.iinfo(np.int64).max]])[order]
+        self._groups(differs, np.minimum.reduceat(by, np.flatnonzero(differs)))
+
+    def _groups(self, differs: np.ndarray, owners: np.ndarray) -> None:
+        """differs: whether a group begins at each suffix; owners: the least owner of each group."""
         starts = np.flatnonzero(differs)
         group = np.cumsum(differs) - 1
+        self.differs, self.owners = differs, owners
         self.group_start, self.group_end = starts[group], np.append(starts[1:], self.n)[group]
-        by = np.concatenate([np.repeat(owner, lengths), [np.iinfo(np.int64).max]])[order]
-        self.least_owner = np.minimum.reduceat(by, starts)[group]
+        self.least_owner = owners[group]
+
+    def dump(self) -> bytes:
+        """The index without what load() can work out again: bits of the wavelet matrix and the groups, owners by number."""
+        out = io.BytesIO()
+        names, which = np.unique(self.owners, return_inverse=True)
+        np.savez(out, window=self.window, n=self.n, alphabet=self.alphabet, first=self.first.astype(np.int32), bits=self.wavelet.words, differs=np.packbits(self.differs), names=names, which=which.astype(np.int32))
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, data: bytes) -> FMIndex:
+        made, of = cls.__new__(cls), np.load(io.BytesIO(data))
+        made.window, made.n, made.alphabet, made.first = int(of["window"]), int(of["n"]), of["alphabet"], of["first"].astype(np.int64)
+        made.wavelet = Wavelet.of(of["bits"], made.n, len(made.alphabet) + 2)
+        made._groups(np.unpackbits(of["differs"], count=made.n).view(bool), of["names"][of["which"]])
+        return made
 
     def matches(self, words: np.ndarray, run_of: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Whether the window that begins at each word is in the index with a smaller owner.

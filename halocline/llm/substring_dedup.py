@@ -1,25 +1,25 @@
 """Removes words in windows that an earlier document has, by FM-indexes over shards.
 
-1. One pass over the texts takes each document's digest and its minimizers: of every 39
-   neighbouring 12-word shingles the least by hash, so any two equal windows of 50 words share
-   one. Whole copies are settled by the digest.
-2. Minimizers of two or more documents mark candidate windows; windows whose hash two or more
-   documents have are routed to the least of these documents, their owner.
-3. A shard holds the owners' runs of such windows, each stretch of text once, as a compressed
-   FM-index. All other documents' runs are streamed against their shard: backward search over
-   the wavelet matrix gives the matching statistics, cut at the window's length, and confirms,
-   word by word, the windows that the join of step 2 found an earlier document to have.
-
-The streams of a shard are dealt over as many tasks as they need, each with its own copy of the
-index, whose size is bounded; so a passage that a third of all documents share is one entry of
-one index, searched by many tasks.
+1. One pass over the texts takes each document's digest and its marks: of every 25 neighbouring
+   26-word grams the least by hash, so any two equal windows of 50 words share their mark.
+   Whole copies are settled by the digest.
+2. Marks of two or more documents route text: each has a key, the place of the first document
+   that has it, and all stretches of windows with such a mark go to the key's shard. A mark says
+   that 26 words are shared; it says nothing of the window around them.
+3. A shard holds its stretches as one compressed FM-index, built once and stored. The same
+   stretches are streamed past it: backward search over the wavelet matrix gives the matching
+   statistics, cut at the window's length, and with them the windows that a smaller id has.
+
+A mark of many documents would fill a shard with as many stretches. Its windows are routed by
+their own hash instead: windows of one document go, of the others only the first one's are in the
+index, and the rest is streamed past it by as many tasks as that needs.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,9 @@ from .shared import stored, table
 from .words import Block, blocks, mix, sliding, windows
 
 WINDOW = 50
-GRAM = 12
+GRAM = 26
+HOT = 64  #: marks of more documents than this are routed window by window
+KEY_WORDS = 2000  #: words of a document that make up one routing key
 SHARD_WORDS, STREAM_WORDS = 200_000, 400_000
 EMPTY = hashlib.sha256(b"").hexdigest()
 _C = np.uint64(0xD6E8FEB86659FD93)
@@ -58,7 +60,7 @@ def _digests(block: Block, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_words, k1, k2, sha, anchors) of each document."""
+    """(doc_id, n_words, k1, k2, sha, marks, places) of each document: its different marks, and where each is first."""
     for batch in batches:
         for block in blocks(batch.column(1)):
             h = block.hashes()
@@ -66,52 +68,82 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             over = sliding(np.where(room, least, np.uint64(0))[::-1], WINDOW - GRAM + 1, np.maximum)[::-1]
             chosen = np.flatnonzero((gram == over) & (gram != _MOST))
             cuts = np.searchsorted(chosen, block.doc)
-            anchors = [np.unique(gram[chosen[a:b]]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            marks, places = [], []
+            for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                m, first = np.unique(gram[chosen[a:b]], return_index=True)
+                marks.append(m.view(np.int64))
+                places.append((chosen[a:b][first] - block.doc[d]).astype(np.int32))
             k1, k2 = _digests(block, h)
             raw = [block.data[a:b].tobytes() for a, b in zip(block.offsets[:-1], block.offsets[1:], strict=True)]
             sha = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in raw]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(block.first, block.n_docs), pa.array(block.n_words()), pa.array(k1), pa.array(k2), pa.array(sha), pa.array(anchors, pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "k1", "k2", "sha", "anchors"],
-            )
+                [batch.column(0).slice(block.first, block.n_docs), pa.array(block.n_words()), pa.array(k1), pa.array(k2), pa.array(sha), pa.array(marks, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                ["doc_id", "n_words", "k1", "k2", "sha", "marks", "places"],
+            )
+
+
+_RUN = pa.struct([("key", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()), ("words", pa.binary())])
+_FOUND = "doc_id long, k1 long, runs array<struct<key:long,start:int,n_words:int,words:binary>>, starts array<int>, hashes array<long>, text string"
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, anchors) -> the text with the places and hashes of its candidate windows."""
+def _stretches(at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, first, last) of neighbouring windows, at ascending places, with the same key."""
+    cuts = np.concatenate([[0], np.flatnonzero((np.diff(at) != 1) | (np.diff(key) != 0)) + 1, [len(at)]]) if len(at) else np.zeros(1, int)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield int(key[a]), int(at[a]), int(at[b - 1])
+
+
+def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, marks: (mark, key, hot)) -> runs of windows by key; of hot marks the windows' places and hashes, with the text."""
     for batch in batches:
-        lists, offs = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64), batch.column(2).offsets.to_numpy()
+        lists, offs = batch.column(2).flatten(), batch.column(2).offsets.to_numpy()
         offs = offs - offs[0]
+        mark, key, hot = (lists.field(c).to_numpy(zero_copy_only=False) for c in ("mark", "key", "hot"))
+        mark = mark.view(np.uint64)
         for block in blocks(batch.column(1)):
             h = block.hashes()
             _, least, room = _minimizers(block, h)
-            whole, starts, hashes, digest = windows(h, WINDOW), [], [], _digests(block, h)
+            whole, out = windows(h, WINDOW), []
+            k1 = _digests(block, h)[0]
             for d in range(block.n_docs):
                 a, b = block.doc[d], block.doc[d + 1]
-                own = lists[offs[block.first + d] : offs[block.first + d + 1]]
-                at = np.flatnonzero(room[a:b] & np.isin(least[a:b], own))
-                starts.append(at.astype(np.int32))
-                hashes.append(whole[a:b][at].view(np.int64))
+                own = slice(offs[block.first + d], offs[block.first + d + 1])
+                order = np.argsort(mark[own])
+                known = mark[own][order]
+                at = np.minimum(np.searchsorted(known, least[a:b]), len(known) - 1)
+                shared = room[a:b] & (known[at] == least[a:b])
+                at = order[at]
+                busy = shared & hot[own][at]
+                one = np.flatnonzero(shared & ~busy)
+                word = lambda s, e, a=a: block.data[block.starts[a + s] : block.ends[a + e - 1]].tobytes()
+                runs = [{"key": k, "start": s, "n_words": e - s + WINDOW, "words": word(s, e + WINDOW)} for k, s, e in _stretches(one, key[own][at[one]])]
+                many = np.flatnonzero(busy)
+                out.append((runs, many.astype(np.int32), whole[a:b][many].view(np.int64), batch.column(1)[block.first + d].as_py() if len(many) else None))
+            runs, starts, hashes, text = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(block.first, block.n_docs), batch.column(1).slice(block.first, block.n_docs), pa.array(digest[0]), pa.array(digest[1]), pa.array(starts, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
-                ["doc_id", "text", "k1", "k2", "starts", "hashes"],
+                [batch.column(0).slice(block.first, block.n_docs), pa.array(k1), pa.array(runs, pa.list_(_RUN)), pa.array(starts, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(text, pa.string())],
+                ["doc_id", "k1", "runs", "starts", "hashes", "text"],
             )
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, found: (start, owner)) -> (owner, doc_id, start, n_words, words): runs of windows with one owner."""
+_ROUTED = "doc_id long, k1 long, key long, start int, n_words int, words binary, indexed boolean, streamed boolean"
+
+
+def _hot_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, k1, text, found: (start, key, first)) -> runs of windows with one key; the first document's are indexed, all others streamed."""
     for batch in batches:
         out: list[tuple] = []
-        for doc, text, found in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), batch.column(2), strict=True):
-            words, pairs = text.as_py().split(), found.values
-            start, owner = (pairs.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owner"))
+        for doc, k1, text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            block = next(blocks(pa.array([text.as_py()], pa.large_string())))
+            start, key, first = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "key", "first"))
             order = np.argsort(start, kind="stable")
-            start, owner = start[order], owner[order]
-            cuts = np.concatenate([[0], np.flatnonzero((np.diff(start) != 1) | (np.diff(owner) != 0)) + 1, [len(start)]])
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                s, e = int(start[a]), int(start[b - 1]) + WINDOW
-                out.append((int(owner[a]), doc, s, e - s, b" ".join(words[s:e])))
+            for own in (True, False):
+                of = order[first[order] == own]
+                for k, s, e in _stretches(start[of], key[of]):
+                    out.append((doc, k1, k, s, e - s + WINDOW, block.data[block.starts[s] : block.ends[e + WINDOW - 1]].tobytes(), own, not own))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["owner", "doc_id", "start", "n_words", "words"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], [x.split()[0] for x in _ROUTED.split(", ")])
 
 
 def _hashed(column: pd.Series) -> list[np.ndarray]:
@@ -121,12 +153,17 @@ def _hashed(column: pd.Series) -> list[np.ndarray]:
     return out
 
 
-def _search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Streams a shard's runs against its index; ranges of matched windows as (doc_id, lo, hi)."""
-    index, stream = pdf[~pdf["streamed"]], pdf[pdf["streamed"]]
+def _build(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The index of a shard's runs."""
+    built = FMIndex(_hashed(pdf["words"]), pdf["doc_id"].to_numpy(), WINDOW)
+    return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "index": [built.dump()]})
+
+
+def _search(stream: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """Streams runs past their shard's index: ranges of the windows that it has of a smaller id, as (doc_id, k1, lo, hi)."""
     if not len(index) or not len(stream):
-        return pd.DataFrame({"doc_id": [], "lo": [], "hi": []}).astype({"doc_id": "int64", "lo": "int32", "hi": "int32"})
-    shard = FMIndex(_hashed(index["words"]), index["doc_id"].to_numpy(), WINDOW)
+        return pd.DataFrame({"doc_id": [], "k1": [], "lo": [], "hi": []}).astype({"doc_id": "int64", "k1": "int64", "lo": "int32", "hi": "int32"})
+    shard = FMIndex.load(index["index"].iloc[0])
     runs = _hashed(stream["words"])
     n = np.array([len(r) for r in runs])
     run_of = np.repeat(np.arange(len(runs)), n)
@@ -136,68 +173,79 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     lo, hi = at[new], at[np.append(new[1:], True)] if len(at) else at
     run = run_of[lo]
     base = stream["start"].to_numpy()[run] - (np.cumsum(n) - n)[run]
-    return pd.DataFrame({"doc_id": stream["doc_id"].to_numpy()[run], "lo": (lo + base).astype(np.int32), "hi": (hi + base).astype(np.int32)})
+    of = lambda c: stream[c].to_numpy()[run]
+    return pd.DataFrame({"doc_id": of("doc_id"), "k1": of("k1"), "lo": (lo + base).astype(np.int32), "hi": (hi + base).astype(np.int32)})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, k1, k2, text, ranges) -> the words that are left."""
+    """(doc_id, k1, text, ranges) -> the words that are left, if the ranges are of this text."""
     for batch in batches:
-        kept, removed = [], []
-        for text, ranges in zip(batch.column(3).cast(pa.large_binary()), batch.column(4), strict=True):
-            words = text.as_py().split()
-            gone = np.zeros(len(words) + 1, np.int64)
+        out: list[tuple] = []
+        for doc, k1, text, ranges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_string()), batch.column(3), strict=True):
+            block = next(blocks(pa.array([text.as_py()], pa.large_string())))
+            if int(_digests(block, block.hashes())[0][0]) != k1:
+                continue  # another text with the same id
+            n = len(block.starts)
+            gone = np.zeros(n + 1, np.int64)
             np.add.at(gone, ranges.values.field("lo").to_numpy(zero_copy_only=False), 1)
             np.add.at(gone, ranges.values.field("hi").to_numpy(zero_copy_only=False) + WINDOW, -1)
-            stays = np.cumsum(gone)[:-1] == 0
-            kept.append(b" ".join([w for w, s in zip(words, stays, strict=True) if s]))
-            removed.append(int(len(words) - stays.sum()))
-        sha = [hashlib.sha256(k).hexdigest() for k in kept]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "k1", "k2", "n_removed", "sha", "kept"])
+            stays = np.flatnonzero(np.cumsum(gone)[:-1] == 0)
+            kept = b" ".join([block.word(i) for i in stays])
+            out.append((doc, k1, n - len(stays), hashlib.sha256(kept).hexdigest(), kept.decode()))
+        if out:
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["doc_id", "k1", "n_removed", "sha", "kept"])
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False, search: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame] = _search) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_removed, kept_sha256, and with with_text kept_text, the kept words joined by one space (null where
     none went).
 
     A word goes if a window of 50 consecutive words over it also begins in a row with a smaller doc_id, judged on the
     input. Null, empty and blank texts have no words; texts under 50 words lose none. A row with a null doc_id loses
     nothing and takes nothing from others. Rows that share a doc_id take nothing from each other. Further columns of
-    docs are ignored.
+    docs are ignored. search decides, from streamed runs and the index of a shard, which windows count.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    own = stored(docs.mapInArrow(_survey, "doc_id long, n_words long, k1 long, k2 long, sha string, anchors array<long>"), "survey")
+    own = stored(docs.mapInArrow(_survey, "doc_id long, n_words long, k1 long, k2 long, sha string, marks array<long>, places array<int>"), "survey")
     long = own.where(f"n_words >= {WINDOW} and doc_id is not null")
-    firsts = stored(long.groupBy("k1", "k2", "n_words").agg(F.min("doc_id").alias("first"), F.min_by("anchors", "doc_id").alias("anchors")), "firsts")
+    firsts = stored(long.groupBy("k1", "k2", "n_words").agg(F.min("doc_id").alias("first"), F.min_by(F.arrays_zip(F.col("marks").alias("mark"), F.col("places").alias("place")), "doc_id").alias("marks")), "firsts")
 
-    anchors = firsts.select(F.col("first").alias("doc_id"), F.explode("anchors").alias("anchor"))
+    marks = firsts.select(F.col("first").alias("doc_id"), F.explode("marks").alias("m")).select("doc_id", "m.mark", "m.place")
+    key = lambda doc, place: F.xxhash64(doc, F.floor(place / F.lit(KEY_WORDS)))
     # Stored, here and below: Spark splits a hot key of a join only if both sides are plain tables.
-    shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"), "shared")
-    marked = stored(anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "anchors")  # a document's own, at most
+    shared = marks.groupBy("mark").agg(F.min(F.struct("doc_id", "place")).alias("o"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
+    shared = stored(shared.where("o.doc_id < b").select("mark", key(F.col("o.doc_id"), F.col("o.place")).alias("key"), (F.col("n") > HOT).alias("hot")), "shared")
+    marked = stored(marks.select("doc_id", "mark").join(shared, "mark").groupBy("doc_id").agg(F.collect_list(F.struct("mark", "key", "hot")).alias("marks")), "marks")  # a document's own, at most
     some = members(docs.where("doc_id is not null"), "doc_id", marked.select("doc_id")).join(marked, "doc_id")
-    found = stored(some.select("doc_id", "text", "anchors").mapInArrow(_candidates, "doc_id long, text string, k1 long, k2 long, starts array<int>, hashes array<long>"), "candidates")
-
-    places = found.select("doc_id", "k1", "k2", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("doc_id", "k1", "k2", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
-    owners = stored(places.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("b")).where("owner < b").select("hash", "owner"), "owners")
-    routed = places.join(owners, "hash").groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("start", "owner")).alias("found"))
-    runs = stored(found.select("doc_id", "k1", "k2", "text").join(routed, ["doc_id", "k1", "k2"]).select("doc_id", "text", "found").mapInArrow(_runs, "owner long, doc_id long, start int, n_words int, words binary"), "runs")
-
-    total = runs.where("owner = doc_id").agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    runs = runs.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(max(1, math.ceil(total / SHARD_WORDS)))))
-    stream = F.col("owner") != F.col("doc_id")
-    salts = stored(runs.where(stream).groupBy("shard").agg(F.ceil(F.sum("n_words") / F.lit(STREAM_WORDS)).cast("int").alias("salts")), "salts")
-    own_salt = F.array(F.pmod(F.xxhash64("doc_id", "start"), "salts").cast("int"))
-    dealt = runs.join(salts, "shard").select("shard", F.explode(F.when(stream, own_salt).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))).alias("salt"), stream.alias("streamed"), "doc_id", "start", "words")
-    hits = dealt.groupBy("shard", "salt").applyInPandas(_search, "doc_id long, lo int, hi int")
-    ranges = hits.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-
-    cut = found.select("doc_id", "k1", "k2", "text").join(ranges, "doc_id").select("doc_id", "k1", "k2", "text", "ranges")
-    cut = cut.mapInArrow(_cut, "doc_id long, k1 long, k2 long, n_removed long, sha string, kept string")
-    cut = stored(cut if with_text else cut.drop("kept"), "cut").dropDuplicates(["doc_id", "k1", "k2"])
+    found = stored(some.select("doc_id", "text", "marks").mapInArrow(_stretched, _FOUND), "found")
+
+    places = found.where(F.size("starts") > 0).select("doc_id", "k1", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("doc_id", "k1", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
+    owners = places.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("o"), F.max("doc_id").alias("b")).where("o.doc_id < b")
+    owners = stored(owners.select("hash", F.col("o.doc_id").alias("owner"), key(F.col("o.doc_id"), F.col("o.start")).alias("key")), "owners")
+    routed = places.join(owners, "hash").groupBy("doc_id", "k1").agg(F.collect_list(F.struct("start", "key", (F.col("owner") == F.col("doc_id")).alias("first"))).alias("found"))
+    hot = found.where("text is not null").select("doc_id", "k1", "text").join(routed, ["doc_id", "k1"]).mapInArrow(_hot_runs, _ROUTED)
+    plain = found.select("doc_id", "k1", F.explode("runs").alias("r")).select("doc_id", "k1", "r.*", F.lit(True).alias("indexed"), F.lit(True).alias("streamed"))
+    runs = stored(plain.unionByName(hot), "runs")
+
+    total = runs.where("indexed").agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    runs = runs.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(max(1, math.ceil(total / SHARD_WORDS)))))
+    indexes = stored(runs.where("indexed").select("shard", "doc_id", "words").groupBy("shard").applyInPandas(_build, "shard long, index binary"), "indexes")
+    stream = runs.where("streamed")
+    salts = stored(stream.groupBy("shard").agg(F.ceil(F.sum("n_words") / F.lit(STREAM_WORDS)).cast("int").alias("salts")), "salts")
+    dealt = stream.join(salts, "shard").select("shard", F.pmod(F.xxhash64("doc_id", "start"), "salts").cast("int").alias("salt"), "doc_id", "k1", "start", "n_words", "words")
+    each = indexes.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "index")
+    hits = dealt.groupBy("shard", "salt").cogroup(each.groupBy("shard", "salt")).applyInPandas(search, "doc_id long, k1 long, lo int, hi int")
+    ranges = stored(hits.groupBy("doc_id", "k1").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+
+    cut = members(docs.where("doc_id is not null"), "doc_id", ranges.select("doc_id").distinct()).join(ranges, "doc_id").select("doc_id", "k1", "text", "ranges")
+    cut = cut.mapInArrow(_cut, "doc_id long, k1 long, n_removed long, sha string, kept string")
+    cut = stored(cut if with_text else cut.drop("kept"), "cut").dropDuplicates(["doc_id", "k1"])
     base = own.select("doc_id", "n_words", "k1", "k2", "sha").join(firsts.select("k1", "k2", "n_words", "first"), ["k1", "k2", "n_words"], "left")
     copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     base = base.withColumn("copy", copy)  # copies have no row in cut, and keys of their own
-    cut = cut.select(F.col("doc_id").alias("id"), F.col("k1").alias("c1"), F.col("k2").alias("c2"), "n_removed", F.col("sha").alias("cut_sha"), *(["kept"] if with_text else []))
-    done = base.join(cut, (base["doc_id"] == cut["id"]) & (base["k1"] == cut["c1"]) & (base["k2"] == cut["c2"]), "left")
+    cut = cut.select(F.col("doc_id").alias("id"), F.col("k1").alias("c1"), "n_removed", F.col("sha").alias("cut_sha"), *(["kept"] if with_text else []))
+    done = base.join(cut, (base["doc_id"] == cut["id"]) & (base["k1"] == cut["c1"]), "left")
     return done.select(
         "doc_id", "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copy"), F.lit(EMPTY)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"), *([F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept")).alias("kept_text")] if with_text else []),

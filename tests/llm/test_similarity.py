@@ -111,6 +111,35 @@ def test_dedup_matches_brute_force(documents, text, odd):
     assert got == brute_dedup(rows)
 
 
+def test_dedup_of_hot_marks_matches_brute_force(documents, text, odd, monkeypatch):
+    """Marks of more than two documents go window by window, and shards are small enough to be several."""
+    monkeypatch.setattr(substring_dedup, "HOT", 2)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 300)
+    monkeypatch.setattr(substring_dedup, "STREAM_WORDS", 500)
+    p, q = text(90, 77), text(40, 78)
+    rows = [(i, f"{text(10 + i, i)} {p} {text(20, 50 + i)}") for i in range(12)] + [(20 + i, near(text(150, 5), 3, i)) for i in range(9)]
+    rows += [(40 + i, f"{text(60, 400 + i)} {q} {text(60, 500 + i)}") for i in range(8)] + [(60, p), (61, p), (62, f"{p} {p}"), (63, text(90, 900)), (64, text(90, 900) + " x")]
+    rows += [(80 + i, t) for i, t in enumerate(odd)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.dedup(documents(rows)).collect()}
+    assert got == brute_dedup(rows)
+
+
+def test_the_index_decides_the_windows(documents, text):
+    """Texts that share a mark, but no window of 50, are streamed too: without the index they would lose words."""
+    shared = text(45, 7)
+    rows = [(i, f"{text(60, 10 + i)} {shared} {text(60, 30 + i)}") for i in range(5)] + [(9, f"{text(20, 99)} {text(60, 10)}")]
+
+    def all_match(stream, index):
+        import pandas as pd
+
+        return pd.DataFrame({"doc_id": stream["doc_id"], "k1": stream["k1"], "lo": stream["start"], "hi": (stream["start"] + stream["n_words"] - 50).astype("int32")})
+
+    removed = lambda **more: {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(documents(rows), **more).collect()}
+    with_index, without = removed(), removed(search=all_match)
+    assert with_index == {i: brute_dedup(rows)[i][1] for i, _ in rows} and with_index[9] == 60
+    assert sum(without[i] > 0 for i in range(5)) > 1 and not any(with_index[i] for i in range(5))
+
+
 def test_dedup_repeats_nulls_and_empty(documents, text):
     t = text(80, 1)
     got = sorted(tuple(r)[:3] for r in substring_dedup.dedup(documents([(5, t), (5, t), (9, t)])).collect())
@@ -132,7 +161,9 @@ def test_fm_index_matches_search():
     stream = np.concatenate([runs[1][20:150], rng.integers(0, 4, 80).astype(np.uint64), runs[0][10:75]])
     run_of = np.repeat([0, 1, 2], [130, 80, 65])
     for doc in (2, 99):
-        hit = FMIndex(runs, np.array([1, 5, 3]), 50).matches(stream, run_of, np.full(len(stream), doc))
+        index = FMIndex(runs, np.array([1, 5, 3]), 50)
+        hit = index.matches(stream, run_of, np.full(len(stream), doc))
+        assert (FMIndex.load(index.dump()).matches(stream, run_of, np.full(len(stream), doc)) == hit).all()
         for k in range(len(stream)):
             end = np.searchsorted(run_of, run_of[k], "right")
             want = k + 50 <= end and any((r[j : j + 50] == stream[k : k + 50]).all() and o < doc for r, o in zip(runs, (1, 5, 3), strict=True) for j in range(len(r) - 49))
