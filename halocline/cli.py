@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import atexit
 import logging
+import re
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 from .plans import config
+from .plans.lineage import attributes, sanitised
 from .plans.pipeline import VERBOSE
 
 TEMPLATE = """[project]
@@ -93,11 +98,14 @@ def _bin(spark, settings: config.Settings, targets: list[str]) -> list[str]:
     failures = []
     for folder in io.found_deployments(settings.paths.profiles_directory, targets):
         try:
-            binning.check_one_identity(spark.read.parquet(f"{folder}/deployment"))
-            samples, _ = io.read_profiles(spark, f"{folder}/samples")
+            known = spark.read.parquet(f"{folder}/deployment")
+            binning.check_one_identity(known)
+            samples, line = io.read_profiles(spark, f"{folder}/samples")
             profiles, rows = pipeline.bin_profiles(samples, spark.read.parquet(f"{folder}/profiles"), settings.bin)
-            io.write_binned(profiles, rows, f"{settings.paths.binned_directory}/{folder.name}")
-        except ValueError as e:
+            about = {k: sanitised(v) for k, v in known.first().asDict().items() if v is not None} | attributes({}, line.dataset)
+            io.write_binned(profiles, rows, f"{settings.paths.binned_directory}/{folder.name}", attributes=about)
+        except Exception as e:  # one deployment's failure must not stop the others
+            logging.getLogger("halocline").error("%s: %s", folder.name, e)
             failures.append(f"{folder.name}: {e}")
     return failures
 
@@ -108,12 +116,25 @@ def _concatenate(spark, settings: config.Settings, targets: list[str]) -> list[s
 
     if settings.paths.concatenated_file is None:
         raise ValueError("paths.concatenated_file is not set.")
-    parts = [io.read_binned(spark, str(f)) for f in io.found_deployments(settings.paths.binned_directory, targets)]
-    profiles, rows = pipeline.concatenate(parts)
-    io.write_binned(profiles, rows, str(settings.paths.concatenated_file))
+    folders = [str(f) for f in io.found_deployments(settings.paths.binned_directory, targets)]
+    profiles, rows, about = pipeline.concatenate([io.read_binned(spark, f) for f in folders], [io.binned_attributes(spark, f) for f in folders])
+    io.write_binned(profiles, rows, str(settings.paths.concatenated_file), attributes=about)
     return []
 
 
+def share(spark) -> None:
+    """Lineage is cut with tables in spark.checkpoint.dir; local mode may do with a folder of its own, a cluster must name one."""
+    from .plans.pipeline import shared_folder
+
+    if shared_folder(spark):
+        return
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share.")
+    own = tempfile.mkdtemp(prefix="halocline-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", own)
+
+
 COMMANDS = {"process": _process, "bin": _bin, "concatenate": _concatenate}
 
 
@@ -140,6 +161,7 @@ def main(argv: list[str] | None = None) -> int:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.appName("halocline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        share(spark)
         failures = COMMANDS[args.command](spark, settings, args.target)
     except (ValueError, OSError) as e:
         print(e, *getattr(e, "__notes__", []), sep="\n", file=sys.stderr)

@@ -1,12 +1,17 @@
-"""Many gridded deployments as one dataset: union grid, duplicates by time, order."""
+"""Many gridded deployments as one dataset: union grid, duplicates by time, order, attributes."""
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Mapping
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+log = logging.getLogger("halocline")
+
 
 def union(parts: list[DataFrame]) -> DataFrame:
     """Rows of all parts with `file_rank`, the part's place; a channel that a part lacks is missing there."""
@@ -30,7 +35,31 @@ def first_by_time(profiles: DataFrame, time: str = "time", order: tuple[str, ...
 
 
 def concatenate(parts: list[tuple[DataFrame, DataFrame]], keys: tuple[str, str] = ("deployment_id", "profile_idx")) -> tuple[DataFrame, DataFrame]:
-    """(profiles, rows) of all deployments from (profiles, rows) of each: deduplicated by time, on the union grid, in time order."""
+    """(profiles, rows) of all deployments from (profiles, rows) of each: deduplicated by time, on the union grid, in time order.
+
+    Profiles and rows belong to their part: where two parts hold the same profile, the rows of the first alone stay.
+    """
+    own = [*keys, "file_rank"]
     profiles = first_by_time(union([p for p, _ in parts]))
-    rows = union([r for _, r in parts]).drop("file_rank").join(profiles.select(*keys), list(keys), "left_semi")
-    return profiles.orderBy("time"), union_grid(rows, list(keys))
+    rows = union([r for _, r in parts]).join(profiles.select(*own), own, "left_semi").drop("file_rank")
+    return profiles.drop("file_rank").orderBy("time"), union_grid(rows, list(keys))
+
+
+def duplicates(parts: list[DataFrame], time: str = "time") -> int:
+    """How many profiles share their time with an earlier one, and so are left out."""
+    r = union(parts).agg(F.count("*").alias("n"), F.countDistinct(F.coalesce(F.col(time).cast("string"), F.lit(""))).alias("d")).first()
+    n = r["n"] - r["d"]
+    if n:
+        log.warning("left out %d profile(s) whose time another has", n)
+    return n
+
+
+def agreed(attributes: list[Mapping[str, Any]]) -> tuple[dict[str, Any], list[str]]:
+    """The attributes on which all parts that have them agree, and the names of the others."""
+    names = sorted(set().union(*attributes)) if attributes else []
+    values = {k: [a[k] for a in attributes if k in a] for k in names}
+    kept = {k: v[0] for k, v in values.items() if all(x == v[0] for x in v)}
+    wrong = [k for k in names if k not in kept]
+    if wrong:
+        log.warning("left out attributes that differ between deployments: %s", ", ".join(wrong))
+    return kept, wrong

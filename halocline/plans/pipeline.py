@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import binning, concat, corrections, ctlag, derived, geo, profiles
-from ..operators.despike import describe, despike
+from ..operators.despike import despike, facts
 from ..operators.model import KEYS, Keys, floating
 from .config import Bin, Process
 from .lineage import Lineage
@@ -28,9 +28,14 @@ class Processed:
     lineage: Lineage
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share, as the session names it."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def _store(spark: SparkSession):
-    """Cuts lineage with a table in the folder that driver and executors share; where none is set, nothing is cut."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """Cuts lineage with a table in the shared folder; where none is set, nothing is cut."""
+    root = shared_folder(spark)
 
     def cut(df: DataFrame) -> DataFrame:
         if not root:
@@ -100,7 +105,7 @@ def record_thresholds(result: Processed, settings: Process, deployment: str, key
     for c, table in result.thresholds.items():
         row = table.where(F.col(keys.deployment) == deployment).first()
         if row is not None:
-            line.record(f"despiked {c} ({describe(rules[c], row)})", c)
+            line.record(f"despiked {c} (" + ", ".join(f"{k} {v:g}" if isinstance(v, float) else f"{k} {v}" for k, v in facts(rules[c], row).items()) + ")", c)
     return line
 
 
@@ -112,5 +117,8 @@ def bin_profiles(samples: DataFrame, placed: DataFrame, settings: Bin, keys: Key
     return binning.profile_rank(known, keys=keys), rows
 
 
-def concatenate(parts: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
-    return concat.concatenate(parts)
+def concatenate(parts: list[tuple[DataFrame, DataFrame]], attributes: list[dict] | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """(profiles, rows, attributes): duplicates by time and attributes that differ are left out, with a warning of how many and which."""
+    concat.duplicates([p for p, _ in parts])
+    kept, _ = concat.agreed(attributes or [])
+    return *concat.concatenate(parts), kept

@@ -56,8 +56,10 @@ def _(spark, d):
 @query("time_range_filter", f"with {LOG} select sample_idx, round(value, 6) as value from log, (select (min(t) + max(t)) // 2 as m from log) where t >= m")
 def _(spark, d):
     df = log(spark, d)
+    kind = df.schema["time"].dataType.simpleString()
     m = df.agg(F.min(F.unix_micros(F.col("time").cast("timestamp"))) + F.max(F.unix_micros(F.col("time").cast("timestamp")))).first()[0] // 2
-    return df.where(F.unix_micros(F.col("time").cast("timestamp")) >= m).select(S, F.round("value", 6).alias("value"))
+    start = spark.range(1).select(F.timestamp_micros(F.lit(m)).cast(kind)).first()[0]
+    return corrections.time_range(df, start, None).select(S, F.round("value", 6).alias("value"))
 
 
 @query("value_range_filter", f"with {LOG} select deployment_id, sample_idx, round(value, 6) as value from log where value >= 20 and value <= 60")
@@ -472,6 +474,19 @@ def _(spark, d):
     return concat.first_by_time(concat.union([o.where(f"{P} % 2 = 0"), o.where(f"{P} % 2 = 1")]), "t").select(P, "t")
 
 
+@query(
+    "concat_duplicates",
+    f"with {BINS}, r as (select deployment_id, profile_idx, i::int as bin, round(c, 6) as bin_center, round(avg(x), 6) as x from a group by 1, 2, 3, 4), t as (select deployment_id, profile_idx, profile_idx * 60 + ascii(deployment_id) * 3600 as s from r group by 1, 2), f as (select t.deployment_id, t.profile_idx, c.bin_center from t cross join (select distinct bin_center from r) c where exists (select 1 from t u where u.s = t.s having min((u.deployment_id, u.profile_idx)) = (t.deployment_id, t.profile_idx))) select f.deployment_id, f.profile_idx, f.bin_center, r.bin, r.x from f left join r on r.deployment_id = f.deployment_id and r.profile_idx = f.profile_idx and r.bin_center = f.bin_center",
+)
+def _(spark, d):
+    """All deployments are given twice, as when an instrument's memory was not wiped: its rows come once."""
+    rows = binned(spark, d).groupBy(D, P, "bin", F.round("bin_center", 6).alias("bin_center")).agg(F.round(F.avg("x"), 6).alias("x"))
+    start = F.timestamp_seconds(F.col(P) * 60 + F.ascii(D) * 3600)
+    part = (rows.select(D, P, start.alias("time")).distinct(), rows)
+    _, out = concat.concatenate([part, part])
+    return out.select(D, P, "bin_center", "bin", "x")
+
+
 FLAGSHIP = f"""with {LOG}, h as (select *, case when value = lag(value) over w then null else value end as v from log {W}),
 r as (select *, v - median(v) over c as r from h {C}),
 b0 as (select deployment_id, profile_idx % 10 as profile_idx, case when abs(r) > 40 then null else v end as z, held from r),

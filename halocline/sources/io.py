@@ -6,6 +6,7 @@ import json
 import sqlite3
 from collections.abc import Iterator, Mapping
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,8 +141,10 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"cannot read {suffix} files; expected .parquet.")
 
 
-def write_binned(profiles: DataFrame, rows: DataFrame, path: str, keys: Keys = KEYS, mode: str = "overwrite") -> None:
-    """The long form of a grid: profiles and (profile, bin) rows."""
+def write_binned(profiles: DataFrame, rows: DataFrame, path: str, keys: Keys = KEYS, mode: str = "overwrite", attributes: Mapping[str, Any] | None = None) -> None:
+    """The long form of a grid: profiles and (profile, bin) rows, and the dataset's attributes."""
+    spark = profiles.sparkSession
+    spark.createDataFrame([(json.dumps(dict(attributes or {}), default=str),)], "attributes string").coalesce(1).write.mode(mode).json(f"{path}/attributes")
     profiles.write.mode(mode).option("compression", "zstd").parquet(f"{path}/profiles")
     rows.write.mode(mode).option("compression", "zstd").partitionBy(keys.deployment).parquet(f"{path}/bins")
 
@@ -150,6 +153,11 @@ def read_binned(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/profiles"), spark.read.parquet(f"{path}/bins")
 
 
+def binned_attributes(spark: SparkSession, path: str) -> dict[str, Any]:
+    """The attributes that write_binned kept."""
+    return json.loads(spark.read.schema("attributes string").json(f"{path}/attributes").first()["attributes"])
+
+
 def wide(rows: DataFrame, channel: str, keys: Keys = KEYS) -> DataFrame:
     """One row a profile, one column a bin centre: an export of one channel of one grid."""
     return rows.groupBy(keys.deployment, keys.profile).pivot("bin_center").agg(F.first(channel))

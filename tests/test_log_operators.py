@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from halocline.functions import gpd, robust
 from halocline.functions import seawater as sw
 from halocline.operators import binning, concat, corrections, ctlag, derived, geo, profiles
-from halocline.operators.despike import Despiking, describe, despike, thresholds
+from halocline.operators.despike import Despiking, despike, facts, thresholds
 from halocline.operators.model import KEYS, nan_to_null, null_to_nan
 
 D, P, S = KEYS.deployment, KEYS.profile, KEYS.order
@@ -91,10 +91,12 @@ def test_thresholds(spark):
     found = {x[D]: x for x in thresholds(df, Despiking(min_exceedances=40)).collect()}
     assert found["a"]["n"] == 500 and found["a"]["n_exceedances"] == 50 and not found["a"]["used_fallback"]
     assert found["b"]["n"] == 0 and found["b"]["used_fallback"] and found["b"]["threshold"] is None
-    assert "GPD fit" in describe(Despiking(), found["a"])
+    told = facts(Despiking(), found["a"])
+    assert told["method"] == "gpd_percentile" and told["tail shape"] == found["a"]["shape"] and told["samples"] == found["a"]["n"]
     low = thresholds(df, Despiking()).where(f"{D} = 'a'").first()
     assert low["used_fallback"] and low["threshold"] == pytest.approx(np.percentile(tails, 99.9))
-    assert "n_exceedances=50 < min_exceedances=200" in describe(Despiking(), low)
+    told = facts(Despiking(), low)
+    assert told["excesses"] == 50 and told["method"] == "percentile instead of tail fit" and "tail shape" not in told
 
 
 def test_gpd_recovers_its_shape():

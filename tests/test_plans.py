@@ -136,6 +136,18 @@ def test_process_bin_concatenate(spark, tmp_path, capsys):
     assert cli.main(["process", "--config", str(toml), "--target", "none.parquet"]) == 1
 
 
+def test_concatenation_keeps_one_copy_and_agreed_attributes(spark, caplog):
+    from halocline.operators import concat
+
+    p = spark.createDataFrame([("a", 0, datetime(2021, 1, 1)), ("a", 1, datetime(2021, 1, 2))], "deployment_id string, profile_idx int, time timestamp_ntz")
+    r = spark.createDataFrame([("a", i, float(z), 1.0) for i in (0, 1) for z in (1, 2)], "deployment_id string, profile_idx int, bin_center double, v double")
+    with caplog.at_level("WARNING", logger="halocline"):
+        profiles, rows, about = pipeline.concatenate([(p, r), (p, r)], [{"project": "x", "source": "a"}, {"project": "x", "source": "b", "only": 1}])
+    assert (profiles.count(), rows.count()) == (2, 4) and about == {"project": "x", "only": 1}
+    assert any("2 profile(s)" in m for m in caplog.messages) and any("source" in m for m in caplog.messages)
+    assert concat.duplicates([p]) == 0 and concat.agreed([]) == ({}, [])
+
+
 def test_init(tmp_path):
     path = cli.init(tmp_path / "p", "name")
     assert path.is_file() and (tmp_path / "p/raw").is_dir() and "0.0" in path.read_text()
