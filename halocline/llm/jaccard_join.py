@@ -13,7 +13,7 @@ then compared exactly, on the whole texts, in blocks.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,20 +49,29 @@ def block_sets(block: Block, k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def _set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 128-bit key of each set in two parts, and its size."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    k1, k2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        h, at = np.concatenate(sets), (np.cumsum(sizes) - sizes)[full]
+        k1[full] = np.add.reduceat(mix(h), at)
+        k2[full] = np.bitwise_xor.reduceat(mix(h ^ _SEEDS[0]), at)
+    return k1, k2, sizes
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, n, k1, k2, sig): number of shingles, a 128-bit key of the set, its minhash values (null for no words)."""
 
     def of_block(ids: pa.Array, block: Block) -> pa.RecordBatch:
         sets = block_sets(block)
-        sizes = np.array([len(s) for s in sets], np.int64)
-        k1, k2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+        k1, k2, sizes = _set_keys(sets)
         sig = np.zeros((len(sets), POSITIONS), np.uint32)
         full = np.flatnonzero(sizes)
         if len(full):
             h = np.concatenate(sets)
             at = (np.cumsum(sizes) - sizes)[full]
-            k1[full] = np.add.reduceat(mix(h), at)
-            k2[full] = np.bitwise_xor.reduceat(mix(h ^ _SEEDS[0]), at)
             mixed = h ^ (h >> np.uint64(29))
             for j, seed in enumerate(_SEEDS):
                 sig[full, j] = np.minimum.reduceat((mixed * seed) >> np.uint64(32), at)
@@ -225,17 +234,51 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     rep_id is the least doc_id with the same shingles, n_copies how many rows have them, n_links the number of other
     representatives whose sets have a Jaccard similarity of at least the threshold to this one; class_id is the least
     doc_id that is reached over such links. Null, empty and blank texts have no shingles: each is its own class, without
-    links. A null doc_id takes no part: class_id, rep_id are null. Rows that share a doc_id count as one
-    document if they have the same text. Further columns of docs are ignored.
+    links. A null doc_id takes no part: class_id, rep_id are null. Rows that share a doc_id are judged each by its own
+    text: they are in one class only if their texts are linked. Further columns of docs are ignored.
     """
     own = stored(sketches(docs, doc_id, text), "sketches")
+    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
+    if not _ambiguous(own):
+        return _joined(own, lambda wanted: members(texts, "rep", wanted), threshold, recall)
+    # Each text of an id gets a number of its own, in the order of the ids, and the texts' numbers go back to ids at the end.
+    key = ["doc_id", "k1", "k2", "n"]
+    numbers = stored(own.where("doc_id is not null").select(key).distinct().orderBy(key).withColumn("number", F.monotonically_increasing_id()), "numbers")
+    numbered = stored(own.join(numbers, key, "left").select(F.col("number").alias("doc_id"), "n", "k1", "k2", "sig"), "sketches")
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        of = wanted.join(numbers, wanted["rep"] == numbers["number"]).select("number", "doc_id", "k1", "k2", "n")
+        some = members(texts, "rep", of.select(F.col("doc_id").alias("rep")).distinct())
+        both = some.join(of.select(F.col("doc_id").alias("rep"), "number", "k1", "k2", "n"), "rep")
+        keyed = both.select("rep", "text", "number", "k1", "k2", "n").mapInArrow(_keyed, "number long, text string, same boolean")
+        return keyed.where("same").select(F.col("number").alias("rep"), "text")
+
+    out = _joined(numbered, texts_of, threshold, recall)
+    for c in ("doc_id", "class_id", "rep_id"):
+        back = numbers.select(F.col("number").alias("_number"), F.col("doc_id").alias("_id"))
+        out = out.join(back, out[c] == F.col("_number"), "left").withColumn(c, F.col("_id")).drop("_number", "_id")
+    return out
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, text, number, k1, k2, n) -> whether the text is that of the key."""
+    for batch in batches:
+        for block in blocks(batch.column(1)):
+            k1, k2, sizes = _set_keys(block_sets(block))
+            of = lambda i, block=block: batch.column(i).slice(block.first, block.n_docs).to_numpy()
+            same = (k1.view(np.int64) == of(3)) & (k2.view(np.int64) == of(4)) & (sizes == of(5))
+            yield pa.RecordBatch.from_arrays([batch.column(2).slice(block.first, block.n_docs), batch.column(1).slice(block.first, block.n_docs), pa.array(same)], ["number", "text", "same"])
+
+
+def _joined(own: DataFrame, texts_of: Callable[[DataFrame], DataFrame], threshold: float, recall: float) -> DataFrame:
+    """join() of stored sketches, where an id has one text. texts_of: (rep, text) rows of the ids in a one-column table, or more."""
     classes = own.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.min_by("sig", "doc_id").alias("sig"))
     classes = stored(classes, "classes")
     reps = classes.select("rep", "sig")
     groups = components(candidate_links(reps, threshold, recall))
     wanted = stored(groups.select(F.col("node").alias("rep"), "label").join(classes.select("rep", "n"), "rep"), "groups")
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
-    texts = members(texts, "rep", wanted.select("rep")).dropDuplicates(["rep"]) if _repeats(own) else members(texts, "rep", wanted.select("rep"))
+    texts = texts_of(wanted.select("rep"))
+    texts = texts.dropDuplicates(["rep"]) if _repeats(own) else texts
     exact = stored(exact_links(texts, wanted, threshold), "exact")
     found = exact.groupBy("rep").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.max("split").alias("split"))
     if exact.where("split").limit(1).count():
@@ -254,10 +297,19 @@ def _repeats(own: DataFrame) -> bool:
     return bool(own.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
+def _ambiguous(own: DataFrame) -> bool:
+    """Whether a doc_id has texts with different shingles."""
+    least, most = (f(F.struct("k1", "k2", "n")) for f in (F.min, F.max))
+    return bool(own.where("doc_id is not null").groupBy("doc_id").agg(least.alias("a"), most.alias("b")).where("a <> b").limit(1).count())
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the rows whose class has a smaller doc_id: one document of each near-duplicate group stays."""
-    gone = join(docs, doc_id, text).where("doc_id <> class_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return without(docs, doc_id, stored(gone, "gone"))
+    """docs without the rows whose class has a smaller doc_id: one document of each near-duplicate group stays.
+
+    Of rows that share a doc_id, all stay if the text of any is the least of its class.
+    """
+    found = join(docs, doc_id, text).where("doc_id is not null").groupBy("doc_id").agg(F.min(F.col("class_id") < F.col("doc_id")).alias("gone"))
+    return without(docs, doc_id, stored(found.where("gone").select(F.col("doc_id").alias(doc_id)), "gone"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,35 @@ def test_join_repeats_nulls_and_empty(spark, documents, text):
     assert sorted(kept.select("doc_id").collect(), key=repr) == sorted([(1,), (3,), (None,)], key=repr)
 
 
+def test_rows_that_share_an_id_are_judged_apart(documents, text):
+    """Each text by itself: brute force over (id, text) in place of ids."""
+    rows = [(5, text(60, 1)), (5, text(60, 2)), (7, text(60, 2)), (8, near(text(60, 1), 1, 3)), (2, text(60, 9)), (5, None), (5, text(60, 1)), (9, "a b"), (9, ""), (None, text(60, 1))]
+    numbers = {x: k for k, x in enumerate(sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], r[1] or "")))}
+    back = {k: x[0] for x, k in numbers.items()}
+    want = brute_join([(k, x[1]) for x, k in numbers.items()])
+    expected = sorted((i, back[want[numbers[i, t]][0]], back[want[numbers[i, t]][1]], want[numbers[i, t]][2]) for i, t in rows if i is not None)
+    got = jaccard_join.join(documents(rows)).where("doc_id is not null").collect()
+    assert sorted((r["doc_id"], r["class_id"], r["rep_id"], r["n_links"]) for r in got) == expected
+    kept = jaccard_join.one_of_each(documents(rows))
+    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [2, 5, 5, 5, 5, 9, 9]
+
+
+def test_recall_of_deep_buckets(spark, documents, text, monkeypatch):
+    """Buckets of two at most, so that nearly all pairs must be found at depth: pairs just over the threshold."""
+    monkeypatch.setattr(jaccard_join, "candidate_links", partial(jaccard_join.candidate_links, limit=2))
+    rows = []
+    for i in range(150):
+        t = text(120, i, 3000)
+        rows += [(2 * i, t), (2 * i + 1, near(t, 2, i))]
+    for i in range(300):  # many of one kind: their buckets stay large
+        rows.append((1000 + i, near(text(120, 9999, 3000), 8, i)))
+    want = brute_join(rows)
+    close = [i for i in want if want[i][2]]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.join(documents(rows)).collect()}
+    found, all_links = sum(got[i] for i in close), sum(want[i][2] for i in close)
+    assert len(close) > 250 and found <= all_links and found >= 0.99 * all_links
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
