@@ -3,9 +3,11 @@
 Arrivals are written as runs of small Parquet files. Compaction groups runs of similar size
 (tiers by powers of the fan-out) and merges a tier that has enough of them into files of the
 target size; merged runs count in higher tiers before anything is written, so a compaction
-rewrites a byte once. Each change is a new manifest that names the live runs. It is written
-aside and renamed to the next version, which fails if another writer took that version; the
-writer then applies its change to the newer manifest. Readers see one whole version or another.
+rewrites a byte once. Groups are merged side by side, a few at a time. Each change is a new
+manifest that names the live runs. It is written aside and renamed to the next version, which
+fails if another writer took that version; the writer then applies its change to the newer
+manifest. Readers see one whole version or another. That needs a store whose rename is atomic and
+does not replace, such as HDFS or a local disk; on an object store, writers must take turns.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ import json
 import math
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +29,7 @@ from .shared import hadoop_fs, shared_dir, table
 TARGET_BYTES = 128 << 20
 FANOUT = 4
 BASE_BYTES = 1 << 20  #: runs below this are all of tier 0
+AT_ONCE = 4  #: groups that are merged at the same time
 
 
 @dataclass(frozen=True)
@@ -141,7 +146,7 @@ class ShardStore:
         return self._commit(change)
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version; of the last, if none is given."""
+        """The rows of a version; of the last, if none is given. A store without rows has no schema yet, and raises."""
         from pyspark.sql.types import StructType
 
         found = self.manifest(version)
@@ -152,8 +157,9 @@ class ShardStore:
 
     def compact(self) -> int:
         """Merges what the tiers ask for, a job for each group; the version after it. Rows are moved, never changed."""
-        old = self.manifest()
-        for group in merges(old["runs"], self.target, self.fanout):
+        groups = merges(self.manifest()["runs"], self.target, self.fanout)
+
+        def merge(group: list[Run]) -> None:
             name, paths = uuid.uuid4().hex[:12], [f"{self.root}/runs/{r.name}" for r in group]
             n_files = max(1, round(sum(r.bytes for r in group) / self.target))
             # Splits are joined where they are read: no shuffle.
@@ -166,6 +172,9 @@ class ShardStore:
                 return {"schema": now["schema"], "runs": [r for r in now["runs"] if r.name not in gone] + [made]}
 
             self._commit(change)
+
+        with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(merge), groups))
         return self.version()
 
     def vacuum(self, keep_versions: int = 1) -> int:
@@ -180,12 +189,19 @@ class ShardStore:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """Appends documents with an arrival for each source, compacts, and reads the last version back: one row a document."""
+    """Appends documents with an arrival for each source, compacts, and reads the last version back: one row a document.
+
+    Null sources are one arrival, null texts stay null (n_bytes and text_md5 are null), repeated rows stay repeated, and
+    texts of any length are moved as they are. An empty table has no rows and commits no version. Further columns are
+    kept in the store and left out here.
+    """
+    docs = table(spark, sf_dir, "documents")
     store = ShardStore(spark, f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}")
-    store.append(table(spark, sf_dir, "documents"), "source")
+    store.append(docs, "source")
     store.compact()
     store.vacuum()
-    return store.read().select("doc_id", "source", "lang", "n_chars", F.octet_length("text").cast("long").alias("n_bytes"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    kept = store.read() if store.version() else docs.limit(0)
+    return kept.select("doc_id", "source", "lang", "n_chars", F.octet_length("text").cast("long").alias("n_bytes"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 ORACLE = "select doc_id, source, lang, n_chars, strlen(text)::bigint as n_bytes, md5(text) as text_md5 from documents"

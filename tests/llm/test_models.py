@@ -196,6 +196,13 @@ def test_store(spark, documents, tmp_path):
     assert store.vacuum() == len(old) + 1 and store.read().count() == 20
 
 
+def test_store_of_an_empty_table(spark, documents, folder):
+    out = shards.query(spark, folder(documents=documents([])))
+    assert out.count() == 0 and out.columns == ["doc_id", "source", "lang", "n_chars", "n_bytes", "text_md5"]
+    odd = [(1, None), (1, None), (2, ""), (3, "x" * 100_000)]
+    assert sorted((r["doc_id"], r["n_bytes"]) for r in shards.query(spark, folder(documents=documents(odd))).collect() if r["n_bytes"] is not None) == [(2, 0), (3, 100_000)]
+
+
 def test_arrivals_with_nulls(spark, documents, tmp_path):
     store = shards.ShardStore(spark, str(tmp_path / "s"))
     df = documents([(1, None), (1, None), (None, "x")]).withColumn("source", F.when(F.col("text") == "x", F.lit("a/b=c")))
