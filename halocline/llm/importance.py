@@ -95,9 +95,13 @@ def select(docs: DataFrame, target_ids: DataFrame, share: float, doc_id: str = "
     weight 0. Equal keys, as of repeated rows, are kept or not together; a null doc_id has noise of its own. No target
     text, or no rows, keeps what the noise says. Further columns of docs are ignored.
     """
-    ids = target_ids.toDF(doc_id).where(F.col(doc_id).isNotNull()).distinct()
-    target = members(docs.select(doc_id, text), doc_id, ids).join(ids, doc_id)  # a semi join would be pushed below the filter
-    ratio = log_ratio(bucket_counts(target.select(text)), bucket_counts(docs.select(text)))
+    ids = stored(target_ids.toDF(doc_id).where(F.col(doc_id).isNotNull()).distinct(), "targets")
+    known = docs.select(doc_id, text).where(F.col(doc_id).isNotNull())
+    # Target texts are counted where they are read: all that the filter lets pass, less the few that it lets pass wrongly. Only those are joined.
+    wrong = stored(members(known.select(doc_id), doc_id, ids).distinct().join(ids.withColumn("_is", F.lit(True)), doc_id, "left").where("_is is null").select(doc_id), "wrong")
+    passed = bucket_counts(members(known, doc_id, ids).select(text))
+    less = bucket_counts(members(known, doc_id, wrong).join(wrong, doc_id).select(text))
+    ratio = log_ratio(passed - less, bucket_counts(docs.select(text)))
     scored = stored(weigh(docs, ratio, doc_id, text, seed), "weights")
     rows = scored.count()
     k = round(share * rows)
