@@ -53,6 +53,18 @@ def test_rules_repeats_empty_and_order(documents, text):
     assert gone == [None, None, "few words"]
 
 
+def test_order_of_rules(spark, documents, text):
+    """The same in every call, by rejection per step among what is left; a rule that only rejects what others do comes last."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    orders = {tuple(x[0].name for x in quality_rules.measured_order(docs, quality_rules.RULES)) for _ in range(10)}
+    assert len(orders) == 1
+    rule = lambda name, reject, steps: quality_rules.Rule(name, reject, lambda x: F.lit(steps))
+    few, fewer, long = rule("few", lambda x: x.n_words() < 20, 10), rule("fewer", lambda x: x.n_words() < 15, 9), rule("long", lambda x: x.n_words() > 30, 50)
+    rows = [(i, text(n, i)) for i, n in enumerate([5] * 4 + [17] * 4 + [40] * 2 + [25] * 10)]
+    got = quality_rules.measured_order(documents(rows), [fewer, few, long])
+    assert [(x[0].name, x[1], round(x[2], 3)) for x in got] == [("few", 10.0, 0.4), ("long", 50.0, round(2 / 12, 3)), ("fewer", 9.0, 0.0)]
+
+
 @pytest.fixture
 def benchmark(spark):
     return lambda rows: spark.createDataFrame(rows, "item_id long, text string")
