@@ -59,18 +59,24 @@ def _scale(x: Column, at: Column) -> Column:
 
 
 def _reweighted(x: Column, weight, max_iter: int, tol: float) -> Column:
-    """From the median: weights by the residual over 1.4826 MAD, a new location and scale, until it settles."""
+    """From the median: weights by the residual over 1.4826 MAD, a new location and scale, until it settles.
+
+    Some samples never settle and wander for all max_iter rounds, where the last digit of a sum would decide the result.
+    So each location is rounded to a billionth of the first scale, a tenth of the default tolerance.
+    """
 
     def step(acc: Column, _: Column) -> Column:
         def moved(w: Column) -> Column:
-            located = lambda new: _let(_scale(x, new), lambda s: F.struct(new.alias("at"), s.alias("s"), ((s == 0) | (F.abs(new - acc["at"]) < F.lit(tol) * s)).alias("done")))
-            heavy = _let(total(F.zip_with(w, x, lambda a, b: a * b)) / total(w), located)
-            return F.when(total(w) == 0, F.struct(acc["at"].alias("at"), acc["s"].alias("s"), F.lit(True).alias("done"))).otherwise(heavy)
+            located = lambda new: _let(_scale(x, new), lambda s: F.struct(new.alias("at"), s.alias("s"), acc["unit"].alias("unit"), ((s == 0) | (F.abs(new - acc["at"]) < F.lit(tol) * s)).alias("done")))
+            mean_of = total(F.zip_with(w, x, lambda a, b: a * b)) / total(w)
+            heavy = _let(F.floor(mean_of / acc["unit"] + 0.5) * acc["unit"], located)
+            return F.when(total(w) == 0, stay).otherwise(heavy)
 
+        stay = F.struct(acc["at"].alias("at"), acc["s"].alias("s"), acc["unit"].alias("unit"), F.lit(True).alias("done"))
         go = _let(F.transform(x, lambda v: weight((v - acc["at"]) / acc["s"])), moved)
-        return F.when(acc["done"] | (acc["s"] == 0), F.struct(acc["at"].alias("at"), acc["s"].alias("s"), F.lit(True).alias("done"))).otherwise(go)
+        return F.when(acc["done"] | (acc["s"] == 0), stay).otherwise(go)
 
-    start = _let(median(x), lambda m: F.struct(m.alias("at"), _scale(x, m).alias("s"), F.lit(False).alias("done")))
+    start = _let(median(x), lambda m: _let(_scale(x, m), lambda s: F.struct(m.alias("at"), s.alias("s"), (s * 1e-9).alias("unit"), F.lit(False).alias("done"))))
     run = F.aggregate(F.sequence(F.lit(1), F.lit(max_iter)), start, step, lambda acc: acc["at"])
     return F.when(F.size(x) < 3, mean(x)).otherwise(run)
 

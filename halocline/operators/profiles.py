@@ -52,40 +52,73 @@ def local_maxima(x: np.ndarray) -> np.ndarray:
     return (starts[top] + ends[top]) // 2
 
 
-def peak_bounds(x: np.ndarray, peaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(prominence, width at half of it) of each peak."""
-    prominence, width = np.zeros(len(peaks)), np.zeros(len(peaks))
-    for n, p in enumerate(peaks):
-        higher = np.flatnonzero(x[:p] > x[p])
-        left = higher[-1] + 1 if len(higher) else 0
-        higher = np.flatnonzero(x[p + 1 :] > x[p])
-        right = p + higher[0] if len(higher) else len(x) - 1
-        prominence[n] = x[p] - max(x[left : p + 1].min(), x[p : right + 1].min())
-        level = x[p] - prominence[n] / 2
-        below = np.flatnonzero(x[left:p] < level)
-        i = left + below[-1] if len(below) else left
-        a = i + (level - x[i]) / (x[i + 1] - x[i]) if x[i] < level else float(i)
-        below = np.flatnonzero(x[p + 1 : right + 1] < level)
-        j = p + 1 + below[0] if len(below) else right
-        b = j - (level - x[j]) / (x[j - 1] - x[j]) if x[j] < level else float(j)
-        width[n] = b - a
-    return prominence, width
+def prominences(x: np.ndarray, peaks: np.ndarray) -> np.ndarray:
+    """How far each local maximum rises above the higher of the lowest points on either side, up to where x is higher.
+
+    One pass each way over all local maxima, with a stack of those that are still the highest: linear in their number.
+    The ends of x count as walls where they are higher.
+    """
+
+    def lowest(top: np.ndarray, valley: np.ndarray, wall: float) -> np.ndarray:
+        """For each maximum the least value back to the first higher one. valley: the least between it and the one before."""
+        out, stack = np.empty(len(top)), [(float("inf"), 0.0)]
+        if len(top) and wall > valley[0]:
+            stack.append((wall, float("inf")))  # an end of x that descends to the first valley
+        for n, (h, low) in enumerate(zip(top.tolist(), valley.tolist(), strict=True)):
+            while stack[-1][0] <= h:
+                low = min(low, stack.pop()[1])
+            out[n] = low
+            stack.append((h, low))
+        return out
+
+    if not len(peaks):
+        return np.zeros(0)
+    top = x[peaks]
+    cuts = np.concatenate([[0], peaks, [len(x) - 1]])
+    valley = np.minimum.reduceat(x, cuts[:-1])  # from each cut to before the next: maxima are no valleys
+    valley[-1] = min(valley[-1], x[-1])
+    left = lowest(top, valley[:-1], float(x[0]))
+    right = lowest(top[::-1], valley[1:][::-1], float(x[-1]))[::-1]
+    return top - np.maximum(left, right)
+
+
+def widths(x: np.ndarray, peaks: np.ndarray, prominence: np.ndarray) -> np.ndarray:
+    """The width of each peak at half its prominence, between linearly interpolated crossings; looks no farther than these."""
+
+    def crossing(at: int, level: float, step: int) -> float:
+        """From a peak outward to the first sample at the level or below it, back to where the line to it crosses."""
+        chunk, edge = 64, at
+        while True:
+            far = edge + step * chunk
+            part = x[edge + 1 : far + 1] if step > 0 else x[max(far, 0) : edge][::-1]
+            below = np.flatnonzero(part <= level)
+            if len(below):
+                i = edge + step * (1 + int(below[0]))
+                return i - step * (level - x[i]) / (x[i - step] - x[i]) if x[i] < level else float(i)
+            if len(part) < chunk:
+                return float(edge + step * len(part))
+            edge, chunk = far, 2 * chunk
+
+    levels = x[peaks] - prominence / 2
+    return np.array([crossing(int(p), v, 1) - crossing(int(p), v, -1) for p, v in zip(peaks, levels, strict=True)], float).reshape(-1)
 
 
 def find_peaks(x: np.ndarray, height: float | None = None, distance: int = 1, prominence: float = 0.0, width: float = 0.0) -> np.ndarray:
-    """Peaks by height, then distance (higher ones first), prominence and width."""
-    peaks = local_maxima(x)
-    if height is not None:
-        peaks = peaks[x[peaks] >= height]
+    """Peaks by height, then distance (higher ones first, of equal ones the later), prominence and width."""
+    every = local_maxima(x)
+    rises = prominences(x, every)
+    tall = x[every] >= height if height is not None else np.ones(len(every), bool)
+    peaks, rises = every[tall], rises[tall]
     keep = np.ones(len(peaks), bool)
-    for n in np.argsort(x[peaks], kind="stable")[::-1]:
-        if keep[n]:
-            near = np.abs(peaks - peaks[n]) < distance
-            near[n] = False
-            keep &= ~near
-    peaks = peaks[keep]
-    prom, wide = peak_bounds(x, peaks)
-    return peaks[(prom >= prominence) & (wide >= width)]
+    if distance > 1:
+        near = np.searchsorted(peaks, peaks - distance, "right"), np.searchsorted(peaks, peaks + distance, "left")
+        for n, low, high in zip(*(v[np.argsort(x[peaks], kind="stable")[::-1]].tolist() for v in (np.arange(len(peaks)), *near)), strict=True):
+            if keep[n]:
+                keep[low:high] = False
+                keep[n] = True
+    keep &= rises >= prominence
+    peaks, rises = peaks[keep], rises[keep]
+    return peaks[widths(x, peaks, rises) >= width] if width > 0 else peaks
 
 
 def smooth(x: np.ndarray, window: int, order: int) -> np.ndarray:
@@ -137,10 +170,9 @@ def cycles_of(p: np.ndarray, seconds: np.ndarray | None, s: Detection) -> np.nda
     down_run, up_run = run(down), run(up)
     found = []
     for k, peak in enumerate(peaks):
-        before = troughs[troughs < peak]
-        after = troughs[troughs > peak]
-        low = max(before[-1] if len(before) else 0, peaks[k - 1] if k else 0)
-        high = min(after[0] if len(after) else len(x) - 1, peaks[k + 1] if k + 1 < len(peaks) else len(x) - 1)
+        before, after = np.searchsorted(troughs, peak, "left"), np.searchsorted(troughs, peak, "right")
+        low = max(troughs[before - 1] if before else 0, peaks[k - 1] if k else 0)
+        high = min(troughs[after] if after < len(troughs) else len(x) - 1, peaks[k + 1] if k + 1 < len(peaks) else len(x) - 1)
         a = np.flatnonzero(down_run[low:peak]) + low
         b = np.flatnonzero(up_run[peak:high]) + peak
         if not len(a) or not len(b):

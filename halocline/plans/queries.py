@@ -15,6 +15,7 @@ from ..operators import binning, concat, corrections, ctlag, derived, geo, profi
 from ..operators.despike import Despiking, despike, residuals, rolling_median, spike_counts, thresholds
 from ..operators.model import KEYS
 from ..sources import io, naming
+from .config import Bin
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,10 +191,27 @@ def _(spark, d):
     return found.select(D, F.round("threshold", 6).alias("threshold"), "used_fallback", "n", "n_exceedances")
 
 
-@query("despike_gpd")
+# The profile likelihood of theta = shape / scale on a grid of its own, narrowed twelve times.
+_MEAN_LOG = "list_avg(list_transform(x, lambda v: ln(1 + t * v)))"
+GPD = f"""with recursive {RES}, h as (select deployment_id, quantile_cont(abs(r), 0.9) as u, count(r) as n from r group by 1),
+e as (select r.deployment_id, u, n, list(abs(r) - u) as x from r join h on r.deployment_id = h.deployment_id where abs(r) > u group by all),
+g0 as (select *, (-1 + 1e-6 + 20.0 * j / 4000) / list_max(x) as t from e, unnest(range(0, 4000)) as k(j)),
+i0 as (select deployment_id, arg_max(t, -ln({_MEAN_LOG} / t) - {_MEAN_LOG}) as t, max(20.0 / 4000 / list_max(x)) as w from g0 where abs(t) > 1e-9 group by 1),
+it(deployment_id, t, w, k) as (
+  select deployment_id, t, w, 0 from i0
+  union all
+  select deployment_id, arg_max(t, -ln({_MEAN_LOG} / t) - {_MEAN_LOG}), max(w) / 8, max(k) + 1
+  from (select it.deployment_id, x, it.t + w * j / 8.0 as t, w, k from it join e on e.deployment_id = it.deployment_id, unnest(range(-8, 9)) as q(j) where k < 12) where abs(t) > 1e-9 and 1 + t * list_max(x) > 0 group by 1),
+f as (select deployment_id, arg_max(t, k) as t from it group by 1),
+p as (select e.*, t, {_MEAN_LOG} as shape from e join f on e.deployment_id = f.deployment_id)
+select deployment_id, round(u + (pow(0.001 * n / len(x), -shape) - 1) / t, 2) as threshold, false as used_fallback, round(shape, 3) as shape, round(shape / t, 2) as scale, n::bigint as n, len(x)::bigint as n_exceedances from p"""
+
+
+@query("despike_gpd", GPD)
 def _(spark, d):
     s = Despiking(11, 90.0, 99.9, 20)
-    return despike(log(spark, d), "value", s, True)[1]
+    found = despike(log(spark, d), "value", s, True)[1]
+    return found.select(D, F.round("threshold", 2).alias("threshold"), "used_fallback", F.round("shape", 3).alias("shape"), F.round("scale", 2).alias("scale"), "n", "n_exceedances")
 
 
 # Lag search. The salinity stands in as conductivity less temperature.
@@ -252,7 +270,31 @@ def _(spark, d):
     return profiles.extract(df, profiles.slices(cycles, "both")).select(D, S, P)
 
 
-@query("find_profiles_peaks")
+def _peaks_sql(name: str, x: str, height: str, prominence: float, width: float, distance: int) -> str:
+    """Peaks of x by neighbours, walls and crossings; the wave has no plateaus."""
+    of = lambda t: x.replace("x", f"{t}.x")
+    return f"""{name}0 as (select d, i, x from (select d, i, {x} as x, lag({x}) over w as a, lead({x}) over w as b from s window w as (partition by d order by i)) where x > a and x > b),
+{name}1 as (select p.d, p.i, p.x, coalesce(max(case when s.i < p.i and {of('s')} > p.x then s.i end), 0) as l, coalesce(min(case when s.i > p.i and {of('s')} > p.x then s.i end), 1000000000) as r from {name}0 p join s on s.d = p.d group by p.d, p.i, p.x),
+{name}2 as (select p.d, p.i, p.x, p.l, p.r, p.x - greatest(min(case when s.i <= p.i then {of('s')} end), min(case when s.i >= p.i then {of('s')} end)) as h from {name}1 p join s on s.d = p.d and s.i > p.l and s.i < p.r group by p.d, p.i, p.x, p.l, p.r),
+{name}3 as (select p.d, p.i, p.x, p.h, max(case when s.i < p.i and {of('s')} <= p.x - p.h / 2 then s.i end) as l, min(case when s.i > p.i and {of('s')} <= p.x - p.h / 2 then s.i end) as r from {name}2 p join s on s.d = p.d and s.i > p.l and s.i < p.r group by p.d, p.i, p.x, p.h),
+{name}4 as (select q.d, q.i, q.x, q.h, q.r - ((q.x - q.h / 2) - ({of('b')})) / (({of('b1')}) - ({of('b')})) - (q.l + ((q.x - q.h / 2) - ({of('a')})) / (({of('a1')}) - ({of('a')}))) as w
+  from {name}3 q join s a on a.d = q.d and a.i = q.l join s a1 on a1.d = q.d and a1.i = q.l + 1 join s b on b.d = q.d and b.i = q.r join s b1 on b1.d = q.d and b1.i = q.r - 1),
+{name} as (select d, i from {name}4 p where {height} and h >= {prominence} and w >= {width} and not exists (select 1 from {name}0 o where o.d = p.d and abs(o.i - p.i) < {distance} and (o.x > p.x or (o.x = p.x and o.i > p.i))))"""
+
+
+PEAKS = f"""with {LOG}, s as (select deployment_id as d, row_number() over (partition by deployment_id order by sample_idx) as i, abs(row_number() over (partition by deployment_id order by sample_idx) % 200 - 100) * -0.5 + 50 as x from log),
+n as (select d, max(i) as n from s group by 1),
+{_peaks_sql("up", "x", "x >= 25", 25, 20, 20)},
+{_peaks_sql("lo", "-x", "true", 2, 5, 5)},
+t as (select d, i, lead(x) over w - x as step from s window w as (partition by d order by i)),
+g as (select d, i, min(step) over w >= 0.01 and count(step) over w = 4 as down, max(step) over w <= -0.01 and count(step) over w = 4 as rise from t window w as (partition by d order by i rows between current row and 3 following)),
+c as (select up.d, up.i as peak, greatest(coalesce((select max(i) from lo where lo.d = up.d and lo.i < up.i), 1), coalesce(lag(up.i) over w, 1)) as low, least(coalesce((select min(i) from lo where lo.d = up.d and lo.i > up.i), n.n), coalesce(lead(up.i) over w, n.n)) as high from up join n on n.d = up.d window w as (partition by up.d order by up.i)),
+a as (select c.d, c.peak, c.high, min(case when g.down and g.i >= c.low and g.i < c.peak then g.i end) as start, min(case when g.rise and g.i >= c.peak and g.i < c.high then g.i end) as rise, max(case when g.rise and g.i >= c.peak and g.i < c.high then g.i end) as last from c join g on g.d = c.d group by c.d, c.peak, c.high),
+e as (select a.d, a.peak, a.start, a.rise, least(a.last + 4, a.high) as stop, least(max(g.i) + 4, a.peak) as down_end from a join g on g.d = a.d and g.down and g.i >= a.start and g.i < greatest(a.peak - 3, a.start + 1) where a.start is not null and a.last is not null group by a.d, a.peak, a.start, a.rise, a.last, a.high)
+select d as deployment_id, (row_number() over (partition by d order by peak) - 1)::bigint as cycle, start as down_start, down_end, greatest(rise, down_end) as up_start, stop as up_end from e"""
+
+
+@query("find_profiles_peaks", PEAKS)
 def _(spark, d):
     df = log(spark, d)
     place = F.row_number().over(KEYS.log())
@@ -364,10 +406,32 @@ def _(spark, d):
     return df.select(D, S, F.round("sp", 6).alias("sp"), F.round("sa", 6).alias("sa"))
 
 
-@query("derived_variables")
+def _derived_sql() -> str:
+    """The chain step by step: salinity from conductivity, then temperatures, then what depends on both."""
+    salinity = SPQ.replace("select event_id, round(", "select *, ").replace(", 6) as r from q", " as sp from q")
+    entropy = lambda t, z: f"(-0.025 * {terms(sw.ENTROPY, 'u', f'({t} * 0.025)', z)})"
+    flat = {k: c for k, c in sw.ENTROPY.items() if not k[2]}
+    slope = terms({(i, j - 1, 0): c * j for (i, j, _), c in flat.items() if j}, "u", "(pt * 0.025)", "1.0")
+    newton = ", ".join(f"m{i + 1} as (select * replace (pt - (-0.025 * {terms(flat, 'u', '(pt * 0.025)', '1.0')} - e) / (-0.000625 * {slope}) as pt) from m{i})" for i in range(5))
+    names = {
+        "density_anomaly": f"1 / {terms({k: c for k, c in sw.SPECVOL.items() if not k[2]})} - 1000", "potential_temperature": "pt", "sea_water_density": f"1 / {V}", "spiciness": terms(sw.SPICE),
+        "speed_of_sound": f"1e4 * sqrt({V} * {V} / (-1 * {terms({(i, j, k - 1): c * k for (i, j, k), c in sw.SPECVOL.items() if k})}))", "freezing_point": terms(sw.FREEZING, "sqrt(sa * 1e-2)", "1.0"),
+        "thermal_expansion_coefficient": f"0.025 * {terms({(i, j - 1, k): c * j for (i, j, k), c in sw.SPECVOL.items() if j})} / {V}", "haline_contraction_coefficient": f"-0.5 * {sw.SFAC} * {terms({(i - 1, j, k): c * i for (i, j, k), c in sw.SPECVOL.items() if i})} / (x * {V})",
+    }
+    scaled = {"thermal_expansion_coefficient": 10, "haline_contraction_coefficient": 10, "speed_of_sound": 5}
+    gravity = "9.780327 * (1 + 5.2792e-3 * sin(radians(45.0))**2 + 2.32e-5 * sin(radians(45.0))**4)"
+    return f"""with k as ({salinity}), k1 as (select event_id, p, ct as t, sp, sp * 35.16504 / 35 as sa, p * 1e-4 as z from k),
+k2 as (select *, sqrt({sw.SFAC} * sa) as u, sqrt({sw.SFAC} * sa + {sw.OFFSET}) as x from k1), m0 as (select *, {entropy("t", "z")} as e, t as pt from k2), {newton},
+f as (select *, {terms(sw.POTENTIAL_ENTHALPY, "u", "(pt * 0.025)", "1.0")} / {sw.CP0} as ct, {H0} as h from m5), f2 as (select *, ct * 0.025 as y from f)
+select event_id as sample_idx, 0.0 + round(-2 * h / ({gravity} + sqrt({gravity} * {gravity} + 2 * 2.26e-7 * {gravity} * h)), 6) as z, round(sp, 6) as practical_salinity, round(sa, 6) as absolute_salinity, round(ct, 6) as conservative_temperature, {", ".join(f"round({f}, {scaled.get(n, 6)}) as {n}" for n, f in names.items())} from f2"""
+
+
+@query("derived_variables", _derived_sql())
 def _(spark, d):
     df = sea(spark, d).select(F.lit("d").alias(D), (F.col("event_id") % 50).alias(P), F.col("event_id").alias(S), F.col("c").alias("electrical_conductivity"), F.col("ct").alias("temperature"), F.col("p").alias("sea_pressure"), F.lit(45.0).alias("latitude"))
-    return derived.derive(df, {v.flag: v.flag != "oxygen_concentration" for v in derived.VARIABLES})[0]
+    out, _t, added = derived.derive(df, {v.flag: v.flag != "oxygen_concentration" for v in derived.VARIABLES})
+    digits = {"thermal_expansion_coefficient": 10, "haline_contraction_coefficient": 10, "speed_of_sound": 5}
+    return out.select(S, *(F.round(c, digits.get(c, 6)).alias(c) for c in added))
 
 
 # Binning. Ten profiles a deployment, so bins have several values.
@@ -424,20 +488,32 @@ def _irls(weight: str, rounds: int = 100) -> str:
     body = GROUPS.replace("with ", "")
     return f"""with recursive {body},
 s as (select *, list_median(l) as loc, 0 as it from g where n >= 3), s2 as (select *, {spread("loc")} as s from s),
-it(deployment_id, profile_idx, bin, l, loc, s, done, it) as (
-  select deployment_id, profile_idx, bin, l, loc, s, s = 0, 0 from s2
+it(deployment_id, profile_idx, bin, l, loc, s, u, done, it) as (
+  select deployment_id, profile_idx, bin, l, loc, s, s * 1e-9::double, s = 0, 0 from s2
   union all
-  select deployment_id, profile_idx, bin, l, case when w = 0 then loc else na end, case when w = 0 then s else ns end, w = 0 or ns = 0 or abs(na - loc) < 1e-8 * ns, it + 1
+  select deployment_id, profile_idx, bin, l, case when w = 0 then loc else na end, case when w = 0 then s else ns end, u, w = 0 or ns = 0 or abs(na - loc) < 1e-8 * ns, it + 1
   from (select *, {spread("na")} as ns from (
-    select *, list_sum(list_transform(l, lambda v: ({weight}) * v)) / nullif(list_sum(list_transform(l, lambda v: {weight})), 0) as na, list_sum(list_transform(l, lambda v: {weight})) as w
+    select *, floor(list_sum(list_transform(l, lambda v: ({weight}) * v)) / nullif(list_sum(list_transform(l, lambda v: {weight})), 0) / u + 0.5) * u as na, list_sum(list_transform(l, lambda v: {weight})) as w
     from it where not done and it < {rounds})))
 select deployment_id, profile_idx, bin, round(arg_max(loc, it), 6) as x from it group by 1, 2, 3
 union all select deployment_id, profile_idx, bin, round(list_avg(l), 6) from g where n < 3"""
 
 
+# Locations are rounded on both sides: some bins never settle, and then the last digit of a sum would decide.
 reducer("bin_huber", "huber", _irls("case when abs((v - loc) / s) <= 1.345 then 1.0::double else 1.345 / abs((v - loc) / s) end"))
-# Some bins never settle, and after dozens of rounds the last digits decide: twelve rounds on both sides.
-reducer("bin_biweight", "biweight", _irls("case when abs((v - loc) / s) <= 4.685 then (1 - ((v - loc) / s / 4.685)**2)**2 else 0.0::double end", 12), max_iter=12)
+reducer("bin_biweight", "biweight", _irls("case when abs((v - loc) / s) <= 4.685 then (1 - ((v - loc) / s / 4.685)**2)**2 else 0.0::double end"))
+
+
+MIX = {"method": "trimmed_mean", "channels": {"x": {"method": "median"}, "y": {"trimmed_mean": {"proportion_to_cut": 0.1}}}}
+
+
+@query("bin_method_mix", f"with {BINS.replace('(event_id % 1009) / 10.0 as x', '(event_id % 1009) / 10.0 as x, (event_id % 877) / 10.0 as y, (event_id % 613) / 10.0 as w')}, r as (select deployment_id, profile_idx, i::int as bin, x, y, w, row_number() over (partition by deployment_id, profile_idx, i order by y) as ky, row_number() over (partition by deployment_id, profile_idx, i order by w) as kw, count(*) over (partition by deployment_id, profile_idx, i) as n from a), q as (select *, floor(n * 0.1)::int as cy, floor(n * 0.2)::int as cw from r) select deployment_id, profile_idx, bin, round(median(x), 6) as x, round(avg(y) filter (where n < 3 or (ky > cy and ky <= n - cy)), 6) as y, round(avg(w) filter (where n < 3 or (kw > cw and kw <= n - cw)), 6) as w from q group by 1, 2, 3")
+def _(spark, d):
+    """Methods by channel, as the settings resolve them: one of its own, one with a parameter of its own, one as all others."""
+    settings, k = Bin.model_validate(MIX), F.col(S)
+    df = cells(spark, d).withColumns({"y": k % 877 / 10.0, "w": k % 613 / 10.0})
+    out = binning.reduce_bins(binning.with_bin(df, binning.bin_edges(df, "z", 4.0)), {c: settings.resolved(c) for c in ("x", "y", "w")})
+    return out.select(D, P, "bin", *(F.round(c, 6).alias(c) for c in ("x", "y", "w")))
 
 
 @query("bin_deployment", f"with {BINS}, p as (select distinct deployment_id, profile_idx from b0), f as (select deployment_id, profile_idx, i, avg(x) as x, median(z) as z from a group by 1, 2, 3) select p.deployment_id, p.profile_idx, k.i::int as bin, round(c, 6) as bin_center, round(x, 6) as x, round(z, 6) as z from p join k on p.deployment_id = k.deployment_id left join f on f.deployment_id = p.deployment_id and f.profile_idx = p.profile_idx and f.i = k.i")
