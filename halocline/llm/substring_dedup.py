@@ -11,8 +11,10 @@
    statistics, cut at the window's length, and with them the windows that a smaller id has.
 
 A mark of many documents would fill a shard with as many stretches. Its windows are routed by
-their own hash instead: windows of one document go, of the others only the first one's are in the
-index, and the rest is streamed past it by as many tasks as that needs.
+their own hashes instead: windows of one document go, of the others only the first one's are in the
+index, and the rest is streamed past it by as many tasks as that needs. Who is first is found in
+two steps, within groups of a bounded number of documents and then across these by the window's
+hash, and stretches travel whole, so a mark costs a row for each document, however many share it.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from .words import Block, blocks, mix, sliding, windows
 WINDOW = 50
 GRAM = 26
 HOT = 64  #: marks of more documents than this are routed window by window
+GROUP = 1024  #: documents whose windows of a hot mark meet in one group
 KEY_WORDS = 2000  #: words of a document that make up one routing key
 SHARD_WORDS, STREAM_WORDS = 200_000, 400_000
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -83,7 +86,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _RUN = pa.struct([("key", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()), ("words", pa.binary())])
-_FOUND = "doc_id long, k1 long, runs array<struct<key:long,start:int,n_words:int,words:binary>>, starts array<int>, hashes array<long>, text string"
+_HOT = pa.struct([("mark", pa.int64()), ("groups", pa.int32()), ("group", pa.int32()), ("start", pa.int32()), ("hashes", pa.binary())])
+_FOUND = "doc_id long, k1 long, runs array<struct<key:long,start:int,n_words:int,words:binary>>, hot array<struct<mark:long,groups:int,group:int,start:int,hashes:binary>>, text string"
 
 
 def _stretches(at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -94,11 +98,11 @@ def _stretches(at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]
 
 
 def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, marks: (mark, key, hot)) -> runs of windows by key; of hot marks the windows' places and hashes, with the text."""
+    """(doc_id, text, marks: (mark, key, groups)) -> runs of windows by key; of hot marks, which have groups, runs with the windows' hashes, and the text."""
     for batch in batches:
         lists, offs = batch.column(2).flatten(), batch.column(2).offsets.to_numpy()
         offs = offs - offs[0]
-        mark, key, hot = (lists.field(c).to_numpy(zero_copy_only=False) for c in ("mark", "key", "hot"))
+        mark, key, groups = (lists.field(c).to_numpy(zero_copy_only=False) for c in ("mark", "key", "groups"))
         mark = mark.view(np.uint64)
         for block in blocks(batch.column(1)):
             h = block.hashes()
@@ -113,19 +117,89 @@ def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.minimum(np.searchsorted(known, least[a:b]), len(known) - 1)
                 shared = room[a:b] & (known[at] == least[a:b])
                 at = order[at]
-                busy = shared & hot[own][at]
+                busy = shared & (groups[own][at] > 0)
                 one = np.flatnonzero(shared & ~busy)
                 word = lambda s, e, a=a: block.data[block.starts[a + s] : block.ends[a + e - 1]].tobytes()
                 runs = [{"key": k, "start": s, "n_words": e - s + WINDOW, "words": word(s, e + WINDOW)} for k, s, e in _stretches(one, key[own][at[one]])]
                 many = np.flatnonzero(busy)
-                out.append((runs, many.astype(np.int32), whole[a:b][many].view(np.int64), batch.column(1)[block.first + d].as_py() if len(many) else None))
-            runs, starts, hashes, text = zip(*out, strict=True)
+                share = np.uint64(batch.column(0)[block.first + d].as_py() % (1 << 64))
+                hot = []
+                for place, s, e in _stretches(many, at[many]):
+                    n, m = int(groups[own][place]), mark[own][place]
+                    hot.append({"mark": int(m.view(np.int64)), "groups": n, "group": int(mix(np.array([share ^ m]))[0] % np.uint64(n)), "start": s, "hashes": whole[a + s : a + e + 1].tobytes()})
+                out.append((runs, hot, batch.column(1)[block.first + d].as_py() if hot else None))
+            runs, hot, text = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(block.first, block.n_docs), pa.array(k1), pa.array(runs, pa.list_(_RUN)), pa.array(starts, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(text, pa.string())],
-                ["doc_id", "k1", "runs", "starts", "hashes", "text"],
+                [batch.column(0).slice(block.first, block.n_docs), pa.array(k1), pa.array(runs, pa.list_(_RUN)), pa.array(hot, pa.list_(_HOT)), pa.array(text, pa.string())],
+                ["doc_id", "k1", "runs", "hot", "text"],
             )
 
 
+def _joined(pdf: pd.DataFrame, *columns: tuple[str, str]) -> list[np.ndarray]:
+    """Binary columns of arrays, each as one array; then the row of each value."""
+    n = pdf[columns[0][0]].map(len).to_numpy() // np.dtype(columns[0][1]).itemsize
+    return [*(np.frombuffer(b"".join(pdf[c]), kind) for c, kind in columns), np.repeat(np.arange(len(pdf)), n)]
+
+
+def _firsts(h: np.ndarray, doc: np.ndarray, start: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each different hash: itself, its least (doc, start), and its greatest doc."""
+    order = np.lexsort((start, doc, h))
+    new = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
+    return h[order][new], doc[order][new], start[order][new], np.maximum.reduceat(top[order], new)
+
+
+def _within(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Stretches of one group of a mark -> its different windows with their first and last documents, dealt over buckets by hash."""
+    h, row = _joined(pdf, ("hashes", "<u8"))
+    n = np.bincount(row, minlength=len(pdf))
+    place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+    doc = pdf["doc_id"].to_numpy()[row]
+    h, doc, start, top = _firsts(h, doc, pdf["start"].to_numpy()[row] + place, doc)
+    groups = int(pdf["groups"].iloc[0])
+    bucket = (mix(h) % np.uint64(groups)).astype(np.int64)
+    out = []
+    for b in range(groups):
+        at = bucket == b if groups > 1 else doc < top
+        if at.any():
+            out.append((pdf["mark"].iloc[0], b, pdf["group"].iloc[0], h[at].tobytes(), doc[at].astype("<i8").tobytes(), start[at].astype("<i4").tobytes(), top[at].astype("<i8").tobytes()))
+    return pd.DataFrame(out, columns=["mark", "bucket", "group", "hashes", "docs", "starts", "tops"])
+
+
+def _across(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's windows of all groups of a mark -> for each group those of its windows that two documents have, with the first."""
+    h, doc, start, top, row = _joined(pdf, ("hashes", "<u8"), ("docs", "<i8"), ("starts", "<i4"), ("tops", "<i8"))
+    known, doc, start, top = _firsts(h, doc, start, top)
+    at = np.searchsorted(known, h)
+    out = []
+    for r, group in enumerate(pdf["group"]):
+        mine = at[row == r]
+        mine = mine[doc[mine] < top[mine]]
+        if len(mine):
+            out.append((pdf["mark"].iloc[0], group, known[mine].tobytes(), doc[mine].astype("<i8").tobytes(), start[mine].astype("<i4").tobytes()))
+    return pd.DataFrame(out, columns=["mark", "group", "hashes", "docs", "starts"])
+
+
+_OWNED = "doc_id long, k1 long, found array<struct<start:int,key:long,first:boolean>>"
+
+
+def _owned(stretches: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
+    """The windows of each stretch that two documents have, with the first one's key."""
+    if not len(firsts) or not len(stretches):
+        return pd.DataFrame([], columns=["doc_id", "k1", "found"], dtype=object)
+    known, owner, place, _ = _joined(firsts, ("hashes", "<u8"), ("docs", "<i8"), ("starts", "<i4"))
+    order = np.argsort(known)
+    known, owner = known[order], owner[order]
+    key = mix(mix(owner.astype(np.uint64)) + (place[order] // KEY_WORDS).astype(np.uint64)).view(np.int64)
+    out = []
+    for doc, k1, start, hashes in zip(*(stretches[c] for c in ("doc_id", "k1", "start", "hashes")), strict=True):
+        h = np.frombuffer(hashes, "<u8")
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        has = np.flatnonzero(known[at] == h)
+        if len(has):
+            out.append((doc, k1, [{"start": start + int(i), "key": int(key[at[i]]), "first": bool(owner[at[i]] == doc)} for i in has]))
+    return pd.DataFrame(out, columns=["doc_id", "k1", "found"])
+
+
 _ROUTED = "doc_id long, k1 long, key long, start int, n_words int, words binary, indexed boolean, streamed boolean"
 
 
@@ -215,15 +289,17 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text
     key = lambda doc, place: F.xxhash64(doc, F.floor(place / F.lit(KEY_WORDS)))
     # Stored, here and below: Spark splits a hot key of a join only if both sides are plain tables.
     shared = marks.groupBy("mark").agg(F.min(F.struct("doc_id", "place")).alias("o"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
-    shared = stored(shared.where("o.doc_id < b").select("mark", key(F.col("o.doc_id"), F.col("o.place")).alias("key"), (F.col("n") > HOT).alias("hot")), "shared")
-    marked = stored(marks.select("doc_id", "mark").join(shared, "mark").groupBy("doc_id").agg(F.collect_list(F.struct("mark", "key", "hot")).alias("marks")), "marks")  # a document's own, at most
+    groups = F.when(F.col("n") > HOT, F.ceil(F.col("n") / F.lit(GROUP))).otherwise(0).cast("int")
+    shared = stored(shared.where("o.doc_id < b").select("mark", key(F.col("o.doc_id"), F.col("o.place")).alias("key"), groups.alias("groups")), "shared")
+    marked = stored(marks.select("doc_id", "mark").join(shared, "mark").groupBy("doc_id").agg(F.collect_list(F.struct("mark", "key", "groups")).alias("marks")), "marks")  # a document's own, at most
     some = members(docs.where("doc_id is not null"), "doc_id", marked.select("doc_id")).join(marked, "doc_id")
     found = stored(some.select("doc_id", "text", "marks").mapInArrow(_stretched, _FOUND), "found")
 
-    places = found.where(F.size("starts") > 0).select("doc_id", "k1", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("doc_id", "k1", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
-    owners = places.groupBy("hash").agg(F.min(F.struct("doc_id", "start")).alias("o"), F.max("doc_id").alias("b")).where("o.doc_id < b")
-    owners = stored(owners.select("hash", F.col("o.doc_id").alias("owner"), key(F.col("o.doc_id"), F.col("o.start")).alias("key")), "owners")
-    routed = places.join(owners, "hash").groupBy("doc_id", "k1").agg(F.collect_list(F.struct("start", "key", (F.col("owner") == F.col("doc_id")).alias("first"))).alias("found"))
+    stretches = found.where(F.size("hot") > 0).select("doc_id", "k1", F.explode("hot").alias("h")).select("doc_id", "k1", "h.*")
+    within = stretches.groupBy("mark", "group").applyInPandas(_within, "mark long, bucket int, group int, hashes binary, docs binary, starts binary, tops binary")
+    across = within.groupBy("mark", "bucket").applyInPandas(_across, "mark long, group int, hashes binary, docs binary, starts binary")
+    owned = stretches.groupBy("mark", "group").cogroup(across.groupBy("mark", "group")).applyInPandas(_owned, _OWNED)
+    routed = owned.groupBy("doc_id", "k1").agg(F.flatten(F.collect_list("found")).alias("found"))  # a document's own, at most
     hot = found.where("text is not null").select("doc_id", "k1", "text").join(routed, ["doc_id", "k1"]).mapInArrow(_hot_runs, _ROUTED)
     plain = found.select("doc_id", "k1", F.explode("runs").alias("r")).select("doc_id", "k1", "r.*", F.lit(True).alias("indexed"), F.lit(True).alias("streamed"))
     runs = stored(plain.unionByName(hot), "runs")

@@ -144,6 +144,7 @@ def test_dedup_matches_brute_force(documents, text, odd):
 def test_dedup_of_hot_marks_matches_brute_force(documents, text, odd, monkeypatch):
     """Marks of more than two documents go window by window, and shards are small enough to be several."""
     monkeypatch.setattr(substring_dedup, "HOT", 2)
+    monkeypatch.setattr(substring_dedup, "GROUP", 4)
     monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 300)
     monkeypatch.setattr(substring_dedup, "STREAM_WORDS", 500)
     p, q = text(90, 77), text(40, 78)
