@@ -6,21 +6,26 @@ parent restaurant, whose base spells a token byte by byte: restaurants for the l
 one and no bytes, each the parent of the longer ones, over a uniform base. So every token has a
 probability after every context, seen or not.
 
-Gibbs sweeps alternate two steps. The tables of each pair of context and token, and those of
-each token in the parent, are sampled on the cluster given the parents' probabilities: customers
-are seated one after another, beyond 50 of a dish in blocks of a fiftieth of those seated, within
-which the chance of a new table stays as it is. A pair seen once has one table, so it is only
-counted. The tables of the parent restaurant are the customers of the spelling restaurants: those
-of three bytes are sampled on the cluster, those of two, one and no bytes, of which there are
-258 * 258 at most, on the driver. The predictive probabilities of the sweeps after the first are
+A Gibbs sweep takes the customers of each dish of each restaurant out and seats them again, given
+all others: the number of their tables is drawn from its distribution given the tables of the
+other dishes and the parent's probability, exactly up to 64 customers, beyond that one after
+another with blocks of a fiftieth of those seated. Tables of the context restaurants are customers
+of the parent, its tables are customers of the spelling restaurants. Draws depend on the context,
+the token and the sweep alone, so the model and the scores are the same however the texts are
+dealt over files and tasks. The predictive probabilities of the sweeps after the first are
 averaged.
 
-Scoring reads the most frequent pairs' probabilities from a broadcast table of fixed size; the
-other pairs of each text are joined to the model by their hashes.
+Data travel in few, large rows. Contexts and tokens are dealt over buckets by hash, and each
+bucket is one row of packed arrays; a frequent context has its tokens in several buckets. In a
+sweep, a bucket of contexts sends its numbers of tables to the buckets of tokens that it holds, and
+gets their probabilities back. To score, a text sends each of its pairs that the broadcast head of
+the model does not settle to the pair's bucket, which answers with one sum for each text.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,21 +34,100 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import members
-from .importance import kth_largest
-from .shared import stored, table
+from .shared import hadoop_fs, shared_dir, stored, table
 from .words import Block, blocks, hash_spans, mix
 
-HEAD = 1 << 19  #: pairs in the broadcast table
-FLUSH = 1 << 20  #: different pairs that a task holds before it passes on their counts
-CONTEXTS = 1 << 14  #: three-byte contexts whose spelling is broadcast; bytes after others are joined to theirs
+HEAD = 1 << 19  #: tokens, and pairs, in the broadcast head
+FLUSH = 3 << 19  #: different pairs that a task holds before it passes on their counts
+BUCKET_BYTES = 16 << 20  #: of text for each bucket
+SAMPLE_ROWS, FREQUENT = 20_000, 1e-5  #: texts, by hash, that tell frequent contexts; their least share of the words there
+CONTEXTS = 1 << 15  #: three-byte contexts whose spelling is broadcast; bytes after others are joined to theirs
 SWEEPS, BURN_IN = 3, 1
+EXACT = 64  #: customers up to which tables are drawn from their distribution
 THETA = 1.0
 START, STOP, SYMBOLS = 256, 257, 258
 _END = np.uint64(0x5851F42D4C957F2D)  #: hash of the end token
 _BEGIN = np.uint64(0x14057B7EF767814F)  #: hash of the context of a text's first token
 
 
+def pack(*arrays) -> bytes:
+    return pickle.dumps(arrays, 5)
+
+
+def small(x: np.ndarray) -> np.ndarray:
+    """x, which has no negative values, in the smallest type that holds it."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
+def uniform(keys: np.ndarray, *salts: int) -> np.ndarray:
+    """A number between 0 and 1 for each key, the same in every run."""
+    for salt in salts:
+        keys = mix(keys ^ mix(np.array([salt], np.uint64)))
+    return ((keys >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+
+
+def binomial(n: np.ndarray, p: np.ndarray, keys: np.ndarray, *salts: int) -> np.ndarray:
+    """Successes in n trials, by inversion; by the normal distribution where 30 or more are expected."""
+    u, many = uniform(keys, *salts, 1), n * p >= 30
+    out = np.zeros(len(n), np.int64)
+    if many.any():
+        z = np.sqrt(-2 * np.log(u[many])) * np.cos(2 * np.pi * uniform(keys[many], *salts, 2))
+        out[many] = np.clip(np.rint(n[many] * p[many] + z * np.sqrt(n[many] * p[many] * (1 - p[many]))), 0, n[many])
+    at = np.flatnonzero(~many & (p > 0))
+    odds, mass = p[at] / np.maximum(1 - p[at], 1e-300), np.exp(n[at] * np.log1p(-np.minimum(p[at], 1 - 1e-16)))
+    below, k = mass.copy(), 0
+    while len(at):
+        on = (u[at] > below) & (k < n[at])
+        out[at[~on]] = k
+        at, odds, mass, below = at[on], odds[on], mass[on], below[on]
+        mass = mass * odds * (n[at] - k) / (k + 1)
+        below, k = below + mass, k + 1
+    return out
+
+
+def stirling(discount: float, most: int = EXACT) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: ways to seat c customers at t tables, weighted by the discount."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = out[1, 1] = 0.0
+    for c in range(1, most):
+        t = np.arange(1, c + 2)
+        stay = out[c, 1 : c + 2] + np.log(np.maximum(c - discount * t, 1e-300))
+        out[c + 1, 1 : c + 2] = np.logaddexp(out[c, : c + 1], stay)
+    return out
+
+
+def seated(customers: np.ndarray, p0: np.ndarray, total: np.ndarray, own: np.ndarray, discount: float, keys: np.ndarray, salt: int) -> np.ndarray:
+    """Tables of each dish after its customers were taken out and seated again.
+
+    p0: the parent's probability of the dish; total, own: the tables of its restaurant and those of the dish before.
+    """
+    t = np.minimum(customers, 1).astype(np.int64)
+    order = np.argsort(customers, kind="stable")
+    cuts = np.searchsorted(customers[order], np.arange(2, EXACT + 2))
+    ways, others = stirling(discount), (total - own).astype(float)
+    for c in range(2, EXACT + 1):
+        rows = order[cuts[c - 2] : cuts[c - 1]]
+        for at in np.array_split(rows, max(1, len(rows) * c >> 21)):
+            if not len(at):
+                continue
+            i = np.arange(c)
+            weight = ways[c, 1 : c + 1] + np.cumsum(np.log(THETA + discount * (others[at, None] + i)), 1) + (i + 1) * np.log(np.maximum(p0[at, None], 1e-300))
+            chance = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
+            t[at] = np.minimum((chance < uniform(keys[at], salt, 3)[:, None] * chance[:, -1:]).sum(1) + 1, c)
+    at = order[cuts[EXACT - 1] :]
+    k, n, c = np.ones(len(at)), np.ones(len(at), np.int64), customers[at].astype(float)
+    a, grow, key, turn = (THETA + discount * others[at]) * p0[at], discount * p0[at], keys[at], 0
+    while len(at):
+        step = np.minimum(np.maximum(1, k // 50), c - k)
+        new = a + grow * n
+        n = n + binomial(step, np.clip(new / np.maximum(k - discount * n + new, 1e-300), 0, 1), key, salt, 4, turn)
+        k, turn = k + step, turn + 1
+        t[at] = n
+        on = k < c
+        at, k, n, c, a, grow, key = at[on], k[on], n[on], c[on], a[on], grow[on], key[on]
+    return t
+
+
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables of each dish after seating its customers. strength: (theta + d * tables of the restaurant) * base probability."""
     tables = np.minimum(customers, 1).astype(np.int64)
@@ -123,8 +207,8 @@ def _seat_three(two: np.ndarray, p2: np.ndarray, d: float, sweep: int):
             size = batch.column(1).value_lengths().to_numpy()
             symbol, n = (batch.column(i).flatten().to_numpy() for i in (1, 2))
             row, at = np.repeat(np.arange(len(size)), size), np.searchsorted(two, context & ((1 << 18) - 1))
-            rng = np.random.default_rng([sweep, 3, int(np.bitwise_xor.reduce(context)), len(context)])
-            t = seat(n, (THETA + d * size[row]) * p2[at[row], symbol].astype(float), d, rng)
+            key = mix(((context[row] << 9) | symbol).view(np.uint64))
+            t = seated(n, p2[at[row], symbol].astype(float), size[row], np.ones(len(row)), d, key, sweep)  # the other symbols have a table each at least
             cuts = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (symbol, n, t))], ["context", "symbol", "n", "t"])
 
@@ -207,77 +291,31 @@ def spell(of: tuple, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return out, *(np.concatenate(x) for x in zip(*far, strict=True))
 
 
+def ragged(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of these stretches of data, one after another."""
+    lengths = lengths.astype(np.int64)
+    ends = np.cumsum(lengths)
+    return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u) + w)
 
 
-def _tokens_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, token, document) of each token; the documents' end tokens come last."""
-    h, some = block.hashes(), block.n_words() > 0
-    u, last = np.full(len(h), _BEGIN), np.full(block.n_docs, _BEGIN)
-    u[1:] = h[:-1]
-    u[block.doc[:-1][some]] = _BEGIN
-    last[some] = h[block.doc[1:][some] - 1]
-    return np.append(u, last), np.append(h, np.full(block.n_docs, _END)), np.append(block.doc_of_word(), np.arange(block.n_docs))
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, word, n) of each task's texts."""
-    keys, counts, texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
-    pending: list[tuple] = []
-
-    def merged() -> None:
-        nonlocal keys, counts, texts, pending
-        if pending:
-            k, n, t = (np.concatenate([a, *b]) for a, b in zip((keys, counts, texts), zip(*pending, strict=True), strict=True))
-            keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
-            counts, texts, pending = np.bincount(inverse, n).astype(np.int64), t[first], []
+def _before(block: Block, x: np.ndarray, begin) -> np.ndarray:
+    """What stands before each word, and before the end of each document: the word's x, or begin."""
+    some = block.n_words() > 0
+    u, last = np.full(len(x), begin), np.full(block.n_docs, begin)
+    u[1:] = x[:-1]
+    u[block.doc[:-1][some]] = begin
+    last[some] = x[block.doc[1:][some] - 1]
+    return np.append(u, last)
 
-    ends = 0
-    for batch in batches:
-        for block in blocks(batch.column(0), lower=True):
-            ends += block.n_docs
-            k, first, n = np.unique(block.hashes(), return_index=True, return_counts=True)
-            new = np.ones(len(k), bool)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                new = keys[at] != k
-                np.add.at(counts, at[~new], n[~new])
-            pending.append((k[new], n[new], np.array([block.word(i) for i in first[new]], object)))
-            if sum(len(p[0]) for p in pending) > max(200_000, len(keys)):
-                merged()
-    merged()
-    for part in np.array_split(np.arange(len(keys)), max(1, len(keys) // 100_000)):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(list(texts[part]), pa.binary()), pa.array(counts[part])], ["h", "word", "n"])
-    if ends:
-        yield pa.RecordBatch.from_arrays([pa.array(np.array([_END]).view(np.int64)), pa.array([b""], pa.binary()), pa.array([ends])], ["h", "word", "n"])
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(u, w, n): tokens w after u in each task's texts; a pair comes again after FLUSH others."""
-    held: list[tuple] = []
-
-    def merged() -> tuple:
-        u, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        _, first, inverse = np.unique(_pair(u, w), return_index=True, return_inverse=True)
-        return u[first], w[first], np.bincount(inverse, n).astype(np.int64)
-
-    def out(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(u), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in (u.view(np.int64), w.view(np.int64), n)], ["u", "w", "n"])
 
-    for batch in batches:
-        for block in blocks(batch.column(0), lower=True):
-            u, w, _ = _tokens_of(block)
-            _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
-            held.append((u[first], w[first], n))
-            if sum(len(x[0]) for x in held) > FLUSH:
-                held = [merged()]
-                if len(held[0][0]) > FLUSH // 2:
-                    yield from out(*held[0])
-                    held = []
-    if held:
-        yield from out(*merged())
+def _tokens_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, token, document) of each token; the documents' end tokens come last."""
+    h = block.hashes()
+    return _before(block, h, _BEGIN), np.append(h, np.full(block.n_docs, _END)), np.append(block.doc_of_word(), np.arange(block.n_docs))
 
 
 def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,51 +325,241 @@ def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)), offsets[:-1], offsets[1:]
 
 
-def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return np.where(starts == ends, _END, hash_spans(data, starts, ends))
+@dataclass(frozen=True)
+class Deal:
+    """How contexts and tokens are dealt over buckets. frequent: sorted hashes of contexts, and over how many buckets each goes."""
+
+    n: int
+    frequent: np.ndarray
+    spread: np.ndarray
+
+    def token(self, h: np.ndarray) -> np.ndarray:
+        return (mix(h ^ np.uint64(0x1F)) % np.uint64(self.n)).astype(np.int64)
+
+    def wide(self, u: np.ndarray) -> np.ndarray:
+        if not len(self.frequent):
+            return np.ones(len(u), np.uint64)
+        at = np.minimum(np.searchsorted(self.frequent, u), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == u, self.spread[at], 1).astype(np.uint64)
+
+    def cell(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return ((mix(u ^ np.uint64(0x2F)) + mix(w ^ np.uint64(0x3F)) % self.wide(u)) % np.uint64(self.n)).astype(np.int64)
+
+
+def deal(texts: DataFrame) -> Deal:
+    """From the size of the texts, and the frequent words of those with the least hashes, copies counted once."""
+    t = texts.columns[0]
+    r = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(t)), F.lit(0)).alias("bytes")).first()
+    n = max(1, math.ceil(r["bytes"] / BUCKET_BYTES))
+    if n == 1:
+        return Deal(1, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    share = min(1.0, SAMPLE_ROWS / max(r["n"], 1))
+    some = texts.where(F.pmod(F.xxhash64(t), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))).dropDuplicates([t])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0)
+        for batch in batches:
+            for block in blocks(batch.column(0), lower=True):
+                h = np.append(block.hashes(), np.full(block.n_docs, _BEGIN))
+                keys, inverse = np.unique(np.concatenate([keys, h]), return_inverse=True)
+                counts = np.bincount(inverse, np.concatenate([counts, np.ones(len(h))]), len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "n"])
+
+    sums = stored(some.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "frequent")
+    total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(1 / (4 * n), FREQUENT) * total
+    rows = sums.where(F.col("n") > least).orderBy("h").collect()  # 1 / FREQUENT rows at most
+    h, c = np.array([x["h"] for x in rows], np.int64).view(np.uint64), np.array([x["n"] for x in rows], float)
+    order = np.argsort(h)
+    return Deal(n, h[order], np.minimum(np.ceil(c[order] / total * 4 * n), n).astype(np.uint64))
+
+
+def _rows(out: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of (kind, to, data), or of (to, data)."""
+    kinds = {"kind": pa.string(), "to": pa.int32(), "data": pa.binary()}
+    names = [x.split()[0] for x in schema.split(", ")]
+    columns = list(zip(*out, strict=True)) if out else [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[n]) for c, n in zip(columns, names, strict=True)], names)
+
 
+_MESSAGE, _PART = "to int, data binary", "kind string, to int, data binary"
 
-def _seats(of: str, strength: str, schema: str, sweep: int):
-    """A mapInArrow function: seats the customers in column `of` once more, into column t."""
+
+def _gathered(over: Deal):
+    """A mapInArrow function: counts of a task's words, to the buckets of tokens, and of its pairs, to those of contexts behind them."""
+
+    def dealt(bucket: np.ndarray, first: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(over.n + 1))
+        for b in range(over.n):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                yield _rows([(first + b, pack(*(x[at] for x in arrays)))], _MESSAGE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, fresh = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        lengths, data = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        held: list[tuple] = []
+
+        def grown() -> None:
+            nonlocal keys, counts, lengths, data, fresh
+            k, n, size = (np.concatenate([a, *(f[i] for f in fresh)]) for i, a in enumerate((keys, counts, lengths)))
+            every, starts = np.concatenate([data, *(f[3] for f in fresh)]), np.cumsum(size) - size
+            keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
+            counts, lengths, data, fresh = np.bincount(inverse, n, len(keys)).astype(np.int64), size[first], ragged(every, starts[first], size[first]), []
+
+        def merged() -> tuple:
+            u, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, inverse = np.unique(_pair(u, w), return_index=True, return_inverse=True)
+            return u[first], w[first], np.bincount(inverse, n).astype(np.int64)
+
+        def out(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            order = np.lexsort((w, u))
+            u, w, n = u[order], w[order], n[order]
+            bucket = over.cell(u, w)
+            for b in range(over.n):
+                at = np.flatnonzero(bucket == b)
+                if len(at):
+                    new = np.flatnonzero(np.concatenate([[True], np.diff(u[at]) != 0]))
+                    yield _rows([(over.n + b, pack(u[at][new], small(np.diff(np.append(new, len(at)))), w[at], small(n[at])))], _MESSAGE)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            c, a, d = (batch.column(x).to_numpy(zero_copy_only=False) for x in (of, strength, "d"))
-            key = batch.column(0).to_numpy()
-            rng = np.random.default_rng([sweep, int(np.bitwise_xor.reduce(key).view(np.uint64)), len(key)])  # the same for the same rows
-            t = pa.array(seat(c, a, float(d[0]), rng))
-            names = [x.split()[0] for x in schema.split(", ")]
-            yield pa.RecordBatch.from_arrays([t if x == "t" else batch.column(x) for x in names], names)
+            for block in blocks(batch.column(0), lower=True):
+                h, first, n = np.unique(block.hashes(), return_index=True, return_counts=True)
+                new = np.ones(len(h), bool)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    new = keys[at] != h
+                    counts[at[~new]] += n[~new]
+                size = (block.ends - block.starts)[first[new]]
+                fresh.append((h[new], n[new], size, ragged(block.data, block.starts[first[new]], size)))
+                fresh.append((np.array([_END]), np.array([block.n_docs]), np.zeros(1, np.int64), np.zeros(0, np.uint8)))
+                if sum(len(f[0]) for f in fresh) > max(200_000, len(keys)):
+                    grown()
+                u, w, _ = _tokens_of(block)
+                _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+                held.append((u[first], w[first], n))
+                if sum(len(x[0]) for x in held) > FLUSH:
+                    held[:] = [merged()]
+                    if len(held[0][0]) > FLUSH // 2:
+                        yield from out(*held[0])
+                        held.clear()
+        if held:
+            yield from out(*merged())
+        if fresh:
+            grown()
+        starts, bucket = np.cumsum(lengths) - lengths, over.token(keys)
+        for b in range(over.n):
+            at = np.flatnonzero(bucket == b)
+            if len(at):
+                yield _rows([(b, pack(keys[at], counts[at], small(lengths[at]), ragged(data, starts[at], lengths[at])))], _MESSAGE)
 
     return work
 
 
-def spelled(rows: DataFrame, of: Spelt) -> DataFrame:
-    """(h, log_h) of rows (h, word): log10 probability of the word's spelling."""
-    here = (of.keys, of.log, of.three, of.log3, of.whole)
+def _merged(over: Deal):
+    """An applyInArrow function: what tasks have sent to a bucket -> its parts.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            p, word, context, symbol, low = spell(here, *_spans(batch.column(1)))
-            cuts = pa.array(np.searchsorted(word, np.arange(batch.num_rows + 1)).astype(np.int32))
-            lists = (pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (context, symbol, low))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *lists], ["h", "log_h", "context", "symbol", "low"])
+    Of tokens: (tokens) hashes, counts, lengths, bytes. Of contexts: (cells) contexts, customers, pairs seen once; room, word
+    and customers of each other pair; those words by bucket. (single) the words of the pairs seen once, by context.
+    (base) to the tokens: words, of how many single pairs. (up) to the tokens: words of the other pairs, their tables, one each. (counts) numbers of pairs by
+    customers.
+    """
 
-    near = rows.select("h", "word").mapInArrow(work, "h long, log_h double, context array<long>, symbol array<long>, low array<double>")
-    if of.whole:
-        return near.select("h", "log_h")
-    near = stored(near, "near")
-    far = near.where(F.size("context") > 0).select("h", F.explode(F.arrays_zip("context", "symbol", "low")).alias("x"))
-    far = far.select("h", "x.context", F.col("x.symbol").alias("s"), F.pow(F.lit(10.0), F.col("x.low")).alias("low")).join(of.restaurants, "context", "left")
-    # Symbols are sorted and differ, so one place at most is that of s.
-    own = F.get("own", (F.array_position("symbol", F.col("s").cast("int")) - 1).cast("int"))
-    p = F.when(F.array_contains("symbol", F.col("s").cast("int")), own).otherwise(0.0) + F.coalesce("backoff", F.lit(1.0)) * F.col("low")
-    more = far.select("h", F.log10(p).alias("p")).groupBy("h").agg(F.sum("p").alias("more"))
-    return near.select("h", "log_h").join(more, "h", "left").select("h", (F.col("log_h") + F.coalesce("more", F.lit(0.0))).alias("log_h"))
+    def tokens(b: int, parts: list[tuple]) -> list[tuple]:
+        k, n, size = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
+        data, starts = np.concatenate([p[3] for p in parts]), np.cumsum(size) - size
+        h, first, inverse = np.unique(k, return_index=True, return_inverse=True)
+        c = np.bincount(inverse, n, len(h)).astype(np.int64)
+        kept, times = np.unique(c, return_counts=True)
+        return [("tokens", b, pack(h, small(c), small(size[first]), ragged(data, starts[first], size[first]))), ("counts", b, pack("tokens", kept, times))]
+
+    def contexts(b: int, parts: list[tuple]) -> list[tuple]:
+        u = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+        w, n = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in ((2, np.uint64), (3, np.int64)))
+        order = np.lexsort((w, u))
+        u, w, n = u[order], w[order], n[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(w) != 0)]))
+        u, w, n = u[new], w[new], np.add.reduceat(n, new)
+        rooms, room = np.unique(u, return_inverse=True)
+        one = n == 1
+        kept, times = np.unique(n, return_counts=True)
+        out = [("counts", b, pack("pairs", kept, times)), ("single", b, pack(w[one]))]
+        sent, k = np.unique(w[one], return_counts=True)
+        where = over.token(sent)
+        out += [("base", int(x), pack(sent[where == x], small(k[where == x]))) for x in np.unique(where)]
+        words, place = np.unique(w[~one], return_inverse=True)
+        by = np.lexsort((words, over.token(words)))
+        rank = np.empty(len(words), np.int64)
+        rank[by] = np.arange(len(words))
+        words, place = words[by], rank[place]
+        out.append(("cells", b, pack(rooms, small(np.bincount(room, n, len(rooms)).astype(np.int64)), small(np.bincount(room[one], minlength=len(rooms))), small(room[~one]), small(place), small(n[~one]), words)))
+        return out + _up(over, b, words, np.bincount(place, minlength=len(words)))
+
+    def work(rows: pa.Table) -> pa.Table:
+        to, parts = rows.column("to")[0].as_py(), [pickle.loads(x) for x in rows.column("data").to_pylist()]
+        out = tokens(to, parts) if to < over.n else contexts(to - over.n, parts)
+        return pa.Table.from_batches([_rows(out, _PART)])
+
+    return work
+
+
+def _up(over: Deal, b: int, words: np.ndarray, tables: np.ndarray) -> list[tuple]:
+    """Messages to the tokens' buckets: from where, words, their tables. words are in the order of those buckets."""
+    where = over.token(words)
+    return [("up", int(x), pack(b, words[where == x], small(tables[where == x]))) for x in np.unique(where)]
+
+
+class Parts:
+    """Rows of (kind, to, data) in the shared folder, a folder for each kind."""
+
+    def __init__(self, rows: DataFrame, name: str):
+        self.spark = rows.sparkSession
+        self.path = f"{shared_dir(self.spark)}/{name}-{np.random.default_rng().integers(1 << 62):x}"
+        rows.write.option("compression", "zstd").partitionBy("kind").parquet(self.path)
+
+    def of(self, *kinds: str) -> DataFrame:
+        return self.spark.read.schema(_MESSAGE + ", kind string").parquet(self.path).where(F.col("kind").isin(*kinds)).select(*(x.split()[0] for x in _PART.split(", ")))
+
+    def delete(self) -> None:
+        """Frees the space, when nothing will read it again."""
+        fs, p = hadoop_fs(self.spark, self.path)
+        fs.delete(p, True)
+
+
+def _parsed(rows: pa.Table) -> dict[str, list[tuple]]:
+    out: dict[str, list[tuple]] = {}
+    for kind, data in zip(rows.column("kind").to_pylist(), rows.column("data").to_pylist(), strict=True):
+        out.setdefault(kind, []).append(pickle.loads(data))
+    return out
+
+
+@dataclass
+class State:
+    """A bucket of tokens: hash, count, spelling; customers from single pairs, and all; tables; log10 of the spelling's probability; samples of P(token)."""
+
+    h: np.ndarray
+    c: np.ndarray
+    lengths: np.ndarray
+    data: np.ndarray
+    base: np.ndarray
+    customers: np.ndarray
+    t: np.ndarray
+    log_h: np.ndarray
+    p: list[np.ndarray]
+
+    def packed(self) -> bytes:
+        return pack(self.h, self.c, self.lengths, self.data, small(self.base), small(self.customers), small(self.t), self.log_h.astype(np.float32), self.p)
+
+    @classmethod
+    def of(cls, data: bytes) -> State:
+        made = cls(*pickle.loads(data))
+        made.base, made.customers, made.t = (x.astype(np.int64) for x in (made.base, made.customers, made.t))
+        return made
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ends = np.cumsum(self.lengths.astype(np.int64))
+        return self.data, ends - self.lengths, ends
 
 
 @dataclass(frozen=True)
@@ -345,33 +573,220 @@ class Parent:
     def backoff(self) -> float:
         return (THETA + self.d * self.t) / (THETA + self.n)
 
-    def p(self) -> Column:
+    def p(self, customers: np.ndarray, t: np.ndarray, log_h: np.ndarray) -> np.ndarray:
         """P(token), from its customers, tables and spelling."""
-        return F.greatest(F.col("customers") - self.d * F.col("t"), F.lit(0.0)) / (THETA + self.n) + self.backoff() * F.pow(F.lit(10.0), F.col("log_h"))
+        return np.maximum(customers - self.d * t, 0) / (THETA + self.n) + self.backoff() * 10.0 ** log_h.astype(float)
+
+
+def _begun(state: pa.Table, base: pa.Table) -> pa.Table:
+    """A bucket's tokens with the customers that single pairs send; one table each."""
+    rows = _parsed(state).get("tokens", [])
+    if not rows:
+        return pa.Table.from_batches([_rows([], _PART)])
+    h, c, lengths, data = rows[0]
+    sums = np.zeros(len(h), np.int64)
+    for words, n in _parsed(base).get("base", []):
+        sums[np.searchsorted(h, words)] += n
+    ones = np.ones(len(h), np.int64)
+    made = State(h, c, lengths, data, sums, np.maximum(sums, 1), ones, np.zeros(len(h), np.float32), [])
+    return pa.Table.from_batches([_rows([("state", state.column("to")[0].as_py(), made.packed())], _PART)])
+
+
+def _parents_seated(of: Parent, sweep: int):
+    """A cogroup function: tokens, and the tables that contexts send -> tokens seated in the parent, and replies to the contexts."""
+
+    def work(state: pa.Table, up: pa.Table) -> pa.Table:
+        if not state.num_rows:
+            return pa.Table.from_batches([_rows([], _PART)])
+        now, to, asked = State.of(state.column("data")[0].as_py()), state.column("to")[0].as_py(), _parsed(up).get("up", [])
+        places = [np.searchsorted(now.h, words) for _, words, _ in asked]
+        now.customers = now.base.copy()
+        for at, (_, _, tables) in zip(places, asked, strict=True):
+            now.customers[at] += tables
+        now.t = np.minimum(now.t, now.customers)
+        now.t = seated(now.customers, 10.0 ** now.log_h.astype(float), np.full(len(now.h), of.t), now.t, of.d, mix(now.h), 1000 + sweep)
+        out = [("state", to, now.packed())]
+        for at, (b, _, _) in zip(places, asked, strict=True):
+            out.append(("reply", b, pack(to, small(now.customers[at]), small(now.t[at]), now.log_h[at].astype(np.float32))))
+        return pa.Table.from_batches([_rows(out, _PART)])
+
+    return work
+
+
+@dataclass
+class Rooms:
+    """A bucket of contexts: their hashes, customers and single pairs; of the other pairs the room, word and customers; the words.
+
+    Then of those pairs the tables, and their sums over the samples; of the contexts the customers in all buckets, and samples of theta + d * tables in
+    parts of theta + customers.
+    """
+
+    u: np.ndarray
+    n: np.ndarray
+    once: np.ndarray
+    room: np.ndarray
+    place: np.ndarray
+    customers: np.ndarray
+    words: np.ndarray
+    t: np.ndarray
+    sums: np.ndarray
+    everywhere: np.ndarray
+    backoff: list[np.ndarray]
+
+    @classmethod
+    def of(cls, parts: dict[str, list[tuple]]) -> Rooms:
+        u, *numbers, words = parts["cells"][0]
+        n, once, room, place, customers = (x.astype(np.int64) for x in numbers)
+        t, sums, everywhere, backoff = parts["seats"][0] if "seats" in parts else (np.ones(len(room), np.int64), np.zeros(len(room), np.int64), n, [])
+        return cls(u, n, once, room, place, customers, words, t.astype(np.int64), sums.astype(np.int64), everywhere.astype(np.int64), backoff)
+
+    def own(self, d: float) -> np.ndarray:
+        """The mean over the samples of (customers - d * tables) / (theta + customers of the context), of each pair seen twice or more."""
+        return (self.customers - d * self.sums / len(self.backoff)) / (THETA + self.everywhere[self.room])
+
+    def backoffs(self, over: Deal, frequent: np.ndarray) -> np.ndarray:
+        """(context, sample); frequent: those of contexts that have several buckets, which no bucket knows alone."""
+        out = np.stack(self.backoff, 1).astype(float)
+        wide = np.flatnonzero(over.wide(self.u) > 1)
+        out[wide] = frequent[np.searchsorted(over.frequent, self.u[wide])]
+        return out
+
+
+def _contexts_seated(over: Deal, of: Parent, d: float, sweep: int, kept: bool, frequent: dict[str, np.ndarray]):
+    """A cogroup function: contexts, and their words' customers in the parent -> new tables, and what they send up.
+
+    frequent: customers n and tables t of the contexts that have several buckets, in the order of the deal.
+    """
+
+    def work(rooms: pa.Table, replies: pa.Table) -> pa.Table:
+        if not rooms.num_rows:
+            return pa.Table.from_batches([_rows([], _PART)])
+        now, b = Rooms.of(_parsed(rooms)), rooms.column("to")[0].as_py()
+        told = sorted(_parsed(replies).get("reply", []), key=lambda x: x[0])
+        p0 = np.concatenate([of.p(c.astype(np.int64), t.astype(np.int64), log_h) for _, c, t, log_h in told]) if told else np.zeros(0)
+        own = lambda t: now.once + np.bincount(now.room, t, len(now.u)).astype(np.int64)
+        customers, tables = now.n.copy(), own(now.t)
+        wide = np.flatnonzero(over.wide(now.u) > 1)
+        at = np.searchsorted(over.frequent, now.u[wide])
+        mine = tables[wide]
+        tables[wide], customers[wide] = frequent["t"][at], frequent["n"][at]
+        now.t = seated(now.customers, p0[now.place], tables[now.room], now.t, d, _pair(now.u[now.room], now.words[now.place]), sweep)
+        out = own(now.t)
+        sent = [("frequent", b, pack(at, out[wide]))] if len(wide) else []
+        out[wide] += tables[wide] - mine
+        if kept:
+            now.sums += now.t
+            now.backoff = [*now.backoff, ((THETA + d * out) / (THETA + customers)).astype(np.float32)]
+        sent.append(("seats", b, pack(small(now.t), small(now.sums), small(customers), now.backoff)))
+        sent += _up(over, b, now.words, np.bincount(now.place, now.t, len(now.words)).astype(np.int64))
+        return pa.Table.from_batches([_rows(sent, _PART)])
+
+    return work
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(context, symbol, n): customers of the spelling restaurants, summed by task."""
     keys, sums = np.zeros(0, np.int64), np.zeros(0)
     for batch in batches:
-        data, starts, ends = _spans(batch.column(0))
-        n = batch.column(1).to_numpy()
-        for part in np.array_split(np.arange(len(n)), max(1, len(data) >> 20)):
-            word, key, s = symbols(data, starts[part], ends[part])
-            keys, inverse = np.unique(np.concatenate([keys, (key << 9) | s]), return_inverse=True)
-            sums = np.bincount(inverse, np.concatenate([sums, n[part][word]]), len(keys))
+        for row in batch.column("data").to_pylist():
+            now = State.of(row)
+            data, starts, ends = now.spans()
+            for part in np.array_split(np.arange(len(now.h)), max(1, len(data) >> 20)):
+                word, key, s = symbols(data, starts[part], ends[part])
+                keys, inverse = np.unique(np.concatenate([keys, (key << 9) | s]), return_inverse=True)
+                sums = np.bincount(inverse, np.concatenate([sums, now.t[part][word]]), len(keys))
     yield pa.RecordBatch.from_arrays([pa.array(keys >> 9), pa.array((keys & 511).astype(np.int32)), pa.array(sums.astype(np.int64))], ["context", "symbol", "n"])
 
 
+def _respelled(state: DataFrame, of: Spelt, parent: Parent | None) -> DataFrame:
+    """The tokens' rows with the probabilities of their spellings; with a parent, P(token) as one more sample."""
+    whole = of.whole
+    here, schema = (of.keys, of.log, of.three, of.log3, whole), _PART
+
+    def done(now: State) -> bytes:
+        if parent is not None:
+            now.p = [*now.p, parent.p(now.customers, now.t, now.log_h).astype(np.float32)]
+        return now.packed()
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for to, row in zip(batch.column("to").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                now = State.of(row)
+                now.log_h, word, context, symbol, low = spell(here, *now.spans())
+                far = [] if whole else [(int(w), int(c), int(s), float(x)) for w, c, s, x in zip(word, context, symbol, low, strict=True)]
+                data = done(now) if whole else now.packed()
+                lists = [pa.array([[f[i] for f in far]], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(["state"]), pa.array([to], pa.int32()), pa.array([data], pa.binary()), *lists], ["kind", "to", "data", "i", "context", "s", "low"])
+
+    rows = state.mapInArrow(near, schema + ", i array<int>, context array<long>, s array<int>, low array<double>")
+    if whole:
+        return rows.select("kind", "to", "data")
+    rows = stored(rows, "near")
+    far = rows.select("to", F.explode(F.arrays_zip("i", "context", "s", "low")).alias("x")).select("to", "x.i", "x.context", "x.s", F.pow(F.lit(10.0), F.col("x.low")).alias("low"))
+    more = far_spelling(far, of).groupBy("to", "i").agg(F.sum("p").alias("more")).groupBy("to").agg(F.collect_list(F.struct("i", "more")).alias("more"))  # a bucket's tokens at most
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for to, row, extra in zip(batch.column("to").to_pylist(), batch.column("data").to_pylist(), batch.column("more").to_pylist(), strict=True):
+                now = State.of(row)
+                log_h = now.log_h.astype(float)
+                for x in extra or []:
+                    log_h[x["i"]] += x["more"]
+                now.log_h = log_h
+                yield _rows([("state", to, done(now))], _PART)
+
+    return rows.select("to", "data").join(more, "to", "left").mapInArrow(add, schema)
+
+
+def _known(rows: list[tuple], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens, or pairs, occur how often."""
+    k, n = (np.concatenate([np.zeros(0, np.int64), *(r[i] for r in rows if r[0] == kind)]) for i in (1, 2))
+    kept, inverse = np.unique(k, return_inverse=True)
+    return kept, np.bincount(inverse, n, len(kept)).astype(np.int64)
+
+
+def far_spelling(far: DataFrame, of: Spelt) -> DataFrame:
+    """far (.., context, s, low) with p: log10 probability of byte s after a three-byte context; low: that after the shorter one."""
+    joined = far.join(of.restaurants, "context", "left")
+    # Symbols are sorted and differ, so one place at most is that of s.
+    s = F.col("s").cast("int")
+    own = F.get("own", (F.array_position("symbol", s) - 1).cast("int"))
+    return joined.withColumn("p", F.log10(F.when(F.array_contains("symbol", s), own).otherwise(0.0) + F.coalesce("backoff", F.lit(1.0)) * F.col("low")))
+
+
+def spelled(rows: DataFrame, of: Spelt) -> DataFrame:
+    """(h, log_h) of rows (h, word): log10 probability of the word's spelling."""
+    here = (of.keys, of.log, of.three, of.log3, of.whole)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, word, context, symbol, low = spell(here, *_spans(batch.column(1)))
+            cuts = pa.array(np.searchsorted(word, np.arange(batch.num_rows + 1)).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (context, symbol, low))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *lists], ["h", "log_h", "context", "symbol", "low"])
+
+    near = rows.select("h", "word").mapInArrow(work, "h long, log_h double, context array<long>, symbol array<long>, low array<double>")
+    if of.whole:
+        return near.select("h", "log_h")
+    near = stored(near, "near")
+    far = near.where(F.size("context") > 0).select("h", F.explode(F.arrays_zip("context", "symbol", "low")).alias("x"))
+    far = far.select("h", "x.context", F.col("x.symbol").alias("s"), F.pow(F.lit(10.0), F.col("x.low")).alias("low"))
+    more = far_spelling(far, of).groupBy("h").agg(F.sum("p").alias("more"))
+    return near.select("h", "log_h").join(more, "h", "left").select("h", (F.col("log_h") + F.coalesce("more", F.lit(0.0))).alias("log_h"))
+
+
 class Model:
-    """A fitted model. By sample of the seating: the spelling restaurants, and the parent's backoff.
+    """A fitted model: rows of buckets of contexts (cells, single, seats) and of tokens (state); what holds for all of them.
 
     tokens (h, c, logp): every training token and its log10 probability in the parent, by sample; contexts (u, backoff):
-    by sample; pairs (u, w, n, c, logp): every context and token seen, how often, the token's count, log10 P(w | u).
+    by sample; pairs (u, w, n, c): every context and token seen, how often, the token's count.
     """
 
-    def __init__(self, tokens: DataFrame, contexts: DataFrame, pairs: DataFrame, spellings: list[Spelt], unseen: list[float], n: int, v: int, n_pairs: int):
-        self.tokens, self.contexts, self.pairs, self.spellings, self.unseen, self.n, self.v, self.n_pairs = tokens, contexts, pairs, spellings, unseen, n, v, n_pairs
+    def __init__(self, over: Deal, rooms: DataFrame, state: DataFrame, spellings: list[Spelt], parents: list[Parent], d: float, frequent: np.ndarray, tokens: tuple, pairs: tuple):
+        self.over, self.rooms, self.state, self.spellings, self.parents, self.d, self.frequent, self.token_counts, self.pair_counts = over, rooms, state, spellings, parents, d, frequent, tokens, pairs
+        self.n, self.v, self.n_pairs = int((tokens[0] * tokens[1]).sum()), int(tokens[1].sum()), int(pairs[1].sum())
 
     @property
     def spelling(self) -> tuple:
@@ -379,132 +794,326 @@ class Model:
         of = self.spellings[-1]
         return of.keys[2], of.three, of.log[2], of.log3
 
+    @property
+    def tokens(self) -> DataFrame:
+        def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.column("data").to_pylist():
+                    now = State.of(row)
+                    logp = np.log10(np.maximum(np.stack(now.p, 1).astype(float), 1e-300))
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(now.h) + 1, dtype=np.int32) * logp.shape[1]), pa.array(logp.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array(now.h.view(np.int64)), pa.array(now.c.astype(np.int64)), lists], ["h", "c", "logp"])
+
+        return self.state.mapInArrow(unpacked, "h long, c long, logp array<double>")
+
+    @property
+    def contexts(self) -> DataFrame:
+        over, frequent = self.over, self.frequent
+
+        def unpacked(rows: pa.Table) -> pa.Table:
+            now = Rooms.of(_parsed(rows))
+            each = now.backoffs(over, frequent)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(now.u) + 1, dtype=np.int32) * each.shape[1]), pa.array(each.ravel()))
+            return pa.table({"u": pa.array(now.u.view(np.int64)), "backoff": lists})
+
+        return self.rooms.groupBy("to").applyInArrow(unpacked, "u long, backoff array<double>").groupBy("u").agg(F.first("backoff").alias("backoff"))
+
+    @property
+    def pairs(self) -> DataFrame:
+        def unpacked(rows: pa.Table) -> pa.Table:
+            parts = _parsed(rows)
+            now, single = Rooms.of(parts), parts["single"][0][0]
+            u = np.concatenate([now.u[now.room], np.repeat(now.u, now.once)])
+            w = np.concatenate([now.words[now.place], single])
+            return pa.table({"u": u.view(np.int64), "w": w.view(np.int64), "n": np.concatenate([now.customers, np.ones(len(single), np.int64)])})
+
+        seen = self.rooms.groupBy("to").applyInArrow(unpacked, "u long, w long, n long")
+        return seen.join(self.tokens.select(F.col("h").alias("w"), "c"), "w").select("u", "w", "n", "c")
+
 
 def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
     """Learns from a one-column table of texts; nulls count as empty. Without rows there is only the uniform spelling."""
-    rng = np.random.default_rng(seed)
-    words = stored(texts.mapInArrow(_words, "h long, word binary, n long").groupBy("h", "word").agg(F.sum("n").alias("c")), "words")
-    cells = stored(texts.mapInArrow(_pairs, "u long, w long, n long").groupBy("u", "w").agg(F.sum("n").alias("n")), "cells")
-    once = F.count(F.when(F.col("n") == 1, 1))
-    r = cells.agg(once.alias("s1"), F.count(F.when(F.col("n") == 2, 1)).alias("s2"), F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    n, n_pairs, d = r["n"], r["v"], discount_of(r["s1"], r["s2"])
-    # At first each pair has one table, and each token one in the parent.
-    empty = F.expr("cast(array() as array<double>)")
-    rooms = stored(cells.groupBy("u").agg(F.sum("n").alias("n"), once.alias("once"), F.count("*").alias("t")).withColumn("backoff", empty), "contexts")
-    served = cells.groupBy("w").agg(once.alias("once"), F.count("*").alias("customers"))
-    state = words.join(served, words["h"] == served["w"]).select("h", "word", "c", "once", "customers", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("log_h"), empty.alias("p"))
-    state = stored(state, "tokens")
-    seating = cells.where("n > 1").select("u", "w", "n", F.lit(0).cast("long").alias("sum"))
-
-    def parent(now: DataFrame) -> Parent:
-        is_ = lambda k: F.count(F.when(F.col("customers") == k, 1))
-        r = now.agg(F.sum("customers").alias("n"), F.sum("t").alias("t"), is_(1).alias("u1"), is_(2).alias("u2")).first()
-        return Parent(float(r["n"] or 0), float(r["t"] or 0), discount_of(r["u1"], r["u2"]))
-
-    of, v = parent(state), words.count()
-    spelling, spellings, unseen = None, [], []
-    for sweep in range(SWEEPS):
-        sums = stored(state.select("word", "t").mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
+    spark, rng, over = texts.sparkSession, np.random.default_rng(seed), deal(texts)
+    parts = Parts(texts.mapInArrow(_gathered(over), _MESSAGE).groupBy("to").applyInArrow(_merged(over), _PART), "counts")
+    counts = [pickle.loads(r["data"]) for r in parts.of("counts").collect()]  # a row a bucket
+    tokens, pairs = _known(counts, "tokens"), _known(counts, "pairs")
+    of_kind = lambda known, k: int(known[1][known[0] == k].sum())
+    d = discount_of(of_kind(pairs, 1), of_kind(pairs, 2))
+    state = Parts(parts.of("tokens").groupBy("to").cogroup(parts.of("base").groupBy("to")).applyInArrow(_begun, _PART), "state")
+    of = Parent(float(tokens[1].sum()), float(tokens[1].sum()), discount_of(of_kind(tokens, 1), of_kind(tokens, 2)))
+
+    # Customers of contexts that have several buckets; at first each of their pairs has a table.
+    frequent = {"n": np.zeros(len(over.frequent), np.int64), "t": np.zeros(len(over.frequent), np.int64)}
+
+    def wide(rows: pa.Table) -> pa.Table:
+        now = Rooms.of(_parsed(rows))
+        at = np.flatnonzero(over.wide(now.u) > 1)
+        tables = now.once + np.bincount(now.room, minlength=len(now.u))
+        return pa.Table.from_batches([_rows([(0, pack(np.searchsorted(over.frequent, now.u[at]), now.n[at], tables[at]))], _MESSAGE)])
+
+    if len(over.frequent):
+        for row in parts.of("cells").groupBy("to").applyInArrow(wide, _MESSAGE).collect():  # the frequent contexts of each bucket
+            at, n, t = pickle.loads(row["data"])
+            np.add.at(frequent["n"], at, n)
+            np.add.at(frequent["t"], at, t)
+
+    spelling, spellings, parents, shared = None, [], [], []
+
+    def spelt(rows: DataFrame, sweep: int) -> Spelt:
+        nonlocal spelling
+        sums = stored(rows.mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
         spelling, frozen = spelling_sample(sums, spelling, contexts, sweep, rng)
+        return frozen
+
+    def replaced(old: Parts, rows: DataFrame, name: str) -> Parts:
+        new = Parts(rows, name)
+        old.delete()
+        spark.sparkContext._jvm.System.gc()  # shuffles that nothing refers to are deleted
+        return new
+
+    def parent(rows: DataFrame) -> Parent:
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.column("data").to_pylist():
+                    now = State.of(row)
+                    yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (now.customers.sum(), now.t.sum(), (now.customers == 1).sum(), (now.customers == 2).sum())], ["n", "t", "one", "two"])
+
+        r = rows.mapInArrow(sums, "n long, t long, one long, two long").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "t", "one", "two"))).first()
+        return Parent(float(r["n"]), float(r["t"]), discount_of(r["one"], r["two"]))
+
+    state = replaced(state, _respelled(state.of("state"), spelt(state.of("state"), 0), None), "spelled")
+    seats, up = None, parts.of("up")
+    for sweep in range(SWEEPS):
         kept = sweep >= BURN_IN
-
-        spelt = spelled(state, frozen).select("h", "log_h")
-        now = stored(state.drop("log_h").join(spelt, "h").withColumn("p0", of.p()), "spelt")
-        asked = seating.join(now.select(F.col("h").alias("w"), "p0"), "w").join(rooms.select("u", (THETA + d * F.col("t")).alias("room")), "u")
-        asked = asked.select("u", "w", "n", "sum", (F.col("room") * F.col("p0")).alias("a"), F.lit(d).alias("d"))
-        seated = asked.mapInArrow(_seats("n", "a", "u long, w long, n long, sum long, t long", sweep), "u long, w long, n long, sum long, t long")
-        seating = stored(seated.withColumn("sum", F.col("sum") + F.col("t") * int(kept)), "seating")
-        up = lambda c: seating.groupBy(c).agg(F.sum("t").alias("more"))
-        tables = F.col("once") + F.coalesce("more", F.lit(0))
-        rooms = rooms.join(up("u"), "u", "left").select("u", "n", "once", tables.alias("t"), "backoff")
-        if kept:
-            rooms = rooms.withColumn("backoff", F.concat("backoff", F.array((THETA + d * F.col("t")) / (THETA + F.col("n")))))
-        rooms = stored(rooms, "contexts")
-        more = up("w")
-        now = now.join(more, now["h"] == more["w"], "left").select("h", "word", "c", "once", tables.alias("customers"), "log_h", "p", ((THETA + of.d * of.t) * F.pow(F.lit(10.0), F.col("log_h"))).alias("a"), F.lit(of.d).alias("d"))
-        schema = "h long, word binary, c long, once long, customers long, t long, log_h double, p array<double>"
-        state = stored(now.mapInArrow(_seats("customers", "a", schema, sweep), schema), "tokens")
-        of = parent(state)
+        state = replaced(state, state.of("state").groupBy("to").cogroup(up.groupBy("to")).applyInArrow(_parents_seated(of, sweep), _PART), "parents")
+        of = parent(state.of("state"))
+        rooms = parts.of("cells") if seats is None else parts.of("cells").unionByName(seats.of("seats"))
+        new = Parts(rooms.groupBy("to").cogroup(state.of("reply").groupBy("to")).applyInArrow(_contexts_seated(over, of, d, sweep, kept, frequent), _PART), "seats")
+        if seats is not None:
+            seats.delete()
+        seats, up = new, new.of("up")
+        if len(over.frequent):
+            frequent = frequent | {"t": np.zeros(len(over.frequent), np.int64)}
+            for row in seats.of("frequent").collect():
+                np.add.at(frequent["t"], *pickle.loads(row["data"]))
+        frozen = spelt(state.of("state"), sweep + 1)
+        state = replaced(state, _respelled(state.of("state"), frozen, of if kept else None), "spelled")
         if kept:
-            state = state.withColumn("p", F.concat("p", F.array(of.p())))
             spellings.append(frozen)
-            unseen.append(of.backoff())
+            parents.append(of)
+            shared.append((THETA + d * frequent["t"]) / (THETA + frequent["n"]))
+    rooms = parts.of("cells", "single").unionByName(seats.of("seats"))
+    return Model(over, rooms, state.of("state"), spellings, parents, d, np.stack(shared, 1), tokens, pairs)
+
+
+def _least(known: tuple[np.ndarray, np.ndarray], most: int) -> int:
+    """The count above which `most` tokens or pairs occur, or fewer."""
+    above = np.cumsum(known[1][::-1])[::-1]
+    at = np.flatnonzero(above > most)
+    return int(known[0][at[-1]]) if len(at) else 0
+
+
+def _looked_up(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of each asked value in sorted ones."""
+    if not len(known):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return at, known[at] == asked
+
+
+@dataclass(frozen=True)
+class Head:
+    """The most frequent tokens: hash, count, samples of P(token); the most frequent pairs: key, mean of their own part, samples of the context's backoff."""
+
+    h: np.ndarray
+    c: np.ndarray
+    p: np.ndarray
+    key: np.ndarray
+    own: np.ndarray
+    backoff: np.ndarray
+
 
-    samples = SWEEPS - BURN_IN
-    tokens = stored(state.select("h", "c", F.transform("p", lambda x: F.log10(F.greatest(x, F.lit(1e-300)))).alias("logp"), "p"), "model")
-    all_cells = seating.select("u", "w", "n", "sum").unionByName(cells.where("n = 1").select("u", "w", "n", F.lit(samples).cast("long").alias("sum")))
-    joined = all_cells.join(tokens.select(F.col("h").alias("w"), "c", "p"), "w").join(rooms.select("u", F.col("n").alias("all"), "backoff"), "u")
-    own = (samples * F.col("n") - d * F.col("sum")) / (THETA + F.col("all"))
-    pairs = stored(joined.select("u", "w", "n", "c", F.log10((own + _both("backoff", "p")) / samples).cast("float").alias("logp")), "pairs")
-    return Model(tokens, rooms.select("u", "backoff"), pairs, spellings, unseen, int(n), int(v), int(n_pairs))
+def head_of(model: Model, most: int) -> Head:
+    """`most` tokens and `most` pairs at most, of any model."""
+    least_token, least_pair, samples = _least(model.token_counts, most), _least(model.pair_counts, most), len(model.parents)
+    d, over, frequent = model.d, model.over, model.frequent
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column("data").to_pylist():
+                now = State.of(row)
+                at = np.flatnonzero(now.c > least_token)
+                yield _rows([(0, pack(now.h[at], now.c[at].astype(np.int64), np.stack(now.p, 1)[at]))], _MESSAGE)
 
+    def pairs(rows: pa.Table) -> pa.Table:
+        now = Rooms.of(_parsed(rows))
+        at = np.flatnonzero(now.customers > max(least_pair, 1))
+        room, own = now.room[at], now.own(d)[at]
+        return pa.Table.from_batches([_rows([(0, pack(_pair(now.u[room], now.words[now.place[at]]), own.astype(np.float32), now.backoffs(over, frequent)[room].astype(np.float32)))], _MESSAGE)])
 
-def _both(backoff: str, p: str) -> Column:
-    """The sum of backoff * p over the samples."""
-    return F.aggregate(F.zip_with(backoff, p, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    def joined(rows: DataFrame, kinds: tuple, width: tuple) -> tuple:
+        got = [pickle.loads(r["data"]) for r in rows.collect()]
+        empty = tuple(np.zeros((0, samples) if w else 0, k) for k, w in zip(kinds, width, strict=True))
+        parts = [np.concatenate(x) for x in zip(empty, *got, strict=True)]
+        order = np.argsort(parts[0])
+        return tuple(x[order] for x in parts)
+
+    t = joined(model.state.mapInArrow(tokens, _MESSAGE), (np.uint64, np.int64, np.float32), (0, 0, 1))
+    q = joined(model.rooms.where("kind <> 'single'").groupBy("to").applyInArrow(pairs, _MESSAGE), (np.uint64, np.float32, np.float32), (0, 0, 1))
+    return Head(*t, *q)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """One row for each row of docs, with its columns but the text, and n_tokens, n_known, base_score, score.
 
     base_score: sum of log10((c + 1) / (n + v + 1)) over the tokens; score: the model's log10 probability of the text.
-    A null or empty text is one end token. Repeated rows and null ids are scored like any other.
+    A null or empty text is one end token. Repeated rows and null ids are scored like any other. head: tokens and pairs
+    that are broadcast, which changes no score.
     """
-    least = kth_largest(model.pairs, "n", head) if model.n_pairs > head else 0
-    top = model.pairs.where(F.col("n") > least).select("u", "w", "c", "logp").toPandas()  # `head` rows of numbers at most; the most frequent
-    hk = _pair(top["u"].to_numpy(np.int64).view(np.uint64), top["w"].to_numpy(np.int64).view(np.uint64))
-    order = np.argsort(hk)
-    hk, hc, hp = hk[order], np.log10(top["c"].to_numpy(float)[order] + 1), top["logp"].to_numpy(np.float32)[order]
-    del top
+    top, over, samples, d, frequent = head_of(model, head), model.over, len(model.parents), model.d, model.frequent
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: list[tuple] = []
+        words: list[tuple] = []
+
+        def messages() -> Iterator[tuple]:
+            u, w, place, doc, times = (np.concatenate(x) for x in zip(*asked, strict=True))
+            order = np.lexsort((u, bucket := over.cell(u, w)))
+            cuts = np.searchsorted(bucket[order], np.arange(over.n + 1))
+            for b in range(over.n):
+                for known in (True, False):  # tokens of the head by their place there, others by their hash
+                    at = order[cuts[b] : cuts[b + 1]]
+                    at = at[(place[at] >= 0) == known]
+                    if len(at):
+                        new = np.flatnonzero(np.concatenate([[True], np.diff(u[at]) != 0]))
+                        numbers, local = np.unique(doc[at], return_inverse=True)
+                        yield b, pack(known, u[at][new], small(np.diff(np.append(new, len(at)))), small(place[at]) if known else w[at], numbers, small(local), small(times[at]))
+            h, lengths, starts, data = (np.concatenate(x) for x in zip(*((h, n, np.cumsum(n) - n + before, x) for (h, n, x), before in zip(words, np.cumsum([0, *(len(x) for _, _, x in words)]), strict=False)), strict=True))
+            h, first = np.unique(h, return_index=True)
+            lengths, starts, bucket = lengths[first], starts[first], over.token(h)
+            for b in np.unique(bucket):
+                at = np.flatnonzero(bucket == b)
+                yield over.n + int(b), pack(h[at], small(lengths[at]), ragged(data, starts[at], lengths[at]))
+            asked.clear()
+            words.clear()
+
+        def sent(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+            for to, data in messages():
+                yield pa.RecordBatch.from_arrays([pa.array([to], pa.int32()), pa.array([data], pa.binary()), *(pa.nulls(1, schema.field(i).type) for i in range(2, 7))], schema=schema)
+
+        schema = None
         for batch in batches:
+            kinds = [("to", pa.int32()), ("data", pa.binary()), ("row", batch.schema.field(0).type), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("logp", pa.float64())]
+            schema = pa.schema(kinds)
             for block in blocks(batch.column(1), lower=True):
-                u, w, doc = _tokens_of(block)
-                k = _pair(u, w)
-                at = np.minimum(np.searchsorted(hk, k), max(len(hk) - 1, 0))
-                hit = hk[at] == k if len(hk) else np.zeros(len(k), bool)
-                sums = [np.bincount(doc[hit], x, block.n_docs).astype(float) for x in (np.ones(hit.sum()), hc[at[hit]], hp[at[hit]])]
-                # Each document's other pairs, with how often it has them.
-                rest = np.flatnonzero(~hit)
-                _, first, times = np.unique(mix(k[rest]) + mix(doc[rest].astype(np.uint64)), return_index=True, return_counts=True)
-                order = np.argsort(doc[rest[first]], kind="stable")
-                rest, times = rest[first][order], times[order]
-                cuts = np.searchsorted(doc[rest], np.arange(block.n_docs + 1)).astype(np.int32)
-                lists = lambda x: pa.ListArray.from_arrays(pa.array(cuts), pa.array(x))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, block.n_docs), pa.array(block.n_words() + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-                     lists(u[rest].view(np.int64)), lists(w[rest].view(np.int64)), lists(times.astype(np.int32))],
-                    ["row", "n_tokens", "known", "base", "logp", "u", "w", "times"],
-                )
+                row = batch.column(0).slice(block.first, block.n_docs)
+                number = row.field("_n").to_numpy()
+                h = block.hashes()
+                seen, inverse = np.unique(np.concatenate([h, [_END, _BEGIN]]), return_inverse=True)
+                w = np.append(inverse[: len(h)], np.full(block.n_docs, inverse[-2]))
+                u, doc = _before(block, inverse[: len(h)], inverse[-1]), np.append(block.doc_of_word(), np.arange(block.n_docs))
+                key, times = np.unique((doc * len(seen) + u) * len(seen) + w, return_counts=True)
+                key, w = key // len(seen), key % len(seen)
+                doc, u = key // len(seen), key % len(seen)
+                place, known = _looked_up(top.h, seen)
+                here = known[w]
+                sums = [np.bincount(doc[here], times[here], block.n_docs), np.bincount(doc[here], times[here] * np.log10(top.c[place[w[here]]] + 1.0), block.n_docs)]
+                at, found = _looked_up(top.key, _pair(seen[u], seen[w]))
+                found &= here
+                p = top.own[at[found]].astype(float) + (top.backoff[at[found]].astype(float) * top.p[place[w[found]]]).mean(1) if found.any() else np.zeros(0)
+                logp = np.bincount(doc[found], times[found] * np.log10(np.maximum(p, 1e-300)), block.n_docs).astype(float)
+                rest = np.flatnonzero(~found)
+                asked.append((seen[u[rest]], seen[w[rest]], np.where(here[rest], place[w[rest]], -1), number[doc[rest]], times[rest]))
+                new = np.flatnonzero(~known[inverse[: len(h)]])
+                h_new, first = np.unique(h[new], return_index=True)
+                first = new[first]
+                size = block.ends[first] - block.starts[first]
+                ends = np.array([_END]) if not known[inverse[-2]] else np.zeros(0, np.uint64)
+                words.append((np.append(h_new, ends), np.append(size, np.zeros(len(ends), np.int64)), ragged(block.data, block.starts[first], size)))
+                to = 2 * over.n + int(mix(number[:1].astype(np.uint64))[0] % np.uint64(over.n))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(block.n_docs, to, np.int32)), pa.nulls(block.n_docs, pa.binary()), row, pa.array(block.n_words() + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(float)), pa.array(logp)], schema=schema)
+                if sum(len(x[0]) for x in asked) > FLUSH:
+                    yield from sent(schema)
+        if asked:
+            yield from sent(schema)
 
     names = [c for c in docs.columns if c != text]
     numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("_n"), *names).alias("row"), F.col(text))
     inner = numbered.schema["row"].dataType.simpleString()
-    first = stored(numbered.mapInArrow(work, f"row {inner}, n_tokens long, known long, base double, logp double, u array<long>, w array<long>, times array<int>"), "scored")
-    tail = first.select(F.col("row._n").alias("_n"), F.explode(F.arrays_zip("u", "w", "times")).alias("x")).select("_n", "x.u", "x.w", "x.times")
-    # By pair: those of the model have all that is needed; for others the context's backoff and the parent's P(token).
-    found = tail.join(model.pairs.select("u", "w", "c", "logp"), ["u", "w"], "left")
-    found = stored(found.groupBy("_n", F.when(F.col("logp").isNull(), F.col("u")).alias("u"), F.when(F.col("logp").isNull(), F.col("w")).alias("w")).agg(
-        F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), F.sum(F.col("times") * F.col("logp").cast("double")).alias("logp"),
-    ), "found")
-    new = found.where("w is not null").select("_n", "u", "w", "times")
-    strange = stored(new.select(F.col("w").alias("h")).distinct().join(model.tokens.select("h"), "h", "left_anti"), "strange")
-    seen = docs.select(text).mapInArrow(_words, "h long, word binary, n long").select("h", "word")
-    spelt = stored(members(seen, "h", strange).join(strange, "h").groupBy("h").agg(F.first("word").alias("word")), "strange")
-    unseen = spelt.select("h", F.lit(0).cast("long").alias("c"), F.expr("cast(array() as array<double>)").alias("p"))
-    for frozen, floor in zip(model.spellings, model.unseen, strict=True):
-        unseen = unseen.join(spelled(spelt, frozen).select("h", "log_h"), "h").select("h", "c", F.concat("p", F.array(floor * F.pow(F.lit(10.0), F.col("log_h")))).alias("p"))
-    parents = model.tokens.select(F.col("h").alias("w"), "c", "p").unionByName(unseen.withColumnRenamed("h", "w"))
-    samples = len(model.unseen)
-    joined = new.join(parents, "w").join(model.contexts, "u", "left")
-    each = F.log10(F.greatest(_both("backoff", "p"), F.lit(1e-300)) / samples)
-    joined = joined.withColumn("backoff", F.coalesce("backoff", F.array_repeat(F.lit(1.0), samples)))
-    extra = joined.select("_n", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), (F.col("times") * each).alias("logp"))
-    both = extra.unionByName(found.where("w is null").select("_n", F.col("times").alias("known"), "base", "logp"))
-    sums = both.groupBy("_n").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("logp").alias("logp2"))
+    asked = numbered.mapInArrow(work, f"to int, data binary, row {inner}, n_tokens long, known long, base double, logp double")
+    kinds = {"n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "logp": pa.float64(), "n": pa.int64(), "w": pa.int64(), "c": pa.int64(), "times": pa.int64(), "own": pa.float64(), "b": pa.list_(pa.float64()), "word": pa.binary()}
+    outer = f"kind string, row {inner}, n_tokens long, known long, base double, logp double, n long, w long, c long, times long, own double, b array<double>, word binary"
+
+    def answered(left: pa.Table, right: pa.Table) -> pa.Table:
+        row_type = left.schema.field("row").type
+
+        def rows(kind: str, size: int, **columns) -> pa.Table:
+            every = {"kind": pa.array([kind] * size, pa.string()), "row": columns.get("row", pa.nulls(size, row_type))}
+            for name, of in kinds.items():
+                x = columns.get(name)
+                every[name] = pa.nulls(size, of) if x is None else x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, of)
+            return pa.table(every)
+
+        def lists(x: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * samples), pa.array(x.astype(float).ravel()))
+
+        if not left.num_rows:
+            return rows("none", 0)
+        to = left.column("to")[0].as_py()
+        if to >= 2 * over.n:
+            return rows("doc", left.num_rows, **{c: left.column(c) for c in ("row", "n_tokens", "known", "base", "logp")})
+        got = [pickle.loads(x) for x in left.column("data").to_pylist()]
+        if to >= over.n:
+            h, lengths = (np.concatenate([g[i] for g in got]).astype(kind) for i, kind in ((0, np.uint64), (1, np.int64)))
+            data, starts = np.concatenate([g[2] for g in got]), np.cumsum(lengths) - lengths
+            h, first = np.unique(h, return_index=True)
+            starts, lengths = starts[first], lengths[first]
+            out, known = [], np.zeros(len(h), bool)
+            if right.num_rows:
+                now = State.of(right.column("data")[0].as_py())
+                at, known = _looked_up(now.h, h)
+                out.append(rows("word", int(known.sum()), w=h[known].view(np.int64), c=now.c[at[known]].astype(np.int64), b=lists(np.stack(now.p, 1)[at[known]])))
+            new = [data[a : a + n].tobytes() for a, n in zip(starts[~known], lengths[~known], strict=True)]
+            return pa.concat_tables([*out, rows("new", len(new), w=h[~known].view(np.int64), word=pa.array(new, pa.binary()))])
+        parts = _parsed(right)
+        if "cells" in parts:
+            now, single = Rooms.of(parts), parts["single"][0][0]
+            alone = np.repeat(np.arange(len(now.u)), now.once)
+            key = np.concatenate([_pair(now.u[now.room], now.words[now.place]), _pair(now.u[alone], single)])
+            own = np.concatenate([now.own(d), (1 - d) / (THETA + now.everywhere[alone])])
+            order = np.argsort(key)
+            key, own, contexts, backoff = key[order], own[order], now.u, np.vstack([now.backoffs(over, frequent), np.ones((1, samples))])
+        else:
+            key, own, contexts, backoff = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.ones((1, samples))
+        out = []
+        for known, u, runs, which, numbers, local, times in got:
+            local, times, runs = (x.astype(np.int64) for x in (local, times, runs))
+            at, has = _looked_up(contexts, u)
+            b = backoff[np.repeat(np.where(has, at, len(contexts)), runs)]
+            w = top.h[which] if known else which
+            at, has = _looked_up(key, _pair(np.repeat(u, runs), w))
+            mine = np.where(has, own[at], 0.0) if len(own) else np.zeros(len(w))
+            if known:
+                p = times * np.log10(np.maximum(mine + (b * top.p[which]).mean(1), 1e-300))
+                out.append(rows("sum", len(numbers), n=numbers, logp=np.bincount(local, p, len(numbers)).astype(float)))
+            else:
+                out.append(rows("rare", len(w), n=numbers[local], w=w.view(np.int64), times=times, own=mine, b=lists(b)))
+        return pa.concat_tables(out)
+
+    model_rows = model.rooms.unionByName(model.state.select("kind", (F.col("to") + over.n).cast("int").alias("to"), "data"))
+    found = stored(asked.groupBy("to").cogroup(model_rows.groupBy("to")).applyInArrow(answered, outer), "scored")
+    new = found.where("kind = 'new'").select(F.col("w").alias("h"), "word")
+    unseen = new.select("h", F.expr("cast(array() as array<double>)").alias("p"))
+    for of, frozen in zip(model.parents, model.spellings, strict=True):
+        unseen = unseen.join(spelled(new, frozen).select("h", "log_h"), "h").select("h", F.concat("p", F.array(of.backoff() * F.pow(F.lit(10.0), F.col("log_h")))).alias("p"))
+    lexicon = found.where("kind = 'word'").select("w", "c", F.col("b").alias("p")).unionByName(unseen.select(F.col("h").alias("w"), F.lit(0).cast("long").alias("c"), "p"))
+    rare = found.where("kind = 'rare'").select("n", "w", "times", "own", "b").join(lexicon, "w")
+    both = F.aggregate(F.zip_with("b", "p", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / samples
+    rare = rare.select("n", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), (F.col("times") * F.log10(F.greatest(F.col("own") + both, F.lit(1e-300)))).alias("logp"))
+    sums = found.where("kind = 'sum'").select("n", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), "logp").unionByName(rare)
+    sums = sums.groupBy("n").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("logp").alias("logp2"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    joined = first.join(sums, F.col("row._n") == F.col("_n"), "left")
+    joined = found.where("kind = 'doc'").select("row", "n_tokens", "known", "base", "logp").join(sums, F.col("row._n") == F.col("n"), "left")
     per_token = F.log10(F.lit(float(model.n + model.v + 1)))
     return joined.select(
         *(F.col(f"row.`{c}`").alias(c) for c in names), "n_tokens", (F.col("known") + zero("known2")).cast("long").alias("n_known"),
@@ -518,9 +1127,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """One row a document. Null and empty texts are one end token; repeated rows are scored alike; an empty table has no rows; further columns are ignored."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
     model = fit(docs.where(~F.col("held_out")).select("text"))
     scored = score(docs, model)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
-
-
