@@ -66,7 +66,7 @@ def configure_logging(level: int, log_file: Path | None, error_file: Path | None
 
 def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
     from .plans import pipeline
-    from .sources import io
+    from .sources import grids, io
 
     failures = []
     for path in io.found_files(settings.paths.raw_directory, (".parquet",), targets):
@@ -75,13 +75,16 @@ def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
             instrument = io.instrument_of(path)
             own = settings.process_for(instrument.get("instrument_serial_number"), path.stem)
             g = own.geolocation.external_dataset_path
-            track = spark.read.parquet(str(g)) if g else None
+            track = io.load(spark, str(g)) if g else None
             done = pipeline.process(raw, own, track, line)
             line = pipeline.record_thresholds(done, own, path.stem)
             types = {c: own.spark_type(c) for c in done.samples.columns}
             out = f"{settings.paths.profiles_directory}/{path.stem}"
             compression = own.parquet_compression
-            io.write_profiles(done.samples, f"{out}/samples", line, types, compression.enabled, compression.level)
+            if own.profile_format == "netcdf":
+                grids.write_profiles_netcdf(done.samples, f"{out}/netcdf", line, types).collect()  # a path a profile
+            else:
+                io.write_profiles(done.samples, f"{out}/samples", line, types, compression.enabled, compression.level)
             done.profiles.write.mode("overwrite").parquet(f"{out}/profiles")
             io.deployments(raw, str(path), settings.project.name, instrument).write.mode("overwrite").parquet(f"{out}/deployment")
         except Exception as e:  # one deployment's failure must not stop the others
@@ -90,20 +93,48 @@ def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
     return failures
 
 
+#: What a gridded deployment's name ends in, by format.
+SUFFIXES = {"parquet": "", "netcdf": ".nc", "zarr": ".zarr"}
+
+
+def _write_binned(profiles, rows, path: str, of: config.Bin, about: dict) -> None:
+    """By the path's suffix."""
+    from .sources import grids, io
+
+    if path.endswith(".nc"):
+        grids.write_binned_netcdf(profiles, rows, path, about, of.channel)
+    elif path.endswith(".zarr"):
+        z = of.zarr_compression
+        grids.write_binned_zarr(profiles, rows, path, about, of.channel, z.cname if z.enabled else None, z.clevel, z.shuffle in ("shuffle", "bitshuffle"))
+    else:
+        io.write_binned(profiles, rows, path, attributes=about)
+
+
+def _read_binned(spark, path: str, vertical: str) -> tuple:
+    """(profiles, rows, attributes), by the path's suffix."""
+    from .sources import grids, io
+
+    if path.endswith(".nc"):
+        return grids.read_binned_netcdf(spark, path, vertical)
+    if path.endswith(".zarr"):
+        return grids.read_binned_zarr(spark, path, vertical)
+    return *io.read_binned(spark, path), io.binned_attributes(spark, path)
+
+
 def _bin(spark, settings: config.Settings, targets: list[str]) -> list[str]:
     from .operators import binning
     from .plans import pipeline
-    from .sources import io
+    from .sources import grids, io
 
     failures = []
     for folder in io.found_deployments(settings.paths.profiles_directory, targets):
         try:
             known = spark.read.parquet(f"{folder}/deployment")
             binning.check_one_identity(known)
-            samples, line = io.read_profiles(spark, f"{folder}/samples")
+            samples, line = grids.read_profiles_netcdf(spark, f"{folder}/netcdf") if (folder / "netcdf").is_dir() else io.read_profiles(spark, f"{folder}/samples")
             profiles, rows = pipeline.bin_profiles(samples, spark.read.parquet(f"{folder}/profiles"), settings.bin)
             about = {k: sanitised(v) for k, v in known.first().asDict().items() if v is not None} | attributes({}, line.dataset)
-            io.write_binned(profiles, rows, f"{settings.paths.binned_directory}/{folder.name}", attributes=about)
+            _write_binned(profiles, rows, f"{settings.paths.binned_directory}/{folder.name}{SUFFIXES[settings.bin.output_format]}", settings.bin, about)
         except Exception as e:  # one deployment's failure must not stop the others
             logging.getLogger("halocline").error("%s: %s", folder.name, e)
             failures.append(f"{folder.name}: {e}")
@@ -116,9 +147,9 @@ def _concatenate(spark, settings: config.Settings, targets: list[str]) -> list[s
 
     if settings.paths.concatenated_file is None:
         raise ValueError("paths.concatenated_file is not set.")
-    folders = [str(f) for f in io.found_deployments(settings.paths.binned_directory, targets)]
-    profiles, rows, about = pipeline.concatenate([io.read_binned(spark, f) for f in folders], [io.binned_attributes(spark, f) for f in folders])
-    io.write_binned(profiles, rows, str(settings.paths.concatenated_file), attributes=about)
+    parts = [_read_binned(spark, str(f), settings.bin.channel) for f in io.found_binned(settings.paths.binned_directory, targets)]
+    profiles, rows, about = pipeline.concatenate([p[:2] for p in parts], [p[2] for p in parts])
+    _write_binned(profiles, rows, str(settings.paths.concatenated_file), settings.bin, about)
     return []
 
 

@@ -5,15 +5,19 @@ from __future__ import annotations
 import json
 import sqlite3
 from collections.abc import Iterator, Mapping
+from datetime import UTC, datetime, timedelta
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.model import KEYS, Keys, floating, nan_to_null, null_to_nan
 from ..plans.lineage import Lineage
+from . import netcdf
 from .naming import channel_keys, names
 
 
@@ -134,11 +138,80 @@ def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, Lineage]:
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    """By suffix: Parquet files or folders. Files of columns with BYTE_STREAM_SPLIT pages need spark.sql.parquet.enableVectorizedReader=false."""
+    """By suffix: Parquet files or folders, also those with BYTE_STREAM_SPLIT pages; the one-dimensional variables of a netCDF file.
+
+    Times of a netCDF file, by their units, are timestamps without zone.
+    """
     suffix = Path(path).suffix.lower()
     if suffix in ("", ".parquet"):
-        return spark.read.parquet(path)
-    raise ValueError(f"cannot read {suffix} files; expected .parquet.")
+        return parquet(spark, path)
+    if suffix == ".nc":
+        return _series(spark, path)
+    raise ValueError(f"cannot read {suffix} files; expected .parquet or .nc.")
+
+
+def parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet file or folder. Spark's vectorised reader can't read BYTE_STREAM_SPLIT pages, so files that have some are read in Arrow batches."""
+    files = spark.read.parquet(path)
+    sample = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    first = sample.orderBy("length").limit(1).collect()
+    if not first or not _split_pages(spark, first[0]["path"]):
+        return files
+    names, schema = files.columns, files.schema
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                for part in pq.ParquetFile(pa.BufferReader(content.as_buffer())).iter_batches():
+                    yield part.select(names)
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(read, schema)
+
+
+def _split_pages(spark: SparkSession, path: str) -> bool:
+    """Whether a file has columns with BYTE_STREAM_SPLIT pages."""
+    content = spark.read.format("binaryFile").load(path).select("content").first()["content"]
+    meta = pq.ParquetFile(pa.BufferReader(bytes(content))).metadata
+    return any("BYTE_STREAM_SPLIT" in meta.row_group(g).column(c).encodings for g in range(min(meta.num_row_groups, 1)) for c in range(meta.num_columns))
+
+
+#: Units of time in microseconds.
+MICROS = {"microseconds": 1, "milliseconds": 1e3, "seconds": 1e6, "minutes": 6e7, "hours": 3.6e9, "days": 8.64e10}
+
+
+def _series(spark: SparkSession, path: str) -> DataFrame:
+    """The variables of a netCDF file that have the dimension of the longest one-dimensional variable, as columns. The file is one track or log, read at once."""
+    content = spark.read.format("binaryFile").load(path).select("content").first()["content"]
+    variables, _ = netcdf.decode(bytes(content))
+    flat = {n: (over[0], x, about) for n, (over, x, about) in variables.items() if len(over) == 1}
+    if not flat:
+        raise ValueError(f"{path} has no one-dimensional variables.")
+    main = max(flat.values(), key=lambda v: len(v[1]))[0]
+    columns, kinds = {}, {}
+    for n, (over, x, about) in flat.items():
+        if over != main:
+            continue
+        unit, _, since = str(about.get("units", "")).partition(" since ")
+        if unit in MICROS and since:
+            start = datetime.fromisoformat(since.replace("T", " ").removesuffix("Z").strip())
+            columns[n], kinds[n] = [None if v != v else start + timedelta(microseconds=round(float(v) * MICROS[unit])) for v in x.tolist()], "timestamp_ntz"
+        elif x.dtype.kind == "f":
+            columns[n], kinds[n] = [None if v != v else v for v in x.tolist()], "double"
+        else:
+            columns[n], kinds[n] = x.tolist(), "string" if x.dtype.kind == "O" else "long"
+    return spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
+
+
+def found_binned(root: Path, targets: list[str] | None = None) -> list[Path]:
+    """Gridded deployments of root, in any format: folders, .zarr stores and .nc files; those of the targets, which go without suffix, in their order."""
+    root = root.resolve()
+    every = {p.stem if p.suffix in (".nc", ".zarr") else p.name: p for p in sorted(root.iterdir()) if p.is_dir() or p.suffix == ".nc"} if root.is_dir() else {}
+    lacking = [t for t in targets or [] if t not in every]
+    if lacking:
+        raise ValueError(f"{', '.join(lacking)}: no deployment of {root}.")
+    if not every:
+        raise ValueError(f"no deployments in {root}.")
+    return [every[t] for t in targets] if targets else list(every.values())
 
 
 def write_binned(profiles: DataFrame, rows: DataFrame, path: str, keys: Keys = KEYS, mode: str = "overwrite", attributes: Mapping[str, Any] | None = None) -> None:
@@ -166,7 +239,8 @@ def wide(rows: DataFrame, channel: str, keys: Keys = KEYS) -> DataFrame:
 class SqliteLog(DataSource):
     """Instrument logs in SQLite containers: a `channels` table (longName) and a `data` table (tstamp in ms, channelNN).
 
-    Options: path, or several separated by commas; each file is a partition. The executors must see the files.
+    Options: path, or several separated by commas; each file is a partition. start and end, in milliseconds and both
+    included, bound what is read in the container's own query. The executors must see the files.
     """
 
     @classmethod
@@ -183,6 +257,7 @@ class SqliteLog(DataSource):
 class _SqliteReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options["path"].split(",") if p]
+        self.bounds = [int(options.get("start", -(1 << 62))), int(options.get("end", 1 << 62))]
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
@@ -192,15 +267,22 @@ class _SqliteReader(DataSourceReader):
         with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as con:
             channels = [r[0] for r in con.execute("select longName from channels order by channelID")]
             columns = [r[1] for r in con.execute("pragma table_info(data)") if r[1].startswith("channel")]
-            for i, (t, *values) in enumerate(con.execute(f"select tstamp, {', '.join(columns)} from data order by tstamp")):
+            # Numbered over the whole log, so that bounds change no sample's place.
+            before = con.execute("select count(*) from data where tstamp < ?", self.bounds[:1]).fetchone()[0]
+            for i, (t, *values) in enumerate(con.execute(f"select tstamp, {', '.join(columns)} from data where tstamp between ? and ? order by tstamp", self.bounds), before):
                 for c, v in zip(channels, values, strict=False):
                     yield Path(path).stem, i, t, c, v
 
 
-def read_sqlite_logs(spark: SparkSession, paths: list[str], channels: list[str]) -> DataFrame:
-    """Logs in wide form, with a timestamp without zone in UTC."""
+def read_sqlite_logs(spark: SparkSession, paths: list[str], channels: list[str], start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Logs in wide form, with a timestamp without zone in UTC; start and end, in UTC if they have no zone, are included."""
     spark.dataSource.register(SqliteLog)
-    long = spark.read.format("sqlite_log").option("path", ",".join(paths)).load()
+    reader = spark.read.format("sqlite_log").option("path", ",".join(paths))
+    for name, t in (("start", start), ("end", end)):
+        if t is not None:
+            since = (t if t.tzinfo else t.replace(tzinfo=UTC)) - datetime(1970, 1, 1, tzinfo=UTC)
+            reader = reader.option(name, str(-((-since) // timedelta(milliseconds=1)) if name == "start" else since // timedelta(milliseconds=1)))
+    long = reader.load()
     keys = channel_keys(channels)
     values = [F.max(F.when(F.col("channel") == n, F.col("value"))).alias(k) for n, k in keys.items()]
     wide_form = long.groupBy("deployment_id", "sample_idx", "tstamp").agg(*values)
