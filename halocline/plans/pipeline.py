@@ -74,7 +74,7 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     df = cut(df)
     cycles = profiles.find_cycles(df, settings.detection(), keys=keys)
     casts = cut(profiles.slices(cycles, settings.profiles.direction, keys))
-    search = settings.ct_lag.search()
+    search = settings.search()
     if search.enabled:
         scores = ctlag.lag_scores(profiles.extract(df, casts, keys), search, keys=keys)
         df = ctlag.apply_lags(df, cut(ctlag.best_lags(scores, keys)), keys=keys)
@@ -90,7 +90,7 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
         line.record("attached position (reference position)")
     placed = cut(placed)
     samples = samples.join(placed.select(keys.deployment, keys.profile, "latitude"), [keys.deployment, keys.profile])
-    samples, more, added = derived.derive(samples, settings.derived_variables.model_dump(), settings.despiked(), keys, cut=cut)
+    samples, more, added = derived.derive(samples, settings.derived_variables.as_dict(), settings.despiked(), keys, cut=cut)
     line.record(f"computed derived variables: {', '.join(added)}")
     for v in derived.VARIABLES:
         if v.key in added:

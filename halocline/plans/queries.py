@@ -510,7 +510,7 @@ MIX = {"method": "trimmed_mean", "channels": {"x": {"method": "median"}, "y": {"
 @query("bin_method_mix", f"with {BINS.replace('(event_id % 1009) / 10.0 as x', '(event_id % 1009) / 10.0 as x, (event_id % 877) / 10.0 as y, (event_id % 613) / 10.0 as w')}, r as (select deployment_id, profile_idx, i::int as bin, x, y, w, row_number() over (partition by deployment_id, profile_idx, i order by y) as ky, row_number() over (partition by deployment_id, profile_idx, i order by w) as kw, count(*) over (partition by deployment_id, profile_idx, i) as n from a), q as (select *, floor(n * 0.1)::int as cy, floor(n * 0.2)::int as cw from r) select deployment_id, profile_idx, bin, round(median(x), 6) as x, round(avg(y) filter (where n < 3 or (ky > cy and ky <= n - cy)), 6) as y, round(avg(w) filter (where n < 3 or (kw > cw and kw <= n - cw)), 6) as w from q group by 1, 2, 3")
 def _(spark, d):
     """Methods by channel, as the settings resolve them: one of its own, one with a parameter of its own, one as all others."""
-    settings, k = Bin.model_validate(MIX), F.col(S)
+    settings, k = Bin.of(MIX), F.col(S)
     df = cells(spark, d).withColumns({"y": k % 877 / 10.0, "w": k % 613 / 10.0})
     out = binning.reduce_bins(binning.with_bin(df, binning.bin_edges(df, "z", 4.0)), {c: settings.resolved(c) for c in ("x", "y", "w")})
     return out.select(D, P, "bin", *(F.round(c, 6).alias(c) for c in ("x", "y", "w")))
