@@ -3,7 +3,8 @@
 A text becomes a sequence of tokens: words without the punctuation around them, A-Z in lower
 case, where numbers, names and units are replaced by a placeholder of their type. Windows of 13
 tokens are hashed and joined to the windows of the benchmark items, so an item whose numbers or
-names were exchanged still matches. The values behind the placeholders are then compared over
+names were exchanged still matches. A capital at the start of a sentence may or may not be that of
+a name: windows with one are hashed both ways. The values behind the placeholders are then compared over
 all windows of one alignment: they must map one to one, and windows with a value that does not
 don't count, unless all values of the window are equal. A window of mostly placeholders says
 little as a template: it is hashed with its values instead, and matches verbatim only.
@@ -11,6 +12,7 @@ little as a template: it is hashed with its values instead, and matches verbatim
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ from .words import Block, blocks, hash_spans, mix, windows
 WINDOW = 13
 SHORT = 8  #: window for benchmark items that have no window of WINDOW tokens
 LITERALS = 7  #: of WINDOW tokens no placeholder, at least, and in proportion of fewer; with less a window counts verbatim
-BITS = 24  #: the filter of benchmark windows has 2 ** BITS bits: 2 MB, whatever the benchmark's size
+LEAST_BITS, MOST_BITS = 16, 27  #: the filter of benchmark windows has at most 2 ** MOST_BITS bits, 16 MB; of a benchmark of over ten million windows it lets more pass
 
 #: Fixed values.
 UNITS = (
@@ -49,8 +51,11 @@ def _unit_hashes() -> np.ndarray:
 _UNITS = _unit_hashes()
 
 
-def templates(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each token: its template hash, its value's hash, whether it is a placeholder; and where each document's tokens begin."""
+def templates(block: Block) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Where each document's tokens begin, their values' hashes, and twice each token's template hash and whether it is a placeholder.
+
+    First a capital at the start of a sentence is none of a name, then it is.
+    """
     data = block.data
     starts, ends = block.starts.copy(), block.ends.copy()
     at = np.arange(len(starts))
@@ -75,19 +80,19 @@ def templates(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     value = hash_spans(lower, starts, ends)
     unit = np.isin(value, _UNITS)
-    name = capital & ~begins & ~unit
-    token = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
-    return token, value, number | unit | name, doc
+    ways = []
+    for name in (capital & ~begins & ~unit, capital & ~unit):
+        ways.append((np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value))), number | unit | name))
+    return doc, value, ways
 
 
-def _listed(bits: bytes | None, widths: tuple[int, ...], whole: bool = False):
+def _listed(bits: np.ndarray | None, widths: tuple[int, ...], whole: bool = False):
     """A mapInArrow function: windows of a text whose hash the filter may have, with the values of their placeholders.
 
     Windows that match only verbatim (raw) have their values in the hash, and no slots. whole: only that of a whole text.
     """
 
-    def of_width(block: Block, parts: tuple, width: int) -> tuple[np.ndarray, ...]:
-        token, value, slot, doc = parts
+    def of_width(block: Block, doc: np.ndarray, value: np.ndarray, token: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
         n = np.diff(doc)
         place, first = np.arange(len(token)), np.repeat(doc[:-1], n)
         ok = place + width <= np.repeat(doc[1:], n)
@@ -101,15 +106,18 @@ def _listed(bits: bytes | None, widths: tuple[int, ...], whole: bool = False):
         return np.repeat(np.arange(block.n_docs), n), place - first, h, raw, ok
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                parts = templates(block)
-                value, slot = parts[1:3]
-                for width in widths:
-                    doc, place, h, raw, ok = of_width(block, parts, width)
-                    if have is not None:
-                        ok &= have[(h >> np.uint64(64 - BITS)).astype(np.int64)]
+                starts, value, ways = templates(block)
+                at_start = np.concatenate([[0], np.cumsum(ways[1][1] & ~ways[0][1])])
+                for width, (token, slot) in itertools.product(widths, ways):
+                    doc, place, h, raw, ok = of_width(block, starts, value, token, slot, width)
+                    if slot is ways[1][1]:  # again only what differs
+                        ends = np.minimum(np.arange(len(value)) + width, len(value))
+                        ok &= ~raw & (at_start[ends] > at_start[: len(value)])
+                    if bits is not None:
+                        bit = (h >> np.uint64(65 - len(bits).bit_length() - 6)).astype(np.int64)
+                        ok &= (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
                     at = np.flatnonzero(ok)
                     slots = [value[i : i + width][slot[i : i + width] & ~raw[i]].view(np.int64) for i in at]
                     yield pa.RecordBatch.from_arrays(
@@ -123,12 +131,15 @@ _SCHEMA = "id long, width int, raw boolean, place int, hash long, slots array<lo
 _NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
 
 
-def _filter(hashes: DataFrame) -> bytes:
-    """A bitmap of the windows' hashes, from the distinct values of their first BITS bits."""
-    rows = hashes.select(F.shiftrightunsigned("hash", 64 - BITS).alias("b")).distinct().toPandas()  # 2 ** BITS at most
-    bits = np.zeros(1 << BITS, bool)
-    bits[rows["b"].to_numpy(np.int64)] = True
-    return np.packbits(bits).tobytes()
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """A bitmap of the first bits of the windows' hashes, in words of 64, with about 16 bits for each window up to the most there may be."""
+    n_bits = min(MOST_BITS, max(LEAST_BITS, (16 * hashes.count()).bit_length()))
+    bit = F.shiftrightunsigned("hash", 64 - n_bits)
+    # 2 ** (MOST_BITS - 6) rows of two numbers at most, summed on the cluster.
+    words = hashes.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - n_bits}) & 63 as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("b")).toPandas()
+    bits = np.zeros(1 << (n_bits - 6), np.uint64)
+    bits[words["word"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    return bits
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:

@@ -296,8 +296,8 @@ def test_kth_largest(spark):
 PUNCTUATION = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 
 
-def brute_template(t):
-    """(template, value) of each token, written out word by word."""
+def brute_template(t, starts):
+    """(template, value) of each token, written out word by word. starts: capitals at the start of a sentence are names."""
     out, before, at = [], None, 0
     for m in re.finditer(r"[^\x20\x09-\x0D]+", t or ""):
         raw = m[0]
@@ -308,30 +308,53 @@ def brute_template(t):
             continue
         value = "".join(c.lower() if "A" <= c <= "Z" else c for c in token)
         capital = "A" <= token[0] <= "Z" or "À" <= token[0] <= "Þ"
-        kind = "#" if token[0] in "0123456789" else "unit" if value in decontaminate.UNITS else "name" if capital and not begins else None
+        kind = "#" if token[0] in "0123456789" else "unit" if value in decontaminate.UNITS else "name" if capital and (starts or not begins) else None
         out.append((kind or "=" + value, value, kind is not None))
     return out
 
 
 def brute_leaks(rows, items, width=13):
     grams = lambda x: {i: x[i : i + width] for i in range(len(x) - width + 1) if sum(not s for _, _, s in x[i : i + width]) >= 7}
-    found = {}
+    found, ways = {}, (False, True)
     for item, text in items:
-        own = grams(brute_template(text))
+        own = [grams(brute_template(text, way)) for way in ways]
         for doc, t in rows:
             aligned = {}
-            for p, g in grams(brute_template(t)).items():
-                for q, k in own.items():
-                    if [x[0] for x in g] == [x[0] for x in k]:
-                        places, pairs = aligned.setdefault(p - q, (set(), set()))
-                        places.add(p)
-                        pairs |= {(a[1], b[1]) for a, b in zip(g, k, strict=True) if a[2]}
-            ok = [p for p, pairs in aligned.values() if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})]
+            for mine, theirs in [(grams(brute_template(t, way)), k) for way in ways for k in own]:
+                for p, g in mine.items():
+                    for q, k in theirs.items():
+                        if [x[0] for x in g] == [x[0] for x in k]:
+                            aligned.setdefault(p - q, []).append((p, {(a[1], b[1]) for a, b in zip(g, k, strict=True) if a[2]}))
+            ok = set()
+            for windows in aligned.values():
+                every = set().union(*(pairs for _, pairs in windows))
+                clash = {x for x in every for y in every if (x[0] == y[0]) != (x[1] == y[1])}
+                ok |= {p for p, pairs in windows if not pairs & clash or all(a == b for a, b in pairs)}
             if ok:
-                found[doc, item] = len(set().union(*ok))
+                found[doc, item] = len(ok)
     return found
 
 
+def test_names_at_the_start_of_a_sentence(documents, benchmark, text):
+    item = "Alice has twelve small red stones in her bag and gives some of them to Bob. Carol takes the rest of them home by the evening train"
+    other = item.replace("Alice", "Robert").replace("Bob", "Tim").replace("Carol", "Wanda")
+    rows = [(1, f"{text(9, 1)}. {other}"), (2, f"Then he said: {item}"), (3, item.replace("Alice", "Robert").replace("Carol", "Robert")), (4, item.replace("Alice has", "people have"))]
+    got = {r["doc_id"]: r for r in decontaminate.leaks(documents(rows), benchmark([(1, item)])).collect()}
+    n = len(item.split()) - 12
+    assert got[1]["n_windows"] == got[2]["n_windows"] == got[2]["n_item_windows"] == n and not got[1]["verbatim"] and got[2]["verbatim"]
+    assert 0 < got[3]["n_windows"] < n and 0 < got[4]["n_windows"] < n
+
+
+def test_a_verbatim_item_of_any_length_is_found(documents, benchmark, text):
+    """Whatever it is made of: words, numbers, names, units, in any mixture."""
+    r = random.Random(8)
+    kinds = [lambda: text(1, r.random()), lambda: str(r.randrange(10**6)), lambda: f"Name{r.randrange(10**6)}", lambda: r.choice(["kg", "miles", "mm"])]
+    items = [(n * 10 + k, " ".join(r.choice(kinds[: k + 1])() for _ in range(n))) for n in (*range(2, 16), 30, 60) for k in range(4)]
+    rows = [(i, f"{text(10, i)}\n{t} {text(10, i + 5)}") for i, t in items]
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.leaks(documents(rows), benchmark(items)).collect()}
+    assert {(i, i) for i, _ in items} <= got
+
+
 def test_leaks_match_brute_force(documents, benchmark, text, odd):
     r = random.Random(3)
     vocabulary = ["the", "Bob", "Anna", "12", "7", "kg", "miles", "ran", "over", "a", "bridge,", "and", "Éva", "saw.", "Then", "(3)", "...", "went", "home", "with", "x1"]
