@@ -62,11 +62,14 @@ def reduce_bins(binned: DataFrame, methods: Mapping[str, tuple[str, Mapping[str,
     return grouped.withColumns({c: robust.reduce(F.col(c), m, **p) for c, (m, p) in methods.items() if m not in plain})
 
 
-def bin_deployment(df: DataFrame, methods: Mapping[str, tuple[str, Mapping[str, float]]], channel: str = "z", step: float = 1.0, first: float | None = None, last: float | None = None, keys: Keys = KEYS) -> DataFrame:
-    """Every channel of every profile on the deployment's grid; empty bins are missing. A profile without a sample in any bin is missing throughout."""
+def bin_deployment(df: DataFrame, methods: Mapping[str, tuple[str, Mapping[str, float]]], channel: str = "z", step: float = 1.0, first: float | None = None, last: float | None = None, keys: Keys = KEYS, profiles: DataFrame | None = None) -> DataFrame:
+    """Every channel of every profile on the deployment's grid; empty bins are missing. A profile without a sample in any bin is missing throughout.
+
+    profiles: a table that has each profile; without it the samples are read once more for them.
+    """
     edges = bin_edges(df, channel, step, first, last, keys)
     reduced = reduce_bins(with_bin(df, edges, channel, keys), methods, keys).drop("bin_center")
-    return grid(df, edges, keys).join(reduced, [keys.deployment, keys.profile, "bin"], "left")
+    return grid(df if profiles is None else profiles, edges, keys).join(reduced, [keys.deployment, keys.profile, "bin"], "left")
 
 
 def check_one_identity(deployments: DataFrame) -> None:

@@ -112,7 +112,7 @@ def record_thresholds(result: Processed, settings: Process, deployment: str, key
 def bin_profiles(samples: DataFrame, placed: DataFrame, settings: Bin, keys: Keys = KEYS) -> tuple[DataFrame, DataFrame]:
     """(profiles by start time, grid rows) of all deployments, each on its own grid."""
     channels = [c for c in floating(samples) if c != settings.channel]
-    rows = binning.bin_deployment(samples, {c: settings.resolved(c) for c in channels}, settings.channel, settings.step, settings.first, settings.last, keys)
+    rows = binning.bin_deployment(samples, {c: settings.resolved(c) for c in channels}, settings.channel, settings.step, settings.first, settings.last, keys, placed)
     known = placed.withColumnRenamed("profile_start_time", "time")
     return binning.profile_rank(known, keys=keys), rows
 

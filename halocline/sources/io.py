@@ -109,11 +109,12 @@ def profile_key(df: DataFrame, keys: Keys = KEYS) -> DataFrame:
 
 
 def write_profiles(df: DataFrame, path: str, lineage: Lineage, types: Mapping[str, str], compressed: bool = True, level: int | None = None, keys: Keys = KEYS, mode: str = "overwrite") -> None:
-    """A folder for each deployment and profile; floating channels cast, NULL as NaN, attributes in column metadata, history beside the data."""
+    """A folder for each deployment, its samples sorted by profile, so that a profile's are read from few row groups; floating channels cast, NULL as NaN, attributes in column metadata, history beside the data."""
     channels = floating(df)
     out = lineage.attach(cast_channels(null_to_nan(df, channels), types))
     spark = df.sparkSession
-    writer = out.repartition(keys.deployment, keys.profile).sortWithinPartitions(keys.deployment, keys.profile, keys.order).write.mode(mode).partitionBy(keys.deployment, keys.profile)
+    # By profile, so that a long deployment is many tasks' work; a task may write several deployments.
+    writer = out.repartition(keys.deployment, keys.profile).sortWithinPartitions(keys.deployment, keys.profile, keys.order).write.mode(mode).partitionBy(keys.deployment)
     writer = writer.option("compression", "zstd" if compressed else "none").option("parquet.enable.dictionary", "false")
     if compressed and level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
