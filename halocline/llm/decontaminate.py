@@ -193,3 +193,58 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
 
 def query(spark, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _windows_sql(of: str, width: str, places: str) -> str:
+    """Windows of lists of tokens, both ways: their key, and the values of their placeholders."""
+    part = lambda c: f"{c}[p:p + width - 1]"
+    way = lambda a, b: part(f"(case when way = 0 then {a} else {b} end)")
+    return f"""(select id, width, p, raw, case when raw then array_to_string(vs, ' ') else array_to_string(ts, ' ') end as key,
+    case when raw then [] else list_filter(vs, lambda x, i: ss[i]) end as slots
+  from (select *, width < {SHORT} or len(list_filter(ss, lambda x: not x)) < width * {LITERALS} // {WINDOW} as raw
+    from (select id, width, p, way, {part("v")} as vs, {way("ta", "tb")} as ts, {way("sa", "sb")} as ss, {part("st")} as sts
+      from (select *, unnest({places}) as p from (select *, {width} as width from {of})), (values (0), (1)) as ways(way)))
+  where way = 0 or (not raw and list_contains(sts, true)))"""
+
+
+ORACLE = rf"""
+with t0 as (
+  select 'd' as k, doc_id as id, coalesce(text, '') as text from documents where doc_id is not null
+  union all select distinct 'i', item_id, coalesce(text, '') from benchmark where item_id is not null),
+w0 as (
+  select k, id, unnest(regexp_extract_all(text, '([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*', 1)) as w, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+([\x20\x09-\x0D]*)', 1)) as gap,
+         unnest(range(1, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 1)) as i from t0),
+w1 as (select *, lag(w) over s as pw, lag(gap) over s as pg from w0 window s as (partition by k, id order by i)),
+w2 as (
+  select k, id, i, trim(w, '!"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~') as x, pw is null or contains('.!?:;"'')', right(pw, 1)) or contains(pg, chr(10)) as begins from w1),
+w3 as (select *, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as v, regexp_matches(x, '^[0-9]') as num, regexp_matches(x, '^[A-ZÀ-Þ]') as cap from w2 where x <> ''),
+w4 as (select *, list_contains(string_split('{" ".join(UNITS)}', ' '), v) as unit from w3),
+l as (
+  select k, id, list(v order by i) as v,
+         list(case when num then '#' when unit then '@' when cap and not begins then '&' else '=' || v end order by i) as ta, list(case when num then '#' when unit then '@' when cap then '&' else '=' || v end order by i) as tb,
+         list(num or unit or (cap and not begins) order by i) as sa, list(num or unit or cap order by i) as sb, list(cap and begins and not unit and not num order by i) as st
+  from w4 group by k, id),
+li as (select * from l where k = 'i'),
+i13 as {_windows_sql("li", str(WINDOW), "range(1, len(v) - width + 2)")},
+rest as (select * from li where id not in (select id from i13 where not raw)),
+items as (
+  select * from i13 union all select * from {_windows_sql("rest", str(SHORT), "range(1, len(v) - width + 2)")} union all select * from {_windows_sql(f"(select * from rest where len(v) < {SHORT})", "len(v)", "[1]")}),
+ld as (select l.*, s.n from l, (select distinct width as n from items) s where k = 'd'),
+docs as {_windows_sql("ld", "n", "range(1, len(v) - width + 2)")},
+m as (
+  select distinct d.id as doc_id, i.id as item_id, d.width, d.p - i.p as shift, d.p, d.raw, list_zip(d.slots, i.slots) as pairs
+  from docs d join items i on d.width = i.width and d.raw = i.raw and d.key = i.key),
+x as (select distinct doc_id, item_id, width, shift, unnest(pairs) as q from m),
+c as (
+  select distinct a.doc_id, a.item_id, a.width, a.shift, a.q from x a join x b on a.doc_id = b.doc_id and a.item_id = b.item_id and a.width = b.width and a.shift = b.shift
+  where (a.q[1] = b.q[1]) <> (a.q[2] = b.q[2])),
+cl as (select doc_id, item_id, width, shift, list(q) as clashing from c group by all),
+j as (
+  select m.*, len(list_filter(pairs, lambda y: y[1] <> y[2])) = 0 as equal, coalesce(len(list_filter(pairs, lambda y: list_contains(clashing, y))), 0) as n_clashes
+  from m left join cl on m.doc_id = cl.doc_id and m.item_id = cl.item_id and m.width = cl.width and m.shift = cl.shift),
+kept as (select * from j where equal or n_clashes = 0),
+total as (select id as item_id, count(distinct case when not raw then width * 1000000 + p end) as n_item_windows from items group by id)
+select doc_id, kept.item_id, count(distinct case when not raw then width * 1000000000 + p end)::bigint as n_windows, any_value(n_item_windows)::bigint as n_item_windows, bool_and(equal) as verbatim,
+       count(distinct case when raw then width * 1000000000 + p end)::bigint as n_raw_windows
+from kept join total on kept.item_id = total.item_id group by doc_id, kept.item_id
+"""

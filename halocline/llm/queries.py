@@ -21,6 +21,7 @@ ORACLES = {
     "op1_jaccard_join": jaccard_join.ORACLE,
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_quality_rules": quality_rules.ORACLE,
+    "op4_decontaminate": decontaminate.ORACLE,
     "op6_sharding": shards.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
