@@ -62,7 +62,8 @@ def tokenizer(name: str = TOKENIZER):
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, name: str = TOKENIZER, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): how each document is cut.
 
-    A null or empty text is the end token alone. Repeated rows give repeated pieces. Other columns don't matter.
+    A null or empty text is the end token alone. Repeated rows give repeated pieces. Other columns don't matter. A text of
+    any length is tokenized whole, a row at a time, and gives as many pieces as it needs.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

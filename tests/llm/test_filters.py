@@ -316,15 +316,18 @@ def brute_template(t, starts):
 def brute_leaks(rows, items, width=13):
     grams = lambda x: {i: x[i : i + width] for i in range(len(x) - width + 1) if sum(not s for _, _, s in x[i : i + width]) >= 7}
     found, ways = {}, (False, True)
+    templates = {doc: [grams(brute_template(t, way)) for way in ways] for doc, t in rows}
     for item, text in items:
-        own = [grams(brute_template(text, way)) for way in ways]
+        own = {}
+        for way in ways:
+            for q, k in grams(brute_template(text, way)).items():
+                own.setdefault(tuple(x[0] for x in k), []).append((q, k))
         for doc, t in rows:
             aligned = {}
-            for mine, theirs in [(grams(brute_template(t, way)), k) for way in ways for k in own]:
+            for mine in templates[doc]:
                 for p, g in mine.items():
-                    for q, k in theirs.items():
-                        if [x[0] for x in g] == [x[0] for x in k]:
-                            aligned.setdefault(p - q, []).append((p, {(a[1], b[1]) for a, b in zip(g, k, strict=True) if a[2]}))
+                    for q, k in own.get(tuple(x[0] for x in g), []):
+                        aligned.setdefault(p - q, []).append((p, {(a[1], b[1]) for a, b in zip(g, k, strict=True) if a[2]}))
             ok = set()
             for windows in aligned.values():
                 every = set().union(*(pairs for _, pairs in windows))
@@ -397,3 +400,15 @@ def test_importance_weights_match_brute_force(spark, documents, text, odd):
         assert r["n_grams"] == len(b) and r["log_weight"] == pytest.approx(sum(log(own, x) - log(raw, x) for x in b), abs=1e-6)
     top = sorted((r["key"] for r in out), reverse=True)[: round(len(rows) / 2)]
     assert sorted((r["key"] for r in out if r["kept"]), reverse=True) == top
+
+
+def test_importance_query(spark, documents, folder, text, odd):
+    """The target are the good that are not toxic; the share is that of the good among the labelled; unlabelled and unknown ids change neither."""
+    rows = [(i, text(40, i, 50)) for i in range(40)] + [(100 + i, t) for i, t in enumerate(odd)] + [(3, text(40, 3, 50)), (None, None)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), int(i % 5 == 0)) for i in range(20)] + [(30, None, None), (31, 1, None), (999, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = importance.query(spark, folder(documents=documents(rows), labels=labels)).collect()
+    target = {i for i in range(20) if i % 4 and i % 5} | {31}
+    share = (15 + 1 + 1) / (20 + 3)
+    want = {(r["doc_id"], r["n_grams"], round(r["log_weight"], 6), r["kept"]) for r in importance.select(documents(rows), spark.createDataFrame([(i,) for i in target], "x long"), share).collect()}
+    assert {(r["doc_id"], r["n_grams"], round(r["log_weight"], 6), r["kept"]) for r in got} == want
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) >= round(share * len(rows))

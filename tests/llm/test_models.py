@@ -6,12 +6,14 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from halocline.llm import packing, pitman_yor, shards
+from halocline.llm.words import blocks
 
 LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -104,6 +106,96 @@ def test_spelling_needs_no_room_for_its_contexts(spark, documents, text):
     assert where(b"~~x") > where(b"~~~") + 0.5
 
 
+def test_scores_do_not_depend_on_files_buckets_or_order(spark, documents, text, tmp_path, monkeypatch):
+    """One file or eight, forwards or backwards: equal scores. Many buckets, of which frequent contexts take several, give the same model but for those contexts' draws."""
+    rows = [(i, f"the {text(40, i, 80)} the of the {text(10, i + 100, 4000)}") for i in range(80)]
+    every = []
+    for k, r in enumerate((rows, rows[::-1], rows)):
+        path = str(tmp_path / f"d{k}")
+        documents(r).repartition(1 if k else 8).write.parquet(path)
+        if k == 2:
+            monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 4_000)
+        docs = spark.read.parquet(path)
+        model = pitman_yor.fit(docs.select("text"))
+        every.append(({x["doc_id"]: (x["n_known"], x["base_score"], x["score"]) for x in pitman_yor.score(docs, model, head=300).collect()}, model))
+    (a, one), (b, _), (c, many) = every
+    assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
+    assert one.over.n == 1 and many.over.n > 5 and len(many.over.frequent) and many.over.spread.max() > 1
+    assert all(a[i][:2] == pytest.approx(c[i][:2]) and a[i][2] == pytest.approx(c[i][2], rel=0.01) for i in a)
+    pairs = lambda m: sorted(map(tuple, m.pairs.select("u", "w", "n", "c").collect()))
+    assert pairs(one) == pairs(many)
+
+
+def test_seating_agrees_with_one_customer_at_a_time():
+    """A restaurant whose customers are removed and seated one by one, with all tables written out, against whole dishes at once."""
+    rng, customers, p0, d = np.random.default_rng(3), np.array([1, 2, 5, 9, 14, 20]), np.array([0.3, 0.2, 0.2, 0.1, 0.1, 0.1]), 0.6
+    tables, sums, rounds = [[1] * c for c in customers], np.zeros(6), 4000
+    for r in range(rounds + 50):
+        for w, c in enumerate(customers):
+            for _ in range(c):
+                at = rng.choice(len(tables[w]), p=np.array(tables[w]) / sum(tables[w]))
+                tables[w][at] -= 1
+                if not tables[w][at]:
+                    tables[w].pop(at)
+                total = sum(map(len, tables))
+                weights = np.array([*(np.array(tables[w]) - d), (pitman_yor.THETA + d * total) * p0[w]])
+                at = rng.choice(len(weights), p=weights / weights.sum())
+                if at == len(tables[w]):
+                    tables[w].append(1)
+                else:
+                    tables[w][at] += 1
+        sums += (r >= 50) * np.array([len(x) for x in tables])
+    t, mine, keys = np.ones(6, np.int64), np.zeros(6), np.arange(6, dtype=np.uint64)
+    for r in range(2050):
+        for w in range(6):  # dish by dish, as there: restaurants of many dishes are seated with all others as they were
+            t[w] = pitman_yor.seated(customers[w : w + 1], p0[w : w + 1], t.sum(keepdims=True), t[w : w + 1], d, keys[w : w + 1], r)[0]
+        mine += (r >= 50) * t
+    assert mine / 2000 == pytest.approx(sums / rounds, rel=0.06, abs=0.05)
+
+
+def test_many_customers_and_the_exact_distribution():
+    """Draws by the limit for many customers, against the Stirling numbers."""
+    keys = np.arange(20_000, dtype=np.uint64)
+    for mean in (0.01, 2.0, 40.0):
+        x = pitman_yor.poisson(np.full(len(keys), mean), keys, 7)
+        assert x.mean() == pytest.approx(mean, rel=0.06, abs=0.003) and x.var() == pytest.approx(mean, rel=0.06, abs=0.003)
+    n, d = 900, 0.6
+    ways, t = pitman_yor.stirling(d, n)[n, 1:], np.arange(1, n + 1)
+    for p0, others in ((1e-4, 50), (0.02, 40), (0.1, 300), (0.3, 3000)):
+        weight = ways + np.cumsum(np.log(1 + d * (others + t - 1))) + t * np.log(p0)
+        chance = np.exp(weight - weight.max())
+        want = (t * chance).sum() / chance.sum()
+        drawn = [pitman_yor.seated(np.full(5000, n), np.full(5000, p0), np.full(5000, others + 1), np.ones(5000, np.int64), d, keys[:5000], s).mean() for s in (1, 2)]
+        assert np.mean(drawn) == pytest.approx(want, rel=0.08), (p0, others)
+
+
+def test_scores_match_brute_force(spark, documents, text):
+    """The score of a text, from the model's tables read back, written out token by token."""
+    rows = [(i, text(30, i, 40)) for i in range(30)]
+    model = pitman_yor.fit(documents(rows).select("text"))
+    new = [(100, rows[3][1]), (101, text(20, 99, 60) + " Zebra quagga"), (102, "")]
+    h = lambda w: int((next(iter(blocks(pa.array([w]), lower=True))).hashes().view(np.int64))[0]) if w else int(np.array([pitman_yor._END]).view(np.int64)[0])
+    begin = int(np.array([pitman_yor._BEGIN]).view(np.int64)[0])
+    p = {r["h"]: 10 ** np.array(r["logp"]) for r in model.tokens.collect()}
+    b = {r["u"]: np.array(r["backoff"]) for r in model.contexts.collect()}
+    rooms = pitman_yor.Rooms.of(pitman_yor._parsed(model.rooms.toArrow()))
+    single = pitman_yor._parsed(model.rooms.toArrow())["single"][0][0]
+    own = {(int(u), int(w)): x for u, w, x in zip(rooms.u[rooms.room].view(np.int64), rooms.words[rooms.place].view(np.int64), rooms.own(model.d), strict=True)}
+    own |= {(int(u), int(w)): (1 - model.d) / (1 + n) for u, w, n in zip(np.repeat(rooms.u, rooms.once).view(np.int64), single.view(np.int64), np.repeat(rooms.n, rooms.once), strict=True)}
+    total = {u: sum(x for (a, _), x in own.items() if a == u) for u in b}
+    assert all(total[u] + b[u].mean() == pytest.approx(1, abs=1e-6) for u in b)  # a distribution after every context
+    for r in pitman_yor.score(documents(new), model).collect():
+        words, u, want = tokens(dict(new)[r["doc_id"]]), begin, 0.0
+        for w in words:
+            k = h(w.decode())
+            if k not in p:
+                word = spark.createDataFrame([(k, w)], "h long, word binary")
+                p[k] = np.array([of.backoff() * 10 ** pitman_yor.spelled(word, s).first()["log_h"] for of, s in zip(model.parents, model.spellings, strict=True)])
+            want += math.log10(own.get((u, k), 0.0) + (b.get(u, np.ones(2)) * p[k]).mean())
+            u = k
+        assert r["score"] == pytest.approx(want, abs=1e-3)
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 10, 10_000, 10_000_000])
@@ -253,3 +345,67 @@ def test_pipeline_stages(spark, documents, folder, text):
     assert sorted(r["doc_id"] for r in placed.collect()) == [1, 5, 7]
     empty = folder(documents=documents([]), benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert pipeline.run(spark, empty).count() == 0
+
+
+def test_pipeline_matches_brute_force(spark, duck, folder, tmp_path):
+    """On the smallest driver tables: the first two stages against their SQL, each on its own input, the third and fourth written out, the last by its pieces."""
+    import re
+
+    import corpus_pipeline as pipeline
+
+    from halocline.llm import jaccard_join, quality_rules, secret_scan
+    from test_filters import brute_leaks, brute_spans
+
+    source = "/root/testdata/sf0.001"
+    docs, stages = spark.read.parquet(f"{source}/documents.parquet"), dict(pipeline.STAGES)
+
+    def stage(name, df):
+        return pipeline.stored(stages[name](spark, df, source), name)
+
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+    one = stage("quality_rules", docs)
+    assert ids(one) == sorted(r[0] for r in duck(source).execute(f"select doc_id from ({quality_rules.ORACLE}) where kept").fetchall())
+    two = stage("jaccard_join", one)
+    folder(documents=one)
+    con = duck(tmp_path / "none")
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert ids(two) == sorted(r[0] for r in con.execute(f"select doc_id from ({jaccard_join.ORACLE}) where doc_id = class_id").fetchall())
+    texts = {r["doc_id"]: r["text"] for r in two.collect()}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{source}/benchmark.parquet").collect()]
+    leaked = {doc for doc, _ in brute_leaks(list(texts.items()), items)}
+    three = stage("decontaminate", two)
+    assert leaked and ids(three) == sorted(set(texts) - leaked)
+    four = {r["doc_id"]: r["text"] for r in stage("secret_scan", three).collect()}
+    assert sorted(four) == ids(three)
+    least = secret_scan.thresholds(found := pipeline.stored(secret_scan.scan(three.select("doc_id", "text")), "found"))
+    extra = {r["doc_id"]: [(c["s"], c["e"]) for c in r["found"] if c["bin"] >= least.get(c["length_class"], 10**6)] for r in found.collect()}
+    for i, got in four.items():
+        spans = sorted([tuple(map(int, x.split(":")[1:])) for x in filter(None, brute_spans(texts[i]).split(","))] + extra[i])
+        out, at = [], 0
+        for a, b in spans:
+            if a > at or not out:
+                out.append(texts[i][at:a] + "<secret>")
+            at = max(at, b)
+        assert got == ("".join(out) + texts[i][at:] if spans else texts[i]) and not re.search(r"AKIA[A-Z0-9]{16}", got)
+    placed = pipeline.run(spark, source).collect()
+    assert sorted({r["doc_id"] for r in placed}) == sorted(four)
+
+
+def test_fast_ids_are_the_exact_ones():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    exact, ids, r = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokenizer(), random.Random(4)
+    words = ["the", "it's", "Éva", "x1", "12 000", "...", "don't", "\n\n", "  ", "ſ", "ß", "naïve"]
+    texts = ["".join(chr(r.randrange(0x250)) for _ in range(r.randrange(1, 60))) for _ in range(3000)] + [" ".join(r.choice(words) for _ in range(30)) for _ in range(500)]
+    for t in texts + ["", "a<|endoftext|>b", "日本語 text", "\u2003x", "a" * 9000]:
+        assert ids(t).tolist() == exact.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_number_of_sequences(spark):
+    """Near the bound that no packing can beat: all ids by the capacity, or pieces of which no two fit together."""
+    placed = packing.query(spark, "/root/testdata/sf0.01")
+    r = placed.agg(F.countDistinct("sequence_id").alias("n"), F.sum("length").alias("ids"), F.count(F.when(F.col("length") > 512, 1)).alias("large")).first()
+    assert max(-(-r["ids"] // 1024), r["large"]) <= r["n"] <= 1.01 * max(-(-r["ids"] // 1024), r["large"]) + 1
