@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger("halocline")
 
+MOST_CENTRES = 20_000
+
 
 def union(parts: list[DataFrame]) -> DataFrame:
     """Rows of all parts with `file_rank`, the part's place; a channel that a part lacks is missing there."""
@@ -22,9 +24,17 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 
 def union_grid(rows: DataFrame, profile: list[str], bin_center: str = "bin_center") -> DataFrame:
-    """Every profile on the union of all bin centres, compared as exact numbers; what is not there is missing."""
-    centres = rows.select(bin_center).distinct()
-    full = rows.select(*profile).distinct().crossJoin(F.broadcast(centres)) if centres.count() <= 1_000_000 else rows.select(*profile).distinct().crossJoin(centres)
+    """Every profile on the union of all bin centres, compared as exact numbers; what is not there is missing.
+
+    An export for grids that share most of their centres: where they share few, it is mostly missing values. A dense grid of
+    more than MOST_CENTRES is refused; the long form holds the same.
+    """
+    found = rows.select(bin_center).distinct().limit(MOST_CENTRES + 1).collect()
+    if len(found) > MOST_CENTRES:
+        raise ValueError(f"more than {MOST_CENTRES} bin centres: no dense grid of them is made.")
+    # As one literal: a plan with thousands of them takes long to compile.
+    centres = F.split(F.lit(",".join(repr(r[0]) for r in found)), ",").cast("array<double>") if found else F.expr("cast(array() as array<double>)")
+    full = rows.select(*profile).distinct().withColumn(bin_center, F.explode(centres))
     return full.join(rows, [*profile, bin_center], "left")
 
 
@@ -34,15 +44,17 @@ def first_by_time(profiles: DataFrame, time: str = "time", order: tuple[str, ...
     return profiles.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def concatenate(parts: list[tuple[DataFrame, DataFrame]], keys: tuple[str, str] = ("deployment_id", "profile_idx")) -> tuple[DataFrame, DataFrame]:
-    """(profiles, rows) of all deployments from (profiles, rows) of each: deduplicated by time, on the union grid, in time order.
+def concatenate(parts: list[tuple[DataFrame, DataFrame]], keys: tuple[str, str] = ("deployment_id", "profile_idx"), dense: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(profiles, rows) of all deployments from (profiles, rows) of each: deduplicated by time, in time order; dense: on the union grid.
+
+    A bin that a profile lacks has no row, which says the same as a missing value and grows with what is there.
 
     Profiles and rows belong to their part: where two parts hold the same profile, the rows of the first alone stay.
     """
     own = [*keys, "file_rank"]
     profiles = first_by_time(union([p for p, _ in parts]))
     rows = union([r for _, r in parts]).join(profiles.select(*own), own, "left_semi").drop("file_rank")
-    return profiles.drop("file_rank").orderBy("time"), union_grid(rows, list(keys))
+    return profiles.drop("file_rank").orderBy("time"), union_grid(rows, list(keys)) if dense else rows
 
 
 def duplicates(parts: list[DataFrame], time: str = "time") -> int:

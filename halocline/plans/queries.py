@@ -559,7 +559,7 @@ def _(spark, d):
     rows = binned(spark, d).groupBy(D, P, "bin", F.round("bin_center", 6).alias("bin_center")).agg(F.round(F.avg("x"), 6).alias("x"))
     start = F.timestamp_seconds(F.col(P) * 60 + F.ascii(D) * 3600)
     part = (rows.select(D, P, start.alias("time")).distinct(), rows)
-    _, out = concat.concatenate([part, part])
+    _, out = concat.concatenate([part, part], dense=True)
     return out.select(D, P, "bin_center", "bin", "x")
 
 
