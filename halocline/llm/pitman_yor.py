@@ -8,9 +8,9 @@ probability after every context, seen or not.
 
 A Gibbs sweep takes the customers of each dish of each restaurant out and seats them again, given
 all others: the number of their tables is drawn from its distribution given the tables of the
-other dishes and the parent's probability, exactly up to 64 customers, beyond that one after
-another with blocks of a fiftieth of those seated. Tables of the context restaurants are customers
-of the parent, its tables are customers of the spelling restaurants. Draws depend on the context,
+other dishes and the parent's probability, exactly up to 256 customers, beyond that from its limit
+for many customers. Tables of the context restaurants are customers of the parent, its tables are
+customers of the spelling restaurants. Draws depend on the context,
 the token and the sweep alone, so the model and the scores are the same however the texts are
 dealt over files and tasks. The predictive probabilities of the sweeps after the first are
 averaged.
@@ -24,26 +24,33 @@ the model does not settle to the pair's bucket, which answers with one sum for e
 
 from __future__ import annotations
 
+import gc
 import math
 import pickle
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import hadoop_fs, shared_dir, stored, table
 from .words import Block, blocks, hash_spans, mix
 
-HEAD = 1 << 19  #: tokens, and pairs, in the broadcast head
-FLUSH = 3 << 19  #: different pairs that a task holds before it passes on their counts
+HEAD = 1 << 19  #: pairs in the broadcast head, and half the tokens there
+FLUSH = 1 << 20  #: different pairs that a task holds before it passes on their counts
+SENT = 1 << 18  #: pairs of texts that a task holds before it sends its requests
 BUCKET_BYTES = 16 << 20  #: of text for each bucket
-SAMPLE_ROWS, FREQUENT = 20_000, 1e-5  #: texts, by hash, that tell frequent contexts; their least share of the words there
+SAMPLE_ROWS, FREQUENT = 5_000, 1e-5  #: texts, by hash, that tell frequent contexts; their least share of the words there
+BATCH = 2000  #: texts in an Arrow batch
+ROUNDS = 2  #: texts are scored in so many parts, of which one at a time has its requests on disk
 CONTEXTS = 1 << 15  #: three-byte contexts whose spelling is broadcast; bytes after others are joined to theirs
 SWEEPS, BURN_IN = 3, 1
-EXACT = 64  #: customers up to which tables are drawn from their distribution
+EXACT = 256  #: customers up to which tables are drawn from their distribution
 THETA = 1.0
 START, STOP, SYMBOLS = 256, 257, 258
 _END = np.uint64(0x5851F42D4C957F2D)  #: hash of the end token
@@ -66,25 +73,27 @@ def uniform(keys: np.ndarray, *salts: int) -> np.ndarray:
     return ((keys >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
 
 
-def binomial(n: np.ndarray, p: np.ndarray, keys: np.ndarray, *salts: int) -> np.ndarray:
-    """Successes in n trials, by inversion; by the normal distribution where 30 or more are expected."""
-    u, many = uniform(keys, *salts, 1), n * p >= 30
-    out = np.zeros(len(n), np.int64)
+def poisson(mean: np.ndarray, keys: np.ndarray, *salts: int) -> np.ndarray:
+    """Draws by inversion; by the normal distribution from a mean of 30 on."""
+    u, many = uniform(keys, *salts, 1), mean >= 30
+    out = np.zeros(len(mean), np.int64)
     if many.any():
         z = np.sqrt(-2 * np.log(u[many])) * np.cos(2 * np.pi * uniform(keys[many], *salts, 2))
-        out[many] = np.clip(np.rint(n[many] * p[many] + z * np.sqrt(n[many] * p[many] * (1 - p[many]))), 0, n[many])
-    at = np.flatnonzero(~many & (p > 0))
-    odds, mass = p[at] / np.maximum(1 - p[at], 1e-300), np.exp(n[at] * np.log1p(-np.minimum(p[at], 1 - 1e-16)))
+        out[many] = np.maximum(np.rint(mean[many] + z * np.sqrt(mean[many])), 0)
+    at = np.flatnonzero(~many)
+    m, mass = mean[at], np.exp(-mean[at])
     below, k = mass.copy(), 0
     while len(at):
-        on = (u[at] > below) & (k < n[at])
+        on = (u[at] > below) & (k < 200)
         out[at[~on]] = k
-        at, odds, mass, below = at[on], odds[on], mass[on], below[on]
-        mass = mass * odds * (n[at] - k) / (k + 1)
-        below, k = below + mass, k + 1
+        at, m, mass, below = at[on], m[on], mass[on], below[on]
+        k += 1
+        mass = mass * m / k
+        below = below + mass
     return out
 
 
+@lru_cache(maxsize=8)
 def stirling(discount: float, most: int = EXACT) -> np.ndarray:
     """Logarithms of the generalised Stirling numbers: ways to seat c customers at t tables, weighted by the discount."""
     out = np.full((most + 1, most + 1), -np.inf)
@@ -115,19 +124,26 @@ def seated(customers: np.ndarray, p0: np.ndarray, total: np.ndarray, own: np.nda
             chance = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
             t[at] = np.minimum((chance < uniform(keys[at], salt, 3)[:, None] * chance[:, -1:]).sum(1) + 1, c)
     at = order[cuts[EXACT - 1] :]
-    k, n, c = np.ones(len(at)), np.ones(len(at), np.int64), customers[at].astype(float)
-    a, grow, key, turn = (THETA + discount * others[at]) * p0[at], discount * p0[at], keys[at], 0
-    while len(at):
-        step = np.minimum(np.maximum(1, k // 50), c - k)
-        new = a + grow * n
-        n = n + binomial(step, np.clip(new / np.maximum(k - discount * n + new, 1e-300), 0, 1), key, salt, 4, turn)
-        k, turn = k + step, turn + 1
-        t[at] = n
-        on = k < c
-        at, k, n, c, a, grow, key = at[on], k[on], n[on], c[on], a[on], grow[on], key[on]
+    if len(at):
+        # One table, and for the rest the limit for many customers: Poisson, with fewer where tables run out of customers.
+        c, rest = customers[at].astype(float), np.zeros(len(at))
+        for _ in range(3):
+            a = np.maximum((THETA + discount * (others[at] + 1 + rest)) * p0[at], 1e-300)
+            rest = a / discount * (1 - _left(a, c, discount) ** discount)
+        t[at] = np.minimum(1 + poisson(rest, keys[at], salt, 4), customers[at])
     return t
 
 
+def _left(a: np.ndarray, c: np.ndarray, discount: float) -> np.ndarray:
+    """y between 0 and 1 with a * (1 - y) * y ** (discount - 1) = c: where the generating function of the Stirling numbers has its saddle."""
+    low, high = np.full(len(a), -700.0), np.zeros(len(a))  # of log y
+    for _ in range(60):
+        mid = (low + high) / 2
+        over = np.log(a) + np.log1p(-np.exp(np.minimum(mid, -1e-16))) + (discount - 1) * mid > np.log(c)
+        low, high = np.where(over, mid, low), np.where(over, high, mid)
+    return np.exp(low)
+
+
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables of each dish after seating its customers. strength: (theta + d * tables of the restaurant) * base probability."""
     tables = np.minimum(customers, 1).astype(np.int64)
@@ -271,7 +287,7 @@ def spell(of: tuple, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         return at, known[at] == key
 
-    for part in np.array_split(np.arange(len(starts)), max(1, int((ends - starts).sum() >> 20))):
+    for part in np.array_split(np.arange(len(starts)), max(1, int((ends - starts).sum() >> 18))):
         if not len(part):
             continue
         word, key, s = symbols(data, starts[part], ends[part])
@@ -302,6 +318,14 @@ def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u) + w)
 
 
+def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of x, where each different value begins in it, and one place of each in x. Not stable, which lets numpy sort fast."""
+    order = np.argsort(x)
+    s = x[order]
+    new = np.flatnonzero(np.concatenate([[len(x) > 0], s[1:] != s[:-1]])[: len(x)])
+    return order, new, order[new]
+
+
 def _before(block: Block, x: np.ndarray, begin) -> np.ndarray:
     """What stands before each word, and before the end of each document: the word's x, or begin."""
     some = block.n_words() > 0
@@ -342,6 +366,13 @@ class Deal:
         at = np.minimum(np.searchsorted(self.frequent, u), len(self.frequent) - 1)
         return np.where(self.frequent[at] == u, self.spread[at], 1).astype(np.uint64)
 
+    def sorted(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of pairs by bucket, then context, and where each bucket begins."""
+        order = np.argsort(u)
+        bucket = self.cell(u, w)[order]
+        by = np.argsort(bucket.astype(np.min_scalar_type(self.n)), kind="stable")  # in linear time for small numbers
+        return order[by], np.searchsorted(bucket[by], np.arange(self.n + 1))
+
     def cell(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
         return ((mix(u ^ np.uint64(0x2F)) + mix(w ^ np.uint64(0x3F)) % self.wide(u)) % np.uint64(self.n)).astype(np.int64)
 
@@ -405,27 +436,27 @@ def _gathered(over: Deal):
             nonlocal keys, counts, lengths, data, fresh
             k, n, size = (np.concatenate([a, *(f[i] for f in fresh)]) for i, a in enumerate((keys, counts, lengths)))
             every, starts = np.concatenate([data, *(f[3] for f in fresh)]), np.cumsum(size) - size
-            keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
-            counts, lengths, data, fresh = np.bincount(inverse, n, len(keys)).astype(np.int64), size[first], ragged(every, starts[first], size[first]), []
+            order, new, first = grouped(k)
+            keys, counts, lengths, data, fresh = k[first], np.add.reduceat(n[order], new), size[first], ragged(every, starts[first], size[first]), []
 
         def merged() -> tuple:
             u, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, inverse = np.unique(_pair(u, w), return_index=True, return_inverse=True)
-            return u[first], w[first], np.bincount(inverse, n).astype(np.int64)
+            order, new, first = grouped(_pair(u, w))
+            return u[first], w[first], np.add.reduceat(n[order], new)
 
         def out(u: np.ndarray, w: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            order = np.lexsort((w, u))
-            u, w, n = u[order], w[order], n[order]
-            bucket = over.cell(u, w)
+            order, cuts = over.sorted(u, w)
             for b in range(over.n):
-                at = np.flatnonzero(bucket == b)
+                at = order[cuts[b] : cuts[b + 1]]
                 if len(at):
                     new = np.flatnonzero(np.concatenate([[True], np.diff(u[at]) != 0]))
                     yield _rows([(over.n + b, pack(u[at][new], small(np.diff(np.append(new, len(at)))), w[at], small(n[at])))], _MESSAGE)
 
         for batch in batches:
             for block in blocks(batch.column(0), lower=True):
-                h, first, n = np.unique(block.hashes(), return_index=True, return_counts=True)
+                h = block.hashes()
+                _, new, first = grouped(h)
+                n, h = np.diff(np.append(new, len(h))), h[first]
                 new = np.ones(len(h), bool)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
@@ -437,8 +468,8 @@ def _gathered(over: Deal):
                 if sum(len(f[0]) for f in fresh) > max(200_000, len(keys)):
                     grown()
                 u, w, _ = _tokens_of(block)
-                _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
-                held.append((u[first], w[first], n))
+                _, new, first = grouped(_pair(u, w))
+                held.append((u[first], w[first], np.diff(np.append(new, len(u)))))
                 if sum(len(x[0]) for x in held) > FLUSH:
                     held[:] = [merged()]
                     if len(held[0][0]) > FLUSH // 2:
@@ -469,19 +500,19 @@ def _merged(over: Deal):
     def tokens(b: int, parts: list[tuple]) -> list[tuple]:
         k, n, size = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
         data, starts = np.concatenate([p[3] for p in parts]), np.cumsum(size) - size
-        h, first, inverse = np.unique(k, return_index=True, return_inverse=True)
-        c = np.bincount(inverse, n, len(h)).astype(np.int64)
+        order, new, first = grouped(k)
+        h, c = k[first], np.add.reduceat(n[order], new)
         kept, times = np.unique(c, return_counts=True)
         return [("tokens", b, pack(h, small(c), small(size[first]), ragged(data, starts[first], size[first]))), ("counts", b, pack("tokens", kept, times))]
 
     def contexts(b: int, parts: list[tuple]) -> list[tuple]:
         u = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         w, n = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in ((2, np.uint64), (3, np.int64)))
-        order = np.lexsort((w, u))
-        u, w, n = u[order], w[order], n[order]
-        new = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(w) != 0)]))
-        u, w, n = u[new], w[new], np.add.reduceat(n, new)
-        rooms, room = np.unique(u, return_inverse=True)
+        order, new, first = grouped(_pair(u, w))
+        u, w, n = u[first], w[first], np.add.reduceat(n[order], new)
+        order, new, first = grouped(u)
+        w, n, rooms = w[order], n[order], u[first]
+        room = np.repeat(np.arange(len(rooms)), np.diff(np.append(new, len(u))))
         one = n == 1
         kept, times = np.unique(n, return_counts=True)
         out = [("counts", b, pack("pairs", kept, times)), ("single", b, pack(w[one]))]
@@ -516,15 +547,25 @@ class Parts:
     def __init__(self, rows: DataFrame, name: str):
         self.spark = rows.sparkSession
         self.path = f"{shared_dir(self.spark)}/{name}-{np.random.default_rng().integers(1 << 62):x}"
-        rows.write.option("compression", "zstd").partitionBy("kind").parquet(self.path)
+        # Mostly hashes, which nothing compresses: the least effort.
+        rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").partitionBy("kind").parquet(self.path)
 
     def of(self, *kinds: str) -> DataFrame:
         return self.spark.read.schema(_MESSAGE + ", kind string").parquet(self.path).where(F.col("kind").isin(*kinds)).select(*(x.split()[0] for x in _PART.split(", ")))
 
-    def delete(self) -> None:
-        """Frees the space, when nothing will read it again."""
-        fs, p = hadoop_fs(self.spark, self.path)
-        fs.delete(p, True)
+    def delete(self, *kinds: str) -> None:
+        """Frees the space of these kinds, or all, when nothing will read them again."""
+        for path in [f"{self.path}/kind={k}" for k in kinds] or [self.path]:
+            fs, p = hadoop_fs(self.spark, path)
+            fs.delete(p, True)
+
+
+def free(spark, over: Deal) -> None:
+    """Spark deletes the shuffles of plans that nothing refers to, once both collectors have run: Python's lets go of plans, then the driver's finds them."""
+    for _ in range(2 if over.n > 1 else 0):  # one bucket is not worth the time
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def _parsed(rows: pa.Table) -> dict[str, list[tuple]]:
@@ -684,24 +725,34 @@ def _contexts_seated(over: Deal, of: Parent, d: float, sweep: int, kept: bool, f
     return work
 
 
-def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, symbol, n): customers of the spelling restaurants, summed by task."""
-    keys, sums = np.zeros(0, np.int64), np.zeros(0)
-    for batch in batches:
-        for row in batch.column("data").to_pylist():
-            now = State.of(row)
-            data, starts, ends = now.spans()
-            for part in np.array_split(np.arange(len(now.h)), max(1, len(data) >> 20)):
-                word, key, s = symbols(data, starts[part], ends[part])
-                keys, inverse = np.unique(np.concatenate([keys, (key << 9) | s]), return_inverse=True)
-                sums = np.bincount(inverse, np.concatenate([sums, now.t[part][word]]), len(keys))
-    yield pa.RecordBatch.from_arrays([pa.array(keys >> 9), pa.array((keys & 511).astype(np.int32)), pa.array(sums.astype(np.int64))], ["context", "symbol", "n"])
+def _bytes(first: bool):
+    """A mapInArrow function: (context, symbol, n), customers of the spelling restaurants summed by task; of each token's first table, or of its others."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sums = np.zeros(0, np.int64), np.zeros(0)
+        for batch in batches:
+            for row in batch.column("data").to_pylist():
+                now = State.of(row)
+                data, starts, ends = now.spans()
+                some = np.arange(len(now.h)) if first else np.flatnonzero(now.t > 1)
+                for part in np.array_split(some, max(1, int((ends - starts)[some].sum()) >> 18)):
+                    word, key, s = symbols(data, starts[part], ends[part])
+                    n = np.ones(len(word)) if first else (now.t[part] - 1.0)[word]
+                    keys, n = np.concatenate([keys, (key << 9) | s]), np.concatenate([sums, n])
+                    order, new, one = grouped(keys)
+                    keys, sums = keys[one], np.add.reduceat(n[order], new) if len(new) else n
+        yield pa.RecordBatch.from_arrays([pa.array(keys >> 9), pa.array((keys & 511).astype(np.int32)), pa.array(np.rint(sums).astype(np.int64))], ["context", "symbol", "n"])
+
+    return work
+
 
+def _respelled(state: DataFrame, of: Spelt, parent: Parent | None) -> tuple[DataFrame, Broadcast]:
+    """The tokens' rows with the probabilities of their spellings; with a parent, P(token) as one more sample. Then what the rows need until they are stored.
 
-def _respelled(state: DataFrame, of: Spelt, parent: Parent | None) -> DataFrame:
-    """The tokens' rows with the probabilities of their spellings; with a parent, P(token) as one more sample."""
-    whole = of.whole
-    here, schema = (of.keys, of.log, of.three, of.log3, whole), _PART
+    Without a parent only tokens that occur twice are spelled: one that occurs once has one customer and one table, whatever its spelling.
+    """
+    whole, schema = of.whole, _PART
+    here = state.sparkSession.sparkContext.broadcast((of.keys, of.log, of.three, of.log3, whole))
 
     def done(now: State) -> bytes:
         if parent is not None:
@@ -712,15 +763,18 @@ def _respelled(state: DataFrame, of: Spelt, parent: Parent | None) -> DataFrame:
         for batch in batches:
             for to, row in zip(batch.column("to").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 now = State.of(row)
-                now.log_h, word, context, symbol, low = spell(here, *now.spans())
-                far = [] if whole else [(int(w), int(c), int(s), float(x)) for w, c, s, x in zip(word, context, symbol, low, strict=True)]
+                some = np.arange(len(now.h)) if parent is not None else np.flatnonzero(now.c > 1)
+                data, starts, ends = now.spans()
+                now.log_h = now.log_h.astype(float)
+                now.log_h[some], word, context, symbol, low = spell(here.value, data, starts[some], ends[some])
+                far = [] if whole else [(int(w), int(c), int(s), float(x)) for w, c, s, x in zip(some[word], context, symbol, low, strict=True)]
                 data = done(now) if whole else now.packed()
                 lists = [pa.array([[f[i] for f in far]], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.float64()))]
                 yield pa.RecordBatch.from_arrays([pa.array(["state"]), pa.array([to], pa.int32()), pa.array([data], pa.binary()), *lists], ["kind", "to", "data", "i", "context", "s", "low"])
 
     rows = state.mapInArrow(near, schema + ", i array<int>, context array<long>, s array<int>, low array<double>")
     if whole:
-        return rows.select("kind", "to", "data")
+        return rows.select("kind", "to", "data"), here
     rows = stored(rows, "near")
     far = rows.select("to", F.explode(F.arrays_zip("i", "context", "s", "low")).alias("x")).select("to", "x.i", "x.context", "x.s", F.pow(F.lit(10.0), F.col("x.low")).alias("low"))
     more = far_spelling(far, of).groupBy("to", "i").agg(F.sum("p").alias("more")).groupBy("to").agg(F.collect_list(F.struct("i", "more")).alias("more"))  # a bucket's tokens at most
@@ -735,7 +789,7 @@ def _respelled(state: DataFrame, of: Spelt, parent: Parent | None) -> DataFrame:
                 now.log_h = log_h
                 yield _rows([("state", to, done(now))], _PART)
 
-    return rows.select("to", "data").join(more, "to", "left").mapInArrow(add, schema)
+    return rows.select("to", "data").join(more, "to", "left").mapInArrow(add, schema), here
 
 
 def _known(rows: list[tuple], kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -831,6 +885,23 @@ class Model:
         return seen.join(self.tokens.select(F.col("h").alias("w"), "c"), "w").select("u", "w", "n", "c")
 
 
+def in_small_batches(f):
+    """f(texts, ..) with few texts in an Arrow batch: a batch is in memory several times, in both processes."""
+
+    @wraps(f)
+    def run(texts: DataFrame, *args, **more):
+        conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(name)
+        conf.set(name, str(min(int(before), BATCH) if int(before) > 0 else BATCH))
+        try:
+            return f(texts, *args, **more)
+        finally:
+            conf.set(name, before)
+
+    return run
+
+
+@in_small_batches
 def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
     """Learns from a one-column table of texts; nulls count as empty. Without rows there is only the uniform spelling."""
     spark, rng, over = texts.sparkSession, np.random.default_rng(seed), deal(texts)
@@ -840,6 +911,8 @@ def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
     of_kind = lambda known, k: int(known[1][known[0] == k].sum())
     d = discount_of(of_kind(pairs, 1), of_kind(pairs, 2))
     state = Parts(parts.of("tokens").groupBy("to").cogroup(parts.of("base").groupBy("to")).applyInArrow(_begun, _PART), "state")
+    parts.delete("tokens", "base")
+    free(spark, over)
     of = Parent(float(tokens[1].sum()), float(tokens[1].sum()), discount_of(of_kind(tokens, 1), of_kind(tokens, 2)))
 
     # Customers of contexts that have several buckets; at first each of their pairs has a table.
@@ -857,18 +930,24 @@ def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
             np.add.at(frequent["n"], at, n)
             np.add.at(frequent["t"], at, t)
 
-    spelling, spellings, parents, shared = None, [], [], []
+    spelling, firsts, spellings, parents, shared = None, None, [], [], []
 
     def spelt(rows: DataFrame, sweep: int) -> Spelt:
-        nonlocal spelling
-        sums = stored(rows.mapInArrow(_bytes, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
+        """The spelling restaurants, seated once more. Each token's first table always has the same bytes, which are summed once."""
+        nonlocal spelling, firsts
+        summed = lambda df: stored(df.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "bytes")
+        counted = lambda first: rows.mapInArrow(_bytes(first), "context long, symbol int, n long")
+        sums = firsts = summed(counted(True)) if firsts is None else firsts
+        if sweep:
+            sums = summed(firsts.unionAll(counted(False)))
         spelling, frozen = spelling_sample(sums, spelling, contexts, sweep, rng)
         return frozen
 
-    def replaced(old: Parts, rows: DataFrame, name: str) -> Parts:
-        new = Parts(rows, name)
+    def respelled(old: Parts, frozen: Spelt, of: Parent | None) -> Parts:
+        rows, needed = _respelled(old.of("state"), frozen, of)
+        new = Parts(rows, "spelled")
+        needed.destroy()
         old.delete()
-        spark.sparkContext._jvm.System.gc()  # shuffles that nothing refers to are deleted
         return new
 
     def parent(rows: DataFrame) -> Parent:
@@ -881,23 +960,27 @@ def fit(texts: DataFrame, seed: int = 7, contexts: int = CONTEXTS) -> Model:
         r = rows.mapInArrow(sums, "n long, t long, one long, two long").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "t", "one", "two"))).first()
         return Parent(float(r["n"]), float(r["t"]), discount_of(r["one"], r["two"]))
 
-    state = replaced(state, _respelled(state.of("state"), spelt(state.of("state"), 0), None), "spelled")
+    state = respelled(state, spelt(state.of("state"), 0), None)
     seats, up = None, parts.of("up")
     for sweep in range(SWEEPS):
         kept = sweep >= BURN_IN
-        state = replaced(state, state.of("state").groupBy("to").cogroup(up.groupBy("to")).applyInArrow(_parents_seated(of, sweep), _PART), "parents")
+        old, state = state, Parts(state.of("state").groupBy("to").cogroup(up.groupBy("to")).applyInArrow(_parents_seated(of, sweep), _PART), "parents")
+        old.delete()
         of = parent(state.of("state"))
         rooms = parts.of("cells") if seats is None else parts.of("cells").unionByName(seats.of("seats"))
         new = Parts(rooms.groupBy("to").cogroup(state.of("reply").groupBy("to")).applyInArrow(_contexts_seated(over, of, d, sweep, kept, frequent), _PART), "seats")
         if seats is not None:
             seats.delete()
+        else:
+            parts.delete("up")
         seats, up = new, new.of("up")
         if len(over.frequent):
             frequent = frequent | {"t": np.zeros(len(over.frequent), np.int64)}
             for row in seats.of("frequent").collect():
                 np.add.at(frequent["t"], *pickle.loads(row["data"]))
         frozen = spelt(state.of("state"), sweep + 1)
-        state = replaced(state, _respelled(state.of("state"), frozen, of if kept else None), "spelled")
+        state = respelled(state, frozen, of if kept else None)
+        free(spark, over)
         if kept:
             spellings.append(frozen)
             parents.append(of)
@@ -921,6 +1004,29 @@ def _looked_up(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, known[at] == asked
 
 
+class Hashes:
+    """Sorted hashes that are looked up in any order: the first bits say where to look, so a look-up reads two or three places of memory."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.bits = known, max(1, len(known).bit_length())
+        borders = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.starts = np.searchsorted(known, borders).astype(np.int32)
+
+    def __call__(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of each."""
+        if not len(self.known):
+            return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+        last = len(self.known) - 1
+        at = np.minimum(self.starts[(asked >> np.uint64(64 - self.bits)).astype(np.int64)], last)
+        found = self.known[at]
+        on = np.flatnonzero((found < asked) & (at < last))
+        while len(on):
+            at[on] += 1
+            found[on] = self.known[at[on]]
+            on = on[(found[on] < asked[on]) & (at[on] < last)]
+        return at, found == asked
+
+
 @dataclass(frozen=True)
 class Head:
     """The most frequent tokens: hash, count, samples of P(token); the most frequent pairs: key, mean of their own part, samples of the context's backoff."""
@@ -934,8 +1040,8 @@ class Head:
 
 
 def head_of(model: Model, most: int) -> Head:
-    """`most` tokens and `most` pairs at most, of any model."""
-    least_token, least_pair, samples = _least(model.token_counts, most), _least(model.pair_counts, most), len(model.parents)
+    """Twice `most` tokens and `most` pairs at most, of any model."""
+    least_token, least_pair, samples = _least(model.token_counts, 2 * most), _least(model.pair_counts, most), len(model.parents)
     d, over, frequent = model.d, model.over, model.frequent
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -960,26 +1066,30 @@ def head_of(model: Model, most: int) -> Head:
 
     t = joined(model.state.mapInArrow(tokens, _MESSAGE), (np.uint64, np.int64, np.float32), (0, 0, 1))
     q = joined(model.rooms.where("kind <> 'single'").groupBy("to").applyInArrow(pairs, _MESSAGE), (np.uint64, np.float32, np.float32), (0, 0, 1))
-    return Head(*t, *q)
+    return Head(t[0], small(t[1]), t[2], *q)
 
 
+@in_small_batches
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """One row for each row of docs, with its columns but the text, and n_tokens, n_known, base_score, score.
 
     base_score: sum of log10((c + 1) / (n + v + 1)) over the tokens; score: the model's log10 probability of the text.
     A null or empty text is one end token. Repeated rows and null ids are scored like any other. head: tokens and pairs
-    that are broadcast, which changes no score.
+    that are broadcast (twice as many tokens), which changes no score.
     """
-    top, over, samples, d, frequent = head_of(model, head), model.over, len(model.parents), model.d, model.frequent
+    over, samples, d, frequent = model.over, len(model.parents), model.d, model.frequent
+    shared = docs.sparkSession.sparkContext.broadcast(head_of(model, head))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = shared.value
+        pairs = Hashes(top.key)
         asked: list[tuple] = []
         words: list[tuple] = []
+        group = None  # texts whose requests are sent together
 
         def messages() -> Iterator[tuple]:
             u, w, place, doc, times = (np.concatenate(x) for x in zip(*asked, strict=True))
-            order = np.lexsort((u, bucket := over.cell(u, w)))
-            cuts = np.searchsorted(bucket[order], np.arange(over.n + 1))
+            order, cuts = over.sorted(u, w)
             for b in range(over.n):
                 for known in (True, False):  # tokens of the head by their place there, others by their hash
                     at = order[cuts[b] : cuts[b + 1]]
@@ -987,7 +1097,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                     if len(at):
                         new = np.flatnonzero(np.concatenate([[True], np.diff(u[at]) != 0]))
                         numbers, local = np.unique(doc[at], return_inverse=True)
-                        yield b, pack(known, u[at][new], small(np.diff(np.append(new, len(at)))), small(place[at]) if known else w[at], numbers, small(local), small(times[at]))
+                        yield b, pack(group, known, u[at][new], small(np.diff(np.append(new, len(at)))), small(place[at]) if known else w[at], numbers, small(local), small(times[at]))
             h, lengths, starts, data = (np.concatenate(x) for x in zip(*((h, n, np.cumsum(n) - n + before, x) for (h, n, x), before in zip(words, np.cumsum([0, *(len(x) for _, _, x in words)]), strict=False)), strict=True))
             h, first = np.unique(h, return_index=True)
             lengths, starts, bucket = lengths[first], starts[first], over.token(h)
@@ -1018,7 +1128,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 place, known = _looked_up(top.h, seen)
                 here = known[w]
                 sums = [np.bincount(doc[here], times[here], block.n_docs), np.bincount(doc[here], times[here] * np.log10(top.c[place[w[here]]] + 1.0), block.n_docs)]
-                at, found = _looked_up(top.key, _pair(seen[u], seen[w]))
+                at, found = pairs(_pair(seen[u], seen[w]))
                 found &= here
                 p = top.own[at[found]].astype(float) + (top.backoff[at[found]].astype(float) * top.p[place[w[found]]]).mean(1) if found.any() else np.zeros(0)
                 logp = np.bincount(doc[found], times[found] * np.log10(np.maximum(p, 1e-300)), block.n_docs).astype(float)
@@ -1030,21 +1140,23 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 size = block.ends[first] - block.starts[first]
                 ends = np.array([_END]) if not known[inverse[-2]] else np.zeros(0, np.uint64)
                 words.append((np.append(h_new, ends), np.append(size, np.zeros(len(ends), np.int64)), ragged(block.data, block.starts[first], size)))
-                to = 2 * over.n + int(mix(number[:1].astype(np.uint64))[0] % np.uint64(over.n))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(block.n_docs, to, np.int32)), pa.nulls(block.n_docs, pa.binary()), row, pa.array(block.n_words() + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(float)), pa.array(logp)], schema=schema)
-                if sum(len(x[0]) for x in asked) > FLUSH:
+                group = 2 * over.n + int(mix(number[:1].astype(np.uint64))[0] % np.uint64(1 << 24)) if group is None else group
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(block.n_docs, group, np.int32)), pa.nulls(block.n_docs, pa.binary()), row, pa.array(block.n_words() + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(float)), pa.array(logp)], schema=schema)
+                if sum(len(x[0]) for x in asked) > SENT:
                     yield from sent(schema)
+                    group = None
         if asked:
             yield from sent(schema)
 
     names = [c for c in docs.columns if c != text]
-    numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("_n"), *names).alias("row"), F.col(text))
-    inner = numbered.schema["row"].dataType.simpleString()
-    asked = numbered.mapInArrow(work, f"to int, data binary, row {inner}, n_tokens long, known long, base double, logp double")
-    kinds = {"n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "logp": pa.float64(), "n": pa.int64(), "w": pa.int64(), "c": pa.int64(), "times": pa.int64(), "own": pa.float64(), "b": pa.list_(pa.float64()), "word": pa.binary()}
-    outer = f"kind string, row {inner}, n_tokens long, known long, base double, logp double, n long, w long, c long, times long, own double, b array<double>, word binary"
+    number = lambda r: F.monotonically_increasing_id() + F.lit(r << 60)
+    numbered = [docs.where(F.pmod(F.xxhash64(text), F.lit(ROUNDS)) == r).select(F.struct(number(r).alias("_n"), *names).alias("row"), F.col(text)) for r in range(ROUNDS)]
+    inner = numbered[0].schema["row"].dataType.simpleString()
+    kinds = {"n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "logp": pa.float64(), "n": pa.int64(), "w": pa.int64(), "c": pa.int64(), "times": pa.int64(), "own": pa.float64(), "b": pa.list_(pa.float64()), "word": pa.binary(), "to": pa.int32(), "data": pa.binary()}
+    outer = f"kind string, row {inner}, n_tokens long, known long, base double, logp double, n long, w long, c long, times long, own double, b array<double>, word binary, to int, data binary"
 
     def answered(left: pa.Table, right: pa.Table) -> pa.Table:
+        top = shared.value
         row_type = left.schema.field("row").type
 
         def rows(kind: str, size: int, **columns) -> pa.Table:
@@ -1061,7 +1173,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             return rows("none", 0)
         to = left.column("to")[0].as_py()
         if to >= 2 * over.n:
-            return rows("doc", left.num_rows, **{c: left.column(c) for c in ("row", "n_tokens", "known", "base", "logp")})
+            return rows("doc", left.num_rows, **{c: left.column(c) for c in ("row", "n_tokens", "known", "base", "logp", "to")})
         got = [pickle.loads(x) for x in left.column("data").to_pylist()]
         if to >= over.n:
             h, lengths = (np.concatenate([g[i] for g in got]).astype(kind) for i, kind in ((0, np.uint64), (1, np.int64)))
@@ -1085,35 +1197,54 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             key, own, contexts, backoff = key[order], own[order], now.u, np.vstack([now.backoffs(over, frequent), np.ones((1, samples))])
         else:
             key, own, contexts, backoff = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.ones((1, samples))
-        out = []
-        for known, u, runs, which, numbers, local, times in got:
+        cells, out = Hashes(key), []
+        for group, known, u, runs, which, numbers, local, times in got:
             local, times, runs = (x.astype(np.int64) for x in (local, times, runs))
             at, has = _looked_up(contexts, u)
             b = backoff[np.repeat(np.where(has, at, len(contexts)), runs)]
             w = top.h[which] if known else which
-            at, has = _looked_up(key, _pair(np.repeat(u, runs), w))
+            at, has = cells(_pair(np.repeat(u, runs), w))
             mine = np.where(has, own[at], 0.0) if len(own) else np.zeros(len(w))
             if known:
                 p = times * np.log10(np.maximum(mine + (b * top.p[which]).mean(1), 1e-300))
-                out.append(rows("sum", len(numbers), n=numbers, logp=np.bincount(local, p, len(numbers)).astype(float)))
+                out.append(rows("sum", 1, to=[group], data=[pack(numbers, np.bincount(local, p, len(numbers)).astype(float))]))
             else:
                 out.append(rows("rare", len(w), n=numbers[local], w=w.view(np.int64), times=times, own=mine, b=lists(b)))
         return pa.concat_tables(out)
 
     model_rows = model.rooms.unionByName(model.state.select("kind", (F.col("to") + over.n).cast("int").alias("to"), "data"))
-    found = stored(asked.groupBy("to").cogroup(model_rows.groupBy("to")).applyInArrow(answered, outer), "scored")
-    new = found.where("kind = 'new'").select(F.col("w").alias("h"), "word")
+    found = None
+    for part in numbered:
+        free(docs.sparkSession, over)
+        asked = part.mapInArrow(work, f"to int, data binary, row {inner}, n_tokens long, known long, base double, logp double")
+        told = stored(asked.groupBy("to").cogroup(model_rows.groupBy("to")).applyInArrow(answered, outer), "scored")
+        found, asked = told if found is None else found.unionAll(told), None
+    shared.destroy()
+    new = found.where("kind = 'new'").select(F.col("w").alias("h"), "word").dropDuplicates(["h"])
     unseen = new.select("h", F.expr("cast(array() as array<double>)").alias("p"))
     for of, frozen in zip(model.parents, model.spellings, strict=True):
         unseen = unseen.join(spelled(new, frozen).select("h", "log_h"), "h").select("h", F.concat("p", F.array(of.backoff() * F.pow(F.lit(10.0), F.col("log_h")))).alias("p"))
-    lexicon = found.where("kind = 'word'").select("w", "c", F.col("b").alias("p")).unionByName(unseen.select(F.col("h").alias("w"), F.lit(0).cast("long").alias("c"), "p"))
+    lexicon = found.where("kind = 'word'").select("w", "c", F.col("b").alias("p")).dropDuplicates(["w"]).unionByName(unseen.select(F.col("h").alias("w"), F.lit(0).cast("long").alias("c"), "p"))
     rare = found.where("kind = 'rare'").select("n", "w", "times", "own", "b").join(lexicon, "w")
     both = F.aggregate(F.zip_with("b", "p", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / samples
     rare = rare.select("n", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"), (F.col("times") * F.log10(F.greatest(F.col("own") + both, F.lit(1e-300)))).alias("logp"))
-    sums = found.where("kind = 'sum'").select("n", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), "logp").unionByName(rare)
-    sums = sums.groupBy("n").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("logp").alias("logp2"))
+    sums = rare.groupBy("n").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("logp").alias("logp2"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    joined = found.where("kind = 'doc'").select("row", "n_tokens", "known", "base", "logp").join(sums, F.col("row._n") == F.col("n"), "left")
+
+    def added(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows or not answers.num_rows:
+            return texts.drop_columns(["to"])
+        number = texts.column("row").combine_chunks().field("_n").to_numpy()
+        logp, order = texts.column("logp").to_numpy().copy(), np.argsort(number)
+        for data in answers.column("data").to_pylist():
+            numbers, more = pickle.loads(data)
+            logp[order[np.searchsorted(number[order], numbers)]] += more
+        return texts.drop_columns(["to"]).set_column(4, "logp", pa.array(logp))
+
+    texts = found.where("kind = 'doc'").select("row", "n_tokens", "known", "base", "logp", "to")
+    answers = found.where("kind = 'sum'").select("to", "data")
+    whole = texts.groupBy("to").cogroup(answers.groupBy("to")).applyInArrow(added, f"row {inner}, n_tokens long, known long, base double, logp double")
+    joined = whole.join(sums, F.col("row._n") == F.col("n"), "left")
     per_token = F.log10(F.lit(float(model.n + model.v + 1)))
     return joined.select(
         *(F.col(f"row.`{c}`").alias(c) for c in names), "n_tokens", (F.col("known") + zero("known2")).cast("long").alias("n_known"),
