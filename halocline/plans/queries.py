@@ -193,7 +193,7 @@ def _(spark, d):
 
 # The profile likelihood of theta = shape / scale on a grid of its own, narrowed twelve times.
 _MEAN_LOG = "list_avg(list_transform(x, lambda v: ln(1 + t * v)))"
-GPD = f"""with recursive {RES}, h as (select deployment_id, quantile_cont(abs(r), 0.9) as u, count(r) as n from r group by 1),
+GPD = f"""with recursive {RES}, h as (select deployment_id, quantile_cont(abs(r), 0.9) as u, quantile_cont(abs(r), 0.999) as top, count(r) as n from r group by 1),
 e as (select r.deployment_id, u, n, list(abs(r) - u) as x from r join h on r.deployment_id = h.deployment_id where abs(r) > u group by all),
 g0 as (select *, (-1 + 1e-6 + 20.0 * j / 4000) / list_max(x) as t from e, unnest(range(0, 4000)) as k(j)),
 i0 as (select deployment_id, arg_max(t, -ln({_MEAN_LOG} / t) - {_MEAN_LOG}) as t, max(20.0 / 4000 / list_max(x)) as w from g0 where abs(t) > 1e-9 group by 1),
@@ -204,7 +204,8 @@ it(deployment_id, t, w, k) as (
   from (select it.deployment_id, x, it.t + w * j / 8.0 as t, w, k from it join e on e.deployment_id = it.deployment_id, unnest(range(-8, 9)) as q(j) where k < 12) where abs(t) > 1e-9 and 1 + t * list_max(x) > 0 group by 1),
 f as (select deployment_id, arg_max(t, k) as t from it group by 1),
 p as (select e.*, t, {_MEAN_LOG} as shape from e join f on e.deployment_id = f.deployment_id)
-select deployment_id, round(u + (pow(0.001 * n / len(x), -shape) - 1) / t, 2) as threshold, false as used_fallback, round(shape, 3) as shape, round(shape / t, 2) as scale, n::bigint as n, len(x)::bigint as n_exceedances from p"""
+select h.deployment_id, coalesce(round(p.u + (pow(0.001 * p.n / len(x), -shape) - 1) / t, 2), round(h.top, 2)) as threshold, p.n is null as used_fallback, round(shape, 3) as shape, round(shape / t, 2) as scale, h.n::bigint as n, coalesce(c.c, 0)::bigint as n_exceedances
+from h left join (select deployment_id, len(x) as c from e) c on c.deployment_id = h.deployment_id left join p on p.deployment_id = h.deployment_id and c.c >= 20"""
 
 
 @query("despike_gpd", GPD)
