@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, importance, jaccard_join, packing, pitman_yor, quality_rules, secret_scan, shards, substring_dedup, url_filter
+from . import decontaminate, importance, jaccard_join, mixing, packing, pitman_yor, quality_rules, secret_scan, shards, substring_dedup, url_filter, whitening
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_url_filter": url_filter.query,
     "op9_importance": importance.query,
     "op10_best_fit_packing": packing.query,
+    "op11_mixing": mixing.query,
+    "op12_whitening": whitening.query,
 }
 
 ORACLES = {
