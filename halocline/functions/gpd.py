@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+POINTS = 65
 
-def fit(x: np.ndarray, rounds: int = 8, points: int = 65) -> tuple[float, float]:
+
+def first_grid(top: float, mean: float, points: int = POINTS) -> np.ndarray:
+    """Where the profile likelihood in theta is looked at first: densely near its bound and near 0."""
+    near = np.geomspace(1e-6, 1.0, points)
+    grid = np.concatenate([-(1 - near * 1e-3) / top, -near[::-1] / top * 0.999, near * 1e-3 / mean, near * 50.0 / mean])
+    return np.unique(grid[grid > -1 / top])
+
+
+def fit(x: np.ndarray, rounds: int = 8, points: int = POINTS) -> tuple[float, float]:
     """(shape, scale) of excesses x > 0 by the profile likelihood in theta = shape / scale (Grimshaw 1993).
 
     For a given theta the shape is the mean of log(1 + theta x). The best of a grid is refined between its neighbours.
     """
     x = np.asarray(x, float)
     top, mean = x.max(), x.mean()
-    near = np.geomspace(1e-6, 1.0, points)
-    grid = np.concatenate([-(1 - near * 1e-3) / top, -near[::-1] / top * 0.999, near * 1e-3 / mean, near * 50.0 / mean])
-    grid = np.unique(grid[grid > -1 / top])
+    grid = first_grid(top, mean, points)
 
     def likelihood(theta: np.ndarray) -> np.ndarray:
         shape = np.array([np.log1p(t * x).mean() for t in theta])
@@ -30,3 +39,38 @@ def fit(x: np.ndarray, rounds: int = 8, points: int = 65) -> tuple[float, float]
         grid = grid[grid != 0]
     shape = float(np.log1p(best * x).mean())
     return shape, shape / float(best)
+
+
+def fits(df: DataFrame, group: str, excess: str, rounds: int = 6, points: int = POINTS) -> DataFrame:
+    """(group, shape, scale): fit() of every group at once, without a group in one task.
+
+    Each round is one aggregation: the mean of log(1 + theta x) at every theta of the group's grid, summed where the rows
+    are and combined. The best theta of the grid is refined between its neighbours in the next round. df, whose excesses are
+    above 0, is read once a round and once before, so it should be a stored table.
+    """
+    rows = df.select(F.col(group).alias("_g"), F.col(excess).cast("double").alias("_x"))
+    grid = lambda name: F.array(*(F.lit(float(v)) for v in name))
+    near = np.geomspace(1e-6, 1.0, points)
+    top, mean = F.col("_top"), F.col("_mean")
+    every = F.concat(
+        F.transform(grid(near), lambda v: -(1 - v * 1e-3) / top), F.transform(grid(near), lambda v: -v / top * 0.999),
+        F.transform(grid(near), lambda v: v * 1e-3 / mean), F.transform(grid(near), lambda v: v * 50.0 / mean),
+    )
+    state = rows.groupBy("_g").agg(F.max("_x").alias("_top"), F.avg("_x").alias("_mean"))
+    state = state.select("_g", F.array_sort(F.array_distinct(F.filter(every, lambda t: t > -1 / top))).alias("_t"))
+    for n in range(rounds):
+        size = 4 * points if n == 0 else points
+        means = F.array(*(F.avg(F.log1p(F.get("_t", F.lit(j)) * F.col("_x"))) for j in range(size)))
+        found = rows.join(state, "_g").groupBy("_g").agg(means.alias("_s"), F.first("_t").alias("_t"))
+        value = F.zip_with("_s", "_t", lambda s, t: F.coalesce(_likelihood(s, t), F.lit(float("-inf"))))
+        found = found.withColumn("_v", F.slice(value, 1, F.size("_t"))).withColumn("_at", F.array_position("_v", F.array_max("_v")).cast("int"))
+        low, high = F.get("_t", F.greatest(F.col("_at") - 2, F.lit(0))), F.get("_t", F.least(F.col("_at"), F.size("_t") - 1))
+        line = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda j: low + (high - low) * j / (points - 1))
+        state = found.select("_g", F.get("_t", F.col("_at") - 1).alias("_best"), F.get("_s", F.col("_at") - 1).alias("_shape"), F.filter(line, lambda t: t != 0).alias("_t"))
+    return state.select(F.col("_g").alias(group), F.col("_shape").alias("shape"), (F.col("_shape") / F.col("_best")).alias("scale"))
+
+
+def _likelihood(shape: Column, theta: Column) -> Column:
+    """Of a theta and the shape that goes with it, less what is the same for all; null where there is none."""
+    ratio = shape / theta
+    return F.when((ratio > 0) & (shape > -1), -F.log(ratio) - shape - 1)

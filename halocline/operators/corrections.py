@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from .model import KEYS, Keys, require, require_floating
+from .slices import in_slices
 
 
 def select_channels(df: DataFrame, channels: Sequence[str], keys: Keys = KEYS, time: str = "time") -> DataFrame:
@@ -89,10 +90,14 @@ class Correction:
     offset: float | None = None
 
 
-def correct(df: DataFrame, channels: Mapping[str, Correction], keys: Keys = KEYS) -> DataFrame:
-    """All channels in three projections over one window: holds, shifts, offsets."""
+def correct(df: DataFrame, channels: Mapping[str, Correction], keys: Keys = KEYS, rows: int | None = None) -> DataFrame:
+    """All channels in three projections over one window: holds, shifts, offsets. rows: logs are worked on in slices of so many samples."""
     require_floating(df, channels, "Cannot correct channels")
-    w = keys.log()
+    reach = 1 + max([0, *(abs(s.shift or 0) for s in channels.values())])
+    return in_slices(df, reach, lambda part, k: _corrected(part, channels, k.log()), rows, keys)
+
+
+def _corrected(df: DataFrame, channels: Mapping[str, Correction], w: WindowSpec) -> DataFrame:
     holds = {c: without_holds(F.col(c), w) for c, s in channels.items() if s.remove_holds}
     shifts = {c: shifted(F.col(c), s.shift, w) for c, s in channels.items() if s.shift}
     offsets = {c: F.col(c) + F.lit(float(s.offset)) for c, s in channels.items() if s.offset is not None}

@@ -89,6 +89,6 @@ def derive(
             continue
         df = steps[key](df)
         if despiking and key in despiking:
-            df, found[key] = despike(df, key, despiking[key], by_profile=True, keys=keys)
+            df, found[key] = despike(df, key, despiking[key], by_profile=True, keys=keys, store=cut)
             df = cut(df)
     return df.drop(*(k for k in ALWAYS if not on[k])), found, [v.key for v in VARIABLES if on[v.key]]

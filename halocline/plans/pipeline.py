@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import binning, concat, corrections, ctlag, derived, geo, profiles
 from ..operators.despike import despike, facts
 from ..operators.model import KEYS, Keys, floating
+from ..operators.slices import PLACE, ROWS, placed
 from .config import Bin, Process
 from .lineage import Lineage
 
@@ -33,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
-def _store(spark: SparkSession):
+def stores(spark: SparkSession):
     """Cuts lineage with a table in the shared folder; where none is set, nothing is cut."""
     root = shared_folder(spark)
 
@@ -47,24 +48,25 @@ def _store(spark: SparkSession):
     return cut
 
 
-def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, lineage: Lineage | None = None, keys: Keys = KEYS) -> Processed:
+def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, lineage: Lineage | None = None, keys: Keys = KEYS, rows: int = ROWS) -> Processed:
     """Raw samples to casts with positions and derived variables.
 
-    Corrections share one exchange and sort by (deployment, sample). Deployments with settings of their own are processed
-    by a call each.
+    Corrections share one exchange and sort by slices of `rows` samples, so a long log is many tasks' work. Deployments
+    with settings of their own are processed by a call each.
     """
     line = (lineage or Lineage()).extended()
-    cut = _store(raw.sparkSession)
+    cut = stores(raw.sparkSession)
     df = corrections.time_range(raw, settings.start_time, settings.end_time)
     df = corrections.select_channels(df, settings.read_channels, keys)
     channels = [c for c in floating(df) if c not in (keys.deployment, keys.order, "time")]
     plan = settings.corrections(channels)
-    df = corrections.correct(df, plan, keys)
+    df = corrections.correct(placed(df, rows, keys), plan, keys, rows)
     found: dict[str, DataFrame] = {}
     for c, s in settings.despiked().items():
         if c in channels:
-            df, found[c] = despike(df, c, s, keys=keys)
+            df, found[c] = despike(df, c, s, keys=keys, rows=rows, store=cut)
             df = cut(df)
+    df = df.drop(PLACE)
     for c, s in plan.items():
         if s.shift:
             line.record(f"shifted by {s.shift} sample(s)", c)
