@@ -155,7 +155,7 @@ def _concatenate(spark, settings: config.Settings, targets: list[str]) -> list[s
 
 def share(spark) -> None:
     """Lineage is cut with tables in spark.checkpoint.dir; local mode may do with a folder of its own, a cluster must name one."""
-    from .plans.pipeline import shared_folder
+    from .operators.tables import shared_folder
 
     if shared_folder(spark):
         return

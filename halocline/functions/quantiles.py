@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,14 +30,14 @@ def _hit(bins: DataFrame, ranks: Column) -> DataFrame:
     return hit.withColumns({"_tag": F.col("_r.tag"), "_rank": F.col("_r.rank") - F.col("_before")}).drop("_r", "_before")
 
 
-def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float]) -> DataFrame:
+def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float], store: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(group, n, a column for each wanted name): quantiles of the finite values, between neighbours by proportion.
 
     Three rounds over df, for all groups and quantiles at once. Bins of the logarithm are counted; those that hold a wanted
     rank are split evenly between their least and greatest value and counted again; of the bins that still hold one, the
     values themselves. Counts are combined before they are shuffled, so no group meets in a task: a window sees the bins of
     a group (some thousands), and in the last round the distinct values of a bin (a two-millionth of a smooth sample).
-    A group without finite values has n = 0 and nulls.
+    A group without finite values has n = 0 and nulls. store keeps the tables between rounds (a few rows a group).
     """
     x = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value).cast("double"))
     rows = df.select(F.col(group).alias("_g"), x.alias("_x")).withColumn("_a", _coarse(F.col("_x")))
@@ -53,10 +53,10 @@ def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float]
 
     fine = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * FINE)).otherwise(0).cast("long")
     split = lambda found: rows.join(found, ["_g", "_a"]).withColumn("_b", fine)
-    asked = ask(coarse, "_a", "_low", "_high")
+    asked = store(ask(coarse, "_a", "_low", "_high"))
     second = split(asked.drop("_ranks")).groupBy("_g", "_a", "_b").agg(F.count("*").alias("_n"))
     second = _ranked(second, ["_g", "_a"], "_b").join(asked, ["_g", "_a"])
-    narrow = ask(_hit(second, F.col("_ranks")), "_a", "_b", "_low", "_high")
+    narrow = store(ask(_hit(second, F.col("_ranks")), "_a", "_b", "_low", "_high"))
 
     left = split(narrow.select("_g", "_a", "_low", "_high").distinct()).join(narrow.select("_g", "_a", "_b"), ["_g", "_a", "_b"], "left_semi")
     third = left.groupBy("_g", "_a", "_b", "_x").agg(F.count("*").alias("_n"))

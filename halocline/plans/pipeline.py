@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import binning, concat, corrections, ctlag, derived, geo, profiles
 from ..operators.despike import despike, facts
 from ..operators.model import KEYS, Keys, floating
 from ..operators.slices import PLACE, ROWS, placed
+from ..operators.tables import stores
 from .config import Bin, Process
 from .lineage import Lineage
 
@@ -29,25 +29,6 @@ class Processed:
     lineage: Lineage
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder that driver and executors share, as the session names it."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-
-
-def stores(spark: SparkSession):
-    """Cuts lineage with a table in the shared folder; where none is set, nothing is cut."""
-    root = shared_folder(spark)
-
-    def cut(df: DataFrame) -> DataFrame:
-        if not root:
-            return df
-        path = f"{root.rstrip('/')}/halocline-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return cut
-
-
 def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, lineage: Lineage | None = None, keys: Keys = KEYS, rows: int = ROWS) -> Processed:
     """Raw samples to casts with positions and derived variables.
 
@@ -64,7 +45,7 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     found: dict[str, DataFrame] = {}
     for c, s in settings.despiked().items():
         if c in channels:
-            df, found[c] = despike(df, c, s, keys=keys, rows=rows, store=cut)
+            df, found[c] = despike(df, c, s, keys=keys, rows=rows)
             df = cut(df)
     df = df.drop(PLACE)
     for c, s in plan.items():

@@ -18,7 +18,6 @@ from ..operators.model import KEYS
 from ..operators.slices import PLACE, in_slices, placed
 from ..sources import io, naming
 from .config import Bin
-from .pipeline import stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,17 +170,17 @@ def _(spark, d):
 
 @query("despike_percentile_pooled", f"with {THR} select r.deployment_id, profile_idx, sample_idx, round(case when abs(r) > threshold then null else value end, 6) as value from r join h on r.deployment_id = h.deployment_id")
 def _(spark, d):
-    return despike(log(spark, d), "value", PCT, True, store=stores(spark))[0].select(D, P, S, F.round("value", 6).alias("value"))
+    return despike(log(spark, d), "value", PCT, True)[0].select(D, P, S, F.round("value", 6).alias("value"))
 
 
 @query("despike_counts", f"with {THR} select r.deployment_id, profile_idx, sum(case when abs(r) > threshold then 1 else 0 end)::bigint as spikes from r join h on r.deployment_id = h.deployment_id group by 1, 2")
 def _(spark, d):
-    return spike_counts(log(spark, d), "value", PCT, True, store=stores(spark))
+    return spike_counts(log(spark, d), "value", PCT, True)
 
 
 @query("threshold_table", f"with {THR} select deployment_id, round(threshold, 6) as threshold, 'raw_percentile' as method, false as used_fallback, n::bigint as n from h")
 def _(spark, d):
-    found = thresholds(residuals(log(spark, d), "value", PCT, KEYS.cast()), PCT, store=stores(spark))
+    found = thresholds(residuals(log(spark, d), "value", PCT, KEYS.cast()), PCT)
     return found.select(D, F.round("threshold", 6).alias("threshold"), "method", "used_fallback", "n")
 
 
@@ -190,7 +189,7 @@ FEW = Despiking(11, 90.0, 99.0, 10_000_000)
 
 @query("despike_gpd_fallback", f"with {THR}, u as (select deployment_id, quantile_cont(abs(r), 0.9) as u from r group by 1), e as (select r.deployment_id, count(*) as e from r join u on r.deployment_id = u.deployment_id where abs(r) > u group by 1) select h.deployment_id, round(threshold, 6) as threshold, true as used_fallback, n::bigint as n, e::bigint as n_exceedances from h join e on h.deployment_id = e.deployment_id")
 def _(spark, d):
-    found = thresholds(residuals(log(spark, d), "value", FEW, KEYS.cast()), FEW, store=stores(spark))
+    found = thresholds(residuals(log(spark, d), "value", FEW, KEYS.cast()), FEW)
     return found.select(D, F.round("threshold", 6).alias("threshold"), "used_fallback", "n", "n_exceedances")
 
 
@@ -214,7 +213,7 @@ from h left join (select deployment_id, len(x) as c from e) c on c.deployment_id
 @query("despike_gpd", GPD)
 def _(spark, d):
     s = Despiking(11, 90.0, 99.9, 20)
-    found = despike(log(spark, d), "value", s, True, store=stores(spark))[1]
+    found = despike(log(spark, d), "value", s, True)[1]
     return found.select(D, F.round("threshold", 2).alias("threshold"), "used_fallback", F.round("shape", 3).alias("shape"), F.round("scale", 2).alias("scale"), "n", "n_exceedances")
 
 
@@ -241,7 +240,7 @@ def _(spark, d):
 
 @query("sliced_despike_pooled", f"with {LOG}, r as (select *, value - median(value) over c as r from log {L11}), h as (select deployment_id, quantile_cont(abs(r), 0.99) as threshold from r group by 1) select r.deployment_id, sample_idx, round(case when abs(r) > threshold then null else value end, 6) as value from r join h on r.deployment_id = h.deployment_id")
 def _(spark, d):
-    return despike(log(spark, d), "value", PCT, rows=300, store=stores(spark))[0].select(D, S, F.round("value", 6).alias("value"))
+    return despike(log(spark, d), "value", PCT, rows=300)[0].select(D, S, F.round("value", 6).alias("value"))
 
 
 @query("pooled_quantiles", f"with {LOG} select deployment_id, count(value)::bigint as n, round(quantile_cont(value, 0.001), 6) as a, round(median(value), 6) as b, round(quantile_cont(value, 0.95), 6) as c, round(quantile_cont(held, 0.25), 6) as d from log group by 1")
@@ -438,8 +437,8 @@ select er.deployment_id, sample_idx, round(sp, 6) as sp, round(case when r > h t
 @query("derive_despike_chain", CHAIN)
 def _(spark, d):
     df = log(spark, d).select(D, P, S, (30 + F.col("value") / 10).alias("sp"))
-    df, _t = despike(df, "sp", PCT, True, store=stores(spark))
-    df, _t = despike(df.withColumn("sa", sw.sa_from_sp(F.col("sp"))), "sa", PCT, True, store=stores(spark))
+    df, _t = despike(df, "sp", PCT, True)
+    df, _t = despike(df.withColumn("sa", sw.sa_from_sp(F.col("sp"))), "sa", PCT, True)
     return df.select(D, S, F.round("sp", 6).alias("sp"), F.round("sa", 6).alias("sa"))
 
 

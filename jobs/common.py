@@ -15,6 +15,8 @@ from collections.abc import Callable
 from dataclasses import fields
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +47,13 @@ class Counted:
         return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
     def told(self) -> dict[str, int]:
-        found = {what: seen.get["rows"] for what, seen in self.seen}
-        for what, n in found.items():
-            log.info("%s: %d rows", what, n)
+        found = {}
+        for what, seen in self.seen:
+            try:
+                found[what] = seen.get["rows"]
+            except Py4JJavaError:  # Spark drops an observation together with a relation that it finds to be empty
+                found[what] = 0
+            log.info("%s: %d rows", what, found[what])
         return found
 
 
@@ -56,6 +62,16 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
+def table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What replace_partitions wrote; no rows if it had none to write yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def own_folder(spark: SparkSession, name: str) -> str:
     """A new folder where driver and executors share one: under spark.checkpoint.dir, or, in local mode without it, in one that goes at the end."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -26,6 +26,7 @@ from . import common
 
 KEYS = Keys("source", "lang", "doc_id")
 MEASURES = "doc_id long, source string, lang string, words double, letters_per_word double, digest string, part string, batch long"
+PROFILES = "source string, lang string, bin int, bin_center double, texts long, words double, letters_per_word double, part string"
 COLUMNS = ["source", "lang", "bin", "bin_center", "texts", "words", "letters_per_word"]
 
 
@@ -82,7 +83,7 @@ def run(spark: SparkSession, documents: str, out: str, checkpoint: str, settings
     def batch(rows: DataFrame, number: int) -> None:
         counted = common.Counted()
         common.replace_partitions(counted.of(measured(counted.of(rows, f"batch {number}, read from {documents}")), f"batch {number}, written to {out}/measures").withColumn("batch", F.lit(number).cast("long")), f"{out}/measures", "part", "batch")
-        every = spark.read.schema(MEASURES).parquet(f"{out}/measures")
+        every = common.table(spark, f"{out}/measures", MEASURES)
         touched = every.where(F.col("batch") == number).select("part").distinct()
         # The join is on the partition column, so only the touched parts are read.
         found = profiles(every.join(touched, "part", "left_semi"), settings)
@@ -100,7 +101,7 @@ def run(spark: SparkSession, documents: str, out: str, checkpoint: str, settings
 
 def read(spark: SparkSession, out: str) -> DataFrame:
     """The profiles as they stand."""
-    return spark.read.parquet(f"{out}/profiles").select(COLUMNS)
+    return common.table(spark, f"{out}/profiles", PROFILES).select(COLUMNS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
