@@ -40,7 +40,8 @@ def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float]
     A group without finite values has n = 0 and nulls. store keeps the tables between rounds (a few rows a group).
     """
     x = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value).cast("double"))
-    rows = df.select(F.col(group).alias("_g"), x.alias("_x")).withColumn("_a", _coarse(F.col("_x")))
+    # A struct around the group: a null group equals itself then.
+    rows = df.select(F.struct(F.col(group).alias("key")).alias("_g"), x.alias("_x")).withColumn("_a", _coarse(F.col("_x")))
     last = F.col("_all") - 1
     tags = [(name, k) for name in wanted for k in (0, 1)]
     at = lambda name, k: F.least(F.floor(F.lit(wanted[name]) * last) + k, last)
@@ -52,7 +53,7 @@ def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float]
     ask = lambda found, *keys: found.groupBy("_g", *keys).agg(F.collect_list(F.struct(F.col("_tag").alias("tag"), F.col("_rank").alias("rank"))).alias("_ranks"))  # noqa: E731  two for each name at most
 
     fine = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * FINE)).otherwise(0).cast("long")
-    split = lambda found: rows.join(found, ["_g", "_a"]).withColumn("_b", fine)
+    split = lambda found: rows.where("_x is not null").join(found, ["_g", "_a"]).withColumn("_b", fine)
     asked = store(ask(coarse, "_a", "_low", "_high"))
     second = split(asked.drop("_ranks")).groupBy("_g", "_a", "_b").agg(F.count("*").alias("_n"))
     second = _ranked(second, ["_g", "_a"], "_b").join(asked, ["_g", "_a"])
@@ -63,10 +64,10 @@ def quantiles(df: DataFrame, group: str, value: str, wanted: Mapping[str, float]
     third = _ranked(third, ["_g", "_a", "_b"], "_x").join(narrow.select("_g", "_a", "_b", "_ranks"), ["_g", "_a", "_b"])
     values = _hit(third, F.col("_ranks")).groupBy("_g").agg(*(F.max(F.when(F.col("_tag") == i, F.col("_x"))).alias(f"_v{i}") for i in range(len(tags))))
 
-    both = everyone.join(values, everyone["_g"].eqNullSafe(values["_g"]), "left").drop(values["_g"])
+    both = everyone.join(values, "_g", "left")
     out = []
     for i, name in enumerate(wanted):
         low, high, place = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), F.lit(wanted[name]) * (F.col("n") - 1)
         part = place - F.floor(place)
         out.append(F.when(low == high, low).otherwise((1 - part) * low + part * high).alias(name))
-    return both.select(F.col("_g").alias(group), "n", *out)
+    return both.select(F.col("_g.key").alias(group), "n", *out)
