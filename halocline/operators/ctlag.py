@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import Column
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.seawater import with_sp_from_c
 from .corrections import shifted, value_range
 from .model import KEYS, Keys, finite, require
+from .slices import in_slices
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,8 @@ def moving_mean(x: Column, window: int, w: WindowSpec) -> Column:
 def lag_scores(df: DataFrame, settings: LagSearch, salinity: Callable[[DataFrame, str, str, str, str], DataFrame] = with_sp_from_c, conductivity: str = "electrical_conductivity", temperature: str = "temperature", pressure: str = "sea_pressure", keys: Keys = KEYS) -> DataFrame:
     """(deployment, lag, score): the population standard deviation of salinity about its moving mean, over all spans.
 
-    Spans are profiles within the pressure bounds; shifting happens within them. All lags share one sort.
+    Spans are profiles within the pressure bounds; shifting happens within them. The lags share one sort for the shifts; the
+    moving means sort the rows of each lag again.
     """
     require(df, [conductivity, temperature, pressure], "Cannot find the lag")
     spans = value_range(df, pressure, settings.least_pressure, settings.most_pressure)
@@ -58,8 +61,20 @@ def best_lags(scores: DataFrame, keys: Keys = KEYS) -> DataFrame:
     return scores.groupBy(keys.deployment).agg(F.min_by("lag", F.when(F.col("score").isNotNull(), rank)).alias("lag"))
 
 
-def apply_lags(df: DataFrame, lags: DataFrame, conductivity: str = "electrical_conductivity", keys: Keys = KEYS) -> DataFrame:
-    """Shifts each whole deployment by its own lag: a join on the shifted place, as an offset must be the same for a plan."""
-    placed = df.join(lags, keys.deployment, "left").withColumn("_place", F.row_number().over(keys.log()))
-    source = placed.select(keys.deployment, (F.col("_place") + F.coalesce("lag", F.lit(0))).alias("_place"), F.col(conductivity).alias("_c"))
-    return placed.drop(conductivity).join(source, [keys.deployment, "_place"], "left").withColumnRenamed("_c", conductivity).drop("_place", "lag").select(df.columns)
+def apply_lags(df: DataFrame, lags: DataFrame, conductivity: str = "electrical_conductivity", keys: Keys = KEYS, rows: int | None = None) -> DataFrame:
+    """Shifts each whole deployment by its own lag; without one it stays. rows: logs are worked on in slices of so many samples.
+
+    A shift must be the same for a plan, so each of the lags that occur is a column of one window, and a row takes its own.
+    Which occur is read first: they are the whole numbers of a search range, whatever the number of deployments.
+    """
+    some = sorted(r[0] for r in lags.select("lag").distinct().collect() if r[0])
+    if not some:
+        return df
+
+    def shift(part: DataFrame, k: Keys) -> DataFrame:
+        c = F.col(conductivity)
+        return part.withColumn("_c", reduce(lambda so_far, lag: so_far.when(F.col("_lag") == lag, shifted(c, lag, k.log())), some, F.when(F.lit(False), c)).otherwise(c))
+
+    own = df.join(lags.select(F.col(keys.deployment).alias("_d"), F.coalesce("lag", F.lit(0)).alias("_lag")), F.col(keys.deployment).eqNullSafe(F.col("_d")), "left")
+    done = in_slices(own.drop("_d").withColumn("_lag", F.coalesce("_lag", F.lit(0))), max(map(abs, some)), shift, rows, keys)
+    return done.withColumn(conductivity, F.col("_c")).select(df.columns)

@@ -39,9 +39,9 @@ def placed(df: DataFrame, rows: int = ROWS, keys: Keys = KEYS) -> DataFrame:
     """
     dep, cell = keys.deployment, F.floor(F.col(keys.order) / F.lit(rows))
     own = df.withColumn("_cell", cell)
-    counts = df.select(F.col(dep).alias("_d"), cell.alias("_c")).groupBy("_d", "_c").agg(F.count("*").alias("_n"))
-    before = counts.select("_d", "_c", (F.sum("_n").over(Window.partitionBy("_d").orderBy("_c")) - F.col("_n")).alias("_before"))  # a row a stretch
-    both = own.join(before, F.col(dep).eqNullSafe(F.col("_d")) & (F.col("_cell") == F.col("_c")))
+    counts = df.select(F.col(dep).alias("_log"), cell.alias("_stretch")).groupBy("_log", "_stretch").agg(F.count("*").alias("_n"))
+    before = counts.select("_log", "_stretch", (F.sum("_n").over(Window.partitionBy("_log").orderBy("_stretch")) - F.col("_n")).alias("_before"))  # a row a stretch
+    both = own.join(before, F.col(dep).eqNullSafe(F.col("_log")) & (F.col("_cell") == F.col("_stretch")))
     place = F.row_number().over(Window.partitionBy(dep, "_cell").orderBy(keys.order)) - 1 + F.col("_before")
     return both.withColumn(PLACE, place.cast("long")).select(*df.columns, PLACE)
 

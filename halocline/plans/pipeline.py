@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..operators import binning, concat, corrections, ctlag, derived, geo, profiles
 from ..operators.despike import despike, facts
 from ..operators.model import KEYS, Keys, floating
-from ..operators.slices import PLACE, ROWS, placed
+from ..operators.slices import PLACE, ROWS
+from ..operators.slices import placed as with_places
 from ..operators.tables import stores
 from .config import Bin, Process
 from .lineage import Lineage
@@ -41,7 +42,7 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     df = corrections.select_channels(df, settings.read_channels, keys)
     channels = [c for c in floating(df) if c not in (keys.deployment, keys.order, "time")]
     plan = settings.corrections(channels)
-    df = corrections.correct(placed(df, rows, keys), plan, keys, rows)
+    df = corrections.correct(with_places(df, rows, keys), plan, keys, rows)
     found: dict[str, DataFrame] = {}
     for c, s in settings.despiked().items():
         if c in channels:
@@ -60,7 +61,7 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     search = settings.search()
     if search.enabled:
         scores = ctlag.lag_scores(profiles.extract(df, casts, keys), search, keys=keys)
-        df = ctlag.apply_lags(df, cut(ctlag.best_lags(scores, keys)), keys=keys)
+        df = ctlag.apply_lags(df, cut(ctlag.best_lags(scores, keys)), keys=keys, rows=rows)
     samples = profiles.extract(df, casts, keys)
     times = geo.profile_times(samples, keys=keys)
     g = settings.geolocation

@@ -351,17 +351,16 @@ def _(spark, d):
     return geo.reference_position(log(spark, d).select(D, P).distinct(), 45.5, -125.25).select(D, P, "latitude", "longitude", "position_source")
 
 
-TRACK = "track as (select t, (sample_idx % 180) - 90.0 as lat, (sample_idx % 360) - 180.0 as lon from log where sample_idx % 10 = 0 or t = (select max(t) from log))"
+TRACK = "track as (select t, (sample_idx % 180) - 90.0 as lat, (sample_idx % 360) - 180.0 as lon from log where sample_idx % 10 = 0 or t = (select max(t) from log) or t = (select min(t) from log))"
 
 
-@query("position_interpolated", f"with {LOG}, {TRACK}, p as (select deployment_id, profile_idx, min(t) as t from log where t >= (select min(t) from track) group by 1, 2), k as (select t as t0, lead(t) over (order by t) as t1, lat, lead(lat) over (order by t) as lat1, lon, lead(lon) over (order by t) as lon1 from track) select deployment_id, profile_idx, round(lat + (p.t - t0) / (t1 - t0) * (lat1 - lat), 6) as latitude, round(lon + (p.t - t0) / (t1 - t0) * (lon1 - lon), 6) as longitude from p join k on t0 <= p.t and p.t < t1 union all select deployment_id, profile_idx, lat, lon from p join track on p.t = track.t where p.t = (select max(t) from track)")
+@query("position_interpolated", f"with {LOG}, {TRACK}, p as (select deployment_id, profile_idx, min(t) as t from log group by 1, 2), k as (select t as t0, lead(t) over (order by t) as t1, lat, lead(lat) over (order by t) as lat1, lon, lead(lon) over (order by t) as lon1 from track) select deployment_id, profile_idx, round(lat + (p.t - t0) / (t1 - t0) * (lat1 - lat), 6) as latitude, round(lon + (p.t - t0) / (t1 - t0) * (lon1 - lon), 6) as longitude from p join k on t0 <= p.t and p.t < t1 union all select deployment_id, profile_idx, lat, lon from p join track on p.t = track.t where p.t = (select max(t) from track)")
 def _(spark, d):
     df = log(spark, d)
-    top = df.agg(F.max("time")).first()[0]
-    track = df.where((F.col(S) % 10 == 0) | (F.col("time") == F.lit(top))).select("time", (F.col(S) % 180 - 90.0).alias("latitude"), (F.col(S) % 360 - 180.0).alias("longitude"))
-    start = track.agg(F.min("time")).first()[0]
-    placed = geo.interpolated_position(geo.profile_times(df.where(F.col("time") >= F.lit(start))), track)
-    return placed.select(D, P, *(F.round(c, 6).alias(c) for c in ("latitude", "longitude")))
+    ends = df.agg(F.min("time"), F.max("time")).first()
+    track = df.where((F.col(S) % 10 == 0) | F.col("time").isin(*ends)).select("time", (F.col(S) % 180 - 90.0).alias("latitude"), (F.col(S) % 360 - 180.0).alias("longitude"))
+    found = geo.interpolated_position(geo.profile_times(df), track)
+    return found.select(D, P, *(F.round(c, 6).alias(c) for c in ("latitude", "longitude")))
 
 
 # Seawater. The SQL adds up the terms one by one.

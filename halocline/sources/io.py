@@ -152,13 +152,17 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file or folder. Spark's vectorised reader can't read BYTE_STREAM_SPLIT pages, so files that have some are read in Arrow batches."""
+    """A Parquet file or folder. Spark's vectorised reader can't read BYTE_STREAM_SPLIT pages, so the files that have some are read in Arrow batches.
+
+    Each file's footer says which it is, whatever the others are; tasks look at them.
+    """
     files = spark.read.parquet(path)
-    sample = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    first = sample.orderBy("length").limit(1).collect()
-    if not first or not _split_pages(spark, first[0]["path"]):
-        return files
     names, schema = files.columns, files.schema
+    every = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_split_pages(content) for content in batch.column(1)], pa.bool_())], ["path", "split"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,14 +170,18 @@ def parquet(spark: SparkSession, path: str) -> DataFrame:
                 for part in pq.ParquetFile(pa.BufferReader(content.as_buffer())).iter_batches():
                     yield part.select(names)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(read, schema)
+    found = every.select("path", "content").mapInArrow(marked, "path string, split boolean").collect()  # names of files alone
+    split, plain = ([r["path"] for r in found if r["split"] == wanted] for wanted in (True, False))
+    if not split:
+        return files
+    arrow = spark.read.format("binaryFile").load(split).select("content").mapInArrow(read, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*plain).unionByName(arrow) if plain else arrow
 
 
-def _split_pages(spark: SparkSession, path: str) -> bool:
+def _split_pages(content: pa.Scalar) -> bool:
     """Whether a file has columns with BYTE_STREAM_SPLIT pages."""
-    content = spark.read.format("binaryFile").load(path).select("content").first()["content"]
-    meta = pq.ParquetFile(pa.BufferReader(bytes(content))).metadata
-    return any("BYTE_STREAM_SPLIT" in meta.row_group(g).column(c).encodings for g in range(min(meta.num_row_groups, 1)) for c in range(meta.num_columns))
+    meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+    return any("BYTE_STREAM_SPLIT" in meta.row_group(g).column(c).encodings for g in range(meta.num_row_groups) for c in range(meta.num_columns))
 
 
 #: Units of time in microseconds.

@@ -1,21 +1,26 @@
 """Zarr (version 2) arrays as metadata and chunks of bytes: a chunk is written and read by one task.
 
 Chunks are compressed with zstd or zlib, after an optional byte shuffle; the names of the settings' other codecs, which live in a
-container format of a library, fall back to zstd. A missing chunk is all missing values.
+container format of a library, fall back to zstd with a warning. A missing chunk is all missing values.
 """
 
 from __future__ import annotations
 
+import logging
 import zlib
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 
+log = logging.getLogger("halocline")
+
 
 def layout(shape: tuple[int, ...], chunks: tuple[int, ...], kind: str, codec: str | None = "zstd", level: int = 5, shuffle: bool = False) -> dict[str, Any]:
     """The .zarray of an array; codec None: not compressed."""
     dtype = np.dtype(kind)
+    if codec not in (None, "zstd", "zlib"):
+        log.warning("codec %s is not available; chunks are compressed with zstd.", codec)
     compressor = None if codec is None else {"id": "zlib" if codec == "zlib" else "zstd", "level": level}
     fill = "NaN" if dtype.kind == "f" else "" if dtype.kind in "SU" else 0
     return {

@@ -114,6 +114,12 @@ def test_track_and_split_pages(spark, tmp_path):
     for name in ("split", "plain"):
         got = io.load(spark, str(tmp_path / f"{name}.parquet"))
         assert got.count() == 1000 and got.where("b = 7").first()["a"] == 1.0
+    # A folder of both, the split pages in the larger file.
+    (tmp_path / "both dir").mkdir()
+    pq.write_table(t.slice(0, 10), tmp_path / "both dir" / "a b.parquet")
+    pq.write_table(t.slice(10), tmp_path / "both dir" / "c.parquet", use_dictionary=False, use_byte_stream_split=["a"])
+    both = io.load(spark, str(tmp_path / "both dir"))
+    assert both.count() == 1000 and sorted(r["a"] for r in both.collect()) == t["a"].to_pylist()
     with pytest.raises(ValueError):
         io.load(spark, "x.csv")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from halocline.functions import gpd
 from halocline.functions.quantiles import quantiles
-from halocline.operators import corrections
+from halocline.operators import corrections, ctlag
 from halocline.operators.despike import Despiking, despike, residuals
 from halocline.operators.model import KEYS
 from halocline.operators.tables import stores
@@ -48,6 +48,17 @@ def test_corrections_and_medians_are_equal_in_any_slices(long_log, rows):
     assert cut.columns == one.columns and rows_of(cut, *one.columns) == rows_of(one, *one.columns)
 
 
+def test_lags_are_equal_in_any_slices(spark, long_log):
+    lags = spark.createDataFrame([("long", 5), ("few", -3), ("one", None)], "deployment_id string, lag int")
+    whole = ctlag.apply_lags(long_log, lags, "value")
+    want = {r["sample_idx"]: r["value"] for r in long_log.where("deployment_id = 'few'").collect()}
+    got = {r["sample_idx"]: r["value"] for r in whole.where("deployment_id = 'few'").collect()}
+    assert got == {i: want.get(i + 15) for i in want}
+    assert rows_of(ctlag.apply_lags(long_log, lags, "value", rows=100), *whole.columns) == rows_of(whole, *whole.columns)
+    assert whole.columns == long_log.columns and whole.where("deployment_id = 'one' and value = 1.0").count() == 1
+    assert ctlag.apply_lags(long_log, lags.where("lag is null"), "value") is long_log
+
+
 def test_sixteen_slices_are_even_work(spark, long_log):
     """The longest task has at most twice the rows of the median one, and windows take no exchange of their own."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
