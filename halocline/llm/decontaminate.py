@@ -150,8 +150,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     mostly placeholders, which match by equal values only, so a row may have n_windows = 0. Items without a template
     window of 13 tokens are also sought by windows of 8, and items of fewer than 8 tokens as a whole, verbatim. Null or
     empty texts are never found, nor are texts of punctuation alone or rows with a null id. Rows that share an id count
-    as one text in turn; repeated items are reported alike. Documents without a match have no row. Further columns are
-    ignored.
+    as one text in turn; repeated items are reported alike. Documents without a match have no row. Texts and items of any
+    length are cut into windows whole; an empty table of either gives no rows. Further columns are ignored.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("doc_id").isNotNull())
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where(F.col("item_id").isNotNull()).distinct()

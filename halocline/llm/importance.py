@@ -93,7 +93,8 @@ def select(docs: DataFrame, target_ids: DataFrame, share: float, doc_id: str = "
 
     target_ids: one column of ids of the target texts, all of which are read. Null and empty texts have no n-grams and
     weight 0. Equal keys, as of repeated rows, are kept or not together; a null doc_id has noise of its own. No target
-    text, or no rows, keeps what the noise says. Further columns of docs are ignored.
+    text, or no rows, keeps what the noise says. N-grams of texts of any length are counted whole, and an empty table
+    gives no rows. Further columns of docs are ignored.
     """
     ids = stored(target_ids.toDF(doc_id).where(F.col(doc_id).isNotNull()).distinct(), "targets")
     known = docs.select(doc_id, text).where(F.col(doc_id).isNotNull())

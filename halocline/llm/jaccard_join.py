@@ -235,7 +235,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     representatives whose sets have a Jaccard similarity of at least the threshold to this one; class_id is the least
     doc_id that is reached over such links. Null, empty and blank texts have no shingles: each is its own class, without
     links. A null doc_id takes no part: class_id, rep_id are null. Rows that share a doc_id are judged each by its own
-    text: they are in one class only if their texts are linked. Further columns of docs are ignored.
+    text: they are in one class only if their texts are linked. Texts of any length are compared whole, and an empty
+    table gives no rows. Further columns of docs are ignored.
     """
     own = stored(sketches(docs, doc_id, text), "sketches")
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))

@@ -250,4 +250,5 @@ def sequences(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY, name
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """Every piece of every row of documents; see pieces() and pack()."""
     return pack_documents(table(spark, sf_dir, "documents"))

@@ -277,8 +277,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text
 
     A word goes if a window of 50 consecutive words over it also begins in a row with a smaller doc_id, judged on the
     input. Null, empty and blank texts have no words; texts under 50 words lose none. A row with a null doc_id loses
-    nothing and takes nothing from others. Rows that share a doc_id take nothing from each other. Further columns of
-    docs are ignored. search decides, from streamed runs and the index of a shard, which windows count.
+    nothing and takes nothing from others. Rows that share a doc_id take nothing from each other. Texts of any length
+    are judged whole, and an empty table gives no rows. Further columns of docs are ignored. search decides, from streamed runs and the index of a shard, which windows count.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     own = stored(docs.mapInArrow(_survey, "doc_id long, n_words long, k1 long, k2 long, sha string, marks array<long>, places array<int>"), "survey")

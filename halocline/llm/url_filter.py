@@ -73,7 +73,8 @@ def judge(urls: DataFrame, url: str, rules: DataFrame, default: str = "allow", b
     rules: action, host, path; a rule whose host is null or empty is left out, a null path is empty, and of equal
     (host, path) a block beats an allow. A url that no rule fits has a null rule and the verdict `default`.
     Repeated rows stay; columns of urls called host, path, rule or verdict are replaced. Null urls and urls without
-    '://' have an empty host and path and fit no rule.
+    '://' have an empty host and path and fit no rule. Urls of any length are read whole. An empty table of urls gives no
+    rows; without rules every url has the default.
 
     The filter is broadcast while it has at most broadcast_blocks blocks of 64 bytes (4 MB), and joined on the block
     beyond that. The rule and key joins are left to Spark, which measures their sizes.
@@ -118,6 +119,7 @@ RULES = [
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """Every row of pages under the fixed rules; see judge(). Repeated rows stay, further columns are left out."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     rules = spark.createDataFrame(RULES, "action string, host string, path string")
     return judge(pages, "url", rules).select("page_id", "host", "path", "rule", "verdict")
