@@ -16,17 +16,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects, unchanged. Null and empty texts have no words and go; repeated rows are judged alike; an empty table stays empty."""
     return quality_rules.keep(docs).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of near-duplicates."""
+    """One document, that with the least id, of each group of near-duplicates, unchanged. Texts without shingles are groups of their own; an empty table stays empty."""
     return jaccard_join.one_of_each(docs).select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, unchanged. Null and empty texts hold none and stay; an empty table stays empty, and without items all stay."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
 
 
