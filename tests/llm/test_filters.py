@@ -103,13 +103,54 @@ def test_one_clash_leaves_the_other_windows(documents, benchmark, text):
 def test_items_of_placeholders_and_tiny_ones(documents, benchmark, text):
     numbers, names = " ".join(str(i * i) for i in range(3, 20)), "then came " + " ".join(f"Anna{i}" for i in range(9))
     mixed = f"{text(14, 60)} {' '.join(str(i) for i in range(100, 120))}"
-    items = [(1, numbers), (2, names), (3, "the answer is 42"), (4, mixed), (5, "...")]
-    rows = [(i, f"{text(20, i)} {x} {text(20, i + 9)}") for i, x in items] + [(6, " ".join(str(i * i + 1) for i in range(3, 20))), (7, "the answer is 43"), (8, mixed[-60:])]
+    items = [(1, numbers), (2, names), (3, "the 42"), (4, mixed), (5, "...")]
+    rows = [(i, f"{text(20, i)} {x} {text(20, i + 9)}") for i, x in items] + [(6, " ".join(str(i * i + 1) for i in range(3, 20))), (7, "the 43"), (8, mixed[-60:])]
     got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(documents(rows), benchmark(items)).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (8, 4)}
     assert got[1, 1]["n_windows"] == 0 and got[1, 1]["n_raw_windows"] >= 5 and got[8, 4]["n_windows"] == 0 and all(r["verbatim"] for r in got.values())
 
 
+PARAMETERS = [
+    ("What is 12 plus 30?", ["What is 45 plus 71?", "now tell me: what is 7 plus 8"], ["What is 7 plus 7?", "What is 45 minus 71?", "What is plus 71?", "12 plus 30", "He knows what 12 plus 30 is"]),
+    ("Compute 5 + 6 * 7 - 8 / 3 + 9 - 2", ["Compute 9 + 1 * 4 - 8 / 5 + 7 - 3"], ["Compute 9 - 1 * 4 + 8 / 5 + 7 - 3", "9 * 1 + 4 - 8 / 5 + 7 - 3 are numbers"]),
+    ("Compute 12+30 for me", ["compute 7+8 for me"], ["compute 7*8 for me", "compute 78 for me"]),
+    ("Add 4 to 4 and 9", ["Add 5 to 5 and 8"], ["Add 5 to 6 and 8", "Add 5 to 5 and 5"]),
+    ("Затем Иван поехал в Москву и там встретил Петра на большой площади у реки", ["Затем Олег поехал в Казань и там встретил Семёна на большой площади у реки"], ["Затем Олег ушёл из дома и больше там никого не встретил до самого утра у реки"]),
+    ("Anna runs 5 miles", ["then Robert runs 7 miles"], ["Robert walks 7 miles", "Robert runs miles 7"]),
+    ("take 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg 9 kg", ["take 13 kg 14 kg 15 kg 16 kg 17 kg 18 kg 19 kg"], ["take 13 kg 14 kg 15 kg 16 kg 17 kg 18 kg", "take 3 kg 14 kg 15 kg 3 kg 17 kg 18 kg 19 kg"]),
+]
+
+
+@pytest.mark.parametrize(("item", "same", "others"), PARAMETERS)
+def test_reparameterised_items_of_any_length(documents, benchmark, text, item, same, others):
+    """Found with other values, wherever they stand; not with other words, operators, order or slots."""
+    rows = [(i, f"{text(9, i)} .\n{t} {text(9, i + 50)}") for i, t in enumerate([item, *same, *others])]
+    got = {r["doc_id"]: r for r in decontaminate.leaks(documents(rows), benchmark([(1, item)])).collect()}
+    assert set(got) == set(range(1 + len(same)))
+    assert got[0]["verbatim"] and not any(got[i]["verbatim"] for i in got if i) and all(r["n_windows"] for r in got.values())
+
+
+def test_arithmetic_alone_is_no_leak(documents, benchmark):
+    """Random sums, tables of numbers and short questions of other forms match no item but that of their own form."""
+    r = random.Random(4)
+    number = lambda: str(r.randrange(1000))
+    sums = [" ".join(x for _ in range(12) for x in (number(), r.choice("+-*/"))) + " = " + number() for _ in range(60)]
+    tables = [" ".join(number() for _ in range(80)) for _ in range(20)]
+    items = [(1, "What is 12 plus 30?"), (2, "Compute 5 + 6 * 7 - 8 / 3 + 9 - 2"), (3, " ".join(str(i * i) for i in range(20))), (4, "Solve 3 * 4 + 5"), (5, "7 + 8")]
+    assert decontaminate.leaks(documents(list(enumerate(sums + tables))), benchmark(items[:4])).count() == 0
+    assert {(x["doc_id"], x["verbatim"]) for x in decontaminate.leaks(documents([(1, "so 7 + 8 it is"), (2, "so 7 + 9 it is")]), benchmark(items[4:])).collect()} == {(1, True)}
+
+
+def test_sql_of_short_and_number_rich_items(spark, duck, folder, documents, benchmark, text):
+    rows = [(100 * k + i, f"{text(9, i)} .\n{t} {text(9, i + 50)}") for k, (item, same, others) in enumerate(PARAMETERS) for i, t in enumerate([item, *same, *others])]
+    items = [(k, item) for k, (item, _, _) in enumerate(PARAMETERS)] + [(50, "the 42"), (51, None), (52, "1 2 3 4 5"), (53, "...")]
+    path = folder(documents=documents(rows), benchmark=benchmark(items))
+    res = duck(path).execute(decontaminate.ORACLE)
+    columns = [c[0] for c in res.description]
+    got = decontaminate.query(spark, path)
+    assert sorted(tuple(r[c] for c in columns) for r in got.collect()) == sorted(res.fetchall()) != []
+
+
 def test_short_items_and_empty_tables(documents, benchmark, text):
     short = "nine plain words make up this rather short item"
     df = documents([(1, f"{text(20, 1)} {short} {text(20, 2)}"), (2, text(40, 3)), (None, short)])
@@ -299,16 +340,20 @@ PUNCTUATION = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 def brute_template(t, starts):
     """(template, value) of each token, written out word by word. starts: capitals at the start of a sentence are names."""
     out, before, at = [], None, 0
-    for m in re.finditer(r"[^\x20\x09-\x0D]+", t or ""):
+    plain = [m[0].strip(PUNCTUATION) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+    number = lambda xs: next((x for x in xs if x), "x")[0] in "0123456789"
+    for i, m in enumerate(re.finditer(r"[^\x20\x09-\x0D]+", t or "")):
         raw = m[0]
         begins = before is None or before[-1] in ".!?:;\"')" or "\n" in t[at : m.start()]
         before, at = raw, m.end()
         token = raw.strip(PUNCTUATION)
         if not token:
+            if number(plain[i::-1]) and number(plain[i:]):
+                out.append(("~" + raw, raw, False))
             continue
         value = "".join(c.lower() if "A" <= c <= "Z" else c for c in token)
-        capital = "A" <= token[0] <= "Z" or "À" <= token[0] <= "Þ"
-        kind = "#" if token[0] in "0123456789" else "unit" if value in decontaminate.UNITS else "name" if capital and (starts or not begins) else None
+        capital = token[0].isupper()
+        kind = "#" + re.sub(r"[^-+*/=<>^]", "", token) if token[0] in "0123456789" else "unit" if value in decontaminate.UNITS else "name" if capital and (starts or not begins) else None
         out.append((kind or "=" + value, value, kind is not None))
     return out
 
