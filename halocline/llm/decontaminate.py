@@ -246,6 +246,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """Each document with each benchmark item that it holds; see leaks() for edge cases."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
