@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .model import KEYS, Keys, require, require_floating
 from .slices import in_slices
+from .tables import Tally
 
 
 def select_channels(df: DataFrame, channels: Sequence[str], keys: Keys = KEYS, time: str = "time") -> DataFrame:
@@ -71,9 +72,13 @@ def remove_channel(df: DataFrame, name: str) -> DataFrame:
     return df.drop(name)
 
 
+def held(x: Column, w: WindowSpec) -> Column:
+    """Whether the value equals the original one before it; a missing value ends a run."""
+    return F.coalesce(x == F.lag(x).over(w), F.lit(False))
+
+
 def without_holds(x: Column, w: WindowSpec) -> Column:
-    """Missing where the value equals the original one before it; a missing value ends a run."""
-    return F.when(F.coalesce(x == F.lag(x).over(w), F.lit(False)), F.lit(None)).otherwise(x)
+    return F.when(held(x, w), F.lit(None)).otherwise(x)
 
 
 def shifted(x: Column, shift: int, w: WindowSpec) -> Column:
@@ -90,15 +95,20 @@ class Correction:
     offset: float | None = None
 
 
-def correct(df: DataFrame, channels: Mapping[str, Correction], keys: Keys = KEYS, rows: int | None = None) -> DataFrame:
-    """All channels in three projections over one window: holds, shifts, offsets. rows: logs are worked on in slices of so many samples."""
+def correct(df: DataFrame, channels: Mapping[str, Correction], keys: Keys = KEYS, rows: int | None = None, tally: Tally | None = None) -> DataFrame:
+    """All channels in three projections over one window: holds, shifts, offsets. rows: logs are worked on in slices of so many samples.
+
+    tally gets the held values of each channel, under "held".
+    """
     require_floating(df, channels, "Cannot correct channels")
     reach = 1 + max([0, *(abs(s.shift or 0) for s in channels.values())])
-    return in_slices(df, reach, lambda part, k: _corrected(part, channels, k.log()), rows, keys)
+    marks = {c: f"_held_{c}" for c, s in channels.items() if s.remove_holds and tally is not None}
+    done = in_slices(df, reach, lambda part, k: _corrected(part, channels, k.log(), marks), rows, keys)
+    return tally.watch(done, "held", {c: F.col(m) for c, m in marks.items()}).drop(*marks.values()) if marks else done
 
 
-def _corrected(df: DataFrame, channels: Mapping[str, Correction], w: WindowSpec) -> DataFrame:
-    holds = {c: without_holds(F.col(c), w) for c, s in channels.items() if s.remove_holds}
+def _corrected(df: DataFrame, channels: Mapping[str, Correction], w: WindowSpec, marks: Mapping[str, str]) -> DataFrame:
+    holds = {m: held(F.col(c), w) for c, m in marks.items()} | {c: without_holds(F.col(c), w) for c, s in channels.items() if s.remove_holds}
     shifts = {c: shifted(F.col(c), s.shift, w) for c, s in channels.items() if s.shift}
     offsets = {c: F.col(c) + F.lit(float(s.offset)) for c, s in channels.items() if s.offset is not None}
     for step in (holds, shifts, offsets):
@@ -109,7 +119,7 @@ def _corrected(df: DataFrame, channels: Mapping[str, Correction], w: WindowSpec)
 def hold_counts(df: DataFrame, channels: Sequence[str], keys: Keys = KEYS) -> DataFrame:
     """(deployment, one count a channel): held values, in one aggregation."""
     w = keys.log()
-    marks = df.select(keys.deployment, *(F.coalesce(F.col(c) == F.lag(c).over(w), F.lit(False)).cast("long").alias(c) for c in channels))
+    marks = df.select(keys.deployment, *(held(F.col(c), w).cast("long").alias(c) for c in channels))
     return marks.groupBy(keys.deployment).agg(*(F.sum(c).alias(c) for c in channels))
 
 

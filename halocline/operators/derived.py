@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import seawater as sw
 from .despike import Despiking, despike
 from .model import KEYS, Keys, require
+from .tables import Tally
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,7 @@ def derive(
     delta: Column | float = 0.0,
     oxygen: str = "dissolved_oxygen_saturation",
     cut: Callable[[DataFrame], DataFrame] = lambda df: df,
+    tally: Tally | None = None,
 ) -> tuple[DataFrame, dict[str, DataFrame], list[str]]:
     """(df with the variables, thresholds by variable, names added). flags by Variable.flag; despiking by key.
 
@@ -89,6 +91,6 @@ def derive(
             continue
         df = steps[key](df)
         if despiking and key in despiking:
-            df, found[key] = despike(df, key, despiking[key], by_profile=True, keys=keys)
+            df, found[key] = despike(df, key, despiking[key], by_profile=True, keys=keys, tally=tally)
             df = cut(df)
     return df.drop(*(k for k in ALWAYS if not on[k])), found, [v.key for v in VARIABLES if on[v.key]]

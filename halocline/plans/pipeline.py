@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from ..operators.despike import despike, facts
 from ..operators.model import KEYS, Keys, floating
 from ..operators.slices import PLACE, ROWS
 from ..operators.slices import placed as with_places
-from ..operators.tables import stores
+from ..operators.tables import Tally, stores
 from .config import Bin, Process
 from .lineage import Lineage
 
@@ -34,28 +35,32 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     """Raw samples to casts with positions and derived variables.
 
     Corrections share one exchange and sort by slices of `rows` samples, so a long log is many tasks' work. Deployments
-    with settings of their own are processed by a call each.
+    with settings of their own are processed by a call each. The history tells how many values each step removed, in all
+    deployments of the call; the jobs that write the intermediate tables count them.
     """
     line = (lineage or Lineage()).extended()
-    cut = stores(raw.sparkSession)
+    cut, tally = stores(raw.sparkSession), Tally(raw.sparkSession)
     df = corrections.time_range(raw, settings.start_time, settings.end_time)
     df = corrections.select_channels(df, settings.read_channels, keys)
     channels = [c for c in floating(df) if c not in (keys.deployment, keys.order, "time")]
     plan = settings.corrections(channels)
-    df = corrections.correct(with_places(df, rows, keys), plan, keys, rows)
+    df = corrections.correct(with_places(df, rows, keys), plan, keys, rows, tally)
     found: dict[str, DataFrame] = {}
-    for c, s in settings.despiked().items():
-        if c in channels:
-            df, found[c] = despike(df, c, s, keys=keys, rows=rows)
-            df = cut(df)
-    df = df.drop(PLACE)
+    spiky = {c: s for c, s in settings.despiked().items() if c in channels}
+    if spiky:
+        df = cut(df)
+    for c, s in spiky.items():
+        df, found[c] = despike(df, c, s, keys=keys, rows=rows, tally=tally)
+        df = cut(df)
+    df = cut(corrections.sea_pressure(df.drop(PLACE), settings.atmospheric_pressure))
+    for c, n in tally.found("held").items():
+        line.record(f"removed {n} held value(s)", c)
     for c, s in plan.items():
         if s.shift:
             line.record(f"shifted by {s.shift} sample(s)", c)
         if s.offset is not None:
             line.record(f"added offset {s.offset}", c)
-    df = corrections.sea_pressure(df, settings.atmospheric_pressure)
-    df = cut(df)
+    _record_spikes(line, tally, found)
     cycles = profiles.find_cycles(df, settings.detection(), keys=keys)
     casts = cut(profiles.slices(cycles, settings.profiles.direction, keys))
     search = settings.search()
@@ -74,7 +79,8 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
         line.record("attached position (reference position)")
     placed = cut(placed)
     samples = samples.join(placed.select(keys.deployment, keys.profile, "latitude"), [keys.deployment, keys.profile])
-    samples, more, added = derived.derive(samples, settings.derived_variables.as_dict(), settings.despiked(), keys, cut=cut)
+    samples, more, added = derived.derive(samples, settings.derived_variables.as_dict(), settings.despiked(), keys, cut=cut, tally=tally)
+    _record_spikes(line, tally, more)
     line.record(f"computed derived variables: {', '.join(added)}")
     for v in derived.VARIABLES:
         if v.key in added:
@@ -83,6 +89,12 @@ def process(raw: DataFrame, settings: Process, track: DataFrame | None = None, l
     return Processed(samples.drop("latitude"), placed, found | more, line)
 
 
+def _record_spikes(line: Lineage, tally: Tally, channels: Iterable[str]) -> None:
+    for c in channels:
+        for n in tally.found(f"spikes {c}").values():
+            line.record(f"removed {n} spike(s)", c)
+
+
 def record_thresholds(result: Processed, settings: Process, deployment: str, keys: Keys = KEYS) -> Lineage:
     """The result's lineage with a line for each despiked channel of a deployment; runs the threshold tables."""
     line, rules = result.lineage.extended(), settings.despiked()

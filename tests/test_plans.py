@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from halocline import cli
+from halocline.operators import corrections, tables
+from halocline.operators.despike import spike_counts
 from halocline.plans import config, pipeline
 from halocline.plans.lineage import Lineage, attributes, parse_history
 from halocline.sources import io, naming
@@ -184,3 +186,38 @@ def test_profile_key(spark):
     assert io.profile_key(df).first()["profile_key"] == "dep_p0007"
     assert df.select(naming.slug_column(F.lit("  A (b) C ")).alias("s")).first()["s"] == "a_b_c"
     assert Path("x").suffix == "" and pipeline.VERBOSE == 15
+
+
+@pytest.mark.parametrize("rows", [100, 1 << 20])
+def test_history_counts_what_was_removed(spark, tmp_path, rows):
+    n = 666
+    p = np.tile(np.concatenate([np.linspace(0, 500, n // 2), np.linspace(500, 0, n // 2)]), 2)
+    start = datetime(2021, 5, 1)
+    t = [15 - 0.02 * v for v in p]
+    for i in (200, 201, 900):
+        t[i] = t[199]  # one differs from the value before it, one does not
+    t[198] = t[199] = 1.0
+    t[500] += 3.0
+    held = sum(a == b for a, b in zip(t, t[1:]))
+    data = [("d", i, start + timedelta(seconds=i), float(35 + 0.0001 * (i % 7)), float(t[i]), float(v + 10)) for i, v in enumerate(p)]
+    df = spark.createDataFrame(data, "deployment_id string, sample_idx long, time timestamp_ntz, electrical_conductivity double, temperature double, absolute_pressure double")
+    settings = loaded(
+        "process.atmospheric_pressure=10.0", "process.channels.temperature.despike=true", 'process.channels.temperature.despiking.rejection_method="absolute_threshold"', "process.channels.temperature.despiking.rejection_threshold=1.5",
+        "process.raw_channels.electrical_conductivity.remove_holds=false",
+    ).process_for("1", "d")
+    done = pipeline.process(df, settings, rows=rows)
+    found = done.lineage.channels
+    before = corrections.correct(df, settings.corrections(["temperature"]))
+    spikes = spike_counts(before, "temperature", settings.despiked()["temperature"]).first()["spikes"]
+    assert spikes >= 1 and found["temperature"][:2] == [f"removed {held} held value(s)", f"removed {spikes} spike(s)"]
+    assert not any("held" in x for x in found.get("electrical_conductivity", []))
+    assert found["absolute_pressure"] == ["removed 3 held value(s)"]  # the three turns
+    empty = pipeline.process(df.limit(0), settings, rows=rows).lineage.channels
+    assert empty["temperature"][:2] == ["removed 0 held value(s)", "removed 0 spike(s)"]
+
+
+def test_nothing_is_counted_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(tables, "shared_folder", lambda _: None)
+    df = spark.range(3)
+    tally = tables.Tally(spark)
+    assert tally.watch(df, "x", {"a": F.col("id") > 0}) is df and tally.found("x") == {}
