@@ -9,6 +9,7 @@ import re
 import shutil
 import sys
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from .plans import config
@@ -64,33 +65,52 @@ def configure_logging(level: int, log_file: Path | None, error_file: Path | None
             root.addHandler(handler)
 
 
-def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
+#: Deployments that are processed side by side: their jobs share the executors.
+AT_ONCE = 4
+
+
+def _process_one(spark, settings: config.Settings, path: Path) -> None:
     from .plans import pipeline
     from .sources import grids, io
 
-    failures = []
-    for path in io.found_files(settings.paths.raw_directory, (".parquet",), targets):
+    raw, line = io.read_log(spark, str(path))
+    instrument = io.instrument_of(path)
+    own = settings.process_for(instrument.get("instrument_serial_number"), path.stem)
+    g = own.geolocation.external_dataset_path
+    track = io.load(spark, str(g)) if g else None
+    done = pipeline.process(raw, own, track, line)
+    line = pipeline.record_thresholds(done, own, path.stem)
+    types = {c: own.spark_type(c) for c in done.samples.columns}
+    out = f"{settings.paths.profiles_directory}/{path.stem}"
+    compression = own.parquet_compression
+    if own.profile_format == "netcdf":
+        grids.write_profiles_netcdf(done.samples, f"{out}/netcdf", line, types).collect()  # a path a profile
+    else:
+        io.write_profiles(done.samples, f"{out}/samples", line, types, compression.enabled, compression.level)
+    done.profiles.write.mode("overwrite").parquet(f"{out}/profiles")
+    io.deployments(raw, str(path), settings.project.name, instrument).write.mode("overwrite").parquet(f"{out}/deployment")
+
+
+def _process(spark, settings: config.Settings, targets: list[str]) -> list[str]:
+    """All deployments are tried; those that failed are told, and written as the table of errors of this run."""
+    from pyspark import inheritable_thread_target
+
+    from .sources import io
+
+    def tried(path: Path) -> str | None:
         try:
-            raw, line = io.read_log(spark, str(path))
-            instrument = io.instrument_of(path)
-            own = settings.process_for(instrument.get("instrument_serial_number"), path.stem)
-            g = own.geolocation.external_dataset_path
-            track = io.load(spark, str(g)) if g else None
-            done = pipeline.process(raw, own, track, line)
-            line = pipeline.record_thresholds(done, own, path.stem)
-            types = {c: own.spark_type(c) for c in done.samples.columns}
-            out = f"{settings.paths.profiles_directory}/{path.stem}"
-            compression = own.parquet_compression
-            if own.profile_format == "netcdf":
-                grids.write_profiles_netcdf(done.samples, f"{out}/netcdf", line, types).collect()  # a path a profile
-            else:
-                io.write_profiles(done.samples, f"{out}/samples", line, types, compression.enabled, compression.level)
-            done.profiles.write.mode("overwrite").parquet(f"{out}/profiles")
-            io.deployments(raw, str(path), settings.project.name, instrument).write.mode("overwrite").parquet(f"{out}/deployment")
+            _process_one(spark, settings, path)
         except Exception as e:  # one deployment's failure must not stop the others
             logging.getLogger("halocline").error("%s: %s", path.stem, e)
-            failures.append(f"{path.stem}: {e}")
-    return failures
+            return str(e)
+
+    paths = io.found_files(settings.paths.raw_directory, (".parquet",), targets)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        # Wrapped for each deployment: local properties, such as a query's id, must not be shared by threads.
+        found = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(tried), p) for p in paths]]
+    failed = [(p.stem, e) for p, e in zip(paths, found, strict=True) if e is not None]
+    io.write_errors(spark, str(settings.paths.profiles_directory), failed)
+    return [f"{name}: {e}" for name, e in failed]
 
 
 #: What a gridded deployment's name ends in, by format.

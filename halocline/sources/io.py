@@ -44,10 +44,25 @@ def found_files(root: Path, suffixes: tuple[str, ...], targets: list[str] | None
     return out
 
 
+#: Beside the deployments: what went wrong in the last run.
+ERRORS = "_errors"
+ERRORS_SCHEMA = "deployment_id string, error string"
+
+
+def write_errors(spark: SparkSession, root: str, failed: list[tuple[str, str]]) -> None:
+    """A row for each deployment that failed in this run, in place of those of the run before; there may be none."""
+    spark.createDataFrame(failed, ERRORS_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/{ERRORS}")
+
+
+def read_errors(spark: SparkSession, root: str) -> DataFrame:
+    """(deployment_id, error) of the last run."""
+    return spark.read.schema(ERRORS_SCHEMA).json(f"{root.rstrip('/')}/{ERRORS}")
+
+
 def found_deployments(root: Path, targets: list[str] | None = None) -> list[Path]:
-    """Subfolders of root by name, or all of them, sorted."""
+    """Subfolders of root by name, or all of them but the errors, sorted."""
     root = root.resolve()
-    every = sorted(p for p in root.iterdir() if p.is_dir()) if root.is_dir() else []
+    every = sorted(p for p in root.iterdir() if p.is_dir() and p.name != ERRORS) if root.is_dir() else []
     if targets:
         every = [(root / t).resolve() for t in targets]
         for t, p in zip(targets, every, strict=True):

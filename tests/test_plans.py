@@ -138,6 +138,26 @@ def test_process_bin_concatenate(spark, tmp_path, capsys):
     assert cli.main(["process", "--config", str(toml), "--target", "none.parquet"]) == 1
 
 
+def test_every_deployment_is_tried_and_failures_are_rows(spark, tmp_path, capsys):
+    dive(spark, tmp_path / "raw" / "good.parquet")
+    for name in ("bad", "worse"):
+        spark.range(5).selectExpr("id as sample_idx", "timestamp_ntz'2021-05-01' as time", "1d as temperature").write.parquet(str(tmp_path / "raw" / f"{name}.parquet"))
+    toml = tmp_path / "config.toml"
+    toml.write_text(
+        '[paths]\nraw_directory="raw"\nprofiles_directory="profiles"\nbinned_directory="binned"\n'
+        "[process]\natmospheric_pressure=10.1325\n[process.geolocation]\nreference_latitude=45.0\nreference_longitude=-125.0\n"
+    )
+    assert cli.main(["process", "--config", str(toml)]) == 1
+    said = capsys.readouterr().err
+    errors = {r["deployment_id"]: r["error"] for r in io.read_errors(spark, str(tmp_path / "profiles")).collect()}
+    assert set(errors) == {"bad", "worse"} and all(f"{k}: {v}" in said and "absolute_pressure" in v for k, v in errors.items())
+    assert [p.name for p in io.found_deployments(tmp_path / "profiles")] == ["good"]
+    samples, line = io.read_profiles(spark, str(tmp_path / "profiles/good/samples"))
+    assert samples.count() > 600 and any(x.startswith("removed") for x in line.channels["temperature"])
+    assert cli.main(["process", "--config", str(toml), "--target", "good.parquet"]) == 0
+    assert io.read_errors(spark, str(tmp_path / "profiles")).count() == 0
+
+
 def test_concatenation_keeps_one_copy_and_agreed_attributes(spark, caplog):
     from halocline.operators import concat
 
