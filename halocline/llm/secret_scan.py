@@ -8,7 +8,7 @@ consonants, and the lag-1 serial correlation. Neighbours on either side of a sep
 none of the last three. A string that any test tells from a random one for certain is none.
 
 What the tests say of strings that people write is measured, not assumed: identifiers are put
-together from words of a sample of the texts, in the usual styles and all lengths. Their means and
+together from the words of all texts, each at least once, in the usual styles and all lengths. Their means and
 covariances, by family of encodings and class of lengths, weigh the dependent tests (Fisher's
 discriminant against random strings), and the tail of their scores gives the p-value for "somebody
 wrote this". Within each class of lengths, Benjamini-Hochberg picks the candidates that are
@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantiles
 from .shared import let, stored, table
 
 #: The kinds in their order, with their patterns. A match of `assign` counts if group 2 has 6 characters or more; the
@@ -55,7 +56,9 @@ LONGEST = 96  #: of the written strings that are made
 LEAST = 16  #: characters without separators that a candidate has at least
 TAIL = 0.01  #: the share of written strings whose scores give the tail
 BINS = 300  #: of a tenth of a decade
-SAMPLE_ROWS, VOCABULARY, WRITTEN = 3000, 4000, 1500  #: texts, their words, and made strings for each family and class of lengths
+WRITTEN = 1500  #: made strings for each family and class of lengths, at least
+WORD = r"(?<![^\x20\x09-\x0D])[A-Za-z]{2,14}(?![^\x20\x09-\x0D,.;:!?])"
+BUCKETS = 1024  #: over which the texts' words are dealt
 
 #: Words for strings that people write, besides those of the texts.
 COMMON = (
@@ -180,43 +183,58 @@ class Written:
         return F.when(t.isNull() | (over <= 0) | certain, F.lit(0)).otherwise(F.least(F.floor(decades * 10.0).cast("int"), F.lit(BINS)))
 
 
-def written_strings(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY, each: int = WRITTEN) -> DataFrame:
-    """(token): made identifiers, `each` for every family and class of lengths.
+def written_strings(docs: DataFrame, text: str = "text", each: int = WRITTEN) -> DataFrame:
+    """(token, common): made identifiers, about `each` or more for every family and class of lengths.
 
-    The words of one half are those of a sample of about sample_rows texts, drawn by the texts' hashes, and of them the
-    `vocabulary` least by hash; those of the other half are the common ones, which are shorter than most texts' words.
-    Which rows are drawn, and so all that follows, depends on the texts alone.
+    Some are of common words, drawn by hash. In the others every word of every text has a part, whole: the distinct words (2 to
+    14 ASCII letters between spaces, a punctuation mark may follow) are dealt over buckets, each of one family and length,
+    and a bucket's words, in the order of a hash, are put together until that length is reached. Where the texts have few
+    words this is repeated in other orders; where they have many there are more strings. Copies of texts count once.
     """
-    spark, rows = docs.sparkSession, max(docs.count(), 1)
-    # Copies of one text are drawn together, so they count once.
-    some = docs.select(F.col(text).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < F.lit(math.ceil(sample_rows / rows * (1 << 20)))).dropDuplicates(["t"])
-    found = some.select(F.explode(F.regexp_extract_all("t", F.lit(r"(?<![^\x20\x09-\x0D])[A-Za-z]{2,14}(?![^\x20\x09-\x0D,.;:!?])"), F.lit(0))).alias("w")).select(F.lower("w").alias("w"))
-    own = found.distinct().orderBy(F.xxhash64("w"), "w").limit(vocabulary).withColumn("i", F.row_number().over(Window.orderBy(F.xxhash64("w"), "w")) - 1)  # `vocabulary` rows at most
-    common = spark.createDataFrame([(w, i) for i, w in enumerate(COMMON)], "w string, i int")
-    words = stored(own.withColumn("common", F.lit(False)).unionByName(common.withColumn("common", F.lit(True))), "vocabulary")
-    n_own, borders, classes = words.where("not common").count(), [20, *LENGTHS, LONGEST], len(LENGTHS) + 1
+    spark, borders, classes = docs.sparkSession, [20, *LENGTHS, LONGEST], len(LENGTHS) + 1
+    cells, middle = FAMILIES * classes, (sum(borders) - (borders[0] + borders[-1]) / 2) / classes
+    found = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))).alias("w")).select(F.lower("w").alias("w"))
+    words = stored(found.distinct(), "vocabulary")
+    letters = words.agg(F.sum(F.length("w"))).first()[0] or 0
+    rounds = math.ceil(cells * each / 2 * middle / max(letters, 1))
     draw = lambda salt, below, *more: F.pmod(F.xxhash64("id", *more, F.lit(salt)), F.lit(below))
-    # Words enough for the longest; what is over the length drawn is cut.
-    ids = spark.range(FAMILIES * classes * each).select("id", (F.col("id") % (FAMILIES * classes)).cast("int").alias("cell"))
-    parts = ids.withColumn("common", (draw(10, 2) == 0) | F.lit(not n_own)).select("id", "cell", "common", F.explode(F.sequence(F.lit(0), F.get(F.array(*(F.lit(min(b, LONGEST * 2 // 3) // 2) for b in borders[1:])), F.col("cell") % classes))).alias("k"))  # words have two letters at least
-    parts = parts.withColumn("i", F.when(F.col("common"), draw(1, len(COMMON), "k")).otherwise(draw(1, max(n_own, 1), "k")).cast("int"))
-    drawn = parts.join(words, ["common", "i"]).groupBy("id", "cell").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("w"))
-    family, of = F.floor(F.col("cell") / classes), F.col("cell") % classes
+    of = F.col("cell") % classes
+    low, high = (F.element_at(F.array(*(F.lit(b) for b in side)), (of + 1).cast("int")) for side in (borders[:-1], borders[1:]))
+    aimed = lambda df: df.withColumn("aim", (low + draw(9, 1 << 30) % (high - low)).cast("int"))
+    # Whose letters before a word are as many times the length belong together. A bucket's words are a thousandth of all.
+    dealt = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("r")).withColumn("id", F.pmod(F.xxhash64("w", "r"), F.lit(BUCKETS)))
+    dealt = aimed(dealt.withColumn("cell", (F.col("id") % cells).cast("int")))
+    order = Window.partitionBy("id").orderBy("r", F.xxhash64("r", "w"), "w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dealt = dealt.withColumn("at", F.sum(F.length("w")).over(order) - F.length("w")).withColumn("nth", F.floor(F.col("at") / F.col("aim")))
+    own = dealt.groupBy("id", "nth", "cell", "aim").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "w"))), lambda x: x["w"]).alias("w"))
+    own = own.select(F.xxhash64("id", "nth").alias("id"), "cell", "aim", "w", F.lit(False).alias("common"))
+    ids = spark.range(cells * (each // 2 if letters else each)).withColumn("cell", (F.col("id") % cells).cast("int"))
+    every = own.unionByName(aimed(ids).withColumns({"w": F.expr("cast(array() as array<string>)"), "common": F.lit(True)}))
+    # Common words fill up what is short of the length; what is over is cut, but not of the texts' words.
+    short = F.col("aim") - F.length(F.array_join("w", ""))  # words have two letters at least
+    more = F.when(short > 0, F.transform(F.sequence(F.lit(1), F.ceil(short / 2)), lambda k: F.get(F.array(*(F.lit(w) for w in COMMON)), draw(1, len(COMMON), k).cast("int")))).otherwise(F.expr("cast(array() as array<string>)"))
+    drawn = every.select("id", "cell", "aim", "common", F.size("w").alias("n_own"), F.concat("w", more).alias("w"))
+    family = F.floor(F.col("cell") / classes)
     joint = F.element_at(F.array(*(F.lit(x) for x in ("", "_", "-", "/"))), (draw(2, 4) + 1).cast("int"))
     style = draw(3, 3)
     title = lambda x: F.initcap(x)
     cased = F.when(family.isin(0, 2), F.when(style == 0, F.transform("w", F.upper)).otherwise(F.col("w"))).otherwise(F.transform("w", lambda x, k: F.when((style > 0) | (k > 0), title(x)).otherwise(x)))
     # Numbers of one to four digits after some words, one of the first three always.
     numbered = F.transform(cased, lambda x, k: F.when((k == draw(4, 3)) | (draw(5, 6, k) == 0), F.concat(x, draw(6, 10, k).cast("string"), F.when(draw(7, 2, k) == 0, draw(8, 1000, k).cast("string")).otherwise(F.lit("")))).otherwise(x))
-    whole = F.array_join(F.transform(F.when(family >= 2, numbered).otherwise(cased), lambda x: F.concat(x, joint)), "")
-    low, high = (F.element_at(F.array(*(F.lit(b) for b in side)), (of + 1).cast("int")) for side in (borders[:-1], borders[1:]))
-    return drawn.select(F.substring(whole, F.lit(1), (low + draw(9, 1 << 30) % (high - low)).cast("int")).alias("token"))
+    whole = F.transform(F.when(family >= 2, numbered).otherwise(cased), lambda x: F.concat(x, joint))
+    styled = drawn.select("aim", "common", "n_own", F.length(joint).alias("gap"), whole.alias("w"))
+    length = F.greatest("aim", F.length(F.array_join(F.slice("w", F.lit(1), F.col("n_own")), "")) - F.col("gap"))
+    return styled.select(F.substring(F.array_join("w", ""), F.lit(1), length).alias("token"), "common")
 
 
 def calibrate(docs: DataFrame, text: str = "text") -> Written:
     """Measures written strings. Without texts the common words alone make them."""
-    made = stored(written_strings(docs, text).select(tests(F.col("token")).alias("t")).where("t is not null").select("t.*"), "written")
+    made = stored(written_strings(docs, text).select(tests(F.col("token")).alias("t"), "common").where("t is not null").select("t.*", "common"), "written")
     names, cells = TESTS, FAMILIES * (len(LENGTHS) + 1)
+    # However many words the texts have, the strings of common ones count as much as the others: each several times.
+    counts = {(r["cell"], r["common"]): r["count"] for r in made.groupBy("cell", "common").count().collect()}
+    times = F.array(*(F.lit(max(1, round(counts.get((c, False), 0) / counts.get((c, True), 1)))) for c in range(cells)))
+    made = made.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.when(F.col("common"), F.get(times, F.col("cell"))).otherwise(1)))).drop("_")
     # Two-sided: a string that is more even than chance would make it is as far from random as one that is less.
     far = made.select("cell", *(F.abs(a).alias(a) for a in names))
     products = [F.avg(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(names) for b in names[i:]]
@@ -229,7 +247,7 @@ def calibrate(docs: DataFrame, text: str = "text") -> Written:
         # Being far from random in a test is never held to speak for a random string.
         weights[cell] = tuple(min(x, 0.0) for x in _solved(both, [random_mean - m for m in mean]))
     scored = made.withColumn("s", Written(weights, [], []).score(F.struct("cell", *names)))
-    border = dict(scored.groupBy("cell").agg(F.percentile("s", F.lit(1 - TAIL))).collect())
+    border = {r["cell"]: r["border"] for r in quantiles(scored, "cell", "s", {"border": 1 - TAIL}, lambda df: stored(df, "tail")).collect()}
     edges = [float(border.get(c, 0.0)) for c in range(cells)]
     over = F.col("s") - F.get(F.array(*(F.lit(x) for x in edges)), F.col("cell"))
     slope = dict(scored.withColumn("o", over).where("o > 0").groupBy("cell").agg(F.avg("o")).collect())
