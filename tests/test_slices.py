@@ -89,6 +89,19 @@ def test_no_group_meets_in_one_task(long_log):
         assert "percentile(" not in plan and "FlatMapGroups" not in plan and "collect_list(_x" not in plan
 
 
+def test_tail_fits_sort_no_rows_and_send_none(spark, long_log, tmp_path):
+    """Rows small enough to be broadcast stay where they are: what is broadcast is a row a group, and only sums are kept."""
+    long_log.where("value > 0").write.parquet(str(tmp_path / "x"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = gpd.fits(spark.read.parquet(str(tmp_path / "x")), "deployment_id", "value", rounds=3)._jdf.queryExecution().executedPlan().toString()
+        joins = [x for x in plan.split("\n") if "HashJoin" in x or "MergeJoin" in x]
+        assert len(joins) == 3 and all("BuildRight" in x for x in joins)
+        assert "Sort" not in plan.replace("array_sort", "")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 SAMPLES = st.lists(st.one_of(st.floats(allow_nan=True, allow_infinity=True), st.sampled_from([0.0, -0.0, 1.0, 1.5, -2.0, 1e-300, 5e-324, None])), max_size=60)
 
 
