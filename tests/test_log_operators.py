@@ -1,7 +1,7 @@
 """Small cases with known results for the log operators."""
 
 import math
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -240,6 +240,30 @@ def test_position_on_a_track(spark):
         geo.interpolated_position(p(t(3)), track)
 
 
+@pytest.mark.parametrize("rows", [7, 1 << 20])
+def test_positions_of_a_dense_track(spark, rows):
+    """Against numpy, however the times are cut: parts without a point, ends of the track, one point, and no pairs in the plan."""
+    r = np.random.default_rng(3)
+    start = datetime(2020, 1, 1)
+    at = lambda s: start + timedelta(milliseconds=int(s))
+    t = np.unique(np.concatenate([[0, 90_000], r.integers(0, 9_000, 60), r.integers(80_000, 90_000, 60)]))
+    a, o = r.uniform(-90, 90, len(t)), r.uniform(-180, 180, len(t))
+    track = spark.createDataFrame([(at(x), float(y), float(z)) for x, y, z in zip(t, a, o, strict=True)], "time timestamp_ntz, latitude double, longitude double")
+    s = np.concatenate([t[:20], [0, 90_000, 90_000], r.integers(0, 90_000, 80)])
+    schema = f"{P} long, {D} string, profile_start_time timestamp_ntz"
+    profiles = spark.createDataFrame([(i, "d", at(x)) for i, x in enumerate(s)], schema)
+    out = geo.interpolated_position(profiles, track, rows=rows)
+    assert out.columns == [D, P, "profile_start_time", "latitude", "longitude", "position_source"]
+    got = out.orderBy(P).collect()
+    assert [g["latitude"] for g in got] == pytest.approx(np.interp(s, t, a)) and [g["longitude"] for g in got] == pytest.approx(np.interp(s, t, o))
+    outside = spark.createDataFrame([(0, "d", at(-1)), (1, "d", at(90_001)), (2, "d", None)], schema)
+    assert [g["latitude"] for g in geo.interpolated_position(outside, track, strict=False, rows=rows).collect()] == [None] * 3
+    one = geo.interpolated_position(spark.createDataFrame([(0, "d", at(0)), (1, "d", at(1))], schema), track.limit(0).union(track.orderBy("time").limit(1)), strict=False, rows=rows)
+    assert [g["latitude"] for g in one.orderBy(P).collect()] == [a[0], None]
+    plan = geo.interpolated_position(profiles, track, strict=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") <= 2
+
+
 def test_seawater_check_values(spark):
     # Published check values.
     rows = [(34.7118, 28.8099, 10.0, 28.7856, 34.5487), (34.7324, 4.3236, 1000.0, 4.4036, 34.56)]
